@@ -93,8 +93,9 @@ def cultural_scores(df: DataFrame, job_vectors: str, candidate_vectors: str) ->
 
 
 def ranking(df: DataFrame, columns: Mapping[str, str], final: str, digits: int = 3) -> DataFrame:
-    """Rounded scores under their output names, best first."""
-    shown = [F.round(F.col(c), digits).alias(name) if c not in ("codigo_vaga", "codigo_candidato") else F.col(c).alias(name)
+    """The named columns (output name -> column), fractions rounded, best ``final`` first."""
+    kinds = dict(df.dtypes)
+    shown = [(F.round(F.col(c), digits) if kinds[c] in ("double", "float") else F.col(c)).alias(name)
              for name, c in columns.items()]
     return df.select(*shown).orderBy(F.desc(final))
 
