@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import temporal, text
-from ..functions.naming import initials, tidy_name
+from ..functions.naming import initials, tidy_name  # noqa: F401
 
 
 def _field_columns(name: str, struct: T.StructType, prefix: str):

@@ -91,7 +91,7 @@ JOBS = {
     "pv_demais_observacoes": "case when o_orderkey % 2 = 0 then 'VIAGENS; INGLES' else null end",
     "pv_equipamentos_necessarios": "'NOTEBOOK, CELULAR'",
     "pv_habilidades_comportamentais_necessarias": "'COMUNICACAO, LIDERANCA ' || cast(o_orderkey % 3 as string)",
-    "b_valor_venda": "case when o_orderkey % 5 = 0 then '' when o_orderkey % 5 = 1 then null else cast(cast(o_totalprice as bigint) as string) end",
+    "b_valor_venda": "case when o_orderkey % 5 = 0 then '' when o_orderkey % 5 = 1 then null else cast(cast(floor(o_totalprice) as bigint) as string) end",
     "b_valor_compra_1": "case when o_orderkey % 3 = 0 then '100,00' else null end",
     "b_valor_compra_2": "case when o_orderkey % 7 = 0 then '' else null end",
 }
@@ -118,7 +118,7 @@ APPLICANTS = {
     "ip_facebook": "cast(null as string)",
     "ip_conhecimentos_tecnicos": "'TECNICO ' || c_mktsegment",
     "ip_certificacoes": "case when c_custkey % 4 = 0 then 'AWS, SCRUM' else '' end",
-    "ip_remuneracao": "case when c_acctbal < 0 then null when c_custkey % 5 = 0 then '' else cast(cast(c_acctbal as bigint) as string) end",
+    "ip_remuneracao": "case when c_acctbal < 0 then null when c_custkey % 5 = 0 then '' else cast(cast(floor(c_acctbal) as bigint) as string) end",
     "ip_nivel_profissional": "case c_mktsegment when 'BUILDING' then 'PLENO' when 'MACHINERY' then 'SENIOR' when 'AUTOMOBILE' then 'LÍDER' else null end",
     "fei_nivel_academico": "case c_custkey % 5 when 0 then 'ENSINO SUPERIOR INCOMPLETO' when 1 then 'MESTRADO' when 2 then 'PÓS-GRADUAÇÃO' when 3 then '' else null end",
     "fei_cursos": "'CURSO ' || cast(c_custkey % 30 as string)",
