@@ -13,7 +13,6 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import cut_lineage, ship_with_tasks
 from .flatten import split_types
@@ -232,8 +231,8 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
                        F.lit(P_VALUE if small else DISTANCE).alias("threshold"), drifted.alias("drifted"))
 
 
-COLUMN_DRIFT_SCHEMA = T.StructType.fromDDL(
-    "column string, kind string, test string, statistic double, score double, threshold double, drifted boolean")
+COLUMN_DRIFT_SCHEMA = ("column string, kind string, test string, statistic double, score double, "
+                       "threshold double, drifted boolean")
 
 
 def dataset_drift(column_rows: DataFrame, share: float = DATASET_SHARE, alert: float = ALERT_SHARE) -> DataFrame:

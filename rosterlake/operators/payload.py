@@ -20,24 +20,6 @@ EDUCATION_LEVEL = ["high_school", "bachelors", "masters", "phd", "not_declared"]
 DEGREES = ["bachelors", "masters", "phd"]
 FALLBACK_SKILLS = ["Python", "Data Science"]
 FALLBACK_CULTURE = ["Proatividade"]
-CANDIDATE_DDL = """
-    profile struct<resume_text: string, years_experience_range: string, seniority_inferred: string,
-                   education_level: string, field_of_study: string, has_degree: boolean,
-                   languages: array<string>, availability: string>,
-    skills struct<technical_skills: array<string>, soft_skills: array<string>, tools: array<string>,
-                  certifications: array<string>>,
-    quality_signals struct<has_email: boolean, has_phone: boolean, has_linkedin: boolean,
-                           completeness_score: double, is_local_to_job: boolean>,
-    behavioral_signals struct<days_since_profile_update: int, days_in_process: int,
-                              recruiter_touchpoints: int, sentiment_score: int>,
-    embeddings map<string, array<float>>
-"""
-JOB_DDL = """
-    metadata struct<job_title: string, department: string, location: string, contract_type: string>,
-    requirements struct<required_tech_skills: array<string>, required_soft_skills: array<string>,
-                        target_seniority: string, nice_to_have_skills: array<string>>,
-    embeddings map<string, array<float>>
-"""
 CANDIDATE_DEFAULTS = {
     "profile": {"resume_text": None, "years_experience_range": "unknown", "seniority_inferred": "unknown",
                 "education_level": "not_declared", "field_of_study": None, "has_degree": False,
@@ -55,8 +37,17 @@ JOB_DEFAULTS = {
 }
 # -----------------------------------------------------------------------------------------------
 
-CANDIDATE_PAYLOAD = T.StructType.fromDDL(CANDIDATE_DDL)
-JOB_PAYLOAD = T.StructType.fromDDL(JOB_DDL)
+def _shape(defaults: Mapping[str, Mapping]) -> T.StructType:
+    """Schema of a payload side: the type of a field is the type of its default, text where that is null."""
+    kinds = {bool: T.BooleanType(), int: T.IntegerType(), float: T.DoubleType(), list: T.ArrayType(T.StringType())}
+    blocks = [T.StructField(block, T.StructType([T.StructField(n, kinds.get(type(v), T.StringType()))
+                                                 for n, v in fields.items()]))
+              for block, fields in defaults.items()]
+    return T.StructType([*blocks, T.StructField("embeddings", T.MapType(T.StringType(), T.ArrayType(T.FloatType())))])
+
+
+CANDIDATE_PAYLOAD = _shape(CANDIDATE_DEFAULTS)
+JOB_PAYLOAD = _shape(JOB_DEFAULTS)
 CORRUPT = "_corrupt_record"
 
 
