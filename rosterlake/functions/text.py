@@ -30,12 +30,13 @@ SENTIMENT_SCORING = {
     "negative": r"desistiu|não tem perfil|fraco|recusou|sem experiência|confuso|ruim",
 }
 COMMON_RECRUITERS = ["Michelle", "Daniella", "Stefany", "Katia", "Ana", "Raquel", "Mônica", "Thaise"]
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # ----------------------------------------------------------------------------------
 
 
 def strip_space(c: Column) -> Column:
     """Trim any Unicode white space; ``trim`` alone removes only the blank."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def clean_text(c: Column) -> Column:
@@ -62,7 +63,7 @@ def any_filled(*columns: Column) -> Column:
 
 def is_blank_or_dashes(c: Column) -> Column:
     """Null, or nothing left after trimming white space, dashes and white space again."""
-    left = strip_space(F.regexp_replace(strip_space(c.cast("string")), "^-+|-+$", ""))
+    left = strip_space(F.btrim(strip_space(c.cast("string")), F.lit("-")))
     return F.coalesce(left == "", F.lit(True))
 
 

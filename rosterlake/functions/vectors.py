@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..session import ship_with_tasks
 
+CELLS = 4_000_000
+
 
 def _spans(lists: pa.Array) -> np.ndarray:
     """Start offsets of each list in the flattened values; a null list has length 0."""
@@ -51,13 +53,23 @@ def _row_cosine(a: pa.Array, b: pa.Array) -> pa.Array:
 def _mean_best(a: pa.Array, b: pa.Array, threshold: float | None, empty: float) -> pa.Array:
     a_starts, b_starts = _spans(a), _spans(b)
     left, right = _unit_rows(a.flatten())[0], _unit_rows(b.flatten())[0]
+    needs, haves = np.diff(a_starts), np.diff(b_starts)
     out = np.full(len(a), empty)
-    for i in range(len(a)):
-        need = left[a_starts[i]:a_starts[i + 1]]
-        have = right[b_starts[i]:b_starts[i + 1]]
-        if len(need) and len(have):
-            best = (need @ have.T).max(axis=1)
-            out[i] = (best if threshold is None else np.where(best >= threshold, best, 0.0)).mean()
+    # Rows of similar list lengths are padded to one block and multiplied together.
+    rows = np.flatnonzero((needs > 0) & (haves > 0))
+    rows = rows[np.lexsort((needs[rows], haves[rows]))]
+    while len(rows):
+        size = max(1, CELLS // max((needs[rows[0]] + haves[rows[0]]) * 2 * left.shape[1], 1))
+        block, rows = rows[:size], rows[size:]
+        need_at, have_at = np.arange(needs[block].max()), np.arange(haves[block].max())
+        need_ok, have_ok = need_at < needs[block, None], have_at < haves[block, None]
+        x = left[np.where(need_ok, a_starts[block, None] + need_at, 0)]
+        y = right[np.where(have_ok, b_starts[block, None] + have_at, 0)]
+        similar = np.where(have_ok[:, None, :], x @ y.transpose(0, 2, 1), -np.inf)
+        best = similar.max(axis=2)
+        if threshold is not None:
+            best = np.where(best >= threshold, best, 0.0)
+        out[block] = np.where(need_ok, best, 0.0).sum(axis=1) / needs[block]
     return pa.array(out)
 
 

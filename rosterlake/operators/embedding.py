@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
+from ..session import cut_lineage
 
 Encoder = Callable[[DataFrame], DataFrame]
 
@@ -63,32 +64,37 @@ def encode_column(df: DataFrame, text: str, output: str, encode: Encoder) -> Dat
 
 
 def encode_lists(entities: DataFrame, key: str, columns: dict[str, str], encode: Encoder) -> DataFrame:
-    """Add list-of-vector columns for list-of-text columns of an entity table with a unique key.
+    """Add list-of-vector columns for list-of-text columns of a table with a unique key.
 
-    Empty strings are left out. Meant for jobs or candidates before they are joined into pairs,
-    so the work grows with the entities. A row is regrouped only from its own list.
+    Empty strings are left out. Meant for jobs, candidates or requests before they are joined into
+    pairs, so the work grows with the entities. A row is regrouped only from its own lists. The
+    table is read twice; give a stored one if it is costly to compute.
     """
-    items = None
-    for source in columns:
-        part = (entities.where(F.size(F.col(source)) > 0)
-                .select(F.col(key).alias("_key"), F.lit(source).alias("_source"),
-                        F.explode(source).alias("text"))
-                .where("text <> ''"))
-        items = part if items is None else items.unionAll(part)
+    def tagged(name: str) -> Column:
+        texts = F.coalesce(F.col(name), F.array().cast("array<string>"))
+        return F.transform(texts, lambda x: F.struct(F.lit(name).alias("source"), x.alias("text")))
+
+    everything = F.flatten(F.array(*[tagged(c) for c in columns]))
+    items = (entities.select(F.col(key).alias("_key"), F.explode(everything).alias("_item"))
+             .select("_key", "_item.source", "_item.text").where("text <> ''"))
     encoded = _encoded(items.select("text"), encode)
     gathered = (items.withColumn("_digest", _digest(F.col("text"))).join(encoded, "_digest")
                 .where("vector IS NOT NULL")
-                .groupBy("_key").pivot("_source", list(columns)).agg(F.collect_list("vector")))
+                .groupBy("_key").agg(*[
+                    F.collect_list(F.when(F.col("source") == c, F.col("vector"))).alias(output)
+                    for c, output in columns.items()]))
     empty = F.array().cast("array<array<float>>")
-    joined = entities.join(gathered.select("_key", *[F.col(s).alias(o) for s, o in columns.items()]),
-                           F.col(key) == F.col("_key"), "left").drop("_key")
+    joined = entities.join(gathered, F.col(key) == F.col("_key"), "left").drop("_key")
     return joined.withColumns({o: F.coalesce(F.col(o), empty) for o in columns.values()})
 
 
 def text_similarity(df: DataFrame, left: str, right: str, output: str, encode: Encoder) -> DataFrame:
-    """Cosine of two text columns of the same row; both columns share one encoder run."""
+    """Cosine of two text columns of the same row.
+
+    Both columns share one encoder run, whose result is stored because it is joined twice.
+    """
     both = df.select(F.explode(F.array(left, right)).alias("text"))
-    encoded = _encoded(both, encode)
+    encoded = cut_lineage(_encoded(both, encode))
     a = encoded.select(F.col("_digest").alias("_a"), F.col("vector").alias("_va"))
     b = encoded.select(F.col("_digest").alias("_b"), F.col("vector").alias("_vb"))
     return (df.join(a, _digest(F.col(left)) == F.col("_a"), "left")

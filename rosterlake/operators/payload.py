@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import matching, temporal, text
+from ..session import cut_lineage
 from .embedding import Encoder, encode_lists
 from .extraction import CANDIDATE_SCHEMA, JOB_SCHEMA, Extract
 from .joins import add_if_absent, group_rare
@@ -170,9 +171,12 @@ def score_requests(requests: DataFrame, encode: Encoder, extract: Extract | None
     """(request_id, status, reason, score_skills, score_cultural, score_behavioral).
 
     Rejected requests have null scores. A request carries no comment, so its behavioural score is
-    the neutral one.
+    the neutral one. The parsed lists are stored: they are read twice, and reading them again would
+    repeat the extractor.
     """
-    lists = request_lists(read_payloads(requests), extract, jobs)
+    parsed = request_lists(read_payloads(requests), extract, jobs)
+    lists = cut_lineage(parsed.select("request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
+                                      "job_culture", "cand_culture"))
     sides = {"job_skills": "_js", "cand_skills": "_cs", "job_culture": "_jc", "cand_culture": "_cc"}
     df = encode_lists(lists, "request_id", sides, encode)
     good = F.col("rejected").isNull()

@@ -40,10 +40,16 @@ def culture_similarity(job_vectors: Column, candidate_vectors: Column) -> Column
 
 def structured_columns(df: DataFrame, job: Mapping[str, str] = JOB_LEVELS,
                        candidate: Mapping[str, str] = CANDIDATE_LEVELS) -> DataFrame:
-    """The three level scores and their weighted sum."""
-    df = df.withColumns({LEVEL_SCORES[k]: matching.level_match(F.col(job[k]), F.col(candidate[k])) for k in job})
+    """The three level scores and their weighted sum.
+
+    The level numbers are columns of their own first, so each text is looked up once.
+    """
+    df = df.withColumns({f"_{side}_{k}": matching.level_score(F.col(columns[k]))
+                         for side, columns in (("job", job), ("app", candidate)) for k in job})
+    df = df.withColumns({LEVEL_SCORES[k]: matching.requirement_ratio(F.col(f"_job_{k}"), F.col(f"_app_{k}")) for k in job})
     parts = {k: F.col(LEVEL_SCORES[k]) for k in job}
-    return df.withColumn("structured_match_score", matching.weighted(parts, matching.LEVEL_WEIGHTS))
+    return (df.withColumn("structured_match_score", matching.weighted(parts, matching.LEVEL_WEIGHTS))
+            .drop(*[f"_{side}_{k}" for side in ("job", "app") for k in job]))
 
 
 def total_skill_score(semantic: Column, structured: Column) -> Column:

@@ -40,47 +40,68 @@ def run_extraction(spark: SparkSession, rows: DataFrame, folder: str, extract: e
 
 
 def score_pairs(df: DataFrame, job_vectors: tuple[str, str], candidate_vectors: tuple[str, str]) -> DataFrame:
-    """Add the three scores in place.
+    """Add the three scores in place, and the level scores they use.
 
     ``job_vectors`` and ``candidate_vectors`` name the list-of-vector columns of skills and culture.
     """
-    levels = {k: F.col(c) for k, c in scoring.JOB_LEVELS.items()}
-    own = {k: F.col(c) for k, c in scoring.CANDIDATE_LEVELS.items()}
+    df = scoring.structured_columns(df)
     comment = text.clean_text(F.col("p_comentario")) if "p_comentario" in df.columns else F.lit("")
     return df.withColumns({
         "score_skills": scoring.total_skill_score(
             scoring.skill_similarity(F.col(job_vectors[0]), F.col(candidate_vectors[0])),
-            matching.structured_match(levels, own)),
+            F.col("structured_match_score")),
         "score_behavioral": matching.behaviour_score(text.sentiment(comment, text.SENTIMENT_SCORING)),
         "score_cultural": scoring.culture_similarity(F.col(job_vectors[1]), F.col(candidate_vectors[1])),
     })
 
 
-def with_vectors(df: DataFrame, key: str, prefix: str, encode: Encoder) -> DataFrame:
-    """Vectors of the extracted skills and culture lists, once per job or candidate, joined to the pairs."""
-    skills, culture = f"{prefix}_skill_list", f"{prefix}_culture_list"
-    entities = df.groupBy(key).agg(
-        F.first(F.concat(F.col(f"{prefix}_competencias_tecnicas"), F.col(f"{prefix}_ferramentas_tecnologicas")),
-                ignorenulls=True).alias(skills),
-        F.first(f"{prefix}_competencias_comportamentais", ignorenulls=True).alias(culture))
-    encoded = encode_lists(entities, key, {skills: f"{prefix}_skill_vectors", culture: f"{prefix}_culture_vectors"}, encode)
-    return df.join(encoded.drop(skills, culture), key)
+def entity_lists(df: DataFrame, key: str, prefix: str) -> DataFrame:
+    """(key, skills, culture) of each job or candidate, from the pair rows that repeat them."""
+    skills = F.concat(F.col(f"{prefix}_competencias_tecnicas"), F.col(f"{prefix}_ferramentas_tecnologicas"))
+    return df.groupBy(key).agg(F.max(skills).alias("skills"), F.max(f"{prefix}_competencias_comportamentais").alias("culture"))
 
 
-def score_table(df: DataFrame, encode: Encoder) -> DataFrame:
-    """Enriched rows -> rows with the three scores; raw rows get their features first."""
+def answer_lists(answers: DataFrame, key: str) -> DataFrame:
+    """(key, skills, culture) from a state table, which has one row per entity."""
+    return answers.select(F.col("id").alias(key),
+                          F.concat("dados.competencias_tecnicas", "dados.ferramentas_tecnologicas").alias("skills"),
+                          F.col("dados.competencias_comportamentais").alias("culture"))
+
+
+def entity_vectors(lists: DataFrame, key: str, prefix: str, encode: Encoder) -> DataFrame:
+    """(key, skill vectors, culture vectors) of each job or candidate."""
+    encoded = encode_lists(lists, key, {"skills": f"{prefix}_skill_vectors", "culture": f"{prefix}_culture_vectors"}, encode)
+    return encoded.drop("skills", "culture")
+
+
+def score_table(df: DataFrame, encode: Encoder, job_lists: DataFrame | None = None,
+                candidate_lists: DataFrame | None = None) -> DataFrame:
+    """Enriched rows -> rows with the three scores; raw rows get their features first.
+
+    The entity lists are taken from the rows themselves unless given.
+    """
     df = features.build_features(df)
-    df = with_vectors(with_vectors(df, "codigo_vaga", "job", encode), "codigo_candidato", "app", encode)
-    scored = score_pairs(df, ("job_skill_vectors", "job_culture_vectors"), ("app_skill_vectors", "app_culture_vectors"))
-    return scored.drop("job_skill_vectors", "job_culture_vectors", "app_skill_vectors", "app_culture_vectors")
+    job_lists = entity_lists(df, "codigo_vaga", "job") if job_lists is None else job_lists
+    candidate_lists = entity_lists(df, "codigo_candidato", "app") if candidate_lists is None else candidate_lists
+    vectors = [f"{p}_{k}_vectors" for p in ("job", "app") for k in ("skill", "culture")]
+    paired = (df.join(entity_vectors(job_lists, "codigo_vaga", "job", encode), "codigo_vaga")
+              .join(entity_vectors(candidate_lists, "codigo_candidato", "app", encode), "codigo_candidato"))
+    return score_pairs(paired, (vectors[0], vectors[1]), (vectors[2], vectors[3])).drop(*vectors)
 
 
 def run(spark: SparkSession, curated: str, folder: str, output: str, extract: extraction.Extract,
         encode: Encoder) -> DataFrame:
-    """The whole job: read curated tables, build features, extract, score, write."""
+    """The whole job: curated tables -> feature table -> enriched table -> scored table, each stored.
+
+    The feature table is read by both extractions and the final join, the enriched table is a result
+    of its own; storing them avoids repeating the joins and the location match.
+    """
     tables = [read_parquet(spark, f"{curated}/{name}.parquet") for name in ("prospects", "applicants", "jobs")]
-    enriched = run_extraction(spark, feature_table(*tables), folder, extract)
-    write_parquet(score_table(enriched, encode), output)
+    write_parquet(feature_table(*tables), f"{folder}/features.parquet")
+    enriched = run_extraction(spark, read_parquet(spark, f"{folder}/features.parquet"), folder, extract)
+    write_parquet(enriched, f"{folder}/resultado_final.parquet")
+    answers = {kind: read_appended(spark, f"{folder}/{name}") for kind, name in STATES.items()}
+    scored = score_table(read_parquet(spark, f"{folder}/resultado_final.parquet"), encode,
+                         answer_lists(answers["vaga"], "codigo_vaga"), answer_lists(answers["candidato"], "codigo_candidato"))
+    write_parquet(scored, output)
     return read_parquet(spark, output)
-
-

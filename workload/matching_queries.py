@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import sys
 
 from pyspark.sql import functions as F
 
 from rosterlake.functions import matching, text, vectors
 from rosterlake.operators import embedding, extraction, payload, scoring
 from rosterlake.plans import scoring as scoring_plan
-from rosterlake.session import scratch_path
+from rosterlake.session import cut_lineage, scratch_path, ship_with_tasks
 from rosterlake.sources import tables
 
 from .base import CURATED_SQL, JOINED_SQL, joined, jobs, prospects, query, r, table
@@ -151,7 +152,8 @@ def _(spark, sf):
 @query("technical_baseline", "M6,M13,F24")
 def _(spark, sf):
     df = scoring.technical_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
-    tiers = scoring.add_tiers(df.select("codigo_vaga", "codigo_candidato", "linha", "final_technical_score"), "final_technical_score")
+    scores = cut_lineage(df.select("codigo_vaga", "codigo_candidato", "linha", "final_technical_score"))
+    tiers = scoring.add_tiers(scores, "final_technical_score")
     return tiers.select("codigo_vaga", "codigo_candidato", "linha", r("final_technical_score"), "tier")
 
 
@@ -205,12 +207,13 @@ def _(spark, sf):
 
 
 LIST_FIELDS = extraction.CANDIDATE_LIST_FIELDS
+TEXT_FIELDS = extraction.TEXT_FIELDS
 
 
 def answer(prompt: str) -> str:
     """A stand-in for a text generator: one word list and fixed texts."""
     body = {name: prompt.split()[:1] for name in LIST_FIELDS}
-    body.update({name: "x" for name in extraction.TEXT_FIELDS})
+    body.update({name: "x" for name in TEXT_FIELDS})
     return "```json\n" + json.dumps(body, ensure_ascii=False) + "\n```"
 
 
@@ -367,3 +370,6 @@ def _(spark, sf):
     scored = scoring_plan.run(spark, curated, scratch_path(spark, "store"), out, extraction.keyword_extract(TERMS, OPTIONS),
                               embedding.tfidf_encoder(64))
     return scored.select("codigo_vaga", "codigo_candidato", "linha", r("score_skills"), "score_behavioral", r("score_cultural"))
+
+
+ship_with_tasks(sys.modules[__name__])
