@@ -40,8 +40,15 @@ def strip_space(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    squeezed = F.regexp_replace(c.cast("string"), r"(?U)\s+", " ")
-    return F.upper(F.trim(F.regexp_replace(squeezed, r"(?U)[^\w\s@.,\-:/]", "")))
+    """White-space runs to one blank, other characters than words and ``@ . , - : /`` removed, trimmed, upper case.
+
+    Plain ASCII text without double blanks needs no replacement and takes the short way.
+    """
+    value = c.cast("string")
+    plain = value.rlike(r"^[A-Za-z0-9_@.,:/ -]*+\z") & ~F.contains(value, F.lit("  "))
+    squeezed = F.regexp_replace(value, r"(?U)\s+", " ")
+    kept = F.regexp_replace(squeezed, r"(?U)[^\w\s@.,\-:/]+", "")
+    return F.upper(F.trim(F.when(plain, value).otherwise(kept)))
 
 
 def is_filled(c: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
-from ..session import cut_lineage
+from ..session import store
 
 Encoder = Callable[[DataFrame], DataFrame]
 
@@ -94,7 +94,7 @@ def text_similarity(df: DataFrame, left: str, right: str, output: str, encode: E
     Both columns share one encoder run, whose result is stored because it is joined twice.
     """
     both = df.select(F.explode(F.array(left, right)).alias("text"))
-    encoded = cut_lineage(_encoded(both, encode))
+    encoded = store(_encoded(both, encode), "vectors")
     a = encoded.select(F.col("_digest").alias("_a"), F.col("vector").alias("_va"))
     b = encoded.select(F.col("_digest").alias("_b"), F.col("vector").alias("_vb"))
     return (df.join(a, _digest(F.col(left)) == F.col("_a"), "left")

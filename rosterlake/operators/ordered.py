@@ -16,6 +16,7 @@ from ..session import cut_lineage
 from .joins import broadcast_rows
 
 BUCKETS = 128
+STEP = 12
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), dtype: str = "double") -> DataFrame:
@@ -29,7 +30,20 @@ def _bucket_cuts(df: DataFrame, keys: list[str], order: str, buckets: int) -> Da
     cuts = F.array_distinct(F.percentile_approx(order, shares, buckets * 20))
     grouped = df.groupBy(*keys) if keys else df
     # Sketches may differ between two evaluations; both uses below must see the same cuts.
-    return cut_lineage(grouped.agg(cuts.alias("_cuts")))
+    return cut_lineage(grouped.agg(cuts.alias("_cuts"))).withColumn(
+        "_coarse", F.filter("_cuts", lambda c, i: i % STEP == STEP - 1))
+
+
+def _bucket(order: str) -> Column:
+    """Number of cuts up to the value: every 12th cut first, then the cuts after the last of these.
+
+    Never null: a null check of this expression would be pushed below the aggregation.
+    """
+    def upto(cuts) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= F.col(order)))
+
+    passed = upto("_coarse") * STEP
+    return F.coalesce(passed + upto(F.slice("_cuts", passed + 1, F.lit(STEP))), F.lit(0))
 
 
 def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequence[str] = (),
@@ -45,10 +59,8 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequenc
     cuts = _bucket_cuts(present, keys, order, buckets)
     per_value = present.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums])
     tagged = (per_value.join(broadcast_rows(cuts), keys) if keys
-              else per_value.withColumn("_cuts", cuts.scalar()))
-    tagged = (tagged
-              .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c <= F.col(order))))
-              .drop("_cuts"))
+              else per_value.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")}))
+    tagged = tagged.withColumn("_bucket", _bucket(order)).drop("_cuts", "_coarse")
 
     place = [*keys, "_bucket"]
     per_bucket = tagged.groupBy(*place).agg(
@@ -83,9 +95,12 @@ def _value_at(rank: Column, order: str) -> Column:
 
 def quantiles(df: DataFrame, order: str, shares: dict[str, float], keys: Sequence[str] = (),
               buckets: int = BUCKETS) -> DataFrame:
-    """Exact, linearly interpolated quantiles; ``shares`` maps output name to share."""
+    """Exact, linearly interpolated quantiles; ``shares`` maps output name to share.
+
+    ``n_values``, the number of distinct values, comes along.
+    """
     ranked = running_totals(df.withColumn("n", F.lit(1)), order, ["n"], keys, buckets)
-    values, outputs = [], []
+    values, outputs = [F.count("*").alias("n_values")], []
     for name, share in shares.items():
         position = (F.col("n_total") - 1) * F.lit(float(share))
         values += [_value_at(F.floor(position), order).alias(f"_{name}_lo"),
@@ -93,4 +108,4 @@ def quantiles(df: DataFrame, order: str, shares: dict[str, float], keys: Sequenc
                    F.max(position - F.floor(position)).alias(f"_{name}_part")]
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outputs.append((low + (high - low) * F.col(f"_{name}_part")).alias(name))
-    return ranked.groupBy(*keys).agg(*values).select(*keys, *outputs)
+    return ranked.groupBy(*keys).agg(*values).select(*keys, *outputs, "n_values")

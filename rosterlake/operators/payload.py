@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import matching, temporal, text
-from ..session import cut_lineage
+from ..session import store
 from .embedding import Encoder, encode_lists
 from .extraction import CANDIDATE_SCHEMA, JOB_SCHEMA, Extract
 from .joins import add_if_absent, group_rare
@@ -175,8 +175,8 @@ def score_requests(requests: DataFrame, encode: Encoder, extract: Extract | None
     repeat the extractor.
     """
     parsed = request_lists(read_payloads(requests), extract, jobs)
-    lists = cut_lineage(parsed.select("request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
-                                      "job_culture", "cand_culture"))
+    lists = store(parsed.select("request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
+                                "job_culture", "cand_culture"), "requests")
     sides = {"job_skills": "_js", "cand_skills": "_cs", "job_culture": "_jc", "cand_culture": "_cc"}
     df = encode_lists(lists, "request_id", sides, encode)
     good = F.col("rejected").isNull()

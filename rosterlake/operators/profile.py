@@ -18,6 +18,7 @@ from .ordered import quantiles, unpivot
 
 LONG_VALUE = 64
 
+QUARTERS = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 NUMERIC_STATS = ["mean", "std", "min", "q25", "median", "q75", "max", "iqr", "outlier_count", "skewness"]
 
 
@@ -75,26 +76,40 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Moments, exact quartiles, 1.5 IQR outliers and population skewness per numeric column."""
+    """Moments, quartiles, 1.5 IQR outliers and population skewness per numeric column.
+
+    Exact quartiles, distinct counts and outliers all come from one (column, value) count, whose shuffle
+    is shared. Without ``exact`` sketches replace it and nothing but one row per task is shuffled.
+    """
     columns = list(columns or numeric_columns(df))
-    basic = _per_column(df, columns, {
+    stats = {
         "null_count": lambda c: F.count_if(F.col(c).isNull()),
         "rows": lambda c: F.count("*"),
         "mean": lambda c: F.avg(c), "std": lambda c: F.stddev_samp(c),
         "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double"),
         "skewness": lambda c: F.skewness(c),
-    })
-    long = unpivot(df, columns)
-    quarters = (quantiles(long, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ["column"])
-                .withColumn("iqr", F.col("q75") - F.col("q25")))
+    }
+    long = unpivot(df, columns).where("value IS NOT NULL").withColumn("n", F.lit(1))
+    if exact:
+        quarters = quantiles(long.drop("n"), "value", QUARTERS, ["column"])
+        counted = long.groupBy("column", "value").agg(F.sum("n").alias("n"))
+    else:
+        stats["n_values"] = lambda c: F.approx_count_distinct(c)
+        stats["_q"] = lambda c: F.percentile_approx(F.col(c).cast("double"), list(QUARTERS.values()))
+        counted = long
+    basic = _per_column(df, columns, stats)
+    if not exact:
+        quarters = basic.select("column", "n_values", *[F.col("_q")[i].alias(q) for i, q in enumerate(QUARTERS)])
+        basic = basic.drop("n_values", "_q")
+    quarters = quarters.withColumn("iqr", F.col("q75") - F.col("q25"))
     # One row per column: the bound side is as small as the schema.
     fences = quarters.select("column", (F.col("q25") - 1.5 * F.col("iqr")).alias("low"),
                              (F.col("q75") + 1.5 * F.col("iqr")).alias("high"))
-    outliers = (long.join(F.broadcast(fences), "column")
-                .groupBy("column")
-                .agg(F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).alias("outlier_count")))
-    return (basic.join(distinct_counts(df, columns, exact), "column")
-            .join(quarters, "column", "left").join(outliers, "column", "left")
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    outliers = (counted.join(F.broadcast(fences), "column").groupBy("column")
+                .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outlier_count")))
+    return (basic.join(quarters, "column", "left").join(outliers, "column", "left")
+            .withColumn("n_unique", F.coalesce("n_values", F.lit(0)) + (F.col("null_count") > 0).cast("int"))
             .select("column", "null_count",
                     F.coalesce(F.try_divide(F.col("null_count") * 100.0, F.col("rows")), F.lit(0.0)).alias("null_percent"),
                     "n_unique", *NUMERIC_STATS))
@@ -121,7 +136,7 @@ def distinct_when(df: DataFrame, key: str, conditions: dict[str, Column]) -> Dat
 
 def cap_at_quantile(df: DataFrame, column: str, share: float = 0.85) -> DataFrame:
     """Rows whose value is at most the given quantile; nulls drop out."""
-    bound = quantiles(df.select(F.col(column).cast("double").alias("v")), "v", {"cap": share}).scalar()
+    bound = quantiles(df.select(F.col(column).cast("double").alias("v")), "v", {"cap": share}).select("cap").scalar()
     return df.where(F.col(column) <= bound)
 
 

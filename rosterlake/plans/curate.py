@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..operators import quality
 from ..operators.flatten import flatten_nested, normalize
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 from ..sources import schemas
 from ..sources.tables import save_issues, write_parquet
 
@@ -54,9 +54,9 @@ def removed_issue(invalid: DataFrame, gate: Gate) -> DataFrame:
 def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None) -> DataFrame:
     """Flatten, check, normalise. Raises :class:`QualityError` if a permanent check fails.
 
-    The flattened rows are checkpointed: the checks and the write read them again.
+    The flattened rows are stored: each check scans only its columns of them.
     """
-    flat = cut_lineage(flatten_nested(raw))
+    flat = store(flatten_nested(raw), gate.label)
     quality.assert_schema(flat, gate.contract, gate.label, gate.id_field)
     if gate.drop_invalid:
         flat, invalid = quality.split_required(flat, gate.drop_invalid)

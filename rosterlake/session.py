@@ -49,11 +49,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor."""
+    """Reliable checkpoint of a small helper table: it survives the loss of any executor."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def store(df: DataFrame, label: str = "stored") -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    For results that several later steps read: they are computed once, each reader scans only its
+    columns, and joins see real sizes.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_with_tasks(module) -> None:
     """Send a module's functions inside the task, so workers need no installed package."""
     cloudpickle.register_pickle_by_value(module)

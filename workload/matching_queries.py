@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterlake.functions import matching, text, vectors
 from rosterlake.operators import embedding, extraction, payload, scoring
 from rosterlake.plans import scoring as scoring_plan
-from rosterlake.session import cut_lineage, scratch_path, ship_with_tasks
+from rosterlake.session import cut_lineage, scratch_path, ship_with_tasks, store
 from rosterlake.sources import tables
 
 from .base import CURATED_SQL, JOINED_SQL, joined, jobs, prospects, query, r, table
@@ -199,7 +199,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Two runs over the same folder: the second one finds half of the ids already done."""
     folder, extract = scratch_path(spark, "extract"), extraction.keyword_extract(TERMS, OPTIONS)
-    df = joined(spark, sf)
+    df = store(joined(spark, sf))
     scoring_plan.run_extraction(spark, df.where("linha % 2 = 0"), folder, extract)
     out = scoring_plan.run_extraction(spark, df, folder, extract)
     return out.select("codigo_vaga", "codigo_candidato", "linha", F.array_join("job_ferramentas_tecnologicas", "|").alias("job_tools"),
