@@ -1,8 +1,7 @@
 """Joins of the three entities and the id-set joins.
 
-No join carries a fixed broadcast hint: Catalyst broadcasts a side by its measured size and
-adaptive execution splits hot keys. :func:`broadcast_rows` is for helper tables whose row
-count is checked first.
+No join here carries a broadcast hint: Catalyst broadcasts a side by its measured size and
+adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
@@ -12,17 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_rows(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the table has at most ``limit`` rows, else the table as it is.
-
-    Meant for materialised helper tables, where counting is cheap.
-    """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def prefix_columns(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     """Put ``prefix`` before every column name except the ones to keep."""
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c not in keep})

@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .joins import broadcast_rows
+from ..session import cut_lineage, store
 
 BUCKETS = 128
 STEP = 12
+MAX_KEYS = 1000
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), dtype: str = "double") -> DataFrame:
@@ -25,10 +25,20 @@ def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), dty
     return cast.unpivot(list(keep), list(columns), "column", "value")
 
 
-def _bucket_cuts(df: DataFrame, keys: list[str], order: str, buckets: int) -> DataFrame:
+def value_sums(df: DataFrame, order: str, sums: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One stored row per distinct ``(keys, order)``; rows with a null order are left out.
+
+    The raw rows are read once, with map-side combine; everything after reads this table.
+    """
+    present = df.where(F.col(order).isNotNull())
+    return store(present.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums]), "values")
+
+
+def _bucket_cuts(values: DataFrame, keys: list[str], order: str, buckets: int) -> DataFrame:
+    """Cut points per key that spread the distinct values evenly, however often a value occurs."""
     shares = [i / buckets for i in range(1, buckets)]
     cuts = F.array_distinct(F.percentile_approx(order, shares, buckets * 20))
-    grouped = df.groupBy(*keys) if keys else df
+    grouped = values.groupBy(*keys) if keys else values
     # Sketches may differ between two evaluations; both uses below must see the same cuts.
     return cut_lineage(grouped.agg(cuts.alias("_cuts"))).withColumn(
         "_coarse", F.filter("_cuts", lambda c, i: i % STEP == STEP - 1))
@@ -52,20 +62,29 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequenc
 
     Columns: keys, ``order``, each sum ``s``, ``s_upto`` (including this value), ``s_total``
     and ``next_value`` (the following distinct value). Rows with a null order are left out.
-    ``keys`` must have few distinct values (table columns, classes).
+    ``keys`` should have few distinct values (table columns, classes).
     """
+    return running_totals_of(value_sums(df, order, sums, keys), order, sums, keys, buckets)
+
+
+def running_totals_of(values: DataFrame, order: str, sums: Sequence[str], keys: Sequence[str] = (),
+                      buckets: int = BUCKETS) -> DataFrame:
+    """:func:`running_totals` of a table from :func:`value_sums`."""
     keys = list(keys)
-    present = df.where(F.col(order).isNotNull())
-    cuts = _bucket_cuts(present, keys, order, buckets)
-    per_value = present.groupBy(*keys, order).agg(*[F.sum(s).alias(s) for s in sums])
-    tagged = (per_value.join(broadcast_rows(cuts), keys) if keys
-              else per_value.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")}))
+    cuts = _bucket_cuts(values, keys, order, buckets)
+    small = cuts.limit(MAX_KEYS + 1).count() <= MAX_KEYS
+
+    def hint(side: DataFrame) -> DataFrame:
+        """The helper tables have one row per key, or per key and bucket."""
+        return F.broadcast(side) if small else side
+
+    tagged = (values.join(hint(cuts), keys) if keys
+              else values.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")}))
     tagged = tagged.withColumn("_bucket", _bucket(order)).drop("_cuts", "_coarse")
 
     place = [*keys, "_bucket"]
     per_bucket = tagged.groupBy(*place).agg(
         F.min(order).alias("_first"), *[F.sum(s).alias(f"_{s}") for s in sums])
-    # At most keys x buckets rows.
     in_key = Window.partitionBy(*keys).orderBy("_bucket")
     before = in_key.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
@@ -81,7 +100,7 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequenc
         *place, order, *sums,
         F.lead(order).over(in_bucket).alias("_next"),
         *[F.sum(s).over(upto).alias(f"_{s}_upto") for s in sums])
-    return shifted.join(F.broadcast(offsets), place).select(
+    return shifted.join(hint(offsets), place).select(
         *keys, order, *sums,
         *[(F.col(f"_{s}_upto") + F.col(f"_{s}_before")).alias(f"{s}_upto") for s in sums],
         *[F.col(f"{s}_total") for s in sums],
@@ -99,13 +118,19 @@ def quantiles(df: DataFrame, order: str, shares: dict[str, float], keys: Sequenc
 
     ``n_values``, the number of distinct values, comes along.
     """
-    ranked = running_totals(df.withColumn("n", F.lit(1)), order, ["n"], keys, buckets)
-    values, outputs = [F.count("*").alias("n_values")], []
+    return quantiles_of(value_sums(df.withColumn("n", F.lit(1)), order, ["n"], keys), order, shares, keys, buckets)
+
+
+def quantiles_of(values: DataFrame, order: str, shares: dict[str, float], keys: Sequence[str] = (),
+                 buckets: int = BUCKETS) -> DataFrame:
+    """:func:`quantiles` of a table from :func:`value_sums` with the count ``n``."""
+    ranked = running_totals_of(values, order, ["n"], keys, buckets)
+    measures, outputs = [F.count("*").alias("n_values")], []
     for name, share in shares.items():
         position = (F.col("n_total") - 1) * F.lit(float(share))
-        values += [_value_at(F.floor(position), order).alias(f"_{name}_lo"),
+        measures += [_value_at(F.floor(position), order).alias(f"_{name}_lo"),
                    _value_at(F.ceil(position), order).alias(f"_{name}_hi"),
                    F.max(position - F.floor(position)).alias(f"_{name}_part")]
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outputs.append((low + (high - low) * F.col(f"_{name}_part")).alias(name))
-    return ranked.groupBy(*keys).agg(*values).select(*keys, *outputs, "n_values")
+    return ranked.groupBy(*keys).agg(*measures).select(*keys, *outputs, "n_values")

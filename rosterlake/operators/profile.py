@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import quantiles, unpivot
+from .ordered import quantiles, quantiles_of, unpivot, value_sums
 
 LONG_VALUE = 64
 
@@ -78,8 +78,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Moments, quartiles, 1.5 IQR outliers and population skewness per numeric column.
 
-    Exact quartiles, distinct counts and outliers all come from one (column, value) count, whose shuffle
-    is shared. Without ``exact`` sketches replace it and nothing but one row per task is shuffled.
+    Exact quartiles, distinct counts and outliers all come from one stored (column, value) count. Without ``exact`` sketches replace it and nothing but one row per task is shuffled.
     """
     columns = list(columns or numeric_columns(df))
     stats = {
@@ -91,8 +90,8 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
     }
     long = unpivot(df, columns).where("value IS NOT NULL").withColumn("n", F.lit(1))
     if exact:
-        quarters = quantiles(long.drop("n"), "value", QUARTERS, ["column"])
-        counted = long.groupBy("column", "value").agg(F.sum("n").alias("n"))
+        counted = value_sums(long, "value", ["n"], ["column"])
+        quarters = quantiles_of(counted, "value", QUARTERS, ["column"])
     else:
         stats["n_values"] = lambda c: F.approx_count_distinct(c)
         stats["_q"] = lambda c: F.percentile_approx(F.col(c).cast("double"), list(QUARTERS.values()))

@@ -199,7 +199,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Two runs over the same folder: the second one finds half of the ids already done."""
     folder, extract = scratch_path(spark, "extract"), extraction.keyword_extract(TERMS, OPTIONS)
-    df = store(joined(spark, sf))
+    df = store(joined(spark, sf).select("codigo_vaga", "codigo_candidato", "linha", "app_cv_pt", *extraction.JOB_PROMPT_COLUMNS.values()))
     scoring_plan.run_extraction(spark, df.where("linha % 2 = 0"), folder, extract)
     out = scoring_plan.run_extraction(spark, df, folder, extract)
     return out.select("codigo_vaga", "codigo_candidato", "linha", F.array_join("job_ferramentas_tecnologicas", "|").alias("job_tools"),
