@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_with_tasks
 from .flatten import split_types
-from .ordered import quantiles, running_totals, unpivot
+from .ordered import quantiles_of, running_totals, unpivot, value_sums
 from .profile import _per_column, numeric_profile, qualitative_profile
 
 # --- fixed values: test selection and thresholds ---------------------------------------------
@@ -124,10 +124,9 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
 
 
 def category_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, ref, cur) counts; nulls are left out."""
+    """(column, value, ref, cur) counts, stored because they are read several times; nulls are left out."""
     long = unpivot(_both_sides(reference, current, columns), columns, ["ref", "cur"], "string")
-    return (long.where("value IS NOT NULL").groupBy("column", "value")
-            .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))
+    return value_sums(long, "value", ["ref", "cur"], ["column"])
 
 
 def _with_column_totals(counts: DataFrame) -> DataFrame:
@@ -248,12 +247,13 @@ def dataset_drift(column_rows: DataFrame, share: float = DATASET_SHARE, alert: f
 def population_stability(reference: DataFrame, current: DataFrame, columns: Sequence[str],
                          bins: int = PSI_BINS, alert: float = PSI_ALERT) -> DataFrame:
     """(column, psi, alert) over bins cut at the reference quantiles; an empty bin counts as 0.0001."""
+    long = unpivot(_both_sides(reference, current, columns), columns, ["ref", "cur"])
+    # Equal values share a bin, so they are summed before the bin is looked up.
+    per_value = value_sums(long, "value", ["ref", "cur"], ["column"])
     shares = {f"q{i}": i / bins for i in range(1, bins)}
-    cuts = quantiles(unpivot(reference, columns), "value", shares, ["column"])
+    in_reference = per_value.where("ref > 0").select("column", "value", F.col("ref").alias("n"))
+    cuts = quantiles_of(in_reference, "value", shares, ["column"])
     cuts = cuts.select("column", F.array_distinct(F.array(*shares)).alias("_cuts"))
-    long = unpivot(_both_sides(reference, current, columns), columns, ["ref", "cur"]).where("value IS NOT NULL")
-    # Equal values share a bin, so they are summed before the bin is looked up.
-    per_value = long.groupBy("column", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     binned = (per_value.join(F.broadcast(cuts), "column")
               .withColumn("bin", F.size(F.filter("_cuts", lambda c: c < F.col("value"))))
               .groupBy("column", "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")))

@@ -76,6 +76,25 @@ def technical_baseline(df: DataFrame, encode: Encoder) -> DataFrame:
         F.col("structured_match_score"), F.col("soft_match_score")))
 
 
+def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, encode: Encoder,
+                      texts: tuple[str, str] = ("job_pv_principais_atividades", "app_cv_pt"),
+                      candidate_levels: Mapping[str, str] = CANDIDATE_LEVELS) -> DataFrame:
+    """Pairs ranked by the weighted sum of skill match, level match and text similarity.
+
+    Skills are compared by their list-of-vector columns; missing texts read as ''.
+    """
+    df = structured_columns(df, candidate=candidate_levels).withColumns({
+        "soft_match_score": skill_similarity(F.col(job_vectors), F.col(candidate_vectors)),
+        "_left": F.coalesce(F.col(texts[0]), F.lit("")), "_right": F.coalesce(F.col(texts[1]), F.lit("")),
+    })
+    df = text_similarity(df, "_left", "_right", "cosine_similarity_score", encode).withColumn(
+        "technical_score", weighted_technical(F.col("soft_match_score"), F.col("structured_match_score"),
+                                              F.coalesce("cosine_similarity_score", F.lit(0.0))))
+    names = ["codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score",
+             "cosine_similarity_score", "technical_score"]
+    return ranking(df, {n: n for n in names}, "technical_score")
+
+
 def cultural_baseline(df: DataFrame, encode: Encoder) -> DataFrame:
     job, candidate = CULTURE_TEXTS
     df = df.withColumns({

@@ -157,6 +157,19 @@ def _(spark, sf):
     return tiers.select("codigo_vaga", "codigo_candidato", "linha", r("final_technical_score"), "tier")
 
 
+@query("technical_ranking", "M7,U3,T1,M1,M3", f"""
+    WITH {JOINED_SQL}, {PAIRS_SQL}, n AS (SELECT count(*) AS n FROM pairs), s AS (
+      SELECT codigo_vaga, codigo_candidato, ({sql_mean_best(0.5, 0.0)}) AS soft, {STRUCTURED} AS st
+      FROM joined, n JOIN pairs ON pairs.vec_id = codigo_candidato::bigint % n.n)
+    SELECT codigo_vaga, codigo_candidato, round(soft, 3) AS soft_match_score, round(st, 3) AS structured_match_score FROM s""")
+def _(spark, sf):
+    pairs = vector_pairs(spark, sf).drop("a", "b")
+    n = pairs.agg(F.count("*")).scalar()
+    df = joined(spark, sf).withColumn("vec_id", F.col("codigo_candidato").cast("bigint") % n).join(pairs, "vec_id")
+    ranked = scoring.technical_ranking(df, "need", "have", embedding.tfidf_encoder(64))
+    return ranked.select("codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score")
+
+
 @query("cultural_baseline", "M10,F24")
 def _(spark, sf):
     df = scoring.cultural_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
