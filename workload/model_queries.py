@@ -160,8 +160,9 @@ def _(spark, sf):
 @query("classification_report", "L7", f"""
     WITH c AS (SELECT quality AS y, (n_chars > 600)::int AS p FROM ({LABELLED})), k AS (SELECT unnest([0, 1]) AS label),
     m AS (SELECT label, (SELECT count(*) FROM c WHERE y = label AND p = label)::double AS tp, (SELECT count(*) FROM c WHERE p = label) AS said,
-      (SELECT count(*) FROM c WHERE y = label) AS support FROM k)
-    SELECT label, round(tp / said, 6) AS precision, round(tp / support, 6) AS recall, round(2 * (tp / said) * (tp / support) / (tp / said + tp / support), 6) AS f1, support FROM m""")
+      (SELECT count(*) FROM c WHERE y = label) AS support FROM k),
+    d AS (SELECT label, support, coalesce(tp / nullif(said, 0), 0) AS pr, coalesce(tp / nullif(support, 0), 0) AS re FROM m)
+    SELECT label, round(pr, 6) AS precision, round(re, 6) AS recall, round(coalesce(2 * pr * re / nullif(pr + re, 0), 0), 6) AS f1, support FROM d""")
 def _(spark, sf):
     df = labelled(spark, sf).withColumn("yhat", (F.col("n_chars") > 600).cast("int"))
     return evaluation.classification_report(df, "quality", "yhat").select("label", r("precision"), r("recall"), r("f1"), "support")
@@ -227,29 +228,33 @@ def _(spark, sf):
         {"chi2": r("chi2"), "jensen_shannon": r("jensen_shannon", 8)})
 
 
+KS_P = """CASE WHEN x < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum([pow(-1, k - 1) * exp(-2 * k * k * x * x) for k in range(1, 101)]), 0), 1) END"""
+CHI_P = "abs(1 - list_sum([exp(-h + (a + i) * ln(h) - lgamma(a + i + 1)) for i in range(0, 2000)]))"
 COLUMN_SQL = f"""
-    c AS (SELECT column_name, 'num' AS kind, 'wasserstein' AS test, wasserstein AS score FROM ({sql_numeric_drift('value')} UNION ALL {sql_numeric_drift('user_id')} UNION ALL {sql_numeric_drift('hour')})
-      UNION ALL SELECT column_name, 'cat', 'jensen_shannon', jensen_shannon FROM ({sql_category_drift('event_type')}))"""
+    num AS (SELECT *, (rt + 0.12 + 0.11 / rt) * ks AS x FROM (SELECT *, sqrt(n_ref * n_cur / (n_ref + n_cur)::double) AS rt
+      FROM ({sql_numeric_drift('value')} UNION ALL {sql_numeric_drift('user_id')} UNION ALL {sql_numeric_drift('hour')}))),
+    cat AS (SELECT *, (n_values - 1) / 2.0::double AS a, chi2 / 2 AS h FROM ({sql_category_drift('event_type')})),
+    size AS (SELECT count(*) <= 1000 AS small FROM ref),
+    c AS (SELECT *, CASE WHEN small THEN score < 0.05 ELSE score >= 0.1 END AS drifted FROM (
+      SELECT column_name, 'num' AS kind, CASE WHEN small THEN 'ks' ELSE 'wasserstein' END AS test, CASE WHEN small THEN {KS_P} ELSE wasserstein END AS score, small FROM num, size
+      UNION ALL SELECT column_name, 'cat', CASE WHEN small THEN 'chi2' ELSE 'jensen_shannon' END, CASE WHEN small THEN {CHI_P} ELSE jensen_shannon END, small FROM cat, size))"""
 
 
 @query("drift_columns", "D1", f"""
-    WITH {SIDES}, {COLUMN_SQL} SELECT column_name, kind, CASE WHEN (SELECT count(*) FROM ref) <= 1000 THEN 'small' ELSE test END AS test, round(score, 8) AS score, score >= 0.1 AS drifted FROM c""")
+    WITH {SIDES}, {COLUMN_SQL} SELECT column_name, kind, test, round(score, 8) AS score, drifted FROM c""")
 def _(spark, sf):
     df = drift.column_drift(*event_sides(spark, sf), ["value", "user_id", "hour", "event_type"])
     return df.select(F.col("column").alias("column_name"), "kind", "test", r("score", 8), "drifted")
 
 
 @query("drift_dataset", "D2,D3", f"""
-    WITH {SIDES}, {COLUMN_SQL} SELECT count(*) FILTER (score >= 0.1) AS number_of_drifted_columns, count(*) AS number_of_columns,
-      count(*) FILTER (score >= 0.1) / count(*)::double AS drift_share, count(*) FILTER (score >= 0.1) / count(*)::double >= 0.5 AS dataset_drift,
-      count(*) FILTER (score >= 0.1) / count(*)::double > 0.15 AS alert FROM c""")
+    WITH {SIDES}, {COLUMN_SQL} SELECT count(*) FILTER (drifted) AS number_of_drifted_columns, count(*) AS number_of_columns,
+      count(*) FILTER (drifted) / count(*)::double AS drift_share, count(*) FILTER (drifted) / count(*)::double >= 0.5 AS dataset_drift,
+      count(*) FILTER (drifted) / count(*)::double > 0.15 AS alert FROM c""")
 def _(spark, sf):
     return drift.dataset_drift(drift.column_drift(*event_sides(spark, sf), ["value", "user_id", "hour", "event_type"]))
 
 
-KS_P = """CASE WHEN x < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum([pow(-1, k - 1) * exp(-2 * k * k * x * x) for k in range(1, 101)]), 0), 1) END"""
-
-
 @query("drift_small_reference", "D1", f"""
     WITH g AS (SELECT c_nationkey AS g, c_acctbal AS v, c_mktsegment AS s, c_custkey % 2 AS b, c_custkey FROM customer),
     ref AS (SELECT v, s, (b = 0)::varchar AS b FROM g WHERE c_custkey < 120), cur AS (SELECT v, s, (b = 0 OR c_custkey % 5 = 0)::varchar AS b FROM g WHERE c_custkey >= 120),
@@ -310,7 +315,7 @@ def _(spark, sf):
 
 
 @query("drift_report", "D7,D8,S13", f"""
-    WITH {SIDES}, {COLUMN_SQL}, s AS (SELECT count(*) FILTER (score >= 0.1) AS k, count(*) AS n FROM c)
+    WITH {SIDES}, {COLUMN_SQL}, s AS (SELECT count(*) FILTER (drifted) AS k, count(*) AS n FROM c)
     SELECT date '2024-02-01' AS report_date, 'ok' AS status, k / n::double >= 0.5 AS dataset_drift, k / n::double AS drift_share, k AS number_of_drifted_columns,
       k / n::double > 0.15 AS alert FROM s
     UNION ALL SELECT date '2024-02-02', 'skipped', false, 0.0, 0, false""")
