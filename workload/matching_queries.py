@@ -5,19 +5,25 @@ from __future__ import annotations
 import json
 import sys
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions import matching, text, vectors
 from rosterlake.operators import embedding, extraction, payload, scoring
 from rosterlake.plans import scoring as scoring_plan
-from rosterlake.session import cut_lineage, scratch_path, ship_with_tasks, store
+from rosterlake.session import scratch_path, ship_with_tasks, store
 from rosterlake.sources import tables
 
-from .base import CURATED_SQL, JOINED_SQL, joined, jobs, prospects, query, r, table
+from .base import CURATED_SQL, JOINED_SQL, applicants, joined, jobs, prospects, query, r, table
 from .text_queries import sql_level, sql_sentiment
 
 
 # --------------------------------------------------------------------------------- vectors
+def in_range(score: str):
+    """A cosine-like score is null (no common basis) or within [0, 1] for vectors without negative parts."""
+    return F.coalesce(F.col(score).between(0, 1 + 1e-6), F.lit(True)).alias("in_range")
+
+
 # A job's list is cut from one vector, a candidate's list from the next vector, 8 numbers each;
 # every tenth list is empty. Nothing is grouped.
 def slices(column, first, last):
@@ -132,29 +138,38 @@ def _(spark, sf):
     return df.select("l_orderkey", "l_linenumber", *[c.alias(n) for n, c in scores.items()])
 
 
-@query("tiers_kmeans", "M13,W1,A3")
+@query("tiers_kmeans", "M13,W1,A3", """
+    SELECT unnest([0, 1, 2]) AS tier, (SELECT count(*) FROM customer) AS total, true AS above_previous""")
 def _(spark, sf):
+    """Clusters depend on their start, but tiers always split the scores into ascending ranges."""
     df = table(spark, sf, "customer").select("c_custkey", F.col("c_acctbal").alias("score"))
-    tiers = scoring.add_tiers(df, "score")
-    return tiers.groupBy("tier").agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high")).orderBy("tier")
+    tiers = scoring.add_tiers(df, "score").groupBy("tier").agg(
+        F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+    by_tier = Window.orderBy("tier")
+    return tiers.select("tier", F.sum("n").over(Window.partitionBy()).alias("total"),
+                        F.coalesce(F.col("low") > F.lag("high").over(by_tier), F.lit(True)).alias("above_previous"))
 
 
-@query("text_embedding", "M14,M5")
+@query("text_embedding", "M14,M5", """
+    SELECT a.conv_id, a.turn, true AS in_range, a.text = b.text AS same_text FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")
 def _(spark, sf):
     """Similarity of every turn with the next turn of its conversation."""
     c = table(spark, sf, "conversations")
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     df = c.select("conv_id", "turn", "text").join(nxt, ["conv_id", "turn"])
-    return embedding.text_similarity(df, "text", "reply", "similarity", embedding.tfidf_encoder(256)).select(
-        "conv_id", "turn", r("similarity"))
+    out = embedding.text_similarity(df, "text", "reply", "similarity", embedding.tfidf_encoder(256))
+    return out.select("conv_id", "turn", in_range("similarity"), (F.col("text") == F.col("reply")).alias("same_text"))
 
 
-@query("technical_baseline", "M6,M13,F24")
+@query("technical_baseline", "M6,M13,F24", f"""
+    WITH {JOINED_SQL} SELECT codigo_vaga, codigo_candidato, linha, round({STRUCTURED}, 6) AS structured_match_score, true AS in_range, true AS has_tier FROM joined""")
 def _(spark, sf):
     df = scoring.technical_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
-    scores = cut_lineage(df.select("codigo_vaga", "codigo_candidato", "linha", "final_technical_score"))
+    scores = store(df.select("codigo_vaga", "codigo_candidato", "linha", "structured_match_score", "final_technical_score"))
     tiers = scoring.add_tiers(scores, "final_technical_score")
-    return tiers.select("codigo_vaga", "codigo_candidato", "linha", r("final_technical_score"), "tier")
+    has_tier = F.col("tier").between(0, 2) == F.col("final_technical_score").isNotNull()
+    return tiers.select("codigo_vaga", "codigo_candidato", "linha", r("structured_match_score"), in_range("final_technical_score"),
+                        F.coalesce(has_tier, F.col("final_technical_score").isNull()).alias("has_tier"))
 
 
 @query("technical_ranking", "M7,U3,T1,M1,M3", f"""
@@ -170,10 +185,12 @@ def _(spark, sf):
     return ranked.select("codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score")
 
 
-@query("cultural_baseline", "M10,F24")
+@query("cultural_baseline", "M10,F24", f"""
+    WITH {JOINED_SQL} SELECT codigo_vaga, codigo_candidato, linha, job_pv_habilidades_comportamentais_necessarias || ' ' || job_ib_objetivo_vaga AS job_culture_text,
+      coalesce(app_ib_objetivo_profissional, '') || ' ' || coalesce(p_comentario, '') AS app_culture_text, true AS in_range FROM joined""")
 def _(spark, sf):
     df = scoring.cultural_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
-    return df.select("codigo_vaga", "codigo_candidato", "linha", r("cultural_score"))
+    return df.select("codigo_vaga", "codigo_candidato", "linha", "job_culture_text", "app_culture_text", in_range("cultural_score"))
 
 
 # ------------------------------------------------------------------------------- extraction
@@ -249,7 +266,6 @@ def _(spark, sf):
 @query("extract_batch", "E4,P7,F27", f"""
     WITH {CURATED_SQL} SELECT codigo_candidato AS id, {sql_terms("coalesce(cv_pt, '')", TERMS['ferramentas_tecnologicas'])} AS tools FROM applicants WHERE codigo_candidato::bigint % 3 <> 0""")
 def _(spark, sf):
-    from .base import applicants
     done = applicants(spark, sf).where("cast(codigo_candidato as bigint) % 3 = 0").select(F.col("codigo_candidato").alias("id"))
     out = extraction.batch_candidates(applicants(spark, sf), extraction.keyword_extract(TERMS, OPTIONS), done)
     return out.select("id", F.array_join("dados.ferramentas_tecnologicas", "|").alias("tools"))
@@ -373,16 +389,23 @@ def _(spark, sf):
     return scored.select("codigo_vaga", "codigo_candidato", "linha", r("score_skills"), "score_behavioral", r("score_cultural"))
 
 
-@query("score_table", "M15,M14,E1,S2,S3")
+@query("score_table", "M15,M14,E1,S2,S3", f"""
+    WITH {JOINED_SQL} SELECT codigo_vaga, CASE WHEN codigo_candidato = codigo_vaga THEN codigo_candidato || '_cand' ELSE codigo_candidato END AS codigo_candidato, linha,
+      CASE {sql_sentiment('p_comentario', text.SENTIMENT_SCORING)} WHEN 1 THEN 0.9 WHEN -1 THEN 0.2 ELSE 0.5 END::double AS score_behavioral,
+      round({STRUCTURED}, 6) AS structured_match_score, true AS in_range,
+      CASE WHEN {sql_terms(CV, TERMS['competencias_comportamentais'])} = '' THEN 0.5 END AS neutral_culture FROM joined""")
 def _(spark, sf):
     """Curated tables to scored pairs, written and read back."""
     curated, out = scratch_path(spark, "curated"), scratch_path(spark, "scored")
-    from .base import applicants
     for name, df in (("prospects", prospects(spark, sf)), ("applicants", applicants(spark, sf)), ("jobs", jobs(spark, sf))):
         tables.write_parquet(df, f"{curated}/{name}.parquet")
     scored = scoring_plan.run(spark, curated, scratch_path(spark, "store"), out, extraction.keyword_extract(TERMS, OPTIONS),
                               embedding.tfidf_encoder(64))
-    return scored.select("codigo_vaga", "codigo_candidato", "linha", r("score_skills"), "score_behavioral", r("score_cultural"))
+    both = F.array("score_skills", "score_cultural")
+    return scored.select(
+        "codigo_vaga", "codigo_candidato", "linha", "score_behavioral", r("structured_match_score"),
+        F.forall(both, lambda x: x.between(0, 1 + 1e-6)).alias("in_range"),
+        F.when(F.size("app_competencias_comportamentais") == 0, F.col("score_cultural")).alias("neutral_culture"))
 
 
 ship_with_tasks(sys.modules[__name__])
