@@ -288,7 +288,7 @@ def quality_summary(reference: DataFrame, current: DataFrame) -> DataFrame:
         text = qualitative_profile(df)
         numbers, _ = split_types(df)
         if numbers:
-            extra = numeric_profile(df, numbers).drop("null_count", "null_percent", "n_unique")
+            extra = numeric_profile(df, numbers).drop("dtype", "null_count", "null_percent", "n_unique")
             text = text.join(extra, "column", "left")
         return text.withColumnsRenamed({c: f"{prefix}{c}" for c in text.columns if c != "column"})
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import sys
 import time
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -204,10 +205,19 @@ def keyword_extract(terms: Mapping[str, Sequence[str]], options: Mapping[str, Ma
 
 
 def generator_extract(generators: Sequence[tuple[str, Callable[[str], str], int]], delay: float = RETRY_DELAY,
-                      tasks: int | None = None) -> Extract:
+                      tasks: int | None = None, log_path: str | None = None) -> Extract:
+    """Extract through text generators.
+
+    With ``log_path`` every raw answer is kept there (kind, run, id, attempt, model, answer, error),
+    and the answers are read from that log, so that nothing calls a generator twice.
+    """
     def extract(sources: DataFrame, kind: str) -> DataFrame:
         prompts = sources.select("id", F.concat_ws("\n", "source", F.lit(_instructions(kind))).alias("prompt"))
         attempts = generate_answers(prompts, SCHEMAS[kind], generators, delay, tasks)
+        if log_path:
+            run_path = f"{log_path}/kind={kind}/run={uuid.uuid4().hex}"
+            attempts.write.parquet(run_path)
+            attempts = sources.sparkSession.read.schema(ATTEMPT_SCHEMA).parquet(run_path)
         return last_answers(attempts, SCHEMAS[kind]).select("id", "dados", "ok")
 
     return extract
@@ -242,6 +252,23 @@ def extract_new(df: DataFrame, kind: str, extract: Extract, done: DataFrame | No
     return extract(pending(df, id_column, source, done), kind)
 
 
+def extract_new_entities(df: DataFrame, kind: str, entities: DataFrame, extract: Extract,
+                         done: DataFrame | None = None) -> DataFrame:
+    """The same with the texts from the job or candidate table, which has one row per key.
+
+    The pair rows give only their distinct ids, so the long texts are not shuffled once per pair.
+    ``entities`` carries the prefixed columns; ``df`` is not disambiguated yet.
+    """
+    key = "codigo_vaga" if kind == "vaga" else "codigo_candidato"
+    own = F.col(key) if kind == "vaga" else text.tell_apart(F.col(key), F.col("codigo_vaga"))
+    ids = df.select(own.alias("id"), F.col(key).alias("_key")).where("id IS NOT NULL").distinct()
+    if done is not None:
+        ids = not_in(ids, done.select("id"), "id")
+    source = job_source(entities) if kind == "vaga" else candidate_source(entities)
+    texts = entities.select(F.col(key).alias("_key"), source.alias("source"))
+    return extract(ids.join(texts, "_key").select("id", "source"), kind)
+
+
 def disambiguate(df: DataFrame) -> DataFrame:
     """Candidate ids that equal the job id of their row get a suffix."""
     return df.withColumn("codigo_candidato", text.tell_apart(F.col("codigo_candidato"), F.col("codigo_vaga")))

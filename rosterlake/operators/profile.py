@@ -81,6 +81,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
     Exact quartiles, distinct counts and outliers all come from one stored (column, value) count. Without ``exact`` sketches replace it and nothing but one row per task is shuffled.
     """
     columns = list(columns or numeric_columns(df))
+    kinds = F.create_map(*[F.lit(x) for f in df.schema.fields if f.name in columns for x in (f.name, f.dataType.simpleString())])
     stats = {
         "null_count": lambda c: F.count_if(F.col(c).isNull()),
         "rows": lambda c: F.count("*"),
@@ -109,7 +110,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
                 .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outlier_count")))
     return (basic.join(quarters, "column", "left").join(outliers, "column", "left")
             .withColumn("n_unique", F.coalesce("n_values", F.lit(0)) + (F.col("null_count") > 0).cast("int"))
-            .select("column", "null_count",
+            .select("column", F.try_element_at(kinds, F.col("column")).alias("dtype"), "null_count",
                     F.coalesce(F.try_divide(F.col("null_count") * 100.0, F.col("rows")), F.lit(0.0)).alias("null_percent"),
                     "n_unique", *NUMERIC_STATS))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import matching, text
 from ..operators import extraction, features, scoring
 from ..operators.embedding import Encoder, encode_lists
-from ..operators.joins import join_entities
+from ..operators.joins import join_entities, prefix_columns
 from ..sources.tables import append_parquet, path_exists, read_appended, read_parquet, write_parquet
 
 STATES = {"vaga": "vagas_processadas", "candidato": "candidatos_processados"}
@@ -23,20 +23,24 @@ def feature_table(prospects: DataFrame, applicants: DataFrame, jobs: DataFrame,
     return features.build_features(joined, today)
 
 
-def run_extraction(spark: SparkSession, rows: DataFrame, folder: str, extract: extraction.Extract) -> DataFrame:
+def run_extraction(spark: SparkSession, rows: DataFrame, folder: str, extract: extraction.Extract,
+                   entities: dict[str, DataFrame] | None = None) -> DataFrame:
     """Extract the ids that are new, append them to the state tables, return the enriched rows.
 
     A restart skips what an earlier run finished. Failed ids are not stored, so the next run tries
-    them again.
+    them again. ``entities`` (``vaga``, ``candidato``) are the prefixed job and candidate tables, if the
+    texts should come from there rather than from the pair rows.
     """
-    rows = extraction.disambiguate(rows)
+    apart = extraction.disambiguate(rows)
     answers = {}
     for kind, name in STATES.items():
         path = f"{folder}/{name}"
         done = read_appended(spark, path) if path_exists(spark, path) else None
-        append_parquet(extraction.extract_new(rows, kind, extract, done).where("ok").select("id", "dados", "ok"), path)
+        new = (extraction.extract_new(apart, kind, extract, done) if entities is None
+               else extraction.extract_new_entities(rows, kind, entities[kind], extract, done))
+        append_parquet(new.where("ok").select("id", "dados", "ok"), path)
         answers[kind] = read_appended(spark, path)
-    return extraction.attach_extracted(rows, answers["vaga"], answers["candidato"])
+    return extraction.attach_extracted(apart, answers["vaga"], answers["candidato"])
 
 
 def score_pairs(df: DataFrame, job_vectors: tuple[str, str], candidate_vectors: tuple[str, str]) -> DataFrame:
@@ -96,9 +100,11 @@ def run(spark: SparkSession, curated: str, folder: str, output: str, extract: ex
     The feature table is read by both extractions and the final join, the enriched table is a result
     of its own; storing them avoids repeating the joins and the location match.
     """
-    tables = [read_parquet(spark, f"{curated}/{name}.parquet") for name in ("prospects", "applicants", "jobs")]
-    write_parquet(feature_table(*tables), f"{folder}/features.parquet")
-    enriched = run_extraction(spark, read_parquet(spark, f"{folder}/features.parquet"), folder, extract)
+    prospects, applicants, jobs = (read_parquet(spark, f"{curated}/{n}.parquet") for n in ("prospects", "applicants", "jobs"))
+    entities = {"vaga": prefix_columns(jobs, "job_", ["codigo_vaga"]),
+                "candidato": prefix_columns(applicants, "app_", ["codigo_candidato"])}
+    write_parquet(feature_table(prospects, applicants, jobs), f"{folder}/features.parquet")
+    enriched = run_extraction(spark, read_parquet(spark, f"{folder}/features.parquet"), folder, extract, entities)
     write_parquet(enriched, f"{folder}/resultado_final.parquet")
     answers = {kind: read_appended(spark, f"{folder}/{name}") for kind, name in STATES.items()}
     scored = score_table(read_parquet(spark, f"{folder}/resultado_final.parquet"), encode,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.functions import matching, text, vectors
 from rosterlake.operators import embedding, extraction, payload, scoring
+from rosterlake.operators.joins import prefix_columns
 from rosterlake.plans import scoring as scoring_plan
 from rosterlake.session import scratch_path, ship_with_tasks, store
 from rosterlake.sources import tables
@@ -230,8 +231,10 @@ def _(spark, sf):
     """Two runs over the same folder: the second one finds half of the ids already done."""
     folder, extract = scratch_path(spark, "extract"), extraction.keyword_extract(TERMS, OPTIONS)
     df = store(joined(spark, sf).select("codigo_vaga", "codigo_candidato", "linha", "app_cv_pt", *extraction.JOB_PROMPT_COLUMNS.values()))
+    entities = {"vaga": prefix_columns(jobs(spark, sf), "job_", ["codigo_vaga"]),
+                "candidato": prefix_columns(applicants(spark, sf), "app_", ["codigo_candidato"])}
     scoring_plan.run_extraction(spark, df.where("linha % 2 = 0"), folder, extract)
-    out = scoring_plan.run_extraction(spark, df, folder, extract)
+    out = scoring_plan.run_extraction(spark, df, folder, extract, entities)
     return out.select("codigo_vaga", "codigo_candidato", "linha", F.array_join("job_ferramentas_tecnologicas", "|").alias("job_tools"),
                       F.array_join("app_ferramentas_tecnologicas", "|").alias("app_tools"), F.col("job_senioridade_aparente").alias("job_level"))
 
