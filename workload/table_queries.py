@@ -428,7 +428,7 @@ def _(spark, sf):
         "s_suppkey", F.concat_ws(", ", "r_name", "n_name").alias("s_place"), F.when(F.col("s_suppkey") % 2 == 0, F.col("n_name")).alias("s_nation"))
     df = (table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
           .join(people, F.col("o_custkey") == F.col("c_custkey")).join(sites, F.col("l_suppkey") == F.col("s_suppkey")))
-    return with_same_place(df, ["c_place", "c_region"], ["s_place", "s_nation"]).select(
+    return with_same_place(df, ["c_place", "c_region"], ["s_place", "s_nation"], 70).select(
         "l_orderkey", "l_linenumber", "c_place", "s_place", "ind_mesma_localidade")
 
 
