@@ -233,8 +233,10 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     spark = docs.sparkSession
     common.prepare(spark)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
+    unknown = texts.where("doc_id IS NULL")
+    texts = texts.where("doc_id IS NOT NULL")
     sets = common.store(set_rows(texts, shingle), "sets")
-    real = sets.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    real = sets.where("n_shingles > 0")
     classes = common.store(
         real.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n_docs"),
                                      F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("x"))
@@ -263,11 +265,13 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     facts = common.store(classes.select("rep", "hi", "lo", "n_docs").join(counted, "rep", "left").join(joined, "rep", "left")
                          .select("hi", "lo", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                  F.coalesce("component", "rep").alias("class_id")), "facts")
-    member = (F.col("s.n_shingles") > 0) & F.col("s.doc_id").isNotNull()
-    return (sets.drop("sketch").alias("s").join(facts.alias("f"), member & (F.col("s.hi") == F.col("f.hi")) & (F.col("s.lo") == F.col("f.lo")), "left")
-            .select("s.doc_id", "s.n_shingles", F.coalesce("f.n_links", F.lit(0)).alias("n_links"),
-                    F.coalesce("f.class_id", "s.doc_id").alias("class_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True))))
+    out = (sets.drop("sketch").alias("s").join(facts.alias("f"), (F.col("s.hi") == F.col("f.hi")) & (F.col("s.lo") == F.col("f.lo"))
+                                               & (F.col("s.n_shingles") > 0), "left")
+           .select("s.doc_id", "s.n_shingles", F.coalesce("f.n_links", F.lit(0)).alias("n_links"),
+                   F.coalesce("f.class_id", "s.doc_id").alias("class_id")))
+    alone = unknown.select("doc_id", F.lit(None).cast("int").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"),
+                           F.lit(None).cast("long").alias("class_id"))
+    return out.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
