@@ -31,24 +31,28 @@ from pyspark.sql import functions as F
 from . import common
 
 SKETCH = 128
-SET_ROW = "doc_id long, hi long, lo long, n_shingles int, sketch binary"
+SET_ROW = "doc_id long, hi long, lo long, n_shingles int, sketch binary, nodes array<long>"
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(common.windows(common.word_hashes(text), size))
 
 
-def sketch_of(tokens: np.ndarray) -> np.ndarray:
-    """Per hash range 16 bits of its smallest token, 0 where the range is empty."""
+def sampled(tokens: np.ndarray) -> np.ndarray:
+    """Per hash range its smallest token, 0 where the range is empty."""
     edges = np.arange(SKETCH, dtype=np.uint64) << np.uint64(57)
     first = np.searchsorted(tokens, edges)
-    last = np.append(first[1:], len(tokens))
-    out = np.zeros(SKETCH, np.uint16)
-    full = first < last
-    out[full] = ((tokens[first[full]] >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.uint16) | np.uint16(1)
+    full = first < np.append(first[1:], len(tokens))
+    out = np.zeros(SKETCH, np.uint64)
+    out[full] = tokens[first[full]] | np.uint64(1)
     return out
 
 
+def sketch_of(sample: np.ndarray) -> np.ndarray:
+    """16 bits per sampled token, 0 where a range is empty."""
+    return np.where(sample != 0, (sample >> np.uint64(20)).astype(np.uint16) | np.uint16(1), np.uint16(0))
+
+
 def searches(threshold: float, recall: float, depth: int) -> int:
     kept = 1.0
     for _ in range(depth):
@@ -56,7 +60,10 @@ def searches(threshold: float, recall: float, depth: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - kept))
 
 
-def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
+def set_rows(docs: DataFrame, shingle: int, runs: int, threshold: float, seed: int) -> DataFrame:
+    """Per document: digest and size of its set, its sketch, and the first nodes it enters in all searches."""
+    roots = np.arange(1, runs + 1, dtype=np.uint64) + np.uint64(seed * 1000)
+
     def build(frames):
         for frame in frames:
             rows = []
@@ -64,41 +71,33 @@ def set_rows(docs: DataFrame, shingle: int) -> DataFrame:
                 tokens = shingle_set(text, shingle)
                 if len(tokens):
                     key = common.as_long(np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.uint64))
-                    rows.append((doc, int(key[0]), int(key[1]), len(tokens), sketch_of(tokens).tobytes()))
+                    sample = sampled(tokens)
+                    _, nodes = chosen(roots, np.broadcast_to(sample, (runs, SKETCH)), threshold)
+                    rows.append((doc, int(key[0]), int(key[1]), len(tokens), sketch_of(sample).tobytes(), common.as_long(nodes)))
                 else:
-                    rows.append((doc, 0, 0, 0, b""))
-            yield pd.DataFrame(rows, columns=["doc_id", "hi", "lo", "n_shingles", "sketch"])
+                    rows.append((doc, 0, 0, 0, b"", []))
+            yield pd.DataFrame(rows, columns=["doc_id", "hi", "lo", "n_shingles", "sketch", "nodes"])
 
     return docs.mapInPandas(build, SET_ROW)
 
 
-def chosen(nodes: np.ndarray, sketches: np.ndarray, threshold: float):
-    """Children of (node, sketch) rows: row numbers and child nodes."""
-    n = len(nodes)
-    tokens = sketches.astype(np.uint64) | (np.arange(1, SKETCH + 1, dtype=np.uint64) << np.uint64(16))
-    rank = common.mix(common.mix(tokens) * common.GOLDEN + common.mix(nodes)[:, None])
-    filled = sketches != 0
+def chosen(nodes: np.ndarray, tokens: np.ndarray, threshold: float):
+    """Children of rows of a node and 128 tokens (0: none): row numbers and child nodes.
+
+    A token keeps its place, so equal values of different hash ranges are different tokens.
+    """
+    filled = tokens != 0
+    named = tokens.astype(np.uint64) ^ (np.arange(1, SKETCH + 1, dtype=np.uint64) << np.uint64(56))
+    rank = common.mix(common.mix(named) * common.GOLDEN + common.mix(nodes)[:, None])
     limit = (1 / threshold / np.maximum(filled.sum(axis=1), 1)).clip(max=1.0)
     row, at = np.nonzero(filled & (rank.astype(np.float64) / 2.0**64 <= limit[:, None]))
-    return row, common.mix(rank[row, at] ^ common.GOLDEN).reshape(-1) if n else np.empty(0, np.uint64)
+    return row, common.mix(rank[row, at] ^ common.GOLDEN)
 
 
 def matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, SKETCH)
 
 
-def root_rows(classes: DataFrame, runs: int, threshold: float, seed: int) -> DataFrame:
-    def split(frames):
-        for frame in frames:
-            sketches, ids = matrix(frame["sketch"]), frame["rep"].to_numpy()
-            for run in range(runs):
-                start = np.full(len(frame), seed * 1000 + run + 1, np.uint64)
-                row, child = chosen(start, sketches, threshold)
-                yield pd.DataFrame({"node": common.as_long(child), "rep": ids[row]})
-
-    return classes.select("rep", "sketch").mapInPandas(split, "node long, rep long")
-
-
 def child_rows(rows: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     def split(frames):
         for frame in frames:
@@ -235,14 +234,14 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     unknown = texts.where("doc_id IS NULL")
     texts = texts.where("doc_id IS NOT NULL")
-    sets = common.store(set_rows(texts, shingle), "sets")
+    sets = common.store(set_rows(texts, shingle, searches(threshold, recall, depth), threshold, seed), "sets")
     real = sets.where("n_shingles > 0")
     classes = common.store(
         real.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n_docs"),
-                                     F.min(F.struct("doc_id", "n_shingles", "sketch")).alias("x"))
-        .select(F.col("x.doc_id").alias("rep"), "hi", "lo", "n_docs", "x.n_shingles", "x.sketch"), "classes")
+                                     F.min(F.struct("doc_id", "n_shingles", "sketch", "nodes")).alias("x"))
+        .select(F.col("x.doc_id").alias("rep"), "hi", "lo", "n_docs", "x.n_shingles", "x.sketch", "x.nodes"), "classes")
 
-    rows = root_rows(classes, searches(threshold, recall, depth), threshold, seed)
+    rows = classes.select(F.explode("nodes").alias("node"), "rep")
     found = []
     for level in range(depth):
         sizes = common.store(common.node_sizes(rows, "node"), "nodes")
@@ -265,7 +264,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     facts = common.store(classes.select("rep", "hi", "lo", "n_docs").join(counted, "rep", "left").join(joined, "rep", "left")
                          .select("hi", "lo", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                  F.coalesce("component", "rep").alias("class_id")), "facts")
-    out = (sets.drop("sketch").alias("s").join(facts.alias("f"), (F.col("s.hi") == F.col("f.hi")) & (F.col("s.lo") == F.col("f.lo"))
+    out = (sets.select("doc_id", "hi", "lo", "n_shingles").alias("s").join(facts.alias("f"), (F.col("s.hi") == F.col("f.hi")) & (F.col("s.lo") == F.col("f.lo"))
                                                & (F.col("s.n_shingles") > 0), "left")
            .select("s.doc_id", "s.n_shingles", F.coalesce("f.n_links", F.lit(0)).alias("n_links"),
                    F.coalesce("f.class_id", "s.doc_id").alias("class_id")))
