@@ -3,15 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe, chat, embeddings, html_text, jaccard, packing, quality, substrings
 from .common import read_table
-from .jaccard import jaccard_join
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.repeated_passages(read_table(spark, folder, "documents"))
+    words = F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    return found.select("doc_id", "n_words", F.size("starts").alias("n_passages"), words.alias("repeated_words"), "starts", "ends", "homes")
+
+
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op5_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(read_table(spark, folder, "embeddings"))
+
+
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.token_digests(read_table(spark, folder, "documents"))
+
+
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.chat_digests(chat.with_test_conversation(read_table(spark, folder, "conversations")))
 
 
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join(read_table(spark, folder, "documents"))
+    return jaccard.jaccard_join(read_table(spark, folder, "documents"))
+
+
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read_table(spark, folder, "pages"))
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.best_fit(packing.sized(read_table(spark, folder, "documents")))
 
 
 QUERIES = {
+    "op3_substring_dedup": (op3_substring_dedup, None),
+    "op4_quality_rules": (op4_quality_rules, None),
+    "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
+    "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_chat_format": (op7_chat_format, None),
     "op8_jaccard_join": (op8_jaccard_join, None),
+    "op9_html_text": (op9_html_text, None),
+    "op10_best_fit_packing": (op10_best_fit_packing, None),
 }
