@@ -1,24 +1,52 @@
 """The corpus pipeline: language, quality, near copies, repeated passages, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each result to the
-shared folder and reads it back as the next stage's documents.
+shared folder and reads it back as the next stage's documents. All stages but the last return the
+columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterlake.llm import jaccard
+from rosterlake.llm import jaccard, language, packing, quality, substrings
 from rosterlake.llm.common import read_table, store
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known."""
+    return language.keep_known(docs)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rule and the cutoffs learned from the labels of ``sf_dir``."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
     return jaccard.drop_near_copies(docs)
 
 
-STAGES = [("ngram_jaccard_join", near_copies)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that repeat an earlier document."""
+    return substrings.cut_repeats(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per document and bin."""
+    return packing.best_fit(packing.sized(docs))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("substring_dedup", substring_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: The stages hash, chain and train models; SQL cannot express them.
+#: The stages fit models, hash and chain; SQL cannot express them. tests/llm/test_pipeline.py uses brute force.
 ORACLE_SQL = None
 
 

@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, html_text, jaccard, packing, quality, substrings
-from .common import read_table
+from . import bpe, chat, embeddings, html_text, jaccard, language, licences, packing, quality, substrings
+from .common import prepare, read_table
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents and all pages; the text model is fitted on labelled documents."""
+    prepare(spark)
+    docs, pages = read_table(spark, folder, "documents"), read_table(spark, folder, "pages")
+    languages, model = language.fit_text(docs)
+    found = language.identify(language.document_records(docs).unionByName(language.page_records(pages)), languages, model)
+    number = lambda kind: F.when(F.col("kind") == kind, F.col("id").cast("long"))
+    return found.select("kind", number("document").alias("doc_id"), number("page").alias("page_id"), "lang",
+                        F.round("probability", 6).alias("probability"), "text_lang", "declared", "host", "n_trigrams", "kept")
+
+
+def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(read_table(spark, folder, "documents"))
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,6 +59,8 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": (op1_language_id, None),
+    "op2_licence_scan": (op2_licence_scan, None),
     "op3_substring_dedup": (op3_substring_dedup, None),
     "op4_quality_rules": (op4_quality_rules, None),
     "op5_embedding_near_dedup": (op5_embedding_near_dedup, None),
