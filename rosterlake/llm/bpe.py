@@ -185,7 +185,7 @@ def _encoded(docs, id_column, text_column, ranks, chunk, overlap, spread, finish
     def pieces(frames):
         tokenizer = Tokenizer(ranks)
         for frame in frames:
-            yield pd.DataFrame({"row": frame["row"], "n": frame["n"], "ids": [tokenizer.encode(p) for p in frame["piece"]]})
+            yield pd.DataFrame({"row": frame["row"].to_list(), "n": frame["n"].to_list(), "ids": [tokenizer.encode(p) for p in frame["piece"]]})
 
     def together(frames):
         tokenizer = Tokenizer(ranks)

@@ -27,8 +27,10 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches and a checkpoint folder for the jobs of this package."""
+    """Small Arrow batches, run-time Bloom filters on tables of any size, and a checkpoint folder."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "1MB")
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold", "10GB")
     shared_folder(spark)
 
 
@@ -178,10 +180,30 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     return found.join(least, "to").select("node", "component")
 
 
+def wanted_rows(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id is in the first column of ``ids``; texts that are not wanted mostly stay out of the shuffle.
+
+    The ids are written with a constant that the join tests, because Spark makes a run-time Bloom filter (8 MB at
+    most, whatever the size of the table) from tables that are filtered. The join itself is exact.
+    """
+    name = ids.columns[0]
+    listed = store(ids.select(F.col(name).alias("wanted_id")).distinct().withColumn("wanted", F.lit(1)), "wanted")
+    some = listed.where("wanted > 0").select("wanted_id")
+    return rows.join(some, rows[column] == some["wanted_id"], "left_semi")
+
+
+def class_labels(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``rep`` and ``class_id`` of linked classes: the smallest ``first_id`` in the component of the links (rep, root)."""
+    joined = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
+    joined = store(joined.join(classes.select("rep", "first_id"), "rep"), "joined")
+    least = joined.groupBy("component").agg(F.min("first_id").alias("class_id"))
+    return joined.join(store(least, "least"), "component").select("rep", "class_id")
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 __all__ = ["BATCH_ROWS", "Callable", "Column", "prepare", "mix", "word_hashes", "word_slices", "windows", "as_long",
-           "whole_groups", "bounds", "block_pairs", "node_sizes", "smallest_roots", "components", "read_table",
+           "whole_groups", "bounds", "block_pairs", "node_sizes", "smallest_roots", "components", "class_labels", "wanted_rows", "read_table",
            "scratch_path", "shared_folder", "store"]

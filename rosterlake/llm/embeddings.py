@@ -55,7 +55,7 @@ def buckets(unit: np.ndarray, bits: int, tables: int) -> np.ndarray:
     signs = np.concatenate([unit @ rotation(size, k).T >= 0 for k in range(rotations)], axis=1)
     power = np.uint64(1) << np.arange(bits, dtype=np.uint64)
     keys = [(signs[:, t * bits:(t + 1) * bits] * power).sum(axis=1, dtype=np.uint64) for t in range(tables)]
-    return np.stack([common.mix(k + np.uint64((t * 4096 + bits) * 65_536 + size)) for t, k in enumerate(keys)], axis=1)
+    return np.stack([common.mix(common.mix(k) + np.uint64((t * 4096 + bits) << 32 | size)) for t, k in enumerate(keys)], axis=1)
 
 
 def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,7 +93,7 @@ def coded(classes: DataFrame) -> DataFrame:
                     signs[i], factors[i] = code.tobytes(), factor
             yield frame.assign(code=signs, factor=factors)
 
-    return classes.mapInPandas(build, "rep long, hi long, lo long, n_rows_equal long, embedding array<float>, code binary, factor double")
+    return classes.mapInPandas(build, "rep long, first_id long, hi long, lo long, n_rows_equal long, embedding array<float>, code binary, factor double")
 
 
 def close_pairs(unit, code, factor, threshold: float, across: np.ndarray | None):
@@ -179,16 +179,16 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", vector_column: s
     keyed = rows.withColumn("hi", F.when(known, F.xxhash64(plain))).withColumn("lo", F.when(known, F.xxhash64(plain, F.lit(1))))
     classes = (keyed.where("hi IS NOT NULL").groupBy("hi", "lo").agg(
         F.count(F.lit(1)).alias("n_rows_equal"), F.min(F.struct("vec_id", "embedding")).alias("x"))
-        .select(F.col("x.vec_id").alias("rep"), "hi", "lo", "n_rows_equal", "x.embedding"))
-    classes = common.store(coded(classes), "classes")
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("x.vec_id").alias("first_id"), "hi", "lo", "n_rows_equal", "x.embedding"))
+    classes = common.store(coded(common.store(classes, "equal")), "classes")
     bits, tables = plan(classes.count(), threshold, miss)
     placed = bucket_rows(classes, bits, tables)
     sizes = common.store(common.node_sizes(placed, "node"), "nodes")
     found = common.store(linked(common.block_pairs(placed, sizes, "node", "rep", BLOCK), classes, bits, tables, threshold), "links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = common.components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    facts = common.store(classes.select("rep", "hi", "lo", "n_rows_equal").join(counts, "rep", "left").join(joined, "rep", "left").select(
-        "hi", "lo", (F.col("n_rows_equal") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component")), "facts")
+    joined = common.class_labels(classes, found)
+    facts = common.store(classes.select("rep", "first_id", "hi", "lo", "n_rows_equal").join(counts, "rep", "left").join(joined, "rep", "left").select(
+        "hi", "lo", (F.col("n_rows_equal") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("class_id", "first_id").alias("component")), "facts")
     return (keyed.select("vec_id", "hi", "lo").join(facts, ["hi", "lo"], "left")
             .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))

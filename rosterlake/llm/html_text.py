@@ -446,7 +446,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
             scores = predict(model, [vectors(b, known) if b else np.empty((0, DIM), np.float32) for b in found])
             kept = [[t for (t, _, _), s in zip(b, score) if s >= 0.5] for b, score in zip(found, scores)]
             texts = ["\n\n".join(k) for k in kept]
-            yield pd.DataFrame({"id": frame["id"], "url": frame["url"], "text": texts, "n_chars": [len(t) for t in texts],
+            yield pd.DataFrame({"id": frame["id"].to_list(), "url": frame["url"].to_list(), "text": texts, "n_chars": [len(t) for t in texts],
                                 "n_blocks": [len(b) for b in found]})
 
     rows = pages.select(F.col(id_column).cast("string").alias("id"), F.col(url_column).cast("string").alias("url"),

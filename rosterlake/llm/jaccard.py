@@ -98,14 +98,15 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, SKETCH)
 
 
-def child_rows(rows: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def child_rows(rows: DataFrame, threshold: float) -> DataFrame:
+    """Rows (node, rep, sketch) dealt to the children that they choose."""
     def split(frames):
         for frame in frames:
             row, child = chosen(frame["node"].to_numpy().view(np.uint64), matrix(frame["sketch"]), threshold)
-            yield pd.DataFrame({"node": common.as_long(child), "rep": frame["rep"].to_numpy()[row]})
+            if len(row):  # an empty binary column cannot be sent
+                yield pd.DataFrame({"node": common.as_long(child), "rep": frame["rep"].to_numpy()[row], "sketch": frame["sketch"].to_numpy()[row]})
 
-    return (rows.select("node", "rep").join(classes.select("rep", "sketch"), "rep")
-            .select("node", "rep", "sketch").mapInPandas(split, "node long, rep long"))
+    return rows.select("node", "rep", "sketch").mapInPandas(split, "node long, rep long, sketch binary")
 
 
 def alike(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, threshold: float) -> np.ndarray:
@@ -214,7 +215,7 @@ def exact_links(placed: DataFrame, texts: DataFrame, shingle: int, threshold: fl
                 ids = part["rep"].to_numpy()
                 yield pd.DataFrame({"rep": ids, "links": link.astype(np.int64) @ part["n_docs"].to_numpy(), "root": ids[root]})
 
-    rows = placed.join(texts, placed["rep"] == texts["doc_id"]).select(*keys, "part", "rep", "hi", "lo", "n_docs", "text")
+    rows = placed.join(texts, placed["first_id"] == texts["doc_id"]).select(*keys, "part", "rep", "hi", "lo", "n_docs", "text")
     return (rows.repartition(*keys).sortWithinPartitions(*keys)
             .mapInPandas(verify, "rep long, links long, root long"))
 
@@ -239,7 +240,7 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     classes = common.store(
         real.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n_docs"),
                                      F.min(F.struct("doc_id", "n_shingles", "sketch", "nodes")).alias("x"))
-        .select(F.col("x.doc_id").alias("rep"), "hi", "lo", "n_docs", "x.n_shingles", "x.sketch", "x.nodes"), "classes")
+        .select(F.monotonically_increasing_id().alias("rep"), F.col("x.doc_id").alias("first_id"), "hi", "lo", "n_docs", "x.n_shingles", "x.sketch", "x.nodes"), "classes")
 
     rows = classes.select(F.explode("nodes").alias("node"), "rep")
     found = []
@@ -247,23 +248,25 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         sizes = common.store(common.node_sizes(rows, "node"), "nodes")
         small, large = sizes.where(F.col("n_rows") <= leaf), sizes.where(F.col("n_rows") > leaf)
         last = level == depth - 1
-        found.append(common.block_pairs(rows, sizes if last else small, "node", "rep", block))
+        found.append(common.block_pairs(rows.select("node", "rep"), sizes if last else small, "node", "rep", block))
         if last or large.isEmpty():
             break
-        rows = common.store(child_rows(rows.join(large.select("node"), "node", "left_semi"), classes, threshold), "children")
+        hot = rows.join(large.select("node"), "node", "left_semi")
+        hot = hot if level else hot.join(classes.select("rep", "sketch"), "rep")
+        rows = common.store(child_rows(hot, threshold), "children")
     placed = found[0]
     for more in found[1:]:
         placed = placed.unionByName(more)
     near = common.components(candidates(placed, classes, threshold)).withColumnRenamed("node", "rep")
 
-    groups = common.store(near.join(classes.select("rep", "hi", "lo", "n_docs"), "rep"), "groups")
+    groups = common.store(near.join(classes.select("rep", "first_id", "hi", "lo", "n_docs"), "rep"), "groups")
     dealt = common.block_pairs(groups, common.node_sizes(groups, "component"), "component", "rep", exact_block)
-    links = common.store(exact_links(dealt, texts, shingle, threshold), "exact")
+    links = common.store(exact_links(dealt, common.wanted_rows(texts, "doc_id", groups.select("first_id")), shingle, threshold), "exact")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    joined = common.components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    facts = common.store(classes.select("rep", "hi", "lo", "n_docs").join(counted, "rep", "left").join(joined, "rep", "left")
+    joined = common.class_labels(classes, links)
+    facts = common.store(classes.select("rep", "first_id", "hi", "lo", "n_docs").join(counted, "rep", "left").join(joined, "rep", "left")
                          .select("hi", "lo", (F.col("n_docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                                 F.coalesce("component", "rep").alias("class_id")), "facts")
+                                 F.coalesce("class_id", "first_id").alias("class_id")), "facts")
     out = (sets.select("doc_id", "hi", "lo", "n_shingles").alias("s").join(facts.alias("f"), (F.col("s.hi") == F.col("f.hi")) & (F.col("s.lo") == F.col("f.lo"))
                                                & (F.col("s.n_shingles") > 0), "left")
            .select("s.doc_id", "s.n_shingles", F.coalesce("f.n_links", F.lit(0)).alias("n_links"),

@@ -75,7 +75,8 @@ def fit_text(docs: DataFrame, text_column: str = "text", label_column: str = "la
                 mine = total.setdefault(lang, np.zeros(SLOTS, np.int64))
                 for slots in trigrams(text, letter):
                     mine += np.bincount(slots, minlength=SLOTS)
-        yield pd.DataFrame({"lang": list(total), "counts": [v.tobytes() for v in total.values()]})
+        if total:  # an empty binary column cannot be sent
+            yield pd.DataFrame({"lang": list(total), "counts": [v.tobytes() for v in total.values()]})
 
     table = np.zeros((len(languages), SLOTS), np.float64)
     for r in sample.select("lang", "text").repartition(8).mapInPandas(count, "lang string, counts binary").collect():
@@ -100,7 +101,7 @@ def text_evidence(records: DataFrame, model: np.ndarray) -> DataFrame:
                     n += len(slots)
                 out.append([*total.tolist(), -n * math.log(SLOTS)])
                 counts.append(n)
-            yield frame.drop(columns="text").assign(evidence=out, n_trigrams=counts)
+            yield pd.DataFrame({**{c: frame[c].to_list() for c in ("kind", "id", "declared", "host")}, "evidence": out, "n_trigrams": counts})
 
     return records.mapInPandas(score, "kind string, id string, declared string, host string, evidence array<double>, n_trigrams long")
 

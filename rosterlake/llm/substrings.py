@@ -88,7 +88,8 @@ def word_blocks(texts: DataFrame) -> DataFrame:
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 data = common.word_hashes(text).astype(np.uint16)
                 rows += [(doc, n, data[n * BLOCK:(n + 1) * BLOCK].tobytes()) for n in range(-(-len(data) // BLOCK))]
-            yield pd.DataFrame(rows, columns=["home", "block", "words"])
+            if rows:  # an empty binary column cannot be sent
+                yield pd.DataFrame(rows, columns=["home", "block", "words"])
 
     return texts.mapInPandas(build, "home long, block int, words binary")
 
@@ -179,7 +180,8 @@ def chain_rows(matches: DataFrame) -> DataFrame:
                         continue
                     rows.append((docs[s], homes[s], len(rows), x.tobytes(), y.tobytes(), n.tobytes(),
                                  int(max(0, y[0] - MARGIN)) // BLOCK, int(y[-1] + n[-1] + MARGIN) // BLOCK))
-            yield pd.DataFrame(rows, columns=["doc_id", "home", "chain", "x", "y", "n", "first", "last"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "home", "chain", "x", "y", "n", "first", "last"])
 
     return (matches.repartition("doc_id").sortWithinPartitions("doc_id", "home", "pos", "home_pos").mapInPandas(
         build, "doc_id long, home long, chain int, x binary, y binary, n binary, first int, last int"))
