@@ -6,12 +6,12 @@
    along the diagonal.
 2. Every seed has one home, its occurrence in the smallest document id; other documents match their
    occurrences with the home only. A seed in n documents thus gives n - 1 matches, not n squared pairs.
-3. Per document and home document, matches on one diagonal are joined to runs and chained: score = matched
-   words minus ``gap_cost`` per word of distance on both sides; the best predecessor is a prefix maximum in
-   a Fenwick tree. Chains are taken from the best end on, until no run is left.
+3. Per document and home document, neighbouring matches on one diagonal are joined to runs and chained: score =
+   words of runs minus ``GAP_COST`` per word of distance on both sides; the best predecessor is a prefix maximum
+   in a Fenwick tree. Chains are taken from the best end on, until no run is left.
 4. The words of the home passage (16-bit hashes, in blocks of 64 words) travel to the document, where the
-   chain is aligned: runs count as equal, gaps by their longest common subsequence, both ends grow while
-   the score (+1 equal, -4 different word) rises. The best parts of at least 80 % equal words remain.
+   chain is aligned: runs word by word, gaps by their longest common subsequence, both ends grow while the
+   score (+1 equal, -4 different word) rises. The best parts of at least 80 % equal words remain.
 5. Aligned parts of a document are merged; merged passages of ``min_words`` words or more are repeats.
 
 Only documents after the home are marked, so the first document keeps its text.
@@ -117,11 +117,10 @@ class Fenwick:
 
 
 def runs_of(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
-    """Matches (sorted by x) on one diagonal and at most ``K + WINDOW`` words apart, as (x, y, words)."""
+    """Matches on one diagonal that start at most ``K + WINDOW`` words apart, as (x, y, words)."""
     order = np.lexsort((x, x - y))
     x, y = x[order], y[order]
-    # neighbouring seeds on a diagonal that overlap are certain to be equal text; wider ones are gaps of a chain
-    new = np.concatenate([[True], ((x - y)[1:] != (x - y)[:-1]) | (x[1:] - x[:-1] > K)])
+    new = np.concatenate([[True], ((x - y)[1:] != (x - y)[:-1]) | (x[1:] - x[:-1] > K + WINDOW)])
     start = np.flatnonzero(new)
     end = np.append(start[1:], len(x)) - 1
     return [(int(x[s]), int(y[s]), int(x[e] - x[s]) + K) for s, e in zip(start, end)]
@@ -234,23 +233,31 @@ def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
 
 def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n) -> list[tuple[int, int]]:
     """Passages of ``words`` that the chain matches with at least 80 % equal words. ``home`` starts at word ``offset``."""
-    pieces = []  # (start in words, end, equal words)
     y = y - offset
+    starts, ends, scores = [], [], []  # pieces: single words of runs, whole gaps, grown ends
+
+    def piece(start, end, score) -> None:
+        starts.append(np.array([start]))
+        ends.append(np.array([end]))
+        scores.append(np.array([score]))
+
     lead = grown(words[:x[0]][::-1][:MARGIN], home[:y[0]][::-1][:MARGIN])
-    pieces.append((x[0] - lead, x[0], float(lead)))
+    piece(x[0] - lead, x[0], lead)
     for i in range(len(x)):
-        pieces.append((x[i], x[i] + n[i], float(n[i])))
+        starts.append(np.arange(x[i], x[i] + n[i]))
+        ends.append(starts[-1] + 1)
+        scores.append(np.where(words[x[i]:x[i] + n[i]] == home[y[i]:y[i] + n[i]], 1, -DIFFERENT))
         if i + 1 < len(x):
             a, b = words[x[i] + n[i]:x[i + 1]], home[y[i] + n[i]:y[i + 1]]
             same = int((a == b).sum()) if len(a) == len(b) else 0
             if len(a) != len(b) or same < 0.9 * len(a):
                 same = common_subsequence(a, b)
-            pieces.append((x[i] + n[i], x[i + 1], same - DIFFERENT * (max(len(a), len(b)) - same)))
+            piece(x[i] + n[i], x[i + 1], same - DIFFERENT * (max(len(a), len(b)) - same))
     end, home_end = x[-1] + n[-1], y[-1] + n[-1]
     tail = grown(words[end:end + MARGIN], home[home_end:home_end + MARGIN])
-    pieces.append((end, end + tail, float(tail)))
-    parts = dense_parts(np.array([p[2] for p in pieces]))
-    return [(int(pieces[s][0]), int(pieces[e - 1][1])) for s, e in parts]
+    piece(end, end + tail, tail)
+    first, last = np.concatenate(starts), np.concatenate(ends)
+    return [(int(first[s]), int(last[e - 1])) for s, e in dense_parts(np.concatenate(scores))]
 
 
 def merged(spans: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, int]]:
@@ -333,7 +340,7 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     common.prepare(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     known = texts.where("doc_id IS NOT NULL")
-    seeds = seed_rows(known)
+    seeds = common.store(seed_rows(known), "seeds")
     homes = (seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("h"), F.max("doc_id").alias("latest"))
              .where("latest > h.doc_id").select("seed", F.col("h.doc_id").alias("home"), F.col("h.pos").alias("home_pos")))
     homes = common.store(homes, "homes")
