@@ -174,10 +174,19 @@ def fill_template(template: str, values: Mapping[str, Column]) -> Column:
     return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
 
 
+FENCED = r"(?s)\A```json[ \t\r]*\n(.*)\n[ \t]*```"
+
+
+def unfenced(answer: str) -> str:
+    """:func:`json_body` of one answer outside of Spark."""
+    found = re.match(FENCED + r"\Z", answer.strip())
+    return found[1] if found and found[1] else answer.strip()
+
+
 def json_body(answer: Column) -> Column:
     """Text between a leading ```json line and a closing ``` line, else the whole answer."""
     text = strip_space(answer)
-    fenced = F.regexp_extract(text, r"(?s)\A```json[ \t\r]*\n(.*)\n[ \t]*```\z", 1)
+    fenced = F.regexp_extract(text, FENCED + r"\z", 1)
     return F.when(fenced != "", fenced).otherwise(text)
 
 

@@ -59,7 +59,9 @@ def _mean_best(a: pa.Array, b: pa.Array, threshold: float | None, empty: float)
     rows = np.flatnonzero((needs > 0) & (haves > 0))
     rows = rows[np.lexsort((needs[rows], haves[rows]))]
     while len(rows):
-        size = max(1, CELLS // max((needs[rows[0]] + haves[rows[0]]) * 2 * left.shape[1], 1))
+        # every row of a block is padded to its largest: take as many as fit when padded
+        padded = np.maximum.accumulate(needs[rows]) + np.maximum.accumulate(haves[rows])
+        size = max(1, int(np.searchsorted(padded * 2 * left.shape[1] * np.arange(1, len(rows) + 1), CELLS, side="right")))
         block, rows = rows[:size], rows[size:]
         need_at, have_at = np.arange(needs[block].max()), np.arange(haves[block].max())
         need_ok, have_ok = need_at < needs[block, None], have_at < haves[block, None]

@@ -9,19 +9,18 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, ship_with_tasks
+from ..session import ship_with_tasks
 from .flatten import split_types
 from .ordered import quantiles_of, running_totals, unpivot, value_sums
-from .profile import _per_column, numeric_profile, qualitative_profile
+from .profile import _per_column, number_groups, numeric_profile, qualitative_profile
 
-# --- fixed values: test selection and thresholds ---------------------------------------------
-SMALL_REFERENCE = 1000
-FEW_VALUES = 5
+# --- fixed values: thresholds ---------------------------------------------
 P_VALUE = 0.05
 DISTANCE = 0.1
 MIN_STD = 0.001
@@ -102,12 +101,20 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
     The Wasserstein distance is divided by the population standard deviation of the reference,
     at least 0.001. Nulls, NaN and infinities are left out.
     """
-    long = unpivot(_both_sides(reference, current, columns), columns, ["ref", "cur"])
-    finite = long.where(~F.isnan("value") & (F.abs("value") < float("inf")))
-    totals = running_totals(finite, "value", ["ref", "cur"], ["column"])
+    parts = []
+    # Whole numbers and decimals keep their type: as doubles, ids above 2^53 would run together.
+    for dtype, group in number_groups(reference, columns).items():
+        long = unpivot(_both_sides(reference, current, group), group, ["ref", "cur"], dtype)
+        if dtype == "double":
+            long = long.where(~F.isnan("value") & (F.abs("value") < float("inf")))
+        parts.append(_numeric_drift(running_totals(long, "value", ["ref", "cur"], ["column"]), reference, group))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _numeric_drift(totals: DataFrame, reference: DataFrame, columns: Sequence[str]) -> DataFrame:
     gap = F.abs(F.try_divide(F.col("ref_upto").cast("double"), F.col("ref_total"))
                 - F.try_divide(F.col("cur_upto").cast("double"), F.col("cur_total")))
-    width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
+    width = F.coalesce((F.col("next_value") - F.col("value")).cast("double"), F.lit(0.0))
     measured = totals.groupBy("column").agg(
         F.count("*").alias("n_values"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur"),
         F.max(gap).alias("ks"), F.sum(gap * width).alias("_distance"))
@@ -152,11 +159,12 @@ def category_drift(reference: DataFrame, current: DataFrame, columns: Sequence[s
 
     chi2 compares the current counts with the reference counts scaled to the same size and is
     infinite for a new category; jensen_shannon is the distance (square root, natural log);
-    z is the two-proportion statistic, only for two values.
+    z is the two-proportion statistic, only for two values. If one side has no value at all, chi2 and
+    z are null; a column without a value on either side has no row.
     """
     counts = _with_column_totals(category_counts(reference, current, columns))
-    expected = F.col("ref") * F.col("n_cur") / F.col("n_ref")
-    surprise = F.when(F.col("ref") > 0, F.pow(F.col("cur") - expected, F.lit(2.0)) / expected).otherwise(float("inf"))
+    expected = F.try_divide(F.col("ref") * F.col("n_cur").cast("double"), F.col("n_ref"))
+    surprise = F.when(F.col("ref") > 0, F.try_divide(F.pow(F.col("cur") - expected, F.lit(2.0)), expected)).otherwise(float("inf"))
     shares = counts.withColumns({"_p": _filled_share("ref", "n_ref", "_min_ref"),
                                  "_q": _filled_share("cur", "n_cur", "_min_cur"), "_chi": surprise})
     # Filled shares no longer sum to 1; the distance normalises them.
@@ -172,42 +180,55 @@ def category_drift(reference: DataFrame, current: DataFrame, columns: Sequence[s
                     F.sqrt(F.greatest(F.sum(divergence), F.lit(0.0))).alias("jensen_shannon"),
                     F.max(F.when(first, F.col("ref"))).alias("_a"), F.max(F.when(first, F.col("cur"))).alias("_b")))
     pooled = (F.col("_a") + F.col("_b")) / (F.col("n_ref") + F.col("n_cur"))
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_ref") + 1 / F.col("n_cur")))
-    z = F.try_divide(F.col("_a") / F.col("n_ref") - F.col("_b") / F.col("n_cur"), error)
+    one = F.lit(1.0)
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, F.col("n_ref")) + F.try_divide(one, F.col("n_cur"))))
+    share = lambda part, whole: F.try_divide(F.col(part).cast("double"), F.col(whole))
+    z = F.try_divide(share("_a", "n_ref") - share("_b", "n_cur"), error)
     return measured.select("column", "n_values", "n_ref", "n_cur", "chi2", "jensen_shannon",
                            F.when(F.col("n_values") == 2, z).alias("z"))
 
 
 # ------------------------------------------------------------------------------ column decision
-def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, kind, test, statistic, score, threshold, drifted), the test chosen per column.
-
-    Reference of at most 1000 rows: KS for numbers, chi-square for categories, a z-test for two
-    values (score is the p-value, drift below 0.05). Larger: normed Wasserstein for numbers,
-    Jensen-Shannon for categories (score is the distance, drift from 0.1). A number with at most
-    five values is tested as a category.
+def _listed(measured: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row for every column asked for: one without values on either side has counts of 0."""
+    names = measured.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    counts = ("n_values", "n_ref", "n_cur")
+    return names.join(measured, "column", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+
+
+def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
+                 test: str = "distance", categorical: Sequence[str] = ()) -> DataFrame:
+    """(column, kind, test, statistic, score, threshold, drifted, status), one row per column.
+
+    ``test="distance"``: normed Wasserstein for numbers, Jensen-Shannon for categories, drift from 0.1.
+    ``test="p_value"``: KS for numbers, chi-square for categories, a z-test for two values, drift below
+    0.05. The same test is used whatever the size of the tables, so reports can be compared.
+    ``categorical`` names numeric columns to treat as categories.
+    ``status`` is ``ok``, ``one_sided`` (values on one side only, which is drift) or ``no_values``
+    (on neither side, which is none); the last two have no score.
     """
+    if test not in ("distance", "p_value"):
+        raise ValueError(f"unknown test {test!r}")
     chosen = reference.select(*columns) if columns else reference
     numbers, categories = split_types(chosen)
-    small = reference.limit(SMALL_REFERENCE + 1).count() <= SMALL_REFERENCE
+    categories = [*categories, *[c for c in numbers if c in categorical]]
+    numbers = [c for c in numbers if c not in categorical]
     parts = []
-    few: list[str] = []
+    sides = ("n_ref", "n_cur")
     if numbers:
-        # One row per column; kept so that the value counts can pick the test.
-        measured = cut_lineage(numeric_drift(reference, current, numbers))
-        few = [r["column"] for r in measured.where(F.col("n_values") <= FEW_VALUES).collect()]
-        many = measured.where(F.col("n_values") > FEW_VALUES)
-        if small:
-            parts.append(many.select("column", F.lit("num").alias("kind"), F.lit("ks").alias("test"),
-                                     F.col("ks").alias("statistic"),
-                                     _p_value("score", _ks_p, F.col("ks"), F.col("n_ref"), F.col("n_cur"))))
+        measured = _listed(numeric_drift(reference, current, numbers), numbers)
+        name, score = (("wasserstein", F.col("wasserstein")) if test == "distance"
+                       else ("ks", _p_value("score", _ks_p, F.col("ks"), F.col("n_ref"), F.col("n_cur"))))
+        parts.append(measured.select("column", F.lit("num").alias("kind"), F.lit(name).alias("test"),
+                                     F.col(name).alias("statistic"), score.alias("score"), *sides))
+    if categories:
+        counted = _listed(category_drift(reference, current, categories), categories)
+        kind = F.when(F.col("column").isin(list(categorical)), "num").otherwise("cat").alias("kind")
+        if test == "distance":
+            parts.append(counted.select("column", kind, F.lit("jensen_shannon").alias("test"),
+                                        F.col("jensen_shannon").alias("statistic"),
+                                        F.col("jensen_shannon").alias("score"), *sides))
         else:
-            parts.append(many.select("column", F.lit("num").alias("kind"), F.lit("wasserstein").alias("test"),
-                                     F.col("wasserstein").alias("statistic"), F.col("wasserstein").alias("score")))
-    if categories or few:
-        counted = category_drift(reference, current, [*categories, *few])
-        kind = F.when(F.col("column").isin(few), "num").otherwise("cat").alias("kind") if few else F.lit("cat").alias("kind")
-        if small:
             two = F.col("n_values") <= 2
             counted = counted.select(
                 "*", _p_value("_chi_p", _chi2_p, F.col("chi2"), F.col("n_values") - 1),
@@ -215,23 +236,25 @@ def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str
             parts.append(counted.select(
                 "column", kind, F.when(two, "z").otherwise("chi2").alias("test"),
                 F.when(two, F.coalesce("z", F.lit(0.0))).otherwise(F.col("chi2")).alias("statistic"),
-                F.when(two, F.col("_z_p")).otherwise(F.col("_chi_p")).alias("score")))
-        else:
-            parts.append(counted.select("column", kind, F.lit("jensen_shannon").alias("test"),
-                                        F.col("jensen_shannon").alias("statistic"),
-                                        F.col("jensen_shannon").alias("score")))
+                F.when(two, F.col("_z_p")).otherwise(F.col("_chi_p")).alias("score"), *sides))
     if not parts:
         return reference.sparkSession.createDataFrame([], COLUMN_DRIFT_SCHEMA)
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    drifted = F.col("score") < P_VALUE if small else F.col("score") >= DISTANCE
-    return rows.select("column", "kind", "test", "statistic", "score",
-                       F.lit(P_VALUE if small else DISTANCE).alias("threshold"), drifted.alias("drifted"))
+    status = (F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), "ok")
+              .when((F.col("n_ref") > 0) | (F.col("n_cur") > 0), "one_sided").otherwise("no_values"))
+    rows = rows.withColumn("status", status)
+    both = F.col("status") == "ok"
+    beyond = F.col("score") < P_VALUE if test == "p_value" else F.col("score") >= DISTANCE
+    return rows.select("column", "kind", "test", F.when(both, F.col("statistic")).alias("statistic"),
+                       F.when(both, F.col("score")).alias("score"),
+                       F.lit(P_VALUE if test == "p_value" else DISTANCE).alias("threshold"),
+                       F.when(both, beyond).otherwise(F.col("status") == "one_sided").alias("drifted"), "status")
 
 
 COLUMN_DRIFT_SCHEMA = ("column string, kind string, test string, statistic double, score double, "
-                       "threshold double, drifted boolean")
+                       "threshold double, drifted boolean, status string")
 
 
 def dataset_drift(column_rows: DataFrame, share: float = DATASET_SHARE, alert: float = ALERT_SHARE) -> DataFrame:

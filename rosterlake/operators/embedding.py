@@ -1,7 +1,7 @@
 """Text vectors. The encoder is a plug-in: a function from (text) to (text, vector).
 
-Every distinct text is encoded once and joined back by its digest, so long texts are not
-shuffled as join keys and a text shared by many rows is not encoded again.
+Every distinct text is encoded once and joined back by its digest: the digest is the key of
+every exchange, and a text shared by many rows is not encoded again.
 """
 
 from __future__ import annotations
@@ -51,9 +51,13 @@ def _digest(c: Column) -> Column:
 
 
 def _encoded(texts: DataFrame, encode: Encoder) -> DataFrame:
-    """Distinct texts -> (digest, vector)."""
-    return encode(texts.where("text IS NOT NULL").distinct()).select(
-        _digest(F.col("text")).alias("_digest"), "vector")
+    """Distinct texts -> (digest, vector).
+
+    Texts are grouped by their digest, and the distinct ones stored, because an encoder may read
+    them twice (fit and transform).
+    """
+    known = texts.where("text IS NOT NULL").groupBy(_digest(F.col("text")).alias("_digest")).agg(F.max("text").alias("text"))
+    return encode(store(known.select("text"), "texts")).select(_digest(F.col("text")).alias("_digest"), "vector")
 
 
 def encode_column(df: DataFrame, text: str, output: str, encode: Encoder) -> DataFrame:

@@ -119,11 +119,8 @@ ATTEMPT_SCHEMA = "id string, attempt int, model string, raw string, ok boolean,
 
 def _problem(raw: str, list_fields: Sequence[str], text_fields: Sequence[str]) -> str | None:
     """Why an answer is not usable, or None."""
-    lines = raw.strip().split("\n")
-    if lines[0].strip() == "```json" and lines[-1].strip() == "```" and len(lines) > 1:
-        lines = lines[1:-1]
     try:
-        data = json.loads("\n".join(lines))
+        data = json.loads(text.unfenced(raw))
     except ValueError as error:
         return f"not JSON: {error}"
     if not isinstance(data, dict):

@@ -2,11 +2,13 @@
 
 A window ordered over a whole column puts all its rows into one task. Here equal values
 are summed first, the distinct values are spread over buckets of about equal size, and
-the running sum inside a bucket is shifted by the total of the buckets before it.
+the running sum inside a bucket is shifted by the total of the buckets before it. The number
+of buckets follows the number of distinct values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage, store
 
-BUCKETS = 128
-STEP = 12
-MAX_KEYS = 1000
+#: Distinct values that one task sorts, and the most buckets that one key is cut into.
+BUCKET_ROWS = 200_000
+MAX_BUCKETS = 16_384
 
 
 def unpivot(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), dtype: str = "double") -> DataFrame:
@@ -36,28 +38,42 @@ def value_sums(df: DataFrame, order: str, sums: Sequence[str], keys: Sequence[st
 
 def _bucket_cuts(values: DataFrame, keys: list[str], order: str, buckets: int) -> DataFrame:
     """Cut points per key that spread the distinct values evenly, however often a value occurs."""
+    step = math.isqrt(buckets) + 1
     shares = [i / buckets for i in range(1, buckets)]
     cuts = F.array_distinct(F.percentile_approx(order, shares, buckets * 20))
     grouped = values.groupBy(*keys) if keys else values
     # Sketches may differ between two evaluations; both uses below must see the same cuts.
     return cut_lineage(grouped.agg(cuts.alias("_cuts"))).withColumn(
-        "_coarse", F.filter("_cuts", lambda c, i: i % STEP == STEP - 1))
+        "_coarse", F.filter("_cuts", lambda c, i: i % step == step - 1))
 
 
-def _bucket(order: str) -> Column:
-    """Number of cuts up to the value: every 12th cut first, then the cuts after the last of these.
+def _bucket(order: str, buckets: int) -> Column:
+    """Number of cuts up to the value: every n-th cut first, then the cuts after the last of these.
 
     Never null: a null check of this expression would be pushed below the aggregation.
     """
+    step = math.isqrt(buckets) + 1
+
     def upto(cuts) -> Column:
         return F.size(F.filter(cuts, lambda c: c <= F.col(order)))
 
-    passed = upto("_coarse") * STEP
-    return F.coalesce(passed + upto(F.slice("_cuts", passed + 1, F.lit(STEP))), F.lit(0))
+    passed = upto("_coarse") * step
+    return F.coalesce(passed + upto(F.slice("_cuts", passed + 1, F.lit(step))), F.lit(0))
+
+
+def _tagged(values: DataFrame, keys: list[str], order: str, buckets: int | None) -> DataFrame:
+    """The values with the number of their bucket; as many buckets as the stored rows need."""
+    if buckets is None:
+        buckets = min(MAX_BUCKETS, -(-values.count() // BUCKET_ROWS))
+    if buckets <= 1:
+        return values.withColumn("_bucket", F.lit(0))
+    cuts = _bucket_cuts(values, keys, order, buckets)
+    tagged = values.join(cuts, keys) if keys else values.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")})
+    return tagged.withColumn("_bucket", _bucket(order, buckets)).drop("_cuts", "_coarse")
 
 
 def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequence[str] = (),
-                   buckets: int = BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """One row per distinct ``(keys, order)`` with sums, running and overall totals.
 
     Columns: keys, ``order``, each sum ``s``, ``s_upto`` (including this value), ``s_total``
@@ -68,20 +84,10 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], keys: Sequenc
 
 
 def running_totals_of(values: DataFrame, order: str, sums: Sequence[str], keys: Sequence[str] = (),
-                      buckets: int = BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """:func:`running_totals` of a table from :func:`value_sums`."""
     keys = list(keys)
-    cuts = _bucket_cuts(values, keys, order, buckets)
-    small = cuts.limit(MAX_KEYS + 1).count() <= MAX_KEYS
-
-    def hint(side: DataFrame) -> DataFrame:
-        """The helper tables have one row per key, or per key and bucket."""
-        return F.broadcast(side) if small else side
-
-    tagged = (values.join(hint(cuts), keys) if keys
-              else values.withColumns({c: cuts.select(c).scalar() for c in ("_cuts", "_coarse")}))
-    tagged = tagged.withColumn("_bucket", _bucket(order)).drop("_cuts", "_coarse")
-
+    tagged = _tagged(values, keys, order, buckets)
     place = [*keys, "_bucket"]
     per_bucket = tagged.groupBy(*place).agg(
         F.min(order).alias("_first"), *[F.sum(s).alias(f"_{s}") for s in sums])
@@ -100,20 +106,15 @@ def running_totals_of(values: DataFrame, order: str, sums: Sequence[str], keys:
         *place, order, *sums,
         F.lead(order).over(in_bucket).alias("_next"),
         *[F.sum(s).over(upto).alias(f"_{s}_upto") for s in sums])
-    return shifted.join(hint(offsets), place).select(
+    return shifted.join(offsets, place).select(
         *keys, order, *sums,
         *[(F.col(f"_{s}_upto") + F.col(f"_{s}_before")).alias(f"{s}_upto") for s in sums],
         *[F.col(f"{s}_total") for s in sums],
         F.coalesce("_next", "_next_first").alias("next_value"))
 
 
-def _value_at(rank: Column, order: str) -> Column:
-    inside = (F.col("n_upto") - F.col("n") <= rank) & (rank < F.col("n_upto"))
-    return F.max(F.when(inside, F.col(order)))
-
-
 def quantiles(df: DataFrame, order: str, shares: dict[str, float], keys: Sequence[str] = (),
-              buckets: int = BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles; ``shares`` maps output name to share.
 
     ``n_values``, the number of distinct values, comes along.
@@ -122,15 +123,34 @@ def quantiles(df: DataFrame, order: str, shares: dict[str, float], keys: Sequenc
 
 
 def quantiles_of(values: DataFrame, order: str, shares: dict[str, float], keys: Sequence[str] = (),
-                 buckets: int = BUCKETS) -> DataFrame:
-    """:func:`quantiles` of a table from :func:`value_sums` with the count ``n``."""
-    ranked = running_totals_of(values, order, ["n"], keys, buckets)
-    measures, outputs = [F.count("*").alias("n_values")], []
-    for name, share in shares.items():
-        position = (F.col("n_total") - 1) * F.lit(float(share))
-        measures += [_value_at(F.floor(position), order).alias(f"_{name}_lo"),
-                   _value_at(F.ceil(position), order).alias(f"_{name}_hi"),
-                   F.max(position - F.floor(position)).alias(f"_{name}_part")]
+                 buckets: int | None = None) -> DataFrame:
+    """:func:`quantiles` of a table from :func:`value_sums` with the count ``n``.
+
+    Buckets are counted first; only those that hold a wanted rank are sorted.
+    """
+    keys = list(keys)
+    place = [*keys, "_bucket"]
+    tagged = _tagged(values, keys, order, buckets)
+    per_bucket = tagged.groupBy(*place).agg(F.sum("n").alias("_n"), F.count("*").alias("_values"))
+    in_key, whole = Window.partitionBy(*keys).orderBy("_bucket"), Window.partitionBy(*keys)
+    counted = per_bucket.select(
+        *place, "_n", F.coalesce(F.sum("_n").over(in_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(whole).alias("n_total"), F.sum("_values").over(whole).alias("n_values"))
+    position = {name: (F.col("n_total") - 1) * F.lit(float(share)) for name, share in shares.items()}
+    ranks = F.array(*[side(p) for p in position.values() for side in (F.floor, F.ceil)])
+    holds = F.exists(ranks, lambda k: (F.col("_before") <= k) & (k < F.col("_before") + F.col("_n")))
+    sorted_in = Window.partitionBy(*place).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (tagged.join(counted.where(holds).drop("_n"), place)
+              .withColumn("n_upto", F.sum("n").over(sorted_in) + F.col("_before")))
+
+    def value_at(rank: Column) -> Column:
+        inside = (F.col("n_upto") - F.col("n") <= rank) & (rank < F.col("n_upto"))
+        return F.max(F.when(inside, F.col(order)))
+
+    measures, outputs = [F.max("n_values").alias("n_values")], []
+    for name, p in position.items():
+        measures += [value_at(F.floor(p)).alias(f"_{name}_lo"), value_at(F.ceil(p)).alias(f"_{name}_hi"),
+                     F.max(p - F.floor(p)).alias(f"_{name}_part")]
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outputs.append((low + (high - low) * F.col(f"_{name}_part")).alias(name))
     return ranked.groupBy(*keys).agg(*measures).select(*keys, *outputs, "n_values")

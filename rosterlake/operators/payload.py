@@ -106,7 +106,8 @@ def read_payloads(requests: DataFrame) -> DataFrame:
               .when(_outside(F.col("candidate.profile.education_level"), EDUCATION_LEVEL), "unknown education_level")
               .when(_outside(F.col("job.requirements.target_seniority"), SENIORITY), "unknown target_seniority")
               .when(title_missing, "job_title is required")
-              .when(F.col("candidate").isNull() & ~has_text, "resume_text or candidate_data is required"))
+              .when(F.col("candidate").isNull() & ~has_text, "resume_text or candidate_data is required")
+              .when(F.col("request_id").isNull(), "request_id is required"))
     return (df.withColumn("rejected", reason)
             .withColumn("candidate", with_defaults(F.col("candidate"), CANDIDATE_PAYLOAD, CANDIDATE_DEFAULTS))
             .withColumn("job", with_defaults(F.col("job"), JOB_PAYLOAD, JOB_DEFAULTS))
@@ -122,9 +123,10 @@ def _read_text(df: DataFrame, needed: Column, source: str, kind: str, extract: E
     schema = JOB_SCHEMA if kind == "vaga" else CANDIDATE_SCHEMA
     if extract is None:
         return df.withColumn(output, F.lit(None).cast(schema))
-    sources = df.where(needed).select(F.col("request_id").alias("id"), F.col(source).alias("source"))
+    key = F.col("_request" if "_request" in df.columns else "request_id").cast("string")
+    sources = df.where(needed).select(key.alias("id"), F.col(source).alias("source"))
     answers = extract(sources, kind).select(F.col("id").alias("_id"), F.col("dados").alias(output))
-    return df.join(answers, F.col("request_id") == F.col("_id"), "left").drop("_id")
+    return df.join(answers, key == F.col("_id"), "left").drop("_id")
 
 
 def request_lists(payloads: DataFrame, extract: Extract | None = None, jobs: DataFrame | None = None) -> DataFrame:
@@ -172,13 +174,16 @@ def score_requests(requests: DataFrame, encode: Encoder, extract: Extract | None
 
     Rejected requests have null scores. A request carries no comment, so its behavioural score is
     the neutral one. The parsed lists are stored: they are read twice, and reading them again would
-    repeat the extractor.
+    repeat the extractor. Requests that share an id are scored each by itself; one without an id is
+    rejected.
     """
-    parsed = request_lists(read_payloads(requests), extract, jobs)
-    lists = store(parsed.select("request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
+    # numbered once and stored, so that every later step sees the same numbers
+    numbered = store(requests.withColumn("_request", F.monotonically_increasing_id()), "numbered")
+    parsed = request_lists(read_payloads(numbered), extract, jobs)
+    lists = store(parsed.select("_request", "request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
                                 "job_culture", "cand_culture"), "requests")
     sides = {"job_skills": "_js", "cand_skills": "_cs", "job_culture": "_jc", "cand_culture": "_cc"}
-    df = encode_lists(lists, "request_id", sides, encode)
+    df = encode_lists(lists, "_request", sides, encode)
     good = F.col("rejected").isNull()
     return df.select(
         "request_id", F.when(good, "ok").otherwise("rejected").alias("status"), F.col("rejected").alias("reason"),

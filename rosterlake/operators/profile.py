@@ -75,6 +75,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def number_groups(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Columns by the type in which their values are compared: bigint, decimal of their scale, or double."""
+    groups: dict[str, list[str]] = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for c in columns:
+        kind = types[c]
+        exact = "bigint" if isinstance(kind, T.IntegralType) else f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "double"
+        groups.setdefault(exact, []).append(c)
+    return groups
+
+
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Moments, quartiles, 1.5 IQR outliers and population skewness per numeric column.
 
@@ -89,25 +100,24 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
         "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double"),
         "skewness": lambda c: F.skewness(c),
     }
-    long = unpivot(df, columns).where("value IS NOT NULL").withColumn("n", F.lit(1))
+    quarters = outliers = None
     if exact:
-        counted = value_sums(long, "value", ["n"], ["column"])
-        quarters = quantiles_of(counted, "value", QUARTERS, ["column"])
+        for dtype, group in number_groups(df, columns).items():
+            long = unpivot(df, group, dtype=dtype).where("value IS NOT NULL").withColumn("n", F.lit(1))
+            counted = value_sums(long, "value", ["n"], ["column"])
+            part = quantiles_of(counted, "value", QUARTERS, ["column"]).withColumns({q: F.col(q).cast("double") for q in QUARTERS})
+            beyond = _outliers(counted, part)
+            quarters = part if quarters is None else quarters.unionByName(part)
+            outliers = beyond if outliers is None else outliers.unionByName(beyond)
     else:
         stats["n_values"] = lambda c: F.approx_count_distinct(c)
         stats["_q"] = lambda c: F.percentile_approx(F.col(c).cast("double"), list(QUARTERS.values()))
-        counted = long
     basic = _per_column(df, columns, stats)
     if not exact:
         quarters = basic.select("column", "n_values", *[F.col("_q")[i].alias(q) for i, q in enumerate(QUARTERS)])
         basic = basic.drop("n_values", "_q")
+        outliers = _outliers(unpivot(df, columns).where("value IS NOT NULL").withColumn("n", F.lit(1)), quarters)
     quarters = quarters.withColumn("iqr", F.col("q75") - F.col("q25"))
-    # One row per column: the bound side is as small as the schema.
-    fences = quarters.select("column", (F.col("q25") - 1.5 * F.col("iqr")).alias("low"),
-                             (F.col("q75") + 1.5 * F.col("iqr")).alias("high"))
-    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    outliers = (counted.join(F.broadcast(fences), "column").groupBy("column")
-                .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outlier_count")))
     return (basic.join(quarters, "column", "left").join(outliers, "column", "left")
             .withColumn("n_unique", F.coalesce("n_values", F.lit(0)) + (F.col("null_count") > 0).cast("int"))
             .select("column", F.try_element_at(kinds, F.col("column")).alias("dtype"), "null_count",
@@ -115,6 +125,15 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
                     "n_unique", *NUMERIC_STATS))
 
 
+def _outliers(counted: DataFrame, quarters: DataFrame) -> DataFrame:
+    """(column, outlier_count) beyond 1.5 IQR; the bound side has one row per column, as small as the schema."""
+    spread = 1.5 * (F.col("q75") - F.col("q25"))
+    fences = quarters.select("column", (F.col("q25") - spread).alias("low"), (F.col("q75") + spread).alias("high"))
+    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
+    return (counted.join(F.broadcast(fences), "column").groupBy("column")
+            .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outlier_count")))
+
+
 def empty_share(df: DataFrame, columns: Sequence[str] | None = None, above: float = 20.0) -> DataFrame:
     """String columns whose share of empty strings exceeds ``above`` percent, highest first."""
     columns = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])

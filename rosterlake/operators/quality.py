@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import text
 from .flatten import string_columns
-from .profile import distinct_counts
+from .profile import LONG_VALUE, distinct_counts
 
 ISSUE_SCHEMA = T.StructType([
     T.StructField("rule", T.StringType()),
@@ -72,8 +72,14 @@ def split_required(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, Da
 
 
 def count_duplicates(df: DataFrame, subset: Sequence[str]) -> DataFrame:
-    """Number of rows that share their key with another row (all of them, not the surplus)."""
-    return (df.groupBy(*subset).count().where("count > 1")
+    """Number of rows that share their key with another row (all of them, not the surplus).
+
+    Keys of text travel as digests, so long texts are not shuffled; null keys group together.
+    """
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    keys = [F.when(F.length(c) > LONG_VALUE, F.concat(F.lit("#"), F.sha2(F.col(c), 256))).otherwise(F.col(c)).alias(f"k{i}") if c in strings
+            else F.col(c).alias(f"k{i}") for i, c in enumerate(subset)]
+    return (df.select(*keys).groupBy(*[f"k{i}" for i in range(len(keys))]).count().where("count > 1")
             .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n_rows")))
 
 
@@ -141,13 +147,20 @@ def schema_errors(df: DataFrame, expected: T.StructType, id_field: str) -> DataF
     return out
 
 
-def assert_schema(df: DataFrame, expected: T.StructType, label: str, id_field: str, shown: int = 20) -> None:
-    """Raise if the contract is violated; the message shows a few of the errors."""
+def assert_schema(df: DataFrame, expected: T.StructType, label: str, id_field: str, errors_path: str | None = None) -> None:
+    """Raise if the contract is violated.
+
+    With ``errors_path`` every error is appended there (label, id, column, error); the message tells their
+    number, the place, and one error as an example.
+    """
     errors = schema_errors(df, expected, id_field)
-    first = errors.take(shown)
-    if first:
-        lines = "; ".join(f"id={e['id']} {e['column']}: {e['error']}" for e in first)
-        raise ValueError(f"[{label}] schema check failed: {lines}")
+    if errors.isEmpty():
+        return
+    if errors_path:
+        errors.select(F.lit(label).alias("label"), "*").write.mode("append").parquet(errors_path)
+    count, e = errors.count(), errors.first()
+    place = f", all in {errors_path}" if errors_path else ""
+    raise ValueError(f"[{label}] schema check failed: {count} errors{place}; id={e['id']} {e['column']}: {e['error']}")
 
 
 def issue_text(df: DataFrame) -> DataFrame:

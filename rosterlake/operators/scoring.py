@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import matching, text, vectors
 from .embedding import Encoder, text_similarity
 from .features import scoring_behaviour_columns
+from .training import score_probability
 
 # --- fixed values: column names and thresholds of the recruiting tables -------------------
 SKILL_THRESHOLD = 0.5
@@ -104,11 +106,14 @@ def cultural_baseline(df: DataFrame, encode: Encoder) -> DataFrame:
     return text_similarity(df, "job_culture_text", "app_culture_text", "cultural_score", encode)
 
 
-def behavioural_scores(df: DataFrame) -> DataFrame:
-    """(candidate, job, score) by the comment heuristic."""
-    return (scoring_behaviour_columns(df)
-            .withColumn("score_behavioral", matching.behaviour_score(F.col("sentimento_comentario_score")))
-            .select("codigo_candidato", "codigo_vaga", "score_behavioral"))
+def behavioural_scores(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:
+    """(candidate, job, score): the probability of a fitted engagement model, else the comment heuristic."""
+    df = scoring_behaviour_columns(df)
+    if model is not None:
+        df = score_probability(model, df, "score_behavioral")
+    else:
+        df = df.withColumn("score_behavioral", matching.behaviour_score(F.col("sentimento_comentario_score")))
+    return df.select("codigo_candidato", "codigo_vaga", "score_behavioral")
 
 
 def cultural_scores(df: DataFrame, job_vectors: str, candidate_vectors: str) -> DataFrame:

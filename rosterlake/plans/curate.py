@@ -57,7 +57,8 @@ def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None) -> DataFr
     The flattened rows are stored: each check scans only its columns of them.
     """
     flat = store(flatten_nested(raw), gate.label)
-    quality.assert_schema(flat, gate.contract, gate.label, gate.id_field)
+    quality.assert_schema(flat, gate.contract, gate.label, gate.id_field,
+                          f"{issues_path}-schema" if issues_path else None)
     if gate.drop_invalid:
         flat, invalid = quality.split_required(flat, gate.drop_invalid)
         if issues_path:
@@ -68,7 +69,8 @@ def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None) -> DataFr
     if not issues.isEmpty():
         if issues_path:
             save_issues(issues, gate.label, issues_path)
-        found = [r["message"] for r in quality.issue_text(issues).limit(20).collect()]
+        # one row per check and column, as many as the gate lists
+        found = [r["message"] for r in quality.issue_text(issues).collect()]
         raise QualityError(f"[{gate.label}] quality check failed: " + "; ".join(found))
     return normalize(flat, gate.dates, gate.datetimes)
 

@@ -39,7 +39,8 @@ def run_extraction(spark: SparkSession, rows: DataFrame, folder: str, extract: e
         new = (extraction.extract_new(apart, kind, extract, done) if entities is None
                else extraction.extract_new_entities(rows, kind, entities[kind], extract, done))
         append_parquet(new.where("ok").select("id", "dados", "ok"), path)
-        answers[kind] = read_appended(spark, path)
+        # two runs at once may both have stored an id
+        answers[kind] = read_appended(spark, path).dropDuplicates(["id"])
     return extraction.attach_extracted(apart, answers["vaga"], answers["candidato"])
 
 
@@ -48,14 +49,18 @@ def score_pairs(df: DataFrame, job_vectors: tuple[str, str], candidate_vectors:
 
     ``job_vectors`` and ``candidate_vectors`` name the list-of-vector columns of skills and culture.
     """
+    return with_scores(df, scoring.skill_similarity(F.col(job_vectors[0]), F.col(candidate_vectors[0])),
+                       scoring.culture_similarity(F.col(job_vectors[1]), F.col(candidate_vectors[1])))
+
+
+def with_scores(df: DataFrame, skill: Column, culture: Column) -> DataFrame:
+    """Add the three scores from the two similarities, and the level scores they use."""
     df = scoring.structured_columns(df)
     comment = text.clean_text(F.col("p_comentario")) if "p_comentario" in df.columns else F.lit("")
     return df.withColumns({
-        "score_skills": scoring.total_skill_score(
-            scoring.skill_similarity(F.col(job_vectors[0]), F.col(candidate_vectors[0])),
-            F.col("structured_match_score")),
+        "score_skills": scoring.total_skill_score(skill, F.col("structured_match_score")),
         "score_behavioral": matching.behaviour_score(text.sentiment(comment, text.SENTIMENT_SCORING)),
-        "score_cultural": scoring.culture_similarity(F.col(job_vectors[1]), F.col(candidate_vectors[1])),
+        "score_cultural": culture,
     })
 
 
@@ -87,10 +92,23 @@ def score_table(df: DataFrame, encode: Encoder, job_lists: DataFrame | None = No
     df = features.build_features(df)
     job_lists = entity_lists(df, "codigo_vaga", "job") if job_lists is None else job_lists
     candidate_lists = entity_lists(df, "codigo_candidato", "app") if candidate_lists is None else candidate_lists
-    vectors = [f"{p}_{k}_vectors" for p in ("job", "app") for k in ("skill", "culture")]
-    paired = (df.join(entity_vectors(job_lists, "codigo_vaga", "job", encode), "codigo_vaga")
-              .join(entity_vectors(candidate_lists, "codigo_candidato", "app", encode), "codigo_candidato"))
-    return score_pairs(paired, (vectors[0], vectors[1]), (vectors[2], vectors[3])).drop(*vectors)
+    pairs = df.select("codigo_vaga", "codigo_candidato").distinct()
+    similar = pair_similarities(pairs, entity_vectors(job_lists, "codigo_vaga", "job", encode),
+                                entity_vectors(candidate_lists, "codigo_candidato", "app", encode))
+    scored = with_scores(df.join(similar, ["codigo_vaga", "codigo_candidato"]), F.col("_skill"), F.col("_culture"))
+    return scored.drop("_skill", "_culture")
+
+
+def pair_similarities(pairs: DataFrame, job_vectors: DataFrame, candidate_vectors: DataFrame) -> DataFrame:
+    """(codigo_vaga, codigo_candidato, _skill, _culture) of distinct pairs.
+
+    Only the two keys travel with the vectors; the wide pair rows meet two numbers afterwards.
+    """
+    joined = pairs.join(job_vectors, "codigo_vaga").join(candidate_vectors, "codigo_candidato")
+    return joined.select(
+        "codigo_vaga", "codigo_candidato",
+        scoring.skill_similarity(F.col("job_skill_vectors"), F.col("app_skill_vectors")).alias("_skill"),
+        scoring.culture_similarity(F.col("job_culture_vectors"), F.col("app_culture_vectors")).alias("_culture"))
 
 
 def run(spark: SparkSession, curated: str, folder: str, output: str, extract: extraction.Extract,
@@ -106,7 +124,7 @@ def run(spark: SparkSession, curated: str, folder: str, output: str, extract: ex
     write_parquet(feature_table(prospects, applicants, jobs), f"{folder}/features.parquet")
     enriched = run_extraction(spark, read_parquet(spark, f"{folder}/features.parquet"), folder, extract, entities)
     write_parquet(enriched, f"{folder}/resultado_final.parquet")
-    answers = {kind: read_appended(spark, f"{folder}/{name}") for kind, name in STATES.items()}
+    answers = {kind: read_appended(spark, f"{folder}/{name}").dropDuplicates(["id"]) for kind, name in STATES.items()}
     scored = score_table(read_parquet(spark, f"{folder}/resultado_final.parquet"), encode,
                          answer_lists(answers["vaga"], "codigo_vaga"), answer_lists(answers["candidato"], "codigo_candidato"))
     write_parquet(scored, output)

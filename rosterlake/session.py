@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,15 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a temporary folder; a cluster without it is an error, because a
-    machine-local path would be lost with its executor.
+    setting gets a temporary folder, removed when the process ends; a cluster without it is an
+    error, because a machine-local path would be lost with its executor.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
+        if spark.sparkContext.getCheckpointDir() is None:  # set after the session had started
+            spark.sparkContext.setCheckpointDir(folder)
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="rosterlake-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,16 +39,29 @@ def append_parquet(df: DataFrame, path: str) -> None:
     lack is null. Read such a table with :func:`read_appended`.
     """
     spark = df.sparkSession
+    fields = []
     if path_exists(spark, path):
-        stored = {f.name: f.dataType for f in read_appended(spark, path).schema.fields}
+        fields = read_appended(spark, path).schema.fields
+        stored = {f.name: f.dataType for f in fields}
         df = df.select(*[F.col(f"`{c}`").cast(stored[c]).alias(c) if c in stored else F.col(f"`{c}`")
                          for c in df.columns],
                        *[F.lit(None).cast(t).alias(c) for c, t in stored.items() if c not in df.columns])
+    merged = [*fields, *[f for f in df.schema.fields if f.name not in {x.name for x in fields}]]
+    if len(merged) > len(fields):  # the schema comes first: a reader sees new columns as null until the rows are there
+        rows = [(T.StructType(merged).json(),)]
+        spark.createDataFrame(rows, "value string").coalesce(1).write.mode("overwrite").text(f"{path}.schema")
     df.write.mode("append").parquet(path)
 
 
 def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """A table of :func:`append_parquet`, by the schema stored beside it, so no footer is opened for it.
+
+    Without a stored schema (a table from elsewhere) the footers are merged.
+    """
+    if not path_exists(spark, f"{path}.schema/_SUCCESS"):
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    schema = T.StructType.fromJson(json.loads(spark.read.text(f"{path}.schema").first()["value"]))
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, skip_bad: bool = False) -> DataFrame:
@@ -68,6 +82,7 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Values may hold line breaks, so a file is read by one task: write many files."""
     return spark.read.schema(schema).option("escape", '"').option("multiLine", "true").csv(path, header=True)
 
 
@@ -92,12 +107,25 @@ def recent_rows(df: DataFrame, time: str, days: int = 7) -> DataFrame:
     return df.where(F.col(time) >= latest - F.expr(f"INTERVAL {int(days)} DAYS"))
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished versions of a state table, ascending."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit() and path_exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
 def processed_ids(spark: SparkSession, path: str, key: str) -> DataFrame:
-    return read_or_empty(spark, path, f"{key} string")
+    """The ids of the last finished version, none before the first."""
+    versions = _versions(spark, path)
+    return read_or_empty(spark, f"{path}/{versions[-1]}" if versions else f"{path}/0", f"{key} string")
 
 
 def save_processed_ids(current: DataFrame, path: str, key: str) -> None:
-    """Replace the state by the current ids. ``current`` must not read from ``path``."""
-    current.select(F.col(key).cast("string").alias(key)).distinct().write.mode("overwrite").parquet(path)
+    """Make the current ids the state: a new version, so a crash while writing leaves the old one."""
+    spark = current.sparkSession
+    number = (_versions(spark, path) or [-1])[-1] + 1
+    current.select(F.col(key).cast("string").alias(key)).distinct().write.mode("overwrite").parquet(f"{path}/{number}")
 
 

@@ -29,10 +29,15 @@ def score_stream(requests: DataFrame, output: str, checkpoint: str, encode: Enco
     return requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def extraction_stream(rows: DataFrame, folder: str, output: str, checkpoint: str, extract: Extract) -> DataStreamWriter:
-    """Extract new ids of every micro-batch and write the enriched rows."""
+def extraction_stream(rows: DataFrame, folder: str, output: str, checkpoint: str, extract: Extract,
+                      entities: dict[str, DataFrame] | None = None) -> DataStreamWriter:
+    """Extract new ids of every micro-batch and write the enriched rows.
+
+    With ``entities`` (see :func:`run_extraction`) the texts come from the job and candidate tables, and
+    the streamed rows give their ids only.
+    """
     def write(batch: DataFrame, number: int) -> None:
-        enriched = run_extraction(batch.sparkSession, batch, folder, extract)
+        enriched = run_extraction(batch.sparkSession, batch, folder, extract, entities)
         enriched.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -1,3 +1,4 @@
+import decimal
 import json
 import math
 import random
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterlake.functions import vectors
 from rosterlake.operators import drift, evaluation, extraction, features, flatten, joins, ordered, payload, profile, quality, training
 from rosterlake.operators.embedding import encode_lists, lookup_encoder, udf_encoder
 from rosterlake.plans import curate, monitoring
@@ -103,7 +105,7 @@ def raw_job(title):
 def test_keyed_json_layouts(spark, tmp_path):
     for i in range(2):
         (tmp_path / f"jobs{i}.json").write_text(json.dumps({f"{i}": raw_job("Á"), f"{i}9": raw_job("b")}, indent=1), encoding="utf-8")
-    df = keyed_json.read_keyed_json(spark, str(tmp_path), "codigo_vaga", schemas.RAW_JOB)
+    df = keyed_json.read_keyed_json(spark, str(tmp_path), "codigo_vaga", schemas.RAW_JOB, "object_per_file")
     flat = flatten.flatten_nested(df)
     assert flat.columns == [f.name for f in schemas.CURATED_JOB.fields]
     assert sorted((r.codigo_vaga, r.ib_titulo_vaga, r.pv_nivel_profissional) for r in flat.collect()) == [
@@ -247,19 +249,101 @@ def test_encode_lists(spark):
 
 # ------------------------------------------------------------------------------------- drift
 def test_drift_pair(spark):
-    draw = random.Random(42)
-    def rows(n, mean, spread, letters):
-        return [(draw.gauss(mean, spread), draw.gauss(5, 2), draw.choice(letters), draw.uniform(0, 100), 1.0, None) for _ in range(n)]
-    shape = "feature_1 double, feature_2 double, feature_3 string, feature_4 double, same double, empty double"
-    reference, current = spark.createDataFrame(rows(1000, 0, 1, "ABC"), shape), spark.createDataFrame(rows(500, 0.5, 1.2, "ABCD"), shape)
-    out = {r["column"]: r for r in drift.column_drift(reference, current).collect()}
-    assert out["feature_1"].drifted and out["feature_1"].test == "ks"
-    assert out["feature_3"].drifted and out["feature_3"].score == 0.0 and math.isinf(out["feature_3"].statistic)
-    assert not out["feature_2"].drifted and not out["feature_4"].drifted and not out["same"].drifted
-    share = drift.dataset_drift(drift.column_drift(reference, current, ["feature_1", "feature_2", "feature_3", "feature_4"])).first()
+    draw = random.Random(7)
+    def rows(n, center, letters):
+        return [(draw.expovariate(1 / center), draw.triangular(-3, 9, 2), draw.choice(letters), draw.randint(0, 50), 1.0, None) for _ in range(n)]
+    shape = "moved double, steady double, group string, number int, same double, empty double"
+    reference, current = spark.createDataFrame(rows(700, 3, "uvw"), shape), spark.createDataFrame(rows(900, 6, "uvwz"), shape)
+    out = {r["column"]: r for r in drift.column_drift(reference, current, test="p_value").collect()}
+    assert out["moved"].drifted and out["moved"].test == "ks"
+    assert out["group"].drifted and out["group"].score == 0.0 and math.isinf(out["group"].statistic)
+    assert not out["steady"].drifted and not out["number"].drifted and not out["same"].drifted
+    assert (out["empty"].status, out["empty"].drifted, out["empty"].score) == ("no_values", False, None)
+    far = {r["column"]: r for r in drift.column_drift(reference, current).collect()}
+    assert far["moved"].drifted and far["moved"].test == "wasserstein" and far["group"].test == "jensen_shannon"
+    share = drift.dataset_drift(drift.column_drift(reference, current, ["moved", "steady", "group", "number"], test="p_value")).first()
     assert (share.drift_share, share.dataset_drift, share.alert) == (0.5, True, True)
-    psi = {r["column"]: r for r in drift.population_stability(reference, current, ["feature_1", "feature_2"]).collect()}
-    assert psi["feature_1"].alert and not psi["feature_2"].alert
+    psi = {r["column"]: r for r in drift.population_stability(reference, current, ["moved", "steady"]).collect()}
+    assert psi["moved"].alert and not psi["steady"].alert
+
+
+@pytest.mark.parametrize("test", ["distance", "p_value"])
+def test_drift_with_one_empty_side(spark, test):
+    full = spark.createDataFrame([("a", 1.0, 5), ("b", 2.0, 5)], "c string, x double, k int")
+    bare = spark.createDataFrame([(None, None, None)], "c string, x double, k int")
+    for reference, current in ((full, bare), (bare, full)):
+        out = drift.column_drift(reference, current, test=test, categorical=["k"]).collect()
+        assert {r["column"]: (r.status, r.drifted, r.score) for r in out} == {n: ("one_sided", True, None) for n in "cxk"}
+    with pytest.raises(ValueError, match="unknown test"):
+        drift.column_drift(full, full, test="size")
+
+
+def test_numbers_above_double_precision(spark):
+    ids = spark.createDataFrame([(2**53 + i, decimal.Decimal(2**60 + i)) for i in range(10)], "n bigint, d decimal(30,0)")
+    out = {r["column"]: r for r in profile.numeric_profile(ids).collect()}
+    assert out["n"].n_unique == out["d"].n_unique == 10
+    measured = {r["column"]: r for r in drift.numeric_drift(ids.where(f"n < {2**53 + 5}"), ids, ["n", "d"]).collect()}
+    assert measured["n"].n_values == measured["d"].n_values == 10 and measured["n"].ks == pytest.approx(0.5)
+
+
+def test_split_keeps_every_row(spark):
+    rows = [(None if i % 3 else i, i, None if i % 5 == 0 else i % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k bigint, x int, y int")
+    for bits in (2, 12):
+        out = training.stratified_split(df, "k", "y", bits=bits)
+        assert out.columns == ["k", "x", "y", "is_test"]
+        found = {r.y: (r.n, r.t) for r in out.groupBy("y").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()}
+        assert found == {None: (200, 40), 0: (400, 80), 1: (400, 80)} and out.select("x").distinct().count() == 1000
+    weights = {r.y: r.weight for r in training.balanced_weight(df, "y").collect()}
+    assert weights == pytest.approx({None: 1000 / 600, 0: 1000 / 1200, 1: 1000 / 1200})
+    many = spark.range(3000).selectExpr("id AS k", "id % 1500 AS y")
+    assert training.balanced_weight(many, "y").where("weight = 1").count() == 3000 and training.stratified_split(many, "k", "y").count() == 3000
+
+
+def test_search_space():
+    model = training.boosted_trees("y", maxBins=128)
+    assert model.getMaxBins() == 128
+    draws = training.random_params(model, 50)
+    assert all(50 <= d[model.maxIter] < 300 and 4 <= d[model.maxDepth] <= 6 for d in draws)
+
+
+def test_broken_keyed_json_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"1": raw_job("x")}))
+    (tmp_path / "b.json").write_text('{"3": {"perfil_vaga": {}}, "4": {"perfil')
+    for layout in ("object_per_file", "list", "lines"):
+        with pytest.raises(Exception, match="MALFORMED|malformed|Malformed|FAILED_READ_FILE"):
+            keyed_json.read_keyed_json(spark, str(tmp_path), "codigo_vaga", schemas.RAW_JOB, layout).collect()
+
+
+def test_requests_are_scored_apart(spark):
+    cand = lambda skill: json.dumps({"skills": {"technical_skills": [skill]}})
+    job = json.dumps({"requirements": {"required_tech_skills": ["Python"]}, "metadata": {"job_title": "t"}})
+    shape = "request_id string, resume_text string, job_id string, job_description string, candidate_data string, job_data string"
+    rows = [("same", None, None, None, cand("Python"), job), ("same", None, None, None, cand("Java"), job),
+            ("same", None, None, None, cand("Java"), job), (None, None, None, None, cand("Python"), job)]
+    out = payload.score_requests(spark.createDataFrame(rows, shape), vectors_for(["Python", "Java"])).collect()
+    assert sorted((r.request_id or "", r.status, r.reason or "", r.score_skills if r.score_skills is not None else -1) for r in out) == [
+        ("", "rejected", "request_id is required", -1), ("same", "ok", "", 0.0), ("same", "ok", "", 0.0), ("same", "ok", "", 1.0)]
+
+
+def test_schema_errors_are_all_kept(spark, tmp_path):
+    df = spark.createDataFrame([(None, str(i)) for i in range(60)], "id string, a string")
+    contract = T.StructType([T.StructField("id", T.StringType(), False), T.StructField("a", T.StringType())])
+    with pytest.raises(ValueError, match="60 errors"):
+        quality.assert_schema(df, contract, "t", "id", str(tmp_path / "errors"))
+    assert spark.read.parquet(str(tmp_path / "errors")).count() == 60
+
+
+def test_kernel_block_limits(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(1)
+    lists = lambda: pa.array([rng.standard_normal((int(n), 4)).tolist() for n in rng.integers(0, 9, 40)], pa.list_(pa.list_(pa.float32())))
+    a, b = lists(), lists()
+    whole = vectors._mean_best(a, b, None, 0.5).to_pylist()
+    for cells in (1, 300, 5000):
+        monkeypatch.setattr(vectors, "CELLS", cells)
+        assert vectors._mean_best(a, b, None, 0.5).to_pylist() == pytest.approx(whole)
 
 
 def test_p_values():

@@ -43,7 +43,7 @@ def curated(spark, tmp_path_factory):
     for name, data, key, record in (("jobs", JOBS, "codigo_vaga", schemas.RAW_JOB), ("prospects", PROSPECTS, "codigo_vaga", schemas.RAW_PROSPECT),
                                     ("applicants", APPLICANTS, "codigo_candidato", schemas.RAW_APPLICANT)):
         (folder / f"{name}.json").write_text(json.dumps(data, ensure_ascii=False, indent=2), encoding="utf-8")
-        tables.append(keyed_json.read_keyed_json(spark, str(folder / f"{name}.json"), key, record))
+        tables.append(keyed_json.read_keyed_json(spark, str(folder / f"{name}.json"), key, record, "object_per_file"))
     target = str(folder / "curated")
     curate.curate_all(*tables, target, str(folder / "issues"))
     return target

@@ -19,6 +19,11 @@ from .base import CURATED_SQL, JOINED_SQL, applicants, joined, jobs, prospects,
 from .text_queries import sql_level, sql_sentiment
 
 
+# the weights that both sides use
+WEIGHTS = dict(matching.BASELINE_WEIGHTS)
+TECHNICAL = dict(matching.TECHNICAL_WEIGHTS)
+
+
 # --------------------------------------------------------------------------------- vectors
 def in_range(score: str):
     """A cosine-like score is null (no common basis) or within [0, 1] for vectors without negative parts."""
@@ -151,47 +156,92 @@ def _(spark, sf):
                         F.coalesce(F.col("low") > F.lag("high").over(by_tier), F.lit(True)).alias("above_previous"))
 
 
-@query("text_embedding", "M14,M5", """
-    SELECT a.conv_id, a.turn, true AS in_range, a.text = b.text AS same_text FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")
+# An encoder that SQL can repeat: how often each of a few letters occurs in the text.
+LETTERS = "aeiorstnADMO "
+
+
+def letter_encoder(texts):
+    count = lambda c: (F.length("text") - F.length(F.replace(F.col("text"), F.lit(c), F.lit("")))).cast("float")
+    return texts.withColumn("vector", F.array(*[count(c) for c in LETTERS]))
+
+
+def sql_letters(x: str) -> str:
+    return "[" + ", ".join(f"(length({x}) - length(replace({x}, '{c}', '')))::double" for c in LETTERS) + "]"
+
+
+def sql_letter_cosine(a: str, b: str) -> str:
+    """Null if one side is missing or holds none of the letters."""
+    return (f"CASE WHEN list_sum({sql_letters(a)}) > 0 AND list_sum({sql_letters(b)}) > 0 "
+            f"THEN list_cosine_similarity({sql_letters(a)}, {sql_letters(b)}) END")
+
+
+@query("text_embedding", "M14,M5", f"""
+    SELECT a.conv_id, a.turn, round({sql_letter_cosine('a.text', 'b.text')}, 5) AS similarity, a.text = b.text AS same_text
+    FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")
 def _(spark, sf):
     """Similarity of every turn with the next turn of its conversation."""
     c = table(spark, sf, "conversations")
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     df = c.select("conv_id", "turn", "text").join(nxt, ["conv_id", "turn"])
-    out = embedding.text_similarity(df, "text", "reply", "similarity", embedding.tfidf_encoder(256))
-    return out.select("conv_id", "turn", in_range("similarity"), (F.col("text") == F.col("reply")).alias("same_text"))
+    out = embedding.text_similarity(df, "text", "reply", "similarity", letter_encoder)
+    return out.select("conv_id", "turn", r("similarity", 5), (F.col("text") == F.col("reply")).alias("same_text"))
+
+
+@query("tfidf_similarity", "M14", """
+    SELECT a.conv_id, a.turn, true AS in_range, a.text = b.text AS same_text FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")
+def _(spark, sf):
+    """Hashed TF-IDF with its default width: equal texts have similarity 1, all lie in [0, 1], none is missing."""
+    c = table(spark, sf, "conversations")
+    nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
+    df = c.select("conv_id", "turn", "text").join(nxt, ["conv_id", "turn"])
+    out = embedding.text_similarity(df, "text", "reply", "similarity", embedding.tfidf_encoder())
+    there = F.coalesce(F.col("similarity").between(0, 1 + 1e-6), F.lit(False))
+    return out.select("conv_id", "turn", there.alias("in_range"), (F.col("text") == F.col("reply")).alias("same_text"))
+
+
+BASELINE_TEXTS = ("coalesce(job_pv_principais_atividades, '') || ' ' || coalesce(job_pv_competencia_tecnicas_e_comportamentais, '')",
+                  "coalesce(app_ip_conhecimentos_tecnicos, '') || ' ' || coalesce(app_cv_pt, '')")
 
 
 @query("technical_baseline", "M6,M13,F24", f"""
-    WITH {JOINED_SQL} SELECT codigo_vaga, codigo_candidato, linha, round({STRUCTURED}, 6) AS structured_match_score, true AS in_range, true AS has_tier FROM joined""")
+    WITH {JOINED_SQL}, s AS (SELECT codigo_vaga, codigo_candidato, linha, {STRUCTURED} AS st, {sql_letter_cosine(*BASELINE_TEXTS)} AS cosine FROM joined)
+    SELECT codigo_vaga, codigo_candidato, linha, round(st, 6) AS structured_match_score, round(cosine, 5) AS soft_match_score,
+      round({WEIGHTS['structured']}::double * st + {WEIGHTS['cosine']}::double * cosine, 5) AS final_technical_score, true AS nearest_tier FROM s""")
 def _(spark, sf):
-    df = scoring.technical_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
-    scores = store(df.select("codigo_vaga", "codigo_candidato", "linha", "structured_match_score", "final_technical_score"))
-    tiers = scoring.add_tiers(scores, "final_technical_score")
-    has_tier = F.col("tier").between(0, 2) == F.col("final_technical_score").isNotNull()
-    return tiers.select("codigo_vaga", "codigo_candidato", "linha", r("structured_match_score"), in_range("final_technical_score"),
-                        F.coalesce(has_tier, F.col("final_technical_score").isNull()).alias("has_tier"))
+    """A tier is right if its centre is the nearest of the three mean scores of the tiers."""
+    df = scoring.technical_baseline(joined(spark, sf), letter_encoder)
+    scores = store(df.select("codigo_vaga", "codigo_candidato", "linha", "structured_match_score", "soft_match_score", "final_technical_score"))
+    tiers = store(scoring.add_tiers(scores, "final_technical_score"))
+    centers = tiers.groupBy("tier").agg(F.avg("final_technical_score").alias("center"))
+    listed = centers.agg(F.array_sort(F.collect_list("center")).alias("centers"))  # three rows
+    away = F.transform("centers", lambda c: F.abs(F.col("final_technical_score") - c))
+    near = F.element_at(away, F.col("tier").cast("int") + 1) <= F.array_min(away) + 1e-3
+    return tiers.crossJoin(F.broadcast(listed)).select(
+        "codigo_vaga", "codigo_candidato", "linha", r("structured_match_score"), r("soft_match_score", 5), r("final_technical_score", 5),
+        F.coalesce(near, F.lit(False)).alias("nearest_tier"))
 
 
 @query("technical_ranking", "M7,U3,T1,M1,M3", f"""
     WITH {JOINED_SQL}, {PAIRS_SQL}, n AS (SELECT count(*) AS n FROM pairs), s AS (
-      SELECT codigo_vaga, codigo_candidato, ({sql_mean_best(0.5, 0.0)}) AS soft, {STRUCTURED} AS st
+      SELECT codigo_vaga, codigo_candidato, ({sql_mean_best(0.5, 0.0)}) AS soft, {STRUCTURED} AS st,
+        {sql_letter_cosine("coalesce(job_pv_principais_atividades, '')", "coalesce(app_cv_pt, '')")} AS cosine
       FROM joined, n JOIN pairs ON pairs.vec_id = codigo_candidato::bigint % n.n)
-    SELECT codigo_vaga, codigo_candidato, round(soft, 3) AS soft_match_score, round(st, 3) AS structured_match_score FROM s""")
+    SELECT codigo_vaga, codigo_candidato, round(soft, 3) AS soft_match_score, round(st, 3) AS structured_match_score, round(cosine, 3) AS cosine_similarity_score,
+      round({TECHNICAL['soft']}::double * soft + {TECHNICAL['structured']}::double * st + {TECHNICAL['cosine']}::double * coalesce(cosine, 0), 3) AS technical_score FROM s""")
 def _(spark, sf):
     pairs = vector_pairs(spark, sf).drop("a", "b")
     n = pairs.agg(F.count("*")).scalar()
     df = joined(spark, sf).withColumn("vec_id", F.col("codigo_candidato").cast("bigint") % n).join(pairs, "vec_id")
-    ranked = scoring.technical_ranking(df, "need", "have", embedding.tfidf_encoder(64))
-    return ranked.select("codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score")
+    return scoring.technical_ranking(df, "need", "have", letter_encoder)
 
 
 @query("cultural_baseline", "M10,F24", f"""
-    WITH {JOINED_SQL} SELECT codigo_vaga, codigo_candidato, linha, job_pv_habilidades_comportamentais_necessarias || ' ' || job_ib_objetivo_vaga AS job_culture_text,
-      coalesce(app_ib_objetivo_profissional, '') || ' ' || coalesce(p_comentario, '') AS app_culture_text, true AS in_range FROM joined""")
+    WITH {JOINED_SQL}, t AS (SELECT *, job_pv_habilidades_comportamentais_necessarias || ' ' || job_ib_objetivo_vaga AS job_culture_text,
+      coalesce(app_ib_objetivo_profissional, '') || ' ' || coalesce(p_comentario, '') AS app_culture_text FROM joined)
+    SELECT codigo_vaga, codigo_candidato, linha, job_culture_text, app_culture_text, round({sql_letter_cosine('job_culture_text', 'app_culture_text')}, 5) AS cultural_score FROM t""")
 def _(spark, sf):
-    df = scoring.cultural_baseline(joined(spark, sf), embedding.tfidf_encoder(128))
-    return df.select("codigo_vaga", "codigo_candidato", "linha", "job_culture_text", "app_culture_text", in_range("cultural_score"))
+    df = scoring.cultural_baseline(joined(spark, sf), letter_encoder)
+    return df.select("codigo_vaga", "codigo_candidato", "linha", "job_culture_text", "app_culture_text", r("cultural_score", 5))
 
 
 # ------------------------------------------------------------------------------- extraction
@@ -328,8 +378,20 @@ def _(spark, sf):
     return scored.withColumns({"score_skills": r("score_skills"), "score_cultural": r("score_cultural")})
 
 
+@query("payload_repeated_ids", "M16", f"""
+    SELECT (request_id::bigint % 10)::varchar AS request_id, * EXCLUDE (request_id) FROM ({PAYLOAD_SQL}) WHERE request_id::bigint % 17 <> 0
+    UNION ALL SELECT NULL, 'rejected', coalesce(reason, 'request_id is required'), NULL, NULL, NULL, NULL FROM ({PAYLOAD_SQL}) WHERE request_id::bigint % 17 = 0""")
+def _(spark, sf):
+    """Ten ids for all requests and none for some: every request is scored by its own payload."""
+    n = F.col("request_id").cast("bigint")
+    shared = requests(spark, sf).withColumn("request_id", F.when(n % 17 != 0, (n % 10).cast("string")))
+    scored = payload.score_requests(shared, embedding.lookup_encoder(vocabulary(spark, sf)))
+    return scored.withColumns({"score_skills": r("score_skills"), "score_cultural": r("score_cultural")})
+
+
 @query("payload_defaults", "M17", """
-    SELECT conv_id, turn, 'unknown' AS seniority, 'not_declared' AS education, role AS title, 'general' AS department, 'remote' AS location, -1 AS days,
+    SELECT conv_id, turn, 'unknown' AS seniority, 'not_declared' AS education, CASE WHEN turn % 3 <> 0 THEN role END AS title, 'general' AS department,
+      CASE WHEN turn % 3 = 0 THEN 'x' ELSE 'remote' END AS location, -1 AS days,
       0 AS n_tools, 1 AS n_skills, CASE WHEN turn % 3 = 0 THEN 'job_title is required' END AS rejected FROM conversations""")
 def _(spark, sf):
     c = table(spark, sf, "conversations")
@@ -341,9 +403,9 @@ def _(spark, sf):
                   F.when(F.col("turn") % 3 == 0, F.lit('{"metadata": {"location": "x"}}')).otherwise(titled).alias("job_data"))
     out = payload.read_payloads(df)
     return out.select("conv_id", "turn", F.col("candidate.profile.seniority_inferred").alias("seniority"),
-                      F.col("candidate.profile.education_level").alias("education"), F.coalesce("job.metadata.job_title", "role").alias("title"),
+                      F.col("candidate.profile.education_level").alias("education"), F.col("job.metadata.job_title").alias("title"),
                       F.col("job.metadata.department").alias("department"),
-                      F.when(F.col("rejected").isNull(), F.col("job.metadata.location")).otherwise("remote").alias("location"),
+                      F.col("job.metadata.location").alias("location"),
                       F.col("candidate.behavioral_signals.days_in_process").alias("days"),
                       F.size("candidate.skills.tools").alias("n_tools"), F.size("candidate.skills.technical_skills").alias("n_skills"), "rejected")
 

@@ -10,7 +10,7 @@ from rosterlake.functions import text
 from rosterlake.operators import drift, evaluation, features, training
 from rosterlake.plans import monitoring
 from rosterlake.plans import training as training_plan
-from rosterlake.session import scratch_path
+from rosterlake.session import scratch_path, store
 from rosterlake.sources import tables
 
 from .base import JOINED_SQL, jobs, joined, query, r, table
@@ -40,6 +40,17 @@ def _(spark, sf):
         "o_orderstatus", "o_orderkey", "is_test")
 
 
+@query("stratified_split_null_keys", "L2", """
+    SELECT o_orderstatus, count(*) AS n, round(count(*) * 0.2::double)::bigint AS n_test FROM (
+      SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders) GROUP BY 1""")
+def _(spark, sf):
+    """A third of the keys and a seventh of the classes are null: every row stays, every class has its share."""
+    o = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("key"), "o_custkey", "o_totalprice",
+                                          F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("o_orderstatus"))
+    return training.stratified_split(o, "key", "o_orderstatus").groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.count_if("is_test").alias("n_test"))
+
+
 @query("balanced_weights", "L4", """
     SELECT doc_id, round((SELECT count(*) FROM labels)::double / (2 * count(*) OVER (PARTITION BY toxic)), 6) AS weight FROM labels""")
 def _(spark, sf):
@@ -76,28 +87,53 @@ def document_frame(spark, sf):
                        (F.length(F.regexp_replace("text", "[^A-Z]", "")) / F.greatest(F.col("n_chars"), F.lit(1))).alias("capitals"))
 
 
-@query("train_gbt", "L2,L3,L4,L6,L9,T4")
+def split_sql(source: str, key: str, label: str) -> str:
+    """Rows, test rows and class weight of every class, from the hash split alone."""
+    return f"""s AS (SELECT {label} AS label, row_number() OVER (PARTITION BY {label} ORDER BY {HASH.format(key)}, {key})
+        <= round(count(*) OVER (PARTITION BY {label}) * 0.2::double) AS is_test FROM {source}),
+      k AS (SELECT label, count(*) AS n, count(*) FILTER (is_test) AS n_test, count(*) FILTER (NOT is_test) AS n_train FROM s GROUP BY 1)"""
+
+
+def run_facts(spark, df, key, label, runs):
+    """What the logged run says beside what the split and its weights say, a row per class."""
+    split = training.stratified_split(df, key, label)
+    weights = training.balanced_weight(split.where("NOT is_test"), label).groupBy(label).agg(F.first("weight").alias("weight"))
+    best = training.best_run(spark.read.schema(training.RUN_SCHEMA).parquet(runs))
+    logged = best.select("run_name", "params.model", F.expr("metrics.roc_auc BETWEEN 0 AND 1").alias("has_auc"),
+                         F.expr("map_contains_key(metrics, 'accuracy')").alias("has_accuracy"))
+    return (split.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"), F.count_if("is_test").alias("n_test"))
+            .join(weights.select(F.col(label).alias("label"), r("weight")), "label").crossJoin(logged))
+
+
+@query("train_gbt", "L2,L3,L4,L6,L9,T4", f"""
+    WITH d AS (SELECT doc_id, quality FROM labels JOIN documents USING (doc_id)), {split_sql('d', 'doc_id', 'quality')}
+    SELECT label, n, n_test, round((SELECT sum(n_train) FROM k)::double / ((SELECT count(*) FROM k) * n_train), 6) AS weight,
+      'documents' AS run_name, 'gbt' AS model, true AS has_auc, true AS has_accuracy FROM k""")
 def _(spark, sf):
     """Train, evaluate, log the run, read back the best run."""
     runs, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
     df = document_frame(spark, sf)
     training_plan.train_and_log(spark, df, "doc_id", runs, models, "documents", ["n_chars", "n_words", "stops", "capitals"], ["lang"], maxIter=10)
-    best = training.best_run(spark.read.schema(training.RUN_SCHEMA).parquet(runs))
-    return best.select("run_name", F.try_element_at("metrics", F.lit("roc_auc")).alias("roc_auc"),
-                       F.try_element_at("metrics", F.lit("accuracy")).alias("accuracy"))
+    return run_facts(spark, df, "doc_id", "engajado", runs)
 
 
-@query("train_engagement", "L5,L8,L9")
+@query("train_engagement", "L5,L8,L9", f"""
+    WITH {JOINED_SQL}, d AS (SELECT codigo_vaga || '-' || codigo_candidato || '-' || linha AS row_id,
+        coalesce(p_situacao_candidado IN ('APROVADO', 'ENTREVISTA TÉCNICA'), false)::int AS engajado FROM joined), {split_sql('d', 'row_id', 'engajado')}
+    SELECT label, n, n_test, round((SELECT sum(n_train) FROM k)::double / ((SELECT count(*) FROM k) * n_train), 6) AS weight,
+      'engagement' AS run_name, 'gbt' AS model, true AS has_auc, true AS has_accuracy FROM k""")
 def _(spark, sf):
-    """Random search over the engagement features of the joined table."""
+    """Random search over the engagement features of the joined table, the recruiter category included.
+
+    The search is shortened by its parameters (tries, folds, trees); the full ranges are the defaults.
+    """
     runs, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
     df = features.build_features(joined(spark, sf))
     df = training_plan.engagement_table(df, F.lit("2002-01-01").cast("date"))
-    df = df.withColumn("row_id", F.concat_ws("-", "codigo_vaga", "codigo_candidato", "linha"))
+    df = store(df.withColumn("row_id", F.concat_ws("-", "codigo_vaga", "codigo_candidato", "linha")))
     training_plan.train_and_log(spark, df, "row_id", runs, models, "engagement", training.ENGAGEMENT_NUMERIC, tries=2, folds=2,
-                                categorical=[], trees=(3, 6), parallelism=2)
-    return spark.read.schema(training.RUN_SCHEMA).parquet(runs).select(
-        "run_name", F.try_element_at("metrics", F.lit("roc_auc")).alias("roc_auc"))
+                                trees=(3, 6), parallelism=2)
+    return run_facts(spark, df, "row_id", "engajado", runs)
 
 
 @query("export_best", "L9,L10,T4", """
@@ -229,15 +265,11 @@ def _(spark, sf):
 
 
 KS_P = """CASE WHEN x < 0.2 THEN 1.0 ELSE least(greatest(2 * list_sum([pow(-1, k - 1) * exp(-2 * k * k * x * x) for k in range(1, 101)]), 0), 1) END"""
-CHI_P = "abs(1 - list_sum([exp(-h + (a + i) * ln(h) - lgamma(a + i + 1)) for i in range(0, 2000)]))"
 COLUMN_SQL = f"""
-    num AS (SELECT *, (rt + 0.12 + 0.11 / rt) * ks AS x FROM (SELECT *, sqrt(n_ref * n_cur / (n_ref + n_cur)::double) AS rt
-      FROM ({sql_numeric_drift('value')} UNION ALL {sql_numeric_drift('user_id')} UNION ALL {sql_numeric_drift('hour')}))),
-    cat AS (SELECT *, (n_values - 1) / 2.0::double AS a, chi2 / 2 AS h FROM ({sql_category_drift('event_type')})),
-    size AS (SELECT count(*) <= 1000 AS small FROM ref),
-    c AS (SELECT *, CASE WHEN small THEN score < 0.05 ELSE score >= 0.1 END AS drifted FROM (
-      SELECT column_name, 'num' AS kind, CASE WHEN small THEN 'ks' ELSE 'wasserstein' END AS test, CASE WHEN small THEN {KS_P} ELSE wasserstein END AS score, small FROM num, size
-      UNION ALL SELECT column_name, 'cat', CASE WHEN small THEN 'chi2' ELSE 'jensen_shannon' END, CASE WHEN small THEN {CHI_P} ELSE jensen_shannon END, small FROM cat, size))"""
+    c AS (SELECT *, score >= 0.1 AS drifted FROM (
+      SELECT column_name, 'num' AS kind, 'wasserstein' AS test, wasserstein AS score
+        FROM ({sql_numeric_drift('value')} UNION ALL {sql_numeric_drift('user_id')} UNION ALL {sql_numeric_drift('hour')})
+      UNION ALL SELECT column_name, 'cat', 'jensen_shannon', jensen_shannon FROM ({sql_category_drift('event_type')})))"""
 
 
 @query("drift_columns", "D1", f"""
@@ -257,7 +289,7 @@ def _(spark, sf):
 
 @query("drift_small_reference", "D1", f"""
     WITH g AS (SELECT c_nationkey AS g, c_acctbal AS v, c_mktsegment AS s, c_custkey % 2 AS b, c_custkey FROM customer),
-    ref AS (SELECT v, s, (b = 0)::varchar AS b FROM g WHERE c_custkey < 120), cur AS (SELECT v, s, (b = 0 OR c_custkey % 5 = 0)::varchar AS b FROM g WHERE c_custkey >= 120),
+    ref AS (SELECT v, s, (b = 0)::varchar AS b FROM g WHERE c_custkey % 3 = 0), cur AS (SELECT v, s, (b = 0 OR c_custkey % 5 = 0)::varchar AS b FROM g WHERE c_custkey % 3 <> 0),
     n AS (SELECT ks, n_ref, n_cur, sqrt(n_ref * n_cur / (n_ref + n_cur)::double) AS rt FROM ({sql_numeric_drift('v')})),
     k AS (SELECT ks, (rt + 0.12 + 0.11 / rt) * ks AS x FROM n),
     c AS (SELECT chi2, (n_values - 1) / 2.0::double AS a, chi2 / 2 AS h FROM ({sql_category_drift('s')})),
@@ -267,16 +299,29 @@ def _(spark, sf):
     UNION ALL SELECT 's', 'chi2', round(chi2, 6), abs(round(1 - list_sum([exp(-h + (a + i) * ln(h) - lgamma(a + i + 1)) for i in range(0, 2000)]), 6)) FROM c
     UNION ALL SELECT 'b', 'z', round(z, 6), NULL FROM z""")
 def _(spark, sf):
-    """A fixed reference against all later customers: the tests for at most 1000 reference rows."""
+    """The tests with p-values, over all customers: every third one against the others."""
     g = table(spark, sf, "customer").select(
         "c_custkey", F.col("c_acctbal").alias("v"), F.col("c_mktsegment").alias("s"), (F.col("c_custkey") % 2 == 0).alias("even"))
-    ref = g.where("c_custkey < 120").select("v", "s", F.col("even").cast("string").alias("b"))
-    cur = g.where("c_custkey >= 120").select("v", "s", (F.col("even") | (F.col("c_custkey") % 5 == 0)).cast("string").alias("b"))
-    df = drift.column_drift(ref, cur)
+    ref = g.where("c_custkey % 3 = 0").select("v", "s", F.col("even").cast("string").alias("b"))
+    cur = g.where("c_custkey % 3 <> 0").select("v", "s", (F.col("even") | (F.col("c_custkey") % 5 == 0)).cast("string").alias("b"))
+    df = drift.column_drift(ref, cur, test="p_value")
     return df.select(F.col("column").alias("column_name"), "test", r("statistic"),
                      F.when(F.col("test") != "z", F.round("score", 6)).alias("score"))
 
 
+@query("drift_empty_columns", "D1,D2", f"""
+    WITH {SIDES} SELECT * FROM (VALUES ('gone', 'one_sided', true), ('new_number', 'one_sided', true), ('none', 'no_values', false)) t(column_name, status, drifted)
+    UNION ALL SELECT 'event_type', CASE WHEN (SELECT count(event_type) FROM ref) > 0 AND (SELECT count(event_type) FROM cur) > 0 THEN 'ok' END, jensen_shannon >= 0.1
+      FROM ({sql_category_drift('event_type')})""")
+def _(spark, sf):
+    """Columns without any value on one side or on both."""
+    null = F.lit(None).cast("string")
+    ref, cur = event_sides(spark, sf)
+    ref = ref.select("event_type", F.col("event_type").alias("gone"), F.lit(None).cast("double").alias("new_number"), null.alias("none"))
+    cur = cur.select("event_type", null.alias("gone"), F.col("value").alias("new_number"), null.alias("none"))
+    return drift.column_drift(ref, cur).select(F.col("column").alias("column_name"), "status", "drifted")
+
+
 PSI_SHARE = "CASE WHEN {0} > 0 THEN {0} / {1}::double ELSE 0.0001 END"
 
 

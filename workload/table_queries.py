@@ -17,13 +17,37 @@ from .base import (APPLICANTS, CURATED_SQL, JOBS, JOINED_SQL, PROSPECTS, applica
 
 
 # ---------------------------------------------------------------------- sources and sinks
-@query("keyed_json_scan", "S1,P3,P4", """
-    SELECT c_custkey::varchar AS codigo, c_name AS d_nome, c_mktsegment AS d_segmento, c_acctbal AS saldo FROM customer""")
-def _(spark, sf):
-    """Each line of the file is one keyed object of two entries made from a single row and its twin."""
+def keyed_entries():
+    """Records of customers as raw blocks, and their type."""
     record = T.StructType.fromDDL("dados struct<nome:string, `segmentô`:string>, saldo double")
     entry = F.struct(F.struct(F.col("c_name").alias("nome"), F.col("c_mktsegment").alias("segmentô")).alias("dados"),
                      F.col("c_acctbal").alias("saldo"))
+    return record, entry
+
+
+@query("keyed_json_files", "S1,P3,P4", """
+    SELECT c_custkey::varchar AS codigo, c_name AS d_nome, c_mktsegment AS d_segmento, c_acctbal AS saldo, l.layout FROM customer, (VALUES ('object'), ('list')) l(layout)""")
+def _(spark, sf):
+    """Files of one keyed object each, and files of one list each; both of 500 customers."""
+    record, entry = keyed_entries()
+    customers, part = table(spark, sf, "customer"), F.floor(F.col("c_custkey") / 500).alias("part")
+    key = F.col("c_custkey").cast("string")
+    objects = customers.groupBy(part).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(key, entry)))).alias("value"))
+    lists = customers.groupBy(part).agg(F.to_json(F.collect_list(F.struct(key.alias("codigo"), entry.dados.alias("dados"), entry.saldo.alias("saldo")))).alias("value"))
+    out = None
+    for layout, df, name in (("object_per_file", objects, "object"), ("list", lists, "list")):
+        path = scratch_path(spark, layout)
+        df.select("value").write.option("maxRecordsPerFile", 1).text(path)
+        rows = flatten.flatten_nested(keyed_json.read_keyed_json(spark, path, "codigo", record, layout)).withColumn("layout", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("keyed_json_scan", "S1,P3,P4", """
+    SELECT c_custkey::varchar AS codigo, c_name AS d_nome, c_mktsegment AS d_segmento, c_acctbal AS saldo FROM customer""")
+def _(spark, sf):
+    """Each line of the file is one keyed object."""
+    record, entry = keyed_entries()
     path = scratch_path(spark, "keyed")
     lines = table(spark, sf, "customer").select(
         F.to_json(F.create_map(F.col("c_custkey").cast("string"), entry)).alias("value"))
@@ -50,11 +74,11 @@ def _(spark, sf):
     return tables.read_jsonl(spark, path, "event_id bigint, user_id bigint, event_type string", skip_bad=True)
 
 
-@query("parquet_overwrite", "S2,S3", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+@query("parquet_overwrite", "S2,S3", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus <> 'O'")
 def _(spark, sf):
     path, o = scratch_path(spark, "over"), table(spark, sf, "orders")
     tables.write_parquet(o.where("o_orderstatus = 'O'"), path)
-    tables.write_parquet(o.where("o_orderstatus = 'F'"), path)
+    tables.write_parquet(o.where("o_orderstatus <> 'O'"), path)
     return tables.read_parquet(spark, path).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -112,15 +136,14 @@ def _(spark, sf):
 
 
 @query("ocr_decision", "S11", """
-    SELECT doc_id, doc_id % 7 = 0 OR length(trim(substr(text, 1, 30 + (doc_id % 40)::int), E' \\n\\t')) < 50 AS needs_ocr,
-      CASE WHEN (doc_id % 7 = 0 OR length(trim(substr(text, 1, 30 + (doc_id % 40)::int), E' \\n\\t')) < 50) AND doc_id % 3 <> 0
-           THEN 'ocr ' || doc_id ELSE substr(text, 1, 30 + (doc_id % 40)::int) END AS chosen FROM documents""")
+    SELECT doc_id, doc_id % 7 = 0 OR length(trim(text, E' \\n\\t')) < 50 AS needs_ocr,
+      CASE WHEN (doc_id % 7 = 0 OR length(trim(text, E' \\n\\t')) < 50) AND doc_id % 3 <> 0 THEN 'ocr ' || doc_id ELSE text END AS chosen FROM documents""")
 def _(spark, sf):
-    short = F.substring("text", F.lit(1), (30 + F.col("doc_id") % 40).cast("int"))
+    text = F.col("text")
     ocr = F.when(F.col("doc_id") % 3 == 0, "  ").otherwise(F.concat(F.lit("ocr "), "doc_id"))
     force = F.col("doc_id") % 7 == 0
     return table(spark, sf, "documents").select(
-        "doc_id", documents.needs_ocr(short, force).alias("needs_ocr"), documents.choose_text(short, ocr, force).alias("chosen"))
+        "doc_id", documents.needs_ocr(text, force).alias("needs_ocr"), documents.choose_text(text, ocr, force).alias("chosen"))
 
 
 @query("inline_lookup", "S12,P13", """
