@@ -421,9 +421,15 @@ def material(pages: list[str], seed: int = SEED, variants: int = VARIANTS):
 
 
 def fit(pages: DataFrame, id_column: str = "page_id", html_column: str = "html") -> dict[str, np.ndarray] | None:
-    """Weights from the bounded sample; None if no sampled page has a block."""
-    sample = (pages.select(F.col(id_column).cast("string").alias("id"), F.col(html_column).cast("string").alias("html"))
-              .where(F.char_length("html").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("id", F.lit(SEED)), "html").limit(SAMPLE))
+    """Weights from the bounded sample; None if no sampled page has a block.
+
+    Pages are drawn by a hash of their id, about twice as many as wanted, so that what reaches the driver does not
+    grow with the table; the smallest hashes of these are taken.
+    """
+    rows = pages.select(F.col(id_column).cast("string").alias("id"), F.col(html_column).cast("string").alias("html"))
+    rank = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 40))
+    drawn = rows.where(rank < F.lit(int(min(1.0, 2 * SAMPLE / max(pages.count(), 1)) * (1 << 40))))
+    sample = drawn.where(F.char_length("html").between(1, SAMPLE_CHARS)).orderBy(rank, "html").limit(SAMPLE)
     x, y = material([r.html for r in sample.collect()])
     return train(x, y) if x else None
 
