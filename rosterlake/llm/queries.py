@@ -25,9 +25,11 @@ def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per passage that repeats an earlier document (``home_id``), with its words in the later one."""
     found = substrings.repeated_passages(read_table(spark, folder, "documents"))
-    words = F.aggregate(F.zip_with("starts", "ends", lambda a, b: (b - a).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    return found.select("doc_id", "n_words", F.size("starts").alias("n_passages"), words.alias("repeated_words"), "starts", "ends", "homes")
+    spans = F.explode(F.arrays_zip("starts", "ends", "homes")).alias("x")
+    return found.select("doc_id", "n_words", spans).select(
+        "doc_id", F.col("x.homes").alias("home_id"), F.col("x.starts").alias("start_word"), F.col("x.ends").alias("end_word"), "n_words")
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
