@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import sys
 
 from pyspark.sql import Window
@@ -293,27 +292,26 @@ LIST_FIELDS = extraction.CANDIDATE_LIST_FIELDS
 TEXT_FIELDS = extraction.TEXT_FIELDS
 
 
-def answer(prompt: str) -> str:
-    """A stand-in for a text generator: one word list and fixed texts."""
-    body = {name: prompt.split()[:1] for name in LIST_FIELDS}
-    body.update({name: "x" for name in TEXT_FIELDS})
-    return "```json\n" + json.dumps(body, ensure_ascii=False) + "\n```"
-
-
-def flaky(prompt: str) -> str:
-    """Answers short prompts only."""
-    return answer(prompt) if len(prompt) < 300 else "{}"
+def recorded(place: int):
+    """A generator that replays the first or second recorded answer of a row."""
+    return lambda prompt: prompt.split("\x00")[place]
 
 
 @query("extract_retry", "E2,E3,X5", """
-    SELECT doc_id::varchar AS id, CASE WHEN length(text) < 300 THEN 1 ELSE 3 END AS tries, CASE WHEN length(text) < 300 THEN 'main' ELSE 'fallback' END AS model,
-      CASE WHEN length(text) < 300 THEN 1 ELSE 1 END AS good FROM documents WHERE regexp_matches(text, '[a-zA-Z]')""")
+    SELECT doc_id::varchar AS id, CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 3 END AS tries, CASE WHEN doc_id % 2 = 0 THEN 'main' ELSE 'spare' END AS model,
+      CASE WHEN doc_id % 2 = 0 OR lang = 'en' THEN 1 ELSE 0 END AS good, CASE WHEN doc_id % 2 = 0 OR lang = 'en' THEN source END AS area FROM documents""")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").where(F.col("text").rlike("[a-zA-Z]"))
-    prompts = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("prompt"))
-    log = extraction.generate_answers(prompts, extraction.CANDIDATE_SCHEMA, [("main", flaky, 2), ("fallback", answer, 1)], delay=0)
-    return log.groupBy("id").agg(F.count("*").cast("int").alias("tries"), F.max_by("model", F.struct("ok", "attempt")).alias("model"),
-                                 F.count_if("ok").cast("int").alias("good"))
+    """Recorded answers, two per document: a full answer where the even id or the language gives one, else the whole text."""
+    full = F.to_json(F.struct(*[F.array("lang").alias(n) for n in LIST_FIELDS], *[F.col("source").alias(n) for n in TEXT_FIELDS]))
+    fenced = F.concat(F.lit("```json\n"), full, F.lit("\n```"))
+    text = F.coalesce("text", F.lit(""))
+    first, second = F.when(F.col("doc_id") % 2 == 0, fenced).otherwise(text), F.when(F.col("lang") == "en", full).otherwise(text)
+    prompts = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.concat(first, F.lit("\x00"), second).alias("prompt"))
+    log = store(extraction.generate_answers(prompts, extraction.CANDIDATE_SCHEMA, [("main", recorded(0), 2), ("spare", recorded(1), 1)], delay=0))
+    tried = log.groupBy("id").agg(F.count("*").cast("int").alias("tries"), F.max_by("model", F.struct("ok", "model")).alias("model"),
+                                  F.count_if("ok").cast("int").alias("good"))
+    answers = extraction.last_answers(log, extraction.CANDIDATE_SCHEMA)
+    return tried.join(answers.select("id", F.col("dados.area_formacao").alias("area")), "id")
 
 
 @query("extract_batch", "E4,P7,F27", f"""
