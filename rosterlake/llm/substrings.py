@@ -1,17 +1,22 @@
 """Fuzzy repeated passages across documents by collinear chaining of shared k-mer seeds.
 
-1. Seeds: the hashed ``k``-word windows that are minimal among ``window`` consecutive ones, so any run of
-   ``k + window - 1`` equal words shares a seed.
+1. Seeds: the hashed ``K``-word windows that are minimal among ``WINDOW`` consecutive ones, so any run of
+   ``K + WINDOW - 1`` equal words shares a seed. Each carries two bits of the ``NEAR`` words on either side.
    The n-th occurrence of a seed in a text is also a seed of its own, so texts that repeat themselves match
    along the diagonal.
+   Seeds travel sorted and packed, in chunks of a few million; a seed of one document only goes no further.
 2. Every seed has one home, its occurrence in the smallest document id; other documents match their
    occurrences with the home only. A seed in n documents thus gives n - 1 matches, not n squared pairs.
+   A match counts if ``ENOUGH`` of the ``NEAR`` words on one side agree. A passage of 50 words with 80 % equal words
+   and no word inserted always holds such a window: else 12 words from each shared window on had 8 equal ones
+   at most and the words between them 3 of 4.
 3. Per document and home document, neighbouring matches on one diagonal are joined to runs and chained: score =
    words of runs minus ``GAP_COST`` per word of distance on both sides; the best predecessor is a prefix maximum
    in a Fenwick tree. Chains are taken from the best end on, until no run is left.
-4. The words of the home passage (16-bit hashes, in blocks of 64 words) travel to the document, where the
+4. The words around the home passage (16-bit hashes, in blocks of 64 words) travel to the document, where the
    chain is aligned: runs word by word, gaps by their longest common subsequence, both ends grow while the
-   score (+1 equal, -4 different word) rises. The best parts of at least 80 % equal words remain.
+   score (+1 equal, -4 different word) rises. Ends that still grow at the last word sent come again with
+   ``WIDER`` times as many words. The best parts of at least 80 % equal words remain.
 5. Aligned parts of a document are merged; merged passages of ``min_words`` words or more are repeats.
 
 Only documents after the home are marked, so the first document keeps its text.
@@ -23,13 +28,20 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-K, WINDOW, MIN_WORDS = 5, 16, 50
-BLOCK, MARGIN = 64, 32
+K, WINDOW, MIN_WORDS = 4, 3, 50
+#: Words looked at on either side of a match, and how many of one side must agree.
+NEAR, ENOUGH = 8, 5
+#: Seeds are dealt by 12 bits of their hash and told apart by 32 more; a chunk holds so many.
+BUCKETS, CHUNK = 4096, 1 << 21
+BLOCK, MARGIN, WIDER = 64, 64, 16
+#: Words between matches of one run, score by which a growing end may fall, words of the shortest part that counts.
+JOIN, DROP, SHORT = 16, 40, 12
 GAP_COST = 0.1
 #: Score of a different word if an equal one counts 1: a part scores above 0 if over 80 % of its words are equal.
 DIFFERENT = 4
@@ -59,39 +71,117 @@ def repeat_numbers(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def contexts(words: np.ndarray) -> np.ndarray:
+    """For every ``K``-word window two bits of each of the ``NEAR`` words before it (low half) and after it."""
+    bits = np.zeros(len(words) + 2 * NEAR, np.uint32)
+    bits[NEAR:NEAR + len(words)] = (words >> np.uint64(17)) & np.uint64(3)
+    count = len(words) - K + 1
+    out = np.zeros(count, np.uint32)
+    for i in range(NEAR):
+        out |= bits[i:i + count] << np.uint32(2 * i)
+        out |= bits[NEAR + K + i:NEAR + K + i + count] << np.uint32(2 * (NEAR + i))
+    return out
+
+
+def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether ``ENOUGH`` words of one side agree."""
+    other = a ^ b
+    same = ~(other | other >> np.uint32(1)) & np.uint32(0x55555555)
+    return np.maximum(np.bitwise_count(same & np.uint32(0xFFFF)), np.bitwise_count(same >> np.uint32(16))) >= ENOUGH
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: all lowest bytes, then all second ones and so on."""
+    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind)[:, 0]
+
+
+def chunk_rows(parts: list[tuple]) -> pd.DataFrame:
+    """A row per bucket: its seeds by rising hash (32 bits, as differences), their documents, places and contexts."""
+    values, docs, places, near = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(values)
+    values, docs, places, near = values[order], docs[order], places[order], near[order]
+    bucket = (values >> np.uint64(52)).astype(np.int64)
+    rest = (values >> np.uint64(20)).astype(np.uint32)
+    edge = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    rows = [(b, int(e - s), packed(np.diff(rest[s:e], prepend=np.uint32(0))), packed(docs[s:e]), packed(places[s:e]), packed(near[s:e]))
+            for b, (s, e) in enumerate(zip(edge[:-1], edge[1:])) if e > s]
+    return pd.DataFrame(rows, columns=["bucket", "size", "seed", "doc_id", "pos", "near"])
+
+
 def seed_rows(texts: DataFrame) -> DataFrame:
     def build(frames):
+        parts, held = [], 0
         for frame in frames:
-            seeds, places, owners = [], [], []
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 words = common.word_hashes(text)
                 if len(words) >= K:
-                    grams = common.windows(words, K)
+                    grams, near = common.windows(words, K), contexts(words)
                     at = minimizers(grams, WINDOW)
                     values, nth = grams[at], repeat_numbers(grams[at])
                     again = nth > 0
-                    seeds += [values, common.mix(values[again] + nth[again].astype(np.uint64) * common.GOLDEN)]
-                    places += [at, at[again]]
-                    owners.append(np.full(len(at) + int(again.sum()), doc, np.int64))
-            if seeds:
-                yield pd.DataFrame({"seed": common.as_long(np.concatenate(seeds)), "doc_id": np.concatenate(owners),
-                                    "pos": np.concatenate(places).astype(np.int32)})
+                    values = np.concatenate([values, common.mix(values[again] + nth[again].astype(np.uint64) * common.GOLDEN)])
+                    at = np.concatenate([at, at[again]])
+                    parts.append((values, np.full(len(at), doc, np.int64), at.astype(np.int32), near[at]))
+                    held += len(at)
+                if held >= CHUNK:
+                    yield chunk_rows(parts)
+                    parts, held = [], 0
+        if parts:
+            yield chunk_rows(parts)
 
-    return texts.mapInPandas(build, "seed long, doc_id long, pos int")
+    return texts.mapInPandas(build, "bucket int, size int, seed binary, doc_id binary, pos binary, near binary")
 
 
-def word_blocks(texts: DataFrame) -> DataFrame:
-    """16-bit word hashes of every document in blocks of 64 words."""
+def match_rows(seeds: DataFrame) -> DataFrame:
+    """Occurrences of seeds in documents after their home: ``doc_id``, ``home``, ``pos``, ``home_pos``, ``n`` equal words."""
+    def build(frames):
+        for frame in common.whole_groups(frames, ["bucket"]):
+            cut = common.bounds(frame, ["bucket"])
+            out = []
+            columns = {c: frame[c].to_list() for c in frame.columns}
+            for s, e in zip(cut[:-1], cut[1:]):
+                load = lambda c, kind: [unpacked(columns[c][i], columns["size"][i], kind) for i in range(s, e)]  # noqa: E731, B023
+                values = np.concatenate([np.cumsum(x, dtype=np.uint32) for x in load("seed", np.uint32)])
+                docs, places, near = (np.concatenate(load(c, t)) for c, t in (("doc_id", np.int64), ("pos", np.int32), ("near", np.uint32)))
+                order = np.lexsort((places, docs, values))
+                values, docs, places, near = values[order], docs[order], places[order], near[order]
+                home = first_rows(values)
+                mine = (docs != docs[home]) & agree(near, near[home])
+                if mine.any():
+                    out.append((docs[mine], docs[home[mine]], places[mine], places[home[mine]]))
+            if out:
+                docs, homes, x, y = (np.concatenate(c) for c in zip(*out))
+                yield pd.DataFrame({"doc_id": docs, "home": homes, "pos": x, "home_pos": y, "n": np.full(len(x), K, np.int32)})
+
+    return (seeds.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInPandas(build, "doc_id long, home long, pos int, home_pos int, n int"))
+
+
+def first_rows(values: np.ndarray) -> np.ndarray:
+    """For every row of a sorted column the first row of the same value."""
+    new = np.concatenate([[True], values[1:] != values[:-1]])
+    return np.flatnonzero(new)[np.cumsum(new) - 1]
+
+
+def word_rows(texts: DataFrame, name: str, block: int | None) -> DataFrame:
+    """16-bit word hashes of every document in blocks of ``block`` words, or as one row."""
     def build(frames):
         for frame in frames:
             rows = []
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 data = common.word_hashes(text).astype(np.uint16)
-                rows += [(doc, n, data[n * BLOCK:(n + 1) * BLOCK].tobytes()) for n in range(-(-len(data) // BLOCK))]
+                size = block or max(1, len(data))
+                rows += [(doc, n, data[n * size:(n + 1) * size].tobytes()) for n in range(-(-len(data) // size))]
             if rows:  # an empty binary column cannot be sent
-                yield pd.DataFrame(rows, columns=["home", "block", "words"])
+                yield pd.DataFrame(rows, columns=[name, "block", "words"])
 
-    return texts.mapInPandas(build, "home long, block int, words binary")
+    return texts.mapInPandas(build, f"{name} long, block int, words binary")
 
 
 # ------------------------------------------------------------------------------------ chains
@@ -116,14 +206,43 @@ class Fenwick:
         return found
 
 
-def runs_of(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
-    """Matches on one diagonal that start at most ``K + WINDOW`` words apart, as (x, y, words)."""
+def runs_of(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int]]:
+    """Matches on one diagonal with at most ``JOIN`` words between them, as (x, y, words)."""
     order = np.lexsort((x, x - y))
-    x, y = x[order], y[order]
-    new = np.concatenate([[True], ((x - y)[1:] != (x - y)[:-1]) | (x[1:] - x[:-1] > K + WINDOW)])
+    x, y, n = (v[order].astype(np.int64) for v in (x, y, n))
+    other = np.concatenate([[False], (x - y)[1:] != (x - y)[:-1]])
+    floor = np.cumsum(other) << 40  # each diagonal above the one before, so one running maximum serves all
+    reach = np.maximum.accumulate(floor + x + n)
+    new = np.concatenate([[True], other[1:] | ((floor + x)[1:] > reach[:-1] + JOIN)])
     start = np.flatnonzero(new)
     end = np.append(start[1:], len(x)) - 1
-    return [(int(x[s]), int(y[s]), int(x[e] - x[s]) + K) for s, e in zip(start, end)]
+    return [(int(x[s]), int(y[s]), int(reach[e] - floor[e] - x[s])) for s, e in zip(start, end)]
+
+
+def thinned(runs: list[tuple[int, int, int]], most: int = 256) -> list[tuple[int, int, int]]:
+    """Of very many runs those that cover the same words: in a text of one repeated word every place matches every other.
+
+    Runs of ``MIN_WORDS`` words are repeats by themselves, so what lies inside their union adds nothing.
+    """
+    if len(runs) <= most:
+        return runs
+    long = sorted((r for r in runs if r[2] >= MIN_WORDS), key=lambda r: (r[0], -r[2]))
+    keep, i, reach = [], 0, -1
+    while i < len(long):
+        best = None
+        limit = max(reach, long[i][0])
+        while i < len(long) and long[i][0] <= limit:
+            if best is None or long[i][0] + long[i][2] > best[0] + best[2]:
+                best = long[i]
+            i += 1
+        if best[0] + best[2] > reach:
+            keep.append(best)
+            reach = best[0] + best[2]
+    covered = np.zeros(max(x + n for x, _, n in runs) + 1, np.int64)
+    for x, _, n in keep:
+        covered[x:x + n] = 1
+    total = np.concatenate([[0], np.cumsum(covered)])
+    return keep + [(x, y, n) for x, y, n in runs if total[x + n] - total[x] < n and n < MIN_WORDS]
 
 
 def chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
@@ -160,30 +279,30 @@ def chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]
     return out
 
 
+PAIR = "doc_id long, home long, sizes binary, x binary, y binary, n binary, blocks array<int>"
+
+
+def pair_row(doc: int, home: int, found: list[tuple], margin: int) -> tuple:
+    """Chains (x, y, n) of a document and a home in one row, with the blocks of the home that hold their words and ``margin`` more."""
+    blocks = sorted({b for _, y, n in found for b in range(max(0, int(y[0]) - margin) // BLOCK, int(y[-1] + n[-1] + margin) // BLOCK + 1)})
+    return (doc, home, np.array([len(x) for x, _, _ in found], np.int32).tobytes(), *(np.concatenate(c).tobytes() for c in zip(*found)), blocks)
+
+
 def chain_rows(matches: DataFrame) -> DataFrame:
     keys = ["doc_id", "home"]
 
     def build(frames):
-        for frame in common.whole_groups(frames, ["doc_id"]):
+        for frame in common.whole_groups(frames, keys):
             cut = common.bounds(frame, keys)
-            x_all, y_all = frame["pos"].to_numpy(), frame["home_pos"].to_numpy()
+            x, y, n = (frame[c].to_numpy() for c in ("pos", "home_pos", "n"))
             docs, homes = frame["doc_id"].to_numpy(), frame["home"].to_numpy()
             rows = []
             for s, e in zip(cut[:-1], cut[1:]):
-                if e - s < 2:
-                    continue
-                for chain in chains(runs_of(x_all[s:e], y_all[s:e])):
-                    x, y, n = (np.array(v, np.int32) for v in zip(*chain))
-                    # a shared passage of MIN_WORDS words holds seeds this far apart; shorter chains need not be aligned
-                    if x[-1] + n[-1] - x[0] < MIN_WORDS - 2 * (WINDOW + K - 2):
-                        continue
-                    rows.append((docs[s], homes[s], len(rows), x.tobytes(), y.tobytes(), n.tobytes(),
-                                 int(max(0, y[0] - MARGIN)) // BLOCK, int(y[-1] + n[-1] + MARGIN) // BLOCK))
-            if rows:
-                yield pd.DataFrame(rows, columns=["doc_id", "home", "chain", "x", "y", "n", "first", "last"])
+                found = [tuple(np.array(v, np.int32) for v in zip(*chain)) for chain in chains(thinned(runs_of(x[s:e], y[s:e], n[s:e])))]
+                rows.append(pair_row(docs[s], homes[s], found, MARGIN))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAIR.split(", ")])
 
-    return (matches.repartition("doc_id").sortWithinPartitions("doc_id", "home", "pos", "home_pos").mapInPandas(
-        build, "doc_id long, home long, chain int, x binary, y binary, n binary, first int, last int"))
+    return matches.repartition("doc_id", "home").sortWithinPartitions("doc_id", "home").mapInPandas(build, PAIR)
 
 
 # --------------------------------------------------------------------------------- alignment
@@ -202,14 +321,17 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - row.bit_count()
 
 
-def grown(a: np.ndarray, b: np.ndarray) -> int:
-    """Words by which equal starts of ``a`` and ``b`` extend a passage."""
-    n = min(len(a), len(b))
+def grown(a: np.ndarray, b: np.ndarray, margin: int) -> tuple[int, int, bool]:
+    """Words by which equal starts of ``a`` and ``b`` extend a passage, words until the score has fallen by ``DROP``, and
+    whether ``margin`` words were too few to tell."""
+    n = min(len(a), len(b), margin)
     if not n:
-        return 0
+        return 0, 0, False
     total = np.cumsum(np.where(a[:n] == b[:n], 1, -DIFFERENT))
-    best = int(total.argmax())
-    return best + 1 if total[best] > 0 else 0
+    fallen = total < np.maximum(np.maximum.accumulate(total), 0) - DROP
+    reach = int(fallen.argmax()) if fallen.any() else n
+    best = int(total[:reach].argmax())
+    return best + 1 if total[best] > 0 else 0, reach, n == margin and reach == n
 
 
 def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
@@ -231,33 +353,58 @@ def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n) -> list[tuple[int, int]]:
-    """Passages of ``words`` that the chain matches with at least 80 % equal words. ``home`` starts at word ``offset``."""
+def even_parts(first: np.ndarray, last: np.ndarray, score: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """Stretches of ``min_words`` words or more with 80 % equal words whose score nowhere gathers: their longest ones, merged."""
+    total = np.concatenate([[0], np.cumsum(score)])
+    low = np.minimum.accumulate(total[:-1])
+    out: list[list[int]] = []
+    for e in np.flatnonzero(score > 0):
+        s = int(np.searchsorted(-low, -total[e + 1], side="left"))  # the first place not above
+        while s < e and score[s] <= 0:
+            s += 1
+        if s <= e and last[e] - first[s] >= min_words and total[e + 1] >= total[s]:
+            if out and first[s] <= out[-1][1]:
+                out[-1] = [min(out[-1][0], int(first[s])), int(last[e])]
+            else:
+                out.append([int(first[s]), int(last[e])])
+    return [(s, e) for s, e in out]
+
+
+def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: int, min_words: int) -> tuple[list[tuple[int, int]], bool]:
+    """Passages of ``words`` that the chain matches with at least 80 % equal words, and whether an end may go on behind
+    ``margin`` words. ``home`` starts at word ``offset``."""
     y = y - offset
-    starts, ends, scores = [], [], []  # pieces: single words of runs, whole gaps, grown ends
+    starts, ends, scores = [], [], []  # pieces: single words of runs and ends, whole gaps
 
-    def piece(start, end, score) -> None:
-        starts.append(np.array([start]))
-        ends.append(np.array([end]))
-        scores.append(np.array([score]))
+    def single(a: int, b: int, size: int) -> None:
+        starts.append(np.arange(a, a + size))
+        ends.append(starts[-1] + 1)
+        scores.append(np.where(words[a:a + size] == home[b:b + size], 1, -DIFFERENT))
 
-    lead = grown(words[:x[0]][::-1][:MARGIN], home[:y[0]][::-1][:MARGIN])
-    piece(x[0] - lead, x[0], lead)
+    lead, before, more = grown(words[max(0, x[0] - margin):x[0]][::-1], home[max(0, y[0] - margin):y[0]][::-1], margin)
+    end, home_end = x[-1] + n[-1], y[-1] + n[-1]
+    tail, after, further = grown(words[end:end + margin], home[home_end:home_end + margin], margin)
+    short = end - x[0] + lead + tail < SHORT and end - x[0] + before + after < min_words
+    if short or more or further:
+        return [], more or further
+    single(x[0] - before, y[0] - before, before)
     for i in range(len(x)):
-        starts.append(np.arange(x[i], x[i] + n[i]))
-        ends.append(starts[-1] + 1)
-        scores.append(np.where(words[x[i]:x[i] + n[i]] == home[y[i]:y[i] + n[i]], 1, -DIFFERENT))
+        single(x[i], y[i], n[i])
         if i + 1 < len(x):
             a, b = words[x[i] + n[i]:x[i + 1]], home[y[i] + n[i]:y[i + 1]]
-            same = int((a == b).sum()) if len(a) == len(b) else 0
-            if len(a) != len(b) or same < 0.9 * len(a):
-                same = common_subsequence(a, b)
-            piece(x[i] + n[i], x[i + 1], same - DIFFERENT * (max(len(a), len(b)) - same))
-    end, home_end = x[-1] + n[-1], y[-1] + n[-1]
-    tail = grown(words[end:end + MARGIN], home[home_end:home_end + MARGIN])
-    piece(end, end + tail, tail)
-    first, last = np.concatenate(starts), np.concatenate(ends)
-    return [(int(first[s]), int(last[e - 1])) for s, e in dense_parts(np.concatenate(scores))]
+            if len(a) == len(b) and 5 * (a == b).sum() >= 3 * len(a):
+                single(x[i] + n[i], y[i] + n[i], len(a))
+                continue
+            same = common_subsequence(a, b)
+            starts.append(np.array([x[i] + n[i]]))
+            ends.append(np.array([x[i + 1]]))
+            scores.append(np.array([same - DIFFERENT * (max(len(a), len(b)) - same)]))
+    single(end, home_end, after)
+    first, last, score = np.concatenate(starts), np.concatenate(ends), np.concatenate(scores)
+    parts = [(int(first[s]), int(last[e - 1])) for s, e in dense_parts(score)]
+    if last[-1] - first[0] >= min_words and max((e - s for s, e in parts), default=0) < min_words:
+        parts += even_parts(first, last, score, min_words)
+    return [(s, e) for s, e in parts if e - s >= SHORT], False
 
 
 def merged(spans: list[tuple[int, int, int]], min_words: int) -> list[tuple[int, int, int]]:
@@ -285,14 +432,19 @@ def cut_text(text: str, spans: list[tuple[int, int, int]]) -> str:
     return b"".join(out).decode("utf-8").rstrip(" \n") if spans else text
 
 
-def passage_rows(texts: DataFrame, homes: DataFrame, min_words: int, with_text: bool) -> DataFrame:
-    """Texts and the home words of their chains meet per document; aligned and merged there."""
-    keep = "text string" if with_text else "n_words long"
-    rows = texts.select("doc_id", F.lit(0).alias("kind"), "text", F.lit(0).cast("long").alias("home"),
-                        *[F.lit(0).alias(c) for c in ("chain", "block", "first")],
-                        *[F.lit(None).cast("binary").alias(c) for c in ("words", "x", "y", "n")])
-    rows = rows.unionByName(homes.select("doc_id", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("text"), "home",
-                                         "chain", "block", "first", "words", "x", "y", "n"))
+def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, some: bool) -> DataFrame:
+    """Words of documents and of their homes meet per document. A row per pair: its passages, and its chains that need
+    more words as a pair of the next round. ``some``: only few documents are left."""
+    sent = (pairs.select("doc_id", "home", F.explode("blocks").alias("block")).where("block >= 0")
+            .join(word_rows(texts, "home", BLOCK), ["home", "block"]))
+    none = [F.lit(None).cast("binary").alias(c) for c in ("sizes", "x", "y", "n")]
+    own = word_rows(texts, "doc_id", None)
+    if some:
+        own = common.wanted_rows(own, "doc_id", pairs.select("doc_id"))
+    rows = own.select("doc_id", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("home"), "block", "words", *none)
+    rows = rows.unionByName(pairs.select("doc_id", F.lit(1).alias("kind"), "home", F.lit(-1).alias("block"),
+                                         F.lit(None).cast("binary").alias("words"), "sizes", "x", "y", "n"))
+    rows = rows.unionByName(sent.select("doc_id", F.lit(1).alias("kind"), "home", "block", "words", *none))
 
     def build(frames):
         for frame in common.whole_groups(frames, ["doc_id"]):
@@ -300,59 +452,73 @@ def passage_rows(texts: DataFrame, homes: DataFrame, min_words: int, with_text:
             out = []
             columns = {c: frame[c].to_list() for c in frame.columns}
             for s, e in zip(cut[:-1], cut[1:]):
-                kinds = columns["kind"][s:e]
-                first_block = s + kinds.index(1) if 1 in kinds else e
-                repeated = len({columns["text"][i] for i in range(s, first_block)}) > 1
-                for i in range(s, first_block):
-                    text = columns["text"][i] or ""
-                    spans: list[tuple[int, int, int]] = []
-                    words = None
-                    at = first_block
-                    while at < e and not repeated:
-                        stop = at
-                        while stop < e and columns["chain"][stop] == columns["chain"][at] and columns["home"][stop] == columns["home"][at]:
-                            stop += 1
-                        if words is None:
-                            words = common.word_hashes(text).astype(np.uint16)
-                        home = np.frombuffer(b"".join(columns["words"][at:stop]), np.uint16)
-                        x, y, n = (np.frombuffer(columns[c][at], np.int32) for c in "xyn")
-                        spans += [(a, b, int(columns["home"][at])) for a, b in
-                                  aligned(words, home, int(columns["first"][at]) * BLOCK, x, y, n)]
-                        at = stop
-                    spans = merged(spans, min_words)
-                    value = cut_text(text, spans) if with_text else len(common.word_hashes(text))
-                    out.append((columns["doc_id"][i], value, [a for a, _, _ in spans], [b for _, b, _ in spans],
-                                [h for _, _, h in spans]))
-            yield pd.DataFrame(out, columns=["doc_id", keep.split()[0], "starts", "ends", "homes"])
-
-    return (rows.repartition("doc_id").sortWithinPartitions("doc_id", "kind", "home", "chain", "block")
-            .mapInPandas(build, f"doc_id long, {keep}, starts array<int>, ends array<int>, homes array<long>"))
-
-
-def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS,
-                      with_text: bool = False) -> DataFrame:
-    """A row per document: ``doc_id``, ``n_words`` (or ``text`` without the passages), and the word spans
-    ``starts``/``ends`` of passages that repeat an earlier document, with the ids of these in ``homes``.
+                at = s + sum(k == 0 for k in columns["kind"][s:e])
+                own = set(columns["words"][s:at])
+                while at < e and len(own) == 1:
+                    pair, home = at, columns["home"][at]
+                    at += 1
+                    blocks = {}
+                    while at < e and columns["home"][at] == home:
+                        blocks[columns["block"][at]] = columns["words"][at]
+                        at += 1
+                    words = np.frombuffer(next(iter(own)), np.uint16)
+                    x, y, n = (np.frombuffer(columns[c][pair], np.int32) for c in "xyn")
+                    edge = np.cumsum(np.frombuffer(columns["sizes"][pair], np.int32))[:-1]
+                    spans, left = [], []
+                    for chain in zip(np.split(x, edge), np.split(y, edge), np.split(n, edge)):
+                        first = max(0, int(chain[1][0]) - margin) // BLOCK
+                        last = int(chain[1][-1] + chain[2][-1] + margin) // BLOCK
+                        there = np.frombuffer(b"".join(blocks[b] for b in range(first, last + 1) if b in blocks), np.uint16)
+                        found, more = aligned(words, there, first * BLOCK, *chain, margin, min_words)
+                        spans += found
+                        left += [chain] if more else []
+                    if spans or left:
+                        rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [])
+                        out.append((columns["doc_id"][s], home, *rest, [a for a, _ in spans], [b for _, b in spans]))
+            if out:
+                yield pd.DataFrame(out, columns=["doc_id", "home", "sizes", "x", "y", "n", "blocks", "starts", "ends"])
+
+    return (rows.repartition("doc_id").sortWithinPartitions("doc_id", "kind", "home", "block")
+            .mapInPandas(build, PAIR + ", starts array<int>, ends array<int>"))
+
+
+def passages(texts: DataFrame, min_words: int) -> DataFrame:
+    """``doc_id``, ``starts``, ``ends``, ``homes`` of the documents that repeat an earlier one."""
+    pairs = common.store(chain_rows(match_rows(seed_rows(texts))), "pairs")
+    margin, rounds = MARGIN, []
+    while not rounds or not pairs.isEmpty():
+        rounds.append(common.store(span_rows(texts, pairs, margin, min_words, bool(rounds)), "spans"))
+        pairs = rounds[-1].where("size(blocks) > 0").select(*pairs.columns)
+        margin *= WIDER
+    found = rounds[0]
+    for more in rounds[1:]:
+        found = found.unionByName(more)
+    found = found.select("doc_id", "home", F.explode(F.arrays_zip("starts", "ends")).alias("part"))
+    found = found.groupBy("doc_id").agg(F.collect_list(F.struct("part.starts", "part.ends", "home")).alias("parts"))
+
+    def build(frames):
+        for frame in frames:
+            spans = [merged([(p["starts"], p["ends"], p["home"]) for p in parts], min_words) for parts in frame["parts"]]
+            rows = [(doc, *map(list, zip(*found))) for doc, found in zip(frame["doc_id"], spans) if found]
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "starts", "ends", "homes"])
+
+    return common.store(found.mapInPandas(build, "doc_id long, starts array<int>, ends array<int>, homes array<long>"), "passages")
+
+
+def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """A row per document: ``doc_id``, ``n_words``, and the word spans ``starts``/``ends`` of passages that repeat an
+    earlier document, with the ids of these in ``homes``.
 
     Null and empty texts have no spans. Rows without an id take no part and come back without spans. Rows
     that share an id but not their text keep it whole; identical rows are treated alike.
     """
     common.prepare(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    known = texts.where("doc_id IS NOT NULL")
-    seeds = common.store(seed_rows(known), "seeds")
-    homes = (seeds.groupBy("seed").agg(F.min(F.struct("doc_id", "pos")).alias("h"), F.max("doc_id").alias("latest"))
-             .where("latest > h.doc_id").select("seed", F.col("h.doc_id").alias("home"), F.col("h.pos").alias("home_pos")))
-    homes = common.store(homes, "homes")
-    matches = seeds.join(homes, "seed").where("doc_id > home").select("doc_id", "home", "pos", "home_pos")
-    found = common.store(chain_rows(matches), "chains")
-    wanted = found.select("*", F.explode(F.sequence("first", "last")).alias("block"))
-    sent = wanted.join(word_blocks(known), ["home", "block"])
-    out = passage_rows(known, sent, min_words, with_text)
+    found = passages(texts.where("doc_id IS NOT NULL"), min_words)
     words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")).cast("long")
-    nothing = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("starts", "int"), ("ends", "int"), ("homes", "long"))]
-    return out.unionByName(texts.where("doc_id IS NULL").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text") if with_text else words.alias("n_words"), *nothing))
+    spans = [F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c) for c, t in (("starts", "int"), ("ends", "int"), ("homes", "long"))]
+    return texts.select("doc_id", words.alias("n_words")).join(found, "doc_id", "left").select("doc_id", "n_words", *spans)
 
 
 def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -360,8 +526,18 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     ``n_chars`` follows the new text. Documents without a repeat come back unchanged.
     """
-    found = repeated_passages(docs, min_words=min_words, with_text=True).where("size(starts) > 0 AND doc_id IS NOT NULL")
-    cut = common.store(found.select("doc_id", F.col("text").alias("cut_text")).dropDuplicates(["doc_id"]), "cut")
+    common.prepare(docs.sparkSession)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = passages(texts.where("doc_id IS NOT NULL"), min_words)
+
+    def build(frames):
+        for frame in frames:
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "cut_text": [
+                cut_text(t, [(int(a), int(b), 0) for a, b in zip(s, e)]) for t, s, e in zip(frame["text"], frame["starts"], frame["ends"])]})
+
+    cut = (texts.join(found.where("size(starts) > 0"), "doc_id").select("doc_id", "text", "starts", "ends")
+           .mapInPandas(build, "doc_id long, cut_text string"))
+    cut = common.store(cut.dropDuplicates(["doc_id"]), "cut")
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     joined = rows.join(cut, "doc_id", "left").where("cut_text IS NULL OR cut_text RLIKE '[^ \\t-\\r]'")
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}

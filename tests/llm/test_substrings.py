@@ -102,3 +102,28 @@ def test_minimizers_hit_every_window():
     h = common.mix(np.arange(1000, dtype=np.uint64))
     at = substrings.minimizers(h, 16)
     assert np.diff(at).max() <= 16 and len(at) < 200 and len(substrings.minimizers(h[:3], 16)) == 1
+
+
+def test_passages_with_a_changed_word_every_few_words(frame, words):
+    rows, want = [], {}
+    for step in range(6, 13):
+        for size in (55, 60, 80):
+            for i in range(6):
+                doc = len(rows) + 1
+                passage = words(10_000 + doc, size)
+                edited = [f"new{doc}x{j}" if j % step == step - 1 and j < size - 1 else w for j, w in enumerate(passage)]
+                rows.append((doc, " ".join(words(20_000 + doc, 30) + passage + words(30_000 + doc, 30))))
+                rows.append((5000 + doc, " ".join(words(40_000 + doc, 25) + edited + words(50_000 + doc, 35))))
+                want[5000 + doc] = (doc, size)
+    found = spans(substrings.repeated_passages(frame(rows)))
+    assert {i for i in found if found[i]} == set(want)
+    for i, (home, size) in want.items():
+        (s, e, h), = found[i]
+        assert h == home and 25 <= s <= 30 and 20 + size <= e <= 25 + size
+
+
+def test_ends_grow_as_far_as_the_words_are_equal(words):
+    a = np.arange(5000, dtype=np.uint16)
+    chain = (np.array([2000]), np.array([2000]), np.array([4]))
+    assert substrings.aligned(a, a, 0, *chain, 64, 50) == ([], True)  # come again with more words
+    assert substrings.aligned(a, a, 0, *chain, 4096, 50) == ([(0, 5000)], False)
