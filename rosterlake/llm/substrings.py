@@ -5,8 +5,11 @@
    The n-th occurrence of a seed in a text is also a seed of its own, so texts that repeat themselves match
    along the diagonal.
    Seeds travel sorted and packed, in chunks of a few million; a seed of one document only goes no further.
-2. Every seed has one home, its occurrence in the smallest document id; other documents match their
-   occurrences with the home only. A seed in n documents thus gives n - 1 matches, not n squared pairs.
+2. Every seed has one home, its occurrence in the smallest document id, and one more among the occurrences with the same
+   ``NEAR`` words before it and one among those with the same words after it; other documents match their
+   occurrences with these homes only. A seed in n documents thus gives 3 n matches at most, not n squared pairs.
+   All windows of ``min_words`` words are seeds too, so a passage that two documents share word for word
+   always meets in the first document that holds it, whatever its parts have for homes.
    A match counts if ``ENOUGH`` of the ``NEAR`` words on one side agree. A passage of 50 words with 80 % equal words
    and no word inserted always holds such a window: else 12 words from each shared window on had 8 equal ones
    at most and the words between them 3 of 4.
@@ -114,9 +117,10 @@ def chunk_rows(parts: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bucket", "size", "seed", "doc_id", "pos", "near"])
 
 
-def seed_rows(texts: DataFrame) -> DataFrame:
+def seed_rows(texts: DataFrame, min_words: int) -> DataFrame:
+    """Packed seeds of all documents; buckets from ``BUCKETS`` on hold the windows of ``min_words`` words."""
     def build(frames):
-        parts, held = [], 0
+        parts, whole, held = [], [], 0
         for frame in frames:
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 words = common.word_hashes(text)
@@ -129,17 +133,26 @@ def seed_rows(texts: DataFrame) -> DataFrame:
                     at = np.concatenate([at, at[again]])
                     parts.append((values, np.full(len(at), doc, np.int64), at.astype(np.int32), near[at]))
                     held += len(at)
+                if len(words) >= min_words:
+                    grams = common.windows(words, min_words)
+                    whole.append((grams, np.full(len(grams), doc, np.int64), np.arange(len(grams), dtype=np.int32), np.zeros(len(grams), np.uint32)))
+                    held += len(grams)
                 if held >= CHUNK:
-                    yield chunk_rows(parts)
-                    parts, held = [], 0
+                    yield from chunks(parts, whole)
+                    parts, whole, held = [], [], 0
+        yield from chunks(parts, whole)
+
+    def chunks(parts, whole):
         if parts:
             yield chunk_rows(parts)
+        if whole:
+            yield chunk_rows(whole).assign(bucket=lambda rows: rows["bucket"] + BUCKETS)
 
     return texts.mapInPandas(build, "bucket int, size int, seed binary, doc_id binary, pos binary, near binary")
 
 
-def match_rows(seeds: DataFrame) -> DataFrame:
-    """Occurrences of seeds in documents after their home: ``doc_id``, ``home``, ``pos``, ``home_pos``, ``n`` equal words."""
+def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
+    """Occurrences of seeds in documents after a home: ``doc_id``, ``home``, ``pos``, ``home_pos``, ``n`` equal words."""
     def build(frames):
         for frame in common.whole_groups(frames, ["bucket"]):
             cut = common.bounds(frame, ["bucket"])
@@ -151,13 +164,19 @@ def match_rows(seeds: DataFrame) -> DataFrame:
                 docs, places, near = (np.concatenate(load(c, t)) for c, t in (("doc_id", np.int64), ("pos", np.int32), ("near", np.uint32)))
                 order = np.lexsort((places, docs, values))
                 values, docs, places, near = values[order], docs[order], places[order], near[order]
-                home = first_rows(values)
-                mine = (docs != docs[home]) & agree(near, near[home])
-                if mine.any():
-                    out.append((docs[mine], docs[home[mine]], places[mine], places[home[mine]]))
+                long = frame["bucket"].iat[s] >= BUCKETS
+                homes = [first_rows(values)]
+                if not long:
+                    sides = ((near & np.uint32(0xFFFF)).astype(np.uint64), (near >> np.uint32(16)).astype(np.uint64))
+                    homes += [first_of(values.astype(np.uint64) << np.uint64(16) | side) for side in sides]
+                for i, home in enumerate(homes):
+                    mine = (docs != docs[home]) & agree(near, near[home])
+                    for earlier in homes[:i]:
+                        mine &= home != earlier
+                    if mine.any():
+                        out.append((docs[mine], docs[home[mine]], places[mine], places[home[mine]], np.full(int(mine.sum()), min_words if long else K, np.int32)))
             if out:
-                docs, homes, x, y = (np.concatenate(c) for c in zip(*out))
-                yield pd.DataFrame({"doc_id": docs, "home": homes, "pos": x, "home_pos": y, "n": np.full(len(x), K, np.int32)})
+                yield pd.DataFrame(dict(zip(("doc_id", "home", "pos", "home_pos", "n"), map(np.concatenate, zip(*out)))))
 
     return (seeds.repartition("bucket").sortWithinPartitions("bucket")
             .mapInPandas(build, "doc_id long, home long, pos int, home_pos int, n int"))
@@ -169,6 +188,14 @@ def first_rows(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)[np.cumsum(new) - 1]
 
 
+def first_of(values: np.ndarray) -> np.ndarray:
+    """For every row the first row of the same value; equal values need not be neighbours."""
+    order = np.argsort(values, kind="stable")
+    out = np.empty(len(values), np.int64)
+    out[order] = order[first_rows(values[order])]
+    return out
+
+
 def word_rows(texts: DataFrame, name: str, block: int | None) -> DataFrame:
     """16-bit word hashes of every document in blocks of ``block`` words, or as one row."""
     def build(frames):
@@ -484,7 +511,7 @@ def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, s
 
 def passages(texts: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``starts``, ``ends``, ``homes`` of the documents that repeat an earlier one."""
-    pairs = common.store(chain_rows(match_rows(seed_rows(texts))), "pairs")
+    pairs = common.store(chain_rows(match_rows(seed_rows(texts, min_words), min_words)), "pairs")
     margin, rounds = MARGIN, []
     while not rounds or not pairs.isEmpty():
         rounds.append(common.store(span_rows(texts, pairs, margin, min_words, bool(rounds)), "spans"))

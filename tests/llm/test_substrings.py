@@ -127,3 +127,25 @@ def test_ends_grow_as_far_as_the_words_are_equal(words):
     chain = (np.array([2000]), np.array([2000]), np.array([4]))
     assert substrings.aligned(a, a, 0, *chain, 64, 50) == ([], True)  # come again with more words
     assert substrings.aligned(a, a, 0, *chain, 4096, 50) == ([(0, 5000)], False)
+
+
+def test_stock_sentences_of_earlier_documents_do_not_hide_a_passage(frame, words):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(24):
+        source = words(60_000 + i, 70)
+        at, parts = 0, []
+        while at < 70:  # overlapping sentences, so every window of five words occurs in an earlier document
+            size = rng.randint(14, 20)
+            parts.append(source[max(0, at - 4):at + size])
+            at += size
+        for j, part in enumerate(parts):
+            rows.append((100 * i + j, " ".join(words(70_000 + 100 * i + j, 20) + part + words(80_000 + 100 * i + j, 20))))
+        for doc in (10_000 + i, 20_000 + i):
+            rows.append((doc, " ".join(words(90_000 + doc, 30) + source[8:58 + i % 5] + words(140_000 + doc, 30))))
+        want[20_000 + i] = (30, 80 + i % 5)
+    found = spans(substrings.repeated_passages(frame(rows)))
+    for i, (s, e) in want.items():
+        assert any(a <= s and e <= b <= e + 2 for a, b, _ in found[i]), i
+    stock = words(1, 60)
+    assert spans(substrings.repeated_passages(frame([(1, " ".join(stock[:24])), (2, " ".join(stock)), (3, " ".join(stock))])))[3] == [(0, 60, 2)]
