@@ -32,9 +32,14 @@ DIM = PATH_DIM + WORD_DIM + MEASURES
 
 # fixed values: HTML's void, hidden, inline and self-closing-by-sibling elements
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN_TAGS = "script|style|noscript|template|iframe|svg|math|head|title|object|canvas|textarea|select"
+HIDDEN_TAGS = "script|style|noscript|template|iframe|title|textarea"
+#: Elements whose text is not shown; an open one ends with its parent.
+HIDING = set("svg object canvas select".split())
+HEAD_TAGS = set("base basefont bgsound link meta noscript script style template title".split())
+MATH = set("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+           "msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark q s samp small span "
-             "strike strong sub sup time tt u var wbr br button".split())
+             "strike strong sub sup time tt u var wbr br button".split()) | HIDING | MATH
 CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = set("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
@@ -57,18 +62,22 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], int]]:
     """Leaf blocks in page order: (text, path, characters inside links).
 
     References are decoded and white space becomes one space. Markup that never ends is treated as the HTML rules
-    do: an open comment or script hides the rest, an unclosed paragraph ends at the next block.
+    do: an open comment or script hides the rest, an unclosed paragraph ends at the next block, the head at the first
+    tag or text that does not belong there, a drawing at the first block outside a foreignObject.
     """
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
     links, at, block = 0, 0, None
+    hidden = -1  # place of the outermost open element that hides its text
 
     def text(piece: str) -> None:
         nonlocal block
-        if not piece:
+        if not piece or hidden >= 0:
             return
         piece = html.unescape(piece)
+        if stack and stack[-1][0] == "head" and not piece.isspace():
+            stack.pop()
         if block is None:
             if piece.isspace():
                 return
@@ -88,13 +97,28 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], int]]:
         if m[2]:
             place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
             if place >= 0:
-                if name not in INLINE or any(x not in INLINE for x, _ in stack[place:]):
+                if not 0 <= hidden <= place and (name not in INLINE or any(x not in INLINE for x, _ in stack[place:])):
                     block = None
                 del stack[place:]
                 links = sum(x == "a" for x, _ in stack)
+                hidden = hidden if hidden < len(stack) else -1
+            elif hidden >= 0:
+                continue
             elif name == "p" or name not in INLINE:
                 block = None
             continue
+        if name not in HEAD_TAGS and any(x == "head" for x, _ in stack[:3]):
+            del stack[next(i for i, (x, _) in enumerate(stack) if x == "head"):]
+            hidden = hidden if hidden < len(stack) else -1
+        if hidden >= 0 and stack[hidden][0] == "svg" and (name in CLOSES_P or name == "body") and all(
+                x != "foreignobject" for x, _ in stack[hidden:]):
+            del stack[hidden:]
+            hidden = -1
+        if hidden >= 0:
+            if name not in VOID and not m[4].endswith("/"):
+                stack.append((name, name))
+                links += name == "a"
+            continue
         if name == "br":
             if block is not None:
                 block.parts.append(" ")
@@ -109,6 +133,7 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], int]]:
                 if stack[i][0] in SCOPE:
                     break
         if name not in VOID and not m[4].endswith("/"):
+            hidden = len(stack) if name in HIDING else -1
             stack.append((name, " ".join([name, *labels(m[4])])))
             links += name == "a"
     text(page[at:])

@@ -74,3 +74,21 @@ def test_odd_rows(spark, weights):
     assert out == sorted([(None, None, 0), (1, "u", 0), (1, "u", 0), (2**60, None, 249_999)], key=str)
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert H.extract(empty).count() == 0
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>t</title><body><article><p>one<p>two</article>", ["one", "two"]),
+    ("<head><meta charset=utf-8><style>x</style><p>one", ["one"]),
+    ("<head><title>t</title>bare text<p>one", ["bare text", "one"]),
+    ("<html><head><script>x</script></head><body>one</body>", ["one"]),
+    ("<p>a <svg width='1' /> b</p><p>c</p>", ["a b", "c"]),
+    ("<p>a <svg><text>no</text><g><path/></g></svg> b</p>", ["a b"]),
+    ("<p>a<svg><text>no<p>b</p>", ["a", "b"]),
+    ("<svg><foreignObject><div>no</div></foreignObject></svg><p>b", ["b"]),
+    ("<div>a<canvas>no</div><p>b</p>", ["a", "b"]),
+    ("<div><object data=x>no</div><div><select><option>no</div>b", ["b"]),
+    ("<p>a<select><option>no</select>b</p>", ["ab"]),
+    ("<p>so <math><mi>E</mi><mo>=</mo><mn>1</mn></math> holds</p><p><math/>c", ["so E=1 holds", "c"]),
+])
+def test_open_and_self_closed_elements_hide_no_more_than_themselves(page, want):
+    assert texts(page) == want
