@@ -6,6 +6,7 @@ need no installed copy.
 
 import sys
 
-from rosterlake.session import ship_with_tasks
+from rosterlake import session
 
-ship_with_tasks(sys.modules[__name__])
+session.ship_with_tasks(sys.modules[__name__])
+session.ship_with_tasks(session)  # the helpers of the operators name its functions

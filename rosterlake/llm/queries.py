@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, embeddings, html_text, jaccard, language, licences, packing, quality, substrings
+from . import alignment, bpe, chat, embeddings, html_text, jaccard, language, licences, packing, phrases, quality, ranked, substrings
 from .common import prepare, read_table
 
 
@@ -60,6 +60,18 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.best_fit(packing.sized(read_table(spark, folder, "documents")))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.token_alignment(read_table(spark, folder, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.decontaminate(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.ranked_search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": (op1_language_id, None),
     "op2_licence_scan": (op2_licence_scan, None),
@@ -71,4 +83,7 @@ QUERIES = {
     "op8_jaccard_join": (op8_jaccard_join, None),
     "op9_html_text": (op9_html_text, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_token_alignment": (op11_token_alignment, None),
+    "op12_decontamination": (op12_decontamination, phrases.SQL),
+    "op13_ranked_search": (op13_ranked_search, ranked.SQL),
 }
