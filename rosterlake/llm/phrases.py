@@ -46,7 +46,7 @@ def shard_row(shard: int, ids: list, texts: list[list[bytes]]) -> tuple:
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The index of all rows of ``docs`` (``INDEX``); write it before searching it more than once.
+    """The index of all rows of ``docs`` (``INDEX``), written to the shared folder, so that its shards keep their keys.
 
     Every row is a document of its own, also with a null or repeated id; null texts have no words but are listed.
     """
@@ -71,7 +71,7 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             yield pd.DataFrame(rows, columns=names)
 
     rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return rows.mapInPandas(postings, INDEX)
+    return store(rows.mapInPandas(postings, INDEX), "phrases")
 
 
 # --------------------------------------------------------------------------------- windows
@@ -293,8 +293,8 @@ def contamination(index: DataFrame, items: DataFrame, size: int = WINDOW, **opti
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW, **options) -> DataFrame:
-    """``contamination`` of the documents, through an index written to the shared folder."""
-    return contamination(store(build_index(docs), "phrases"), items, size, **options)
+    """``contamination`` of the documents through an index of them."""
+    return contamination(build_index(docs), items, size, **options)
 
 
 SQL = f"""
