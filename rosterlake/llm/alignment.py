@@ -22,11 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, store
+from . import bpe
+from .common import prepare, spread, store
 
 BYTE_TOKENS, PIECE_TOKENS = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pairs whose counts are broadcast; the others are joined.
 FREQUENT = 1 << 19
+#: Characters of a text that go to a library in one piece where they can be split.
+CHUNK = 1 << 17
 #: Texts that are encoded in one call of a library.
 CALL = 64
 
@@ -41,26 +44,50 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ByteTokens:
-    """The byte-level vocabulary; made once per task. Special tokens in a text are ordinary text."""
+    """The byte-level vocabulary; made once per task. Special tokens in a text are ordinary text.
 
-    def __init__(self, path: str | None = None) -> None:
-        import public_tokenizers
+    Where the ids of a file follow the order of its merges, merging by rank gives the same tokens as its list of merges,
+    and the faster library for rank files encodes; other files take their own library.
+    """
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __init__(self, path: str | None = None, pattern: str | None = None) -> None:
+        import public_tokenizers
 
         path = path or public_tokenizers.path(BYTE_TOKENS)
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         alphabet = byte_alphabet()
         with open(path, encoding="utf-8") as lines:
-            special = {t["id"] for t in json.load(lines)["added_tokens"]}
-        size = self.model.get_vocab_size(with_added_tokens=True)
-        names = [self.model.id_to_token(i) or "" for i in range(size)]
-        self.bytes = [n.encode() if i in special else bytes(alphabet[c] for c in n) for i, n in enumerate(names)]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+            file = json.load(lines)
+        self.bytes = [b""] * (1 + max([*file["model"]["vocab"].values(), *(t["id"] for t in file["added_tokens"])]))
+        for name, i in file["model"]["vocab"].items():
+            self.bytes[i] = bytes(alphabet[c] for c in name) if all(c in alphabet for c in name) else name.encode()
+        for token in file["added_tokens"]:
+            self.bytes[token["id"]] = token["content"].encode()
+        self.ranked = None
+        if in_merge_order(file):
+            special = {t["id"] for t in file["added_tokens"]}
+            self.ranked = bpe.Tokenizer(pattern=pattern, table={b: i for i, b in enumerate(self.bytes) if b and i not in special})
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+            self.model = Tokenizer.from_file(path)
+            self.model.encode_special_tokens = True
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if self.ranked is None:
+            return [np.array(e.ids, np.int64) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        to_numpy = self.ranked.encoding.encode_to_numpy
+        return [np.concatenate([to_numpy(p, disallowed_special=()) for p in bpe.pieces_of(t, self.ranked, CHUNK)]).astype(np.int64) for t in texts]
+
+
+def in_merge_order(file: dict) -> bool:
+    """Whether merging the pair of smallest id is what the file's list of merges says, with the usual split and nothing before it."""
+    model, first = file["model"], file["pre_tokenizer"]
+    vocabulary = model["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    base = len(vocabulary) - len(merges) - sum(t["content"] in vocabulary for t in file["added_tokens"])
+    plain = file.get("normalizer") is None and not model.get("dropout") and not model.get("ignore_merges")
+    usual = first is not None and first["type"] == "ByteLevel" and not first["add_prefix_space"] and first.get("use_regex", True)
+    return plain and usual and base == 256 and all(vocabulary.get(a + b) == base + i for i, (a, b) in enumerate(merges))
 
 
 class PieceTokens:
@@ -80,83 +107,91 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1)
 
 
-def token_ends(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    return np.cumsum(lengths[ids])
-
-
 def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """Exclusive ends, as indexes of both id lists, of the groups that two lists of cumulative byte ends share."""
     index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
     index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
     shared = sorted(index_a.keys() & index_b.keys())
-    return [index_a[e] for e in shared], [index_b[e] for e in shared]
+    return list(map(index_a.__getitem__, shared)), list(map(index_b.__getitem__, shared))
 
 
 def slice_links(ends_a: np.ndarray, ends_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of overlapping tokens, slice by slice.
 
     A slice of a and b tokens without a common end inside has a + b - 1 stretches between ends, and each stretch is the
-    overlap of one pair, so the links of a slice are its A index and its B index at every one of its ends. Slices of one
-    token on a side need no ends: that token meets all others. They are expanded together, the rest by sorted ends.
+    overlap of one pair, so the links of a slice are its A index and its B index at every one of its ends. In a slice of
+    one token on a side that token meets all others; only the rest look at the ends.
     """
     size_a, size_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
     count = size_a + size_b - 1
-    of = np.repeat(np.arange(len(count)), count)
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    left = (cuts_a - size_a)[of] + np.where(size_a[of] > 1, at, 0)
-    right = (cuts_b - size_b)[of] + np.where(size_b[of] > 1, at, 0)
-    mixed = (size_a > 1) & (size_b > 1)
-    if mixed.any():
-        in_a, in_b = np.repeat(mixed, size_a), np.repeat(mixed, size_b)
-        ends = np.union1d(ends_a[in_a], ends_b[in_b])
-        rows = mixed[of]
+    first = np.cumsum(count) - count
+    left, right = np.repeat(cuts_a - size_a, count), np.repeat(cuts_b - size_b, count)
+    for size, links in ((size_a, left), (size_b, right)):
+        long = np.flatnonzero(size > 1)
+        links[spread(first[long], count[long])] += spread(np.zeros(len(long), np.int64), count[long])
+    mixed = np.flatnonzero((size_a > 1) & (size_b > 1))
+    if len(mixed):
+        ends = np.union1d(ends_a[spread((cuts_a - size_a)[mixed], size_a[mixed])], ends_b[spread((cuts_b - size_b)[mixed], size_b[mixed])])
+        rows = spread(first[mixed], count[mixed])
         left[rows], right[rows] = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     return left, right
 
 
-def groups_text(names_a: list[str], names_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the decimal ids of all groups in order."""
-    out, i, j = [], 0, 0
-    for a, b in zip(cuts_a, cuts_b):
-        out.append(f"{names_a[i]}|{names_b[j]}" if a - i == 1 and b - j == 1 else ",".join(names_a[i:a]) + "|" + ",".join(names_b[j:b]))
-        i, j = a, b
-    return ";".join(out)
-
-
 class Aligner:
     """Aligns texts by two tokenizers; holds their tables."""
 
     def __init__(self, byte_path: str | None = None, piece_path: str | None = None) -> None:
         self.a, self.b = ByteTokens(byte_path), PieceTokens(piece_path)
         self.lengths = [np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b)]
-        self.names = [[str(i) for i in range(len(t.bytes))] for t in (self.a, self.b)]
+        # decimal ids with the sign behind them: inside a group's side, then at its end
+        self.names = [np.array([f"{i}," for i in range(len(t.bytes))] + [f"{i}{end}" for i in range(len(t.bytes))], object)
+                      for t, end in ((self.a, "|"), (self.b, ";"))]
+
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Ids of both sides per text; None for an empty text and one that a side does not give back byte by byte."""
+        found = []
+        for text, a, b in zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts)):
+            whole = (" " + text).encode("utf-8", "replace")
+            same = text and all(b"".join(map(t.bytes.__getitem__, ids)) == whole for t, ids in ((self.a, a.tolist()), (self.b, b)))
+            found.append((a, np.array(b, np.int64)) if same else None)
+        return found
 
     def align(self, texts: list[str]) -> list[tuple]:
-        """(ids of A, ids of B, cuts of A, cuts of B, left, right) per text; None if a text has no tokens to align."""
-        out: list[tuple] = [None] * len(texts)
-        filled = [i for i, t in enumerate(texts) if t]
-        for at in range(0, len(filled), CALL):
-            part = filled[at:at + CALL]
-            a_ids, b_ids = self.a.encode([" " + texts[i] for i in part]), self.b.encode([texts[i] for i in part])
-            for i, a, b in zip(part, a_ids, b_ids):
-                whole = (" " + texts[i]).encode("utf-8", "replace")
-                if b"".join(map(self.a.bytes.__getitem__, a)) != whole or b"".join(map(self.b.bytes.__getitem__, b)) != whole:
-                    continue
-                a, b = np.array(a, np.int64), np.array(b, np.int64)
-                ends_a, ends_b = token_ends(a, self.lengths[0]), token_ends(b, self.lengths[1])
-                cuts_a, cuts_b = common_ends(ends_a.tolist(), ends_b.tolist())
-                out[i] = (a, b, cuts_a, cuts_b, *slice_links(ends_a, ends_b, np.array(cuts_a), np.array(cuts_b)))
+        """Per text: n_a, n_b, n_groups, n_links, digest of the groups, distinct id pairs (a * size of B + b), their numbers.
+
+        The texts are taken as one stream, in which the end of a text is the end of a group.
+        """
+        out = [(0, 0, 0, 0, "", [], [])] * len(texts)
+        found = self.tokens(texts)
+        filled = [i for i, x in enumerate(found) if x is not None]
+        if not filled:
+            return out
+        ids = [np.concatenate([found[i][side] for i in filled]) for side in (0, 1)]
+        ends = [np.cumsum(length[x]) for length, x in zip(self.lengths, ids)]
+        sizes = [np.cumsum([0] + [len(found[i][side]) for i in filled]) for side in (0, 1)]
+        cuts: tuple[list, list] = ([], [])
+        for k in range(len(filled)):  # a dictionary per text stays small
+            one = common_ends(*(e[s[k]:s[k + 1]].tolist() for e, s in zip(ends, sizes)))
+            for side in (0, 1):
+                cuts[side].append(np.array(one[side], np.int64) + sizes[side][k])
+        groups = np.cumsum([0] + [len(c) for c in cuts[0]])
+        cut_a, cut_b = np.concatenate(cuts[0]), np.concatenate(cuts[1])
+        left, right = slice_links(*ends, cut_a, cut_b)
+        links = np.cumsum([0] + [int(x) for x in np.diff(sizes[0]) + np.diff(sizes[1]) - np.diff(groups)])
+        names = np.empty(len(ids[0]) + len(ids[1]), object)
+        for side, mine, other in ((0, cut_a, cut_b), (1, cut_b, cut_a)):
+            last = np.zeros(len(ids[side]), np.int64)
+            last[mine - 1] = len(self.lengths[side])
+            before = np.concatenate([[0], other[:-1]]) if side == 0 else other
+            names[np.arange(len(last)) + np.repeat(before, np.diff(mine, prepend=0))] = self.names[side][ids[side] + last]
+        pairs = ids[0][left] * len(self.b.bytes) + ids[1][right]
+        for k, i in enumerate(filled):
+            text = "".join(names[sizes[0][k] + sizes[1][k]:sizes[0][k + 1] + sizes[1][k + 1]].tolist())[:-1]
+            distinct, times = np.unique(pairs[links[k]:links[k + 1]], return_counts=True)
+            out[i] = (len(found[i][0]), len(found[i][1]), int(groups[k + 1] - groups[k]), int(links[k + 1] - links[k]),
+                      hashlib.sha256(text.encode()).hexdigest(), distinct, times)
         return out
 
-    def row(self, found: tuple | None) -> tuple:
-        """(n_a, n_b, n_groups, n_links, digest, distinct id pairs as a * size of B + b, their numbers)."""
-        if found is None:
-            return 0, 0, 0, 0, "", [], []
-        a, b, cuts_a, cuts_b, left, right = found
-        text = groups_text([self.names[0][i] for i in a.tolist()], [self.names[1][i] for i in b.tolist()], cuts_a, cuts_b)
-        pairs, times = np.unique(a[left] * len(self.b.bytes) + b[right], return_counts=True)
-        return len(a), len(b), len(cuts_a), len(left), hashlib.sha256(text.encode()).hexdigest(), pairs, times
-
 
 def aligned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", byte_path: str | None = None,
             piece_path: str | None = None) -> DataFrame:
@@ -173,8 +208,7 @@ def aligned(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
             for at in range(0, len(texts), CALL):
-                rows = [aligner.row(x) for x in aligner.align(texts[at:at + CALL])]
-                out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
+                out = pd.DataFrame(aligner.align(texts[at:at + CALL]), columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
                 out.insert(0, "doc_id", pd.array([None if pd.isna(i) else int(i) for i in frame["doc_id"][at:at + CALL]], "Int64"))
                 out.insert(0, "row", np.arange(key, key + len(out)))
                 key += len(out)

@@ -32,16 +32,17 @@ LOOK = 3
 
 
 class Tokenizer:
-    """The vocabulary of a rank file and the pattern that splits text; made once per task."""
+    """The vocabulary of a rank file (or a table of ranks) and the pattern that splits text; made once per task."""
 
-    def __init__(self, ranks: str | None = None, pattern: str | None = None) -> None:
+    def __init__(self, ranks: str | None = None, pattern: str | None = None, table: dict[bytes, int] | None = None) -> None:
         import public_tokenizers
         import regex
         import tiktoken
 
         path, pattern = ranks or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
-        with open(path, "rb") as lines:
-            table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        if table is None:
+            with open(path, "rb") as lines:
+                table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         # white space as the rank files' library defines it
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})

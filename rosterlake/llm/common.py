@@ -78,6 +78,11 @@ def as_long(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
+def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for every (first, count), one after the other."""
+    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 # ------------------------------------------------------------------------- streams of groups
 def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Frames that end where a group ends, from batches sorted by ``keys``; the last group waits for its rest."""
@@ -204,6 +209,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-__all__ = ["BATCH_ROWS", "Callable", "Column", "prepare", "mix", "word_hashes", "word_slices", "windows", "as_long",
+__all__ = ["BATCH_ROWS", "Callable", "Column", "prepare", "mix", "word_hashes", "word_slices", "windows", "as_long", "spread",
            "whole_groups", "bounds", "block_pairs", "node_sizes", "smallest_roots", "components", "class_labels", "wanted_rows", "read_table",
            "scratch_path", "shared_folder", "store"]

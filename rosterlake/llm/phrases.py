@@ -23,12 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, store
+from .common import prepare, spread, store
 from .lexical import BLOCK_BYTES, query_blocks, words
 from .ranked import SQL_WORDS
 
 WINDOW = 10
-SHARD_WORDS = 1 << 18
+SHARD_WORDS = 1 << 16
 #: Candidate starts that are intersected at a time.
 CANDIDATES = 1 << 21
 
@@ -56,19 +56,18 @@ def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         shard = TaskContext.get().partitionId() << 33
         names = [c.split()[0] for c in INDEX.split(", ")]
         for frame in frames:
-            rows, ids, texts, size = [], [], [], 0
+            ids, texts, size = [], [], 0
             for key, text in zip(frame["doc_id"], frame["text"]):
                 found = words(text)
                 if texts and size + len(found) > shard_words:
-                    rows.append(shard_row(shard + len(rows), ids, texts))
-                    ids, texts, size = [], [], 0
+                    yield pd.DataFrame([shard_row(shard, ids, texts)], columns=names)
+                    shard, ids, texts, size = shard + 1, [], [], 0
                 ids.append(None if pd.isna(key) else int(key))
                 texts.append(found)
                 size += len(found)
             if texts:
-                rows.append(shard_row(shard + len(rows), ids, texts))
-            shard += len(rows)
-            yield pd.DataFrame(rows, columns=names)
+                yield pd.DataFrame([shard_row(shard, ids, texts)], columns=names)
+                shard += 1
 
     rows = docs.select(F.col(id_column).cast("string").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return store(rows.mapInPandas(postings, INDEX), "phrases")
@@ -131,11 +130,6 @@ class Lists:
         return np.searchsorted(self.ends, position, side="right")
 
 
-def spread(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """first, first + 1, ... for every (first, count), one after the other."""
-    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-
-
 def portions(counts: np.ndarray, most: int) -> list[slice]:
     """Stretches of rows with about ``most`` in all; a longer row is a stretch by itself."""
     cuts = np.flatnonzero(np.diff(np.cumsum(counts) // most)) + 1
