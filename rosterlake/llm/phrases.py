@@ -1,8 +1,9 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 ``build_index`` stores the postings of all words of a corpus, sharded by document: a row of the index holds the
-documents of one shard (up to ``SHARD_WORDS`` words, or one longer document), its distinct terms, and for every term
-the sorted list of its positions, counted over the words of the shard. So no list grows with the corpus, a search needs
+documents of one shard (up to ``SHARD_WORDS`` words, or one longer document), its distinct terms (separated by a space,
+which no term holds), and for every term the length of its list and the sorted positions, counted over the words of the
+shard, as packed 32-bit integers. So no list grows with the corpus, a search needs
 no shuffle, and the lists of one shard are searched by one task.
 
 A search takes the windows of the test items a block at a time. In each shard a window whose terms all occur starts
@@ -32,7 +33,7 @@ SHARD_WORDS = 1 << 16
 #: Candidate starts that are intersected at a time.
 CANDIDATES = 1 << 21
 
-INDEX = "shard long, doc_ids array<long>, lengths array<int>, terms array<string>, counts array<int>, positions array<int>"
+INDEX = "shard long, doc_ids array<long>, lengths array<int>, terms string, counts binary, positions binary"
 
 
 # ----------------------------------------------------------------------------------- index
@@ -40,9 +41,9 @@ def shard_row(shard: int, ids: list, texts: list[list[bytes]]) -> tuple:
     number: defaultdict[bytes, int] = defaultdict()
     number.default_factory = number.__len__
     stream = np.array([i for text in texts for i in map(number.__getitem__, text)], np.int32)
-    order = np.argsort(stream, kind="stable").astype(np.int32)
-    return (shard, ids, [len(t) for t in texts], [t.decode("utf-8", "replace") for t in number],
-            np.bincount(stream, minlength=len(number)).astype(np.int32), order)
+    counts = np.bincount(stream, minlength=len(number)).astype("<i4")
+    return (shard, ids, [len(t) for t in texts], b" ".join(number).decode("utf-8", "replace"), counts.tobytes(),
+            np.argsort(stream, kind="stable").astype("<i4").tobytes())
 
 
 def build_index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -101,12 +102,12 @@ class Windows:
 class Lists:
     """Posting lists of the wanted terms of one shard: keys (term number * stride + position) in ascending order."""
 
-    def __init__(self, numbers: dict[str, int], terms, counts, positions, lengths) -> None:
-        counts, positions = np.asarray(counts, np.int64), np.asarray(positions, np.int64)
+    def __init__(self, numbers: dict[str, int], terms: str, counts: bytes, positions: bytes, lengths) -> None:
+        counts, positions = (np.frombuffer(x, "<i4").astype(np.int64) for x in (counts, positions))
         self.ends = np.cumsum(np.asarray(lengths, np.int64))
         self.starts = self.ends - np.asarray(lengths, np.int64)
         self.stride = len(positions) + 1
-        number = np.array([numbers.get(t, -1) for t in terms], np.int64)
+        number = np.array([numbers.get(t, -1) for t in terms.split(" ") if t], np.int64)
         lists = np.flatnonzero(number >= 0)
         lists = lists[np.argsort(number[lists])]
         self.count = np.zeros(len(numbers), np.int64)
