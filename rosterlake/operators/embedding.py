@@ -1,20 +1,17 @@
 """Text vectors. The encoder is a plug-in: a function from (text) to (text, vector).
 
 Every distinct text is encoded once and joined back by its digest: the digest is the key of
-every exchange, and a text shared by many rows is not encoded again.
+every exchange, and a text shared by many rows is not encoded again. Similarities that need no
+vectors are in ``tfidf``, those of texts and lists in ``terms``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import vectors
 from ..session import store
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -31,21 +28,6 @@ def udf_encoder(encode: Callable[[Column], Column]) -> Encoder:
     return lambda texts: texts.withColumn("vector", encode(F.col("text")).cast("array<float>"))
 
 
-def tfidf_encoder(features: int = 512, min_docs: int = 0) -> Encoder:
-    """Hashed TF-IDF unit vectors; deterministic, needs no model file."""
-    def encode(texts: DataFrame) -> DataFrame:
-        stages = [
-            RegexTokenizer(inputCol="text", outputCol="_tokens", pattern=r"(?U)\W+"),
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
-            IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=min_docs),
-            Normalizer(inputCol="_tfidf", outputCol="_unit"),
-        ]
-        model = Pipeline(stages=stages).fit(texts)
-        return model.transform(texts).select("text", vector_to_array("_unit", "float32").alias("vector"))
-
-    return encode
-
-
 def _digest(c: Column) -> Column:
     return F.sha2(c, 256)
 
@@ -90,18 +72,3 @@ def encode_lists(entities: DataFrame, key: str, columns: dict[str, str], encode:
     empty = F.array().cast("array<array<float>>")
     joined = entities.join(gathered, F.col(key) == F.col("_key"), "left").drop("_key")
     return joined.withColumns({o: F.coalesce(F.col(o), empty) for o in columns.values()})
-
-
-def text_similarity(df: DataFrame, left: str, right: str, output: str, encode: Encoder) -> DataFrame:
-    """Cosine of two text columns of the same row.
-
-    Both columns share one encoder run, whose result is stored because it is joined twice.
-    """
-    both = df.select(F.explode(F.array(left, right)).alias("text"))
-    encoded = store(_encoded(both, encode), "vectors")
-    a = encoded.select(F.col("_digest").alias("_a"), F.col("vector").alias("_va"))
-    b = encoded.select(F.col("_digest").alias("_b"), F.col("vector").alias("_vb"))
-    return (df.join(a, _digest(F.col(left)) == F.col("_a"), "left")
-            .join(b, _digest(F.col(right)) == F.col("_b"), "left")
-            .withColumn(output, vectors.cosine(F.col("_va"), F.col("_vb")))
-            .drop("_a", "_b", "_va", "_vb"))

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from ..functions import matching, temporal, text
 from ..session import store
-from .embedding import Encoder, encode_lists
+from .embedding import Encoder
 from .extraction import CANDIDATE_SCHEMA, JOB_SCHEMA, Extract
 from .joins import add_if_absent, group_rare
-from .scoring import culture_similarity, skill_similarity
+from .scoring import list_similarities
+from .tfidf import Tfidf
 
 # --- fixed values: payload contract and fallbacks -------------------------------------------
 SENIORITY = ["junior", "mid", "senior", "specialist", "unknown"]
@@ -168,7 +169,7 @@ def request_lists(payloads: DataFrame, extract: Extract | None = None, jobs: Dat
     })
 
 
-def score_requests(requests: DataFrame, encode: Encoder, extract: Extract | None = None,
+def score_requests(requests: DataFrame, encode: Encoder | Tfidf, extract: Extract | None = None,
                    jobs: DataFrame | None = None) -> DataFrame:
     """(request_id, status, reason, score_skills, score_cultural, score_behavioral).
 
@@ -182,14 +183,16 @@ def score_requests(requests: DataFrame, encode: Encoder, extract: Extract | None
     parsed = request_lists(read_payloads(numbered), extract, jobs)
     lists = store(parsed.select("_request", "request_id", "rejected", "fallback_used", "job_skills", "cand_skills",
                                 "job_culture", "cand_culture"), "requests")
-    sides = {"job_skills": "_js", "cand_skills": "_cs", "job_culture": "_jc", "cand_culture": "_cc"}
-    df = encode_lists(lists, "_request", sides, encode)
+    side = lambda name, key: lists.where("rejected IS NULL").select(
+        F.col("_request").alias(key), F.col(f"{name}_skills").alias("skills"), F.col(f"{name}_culture").alias("culture"))
+    pairs = lists.where("rejected IS NULL").select("_request", F.col("_request").alias("_same"))
+    similar = list_similarities(pairs, side("job", "_request"), side("cand", "_same"), "_request", "_same", encode)
+    df = lists.join(similar, "_request", "left")
     good = F.col("rejected").isNull()
     return df.select(
         "request_id", F.when(good, "ok").otherwise("rejected").alias("status"), F.col("rejected").alias("reason"),
         F.when(good, F.col("fallback_used")).alias("fallback_used"),
-        F.when(good, skill_similarity(F.col("_js"), F.col("_cs"))).alias("score_skills"),
-        F.when(good, culture_similarity(F.col("_jc"), F.col("_cc"))).alias("score_cultural"),
+        F.when(good, F.col("skill")).alias("score_skills"), F.when(good, F.col("culture")).alias("score_cultural"),
         F.when(good, matching.behaviour_score(text.sentiment(F.lit(""), text.SENTIMENT_SCORING)))
         .alias("score_behavioral"))
 

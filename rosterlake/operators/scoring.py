@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import matching, text, vectors
-from .embedding import Encoder, text_similarity
+from .embedding import Encoder
 from .features import scoring_behaviour_columns
+from .terms import list_scores, text_similarity
+from .tfidf import Tfidf
 from .training import score_probability
 
 # --- fixed values: column names and thresholds of the recruiting tables -------------------
@@ -40,6 +42,18 @@ def culture_similarity(job_vectors: Column, candidate_vectors: Column) -> Column
     return vectors.mean_best_cosine(job_vectors, candidate_vectors, None, CULTURE_NEUTRAL)
 
 
+def list_similarities(pairs: DataFrame, jobs: DataFrame, candidates: DataFrame, job_key: str, candidate_key: str,
+                      encode: Encoder | Tfidf) -> DataFrame:
+    """``skill`` and ``culture`` of distinct pairs of keys, from tables (key, skills, culture) of lists of terms."""
+    return list_scores(pairs, jobs, candidates, job_key, candidate_key, encode, {
+        "skill": ("skills", "skills", SKILL_THRESHOLD, 0.0), "culture": ("culture", "culture", None, CULTURE_NEUTRAL)})
+
+
+def entity_texts(table: DataFrame, columns: list[str]) -> DataFrame:
+    """(text): the joined texts of a job or candidate table with prefixed columns."""
+    return table.select(text.join_texts(*[F.col(c) for c in columns]).alias("text"))
+
+
 def structured_columns(df: DataFrame, job: Mapping[str, str] = JOB_LEVELS,
                        candidate: Mapping[str, str] = CANDIDATE_LEVELS) -> DataFrame:
     """The three level scores and their weighted sum.
@@ -66,30 +80,37 @@ def weighted_technical(soft: Column, structured: Column, cosine: Column) -> Colu
     return matching.weighted({"soft": soft, "structured": structured, "cosine": cosine}, matching.TECHNICAL_WEIGHTS)
 
 
-def technical_baseline(df: DataFrame, encode: Encoder) -> DataFrame:
-    """Structured score, text similarity and their weighted sum."""
+def technical_baseline(df: DataFrame, encode: Encoder | Tfidf, entities: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Structured score, text similarity and their weighted sum.
+
+    ``entities`` are the prefixed job and candidate tables, if the distinct texts should come from there.
+    """
     job, candidate = SKILL_TEXTS
+    texts = entities and entity_texts(entities[0], job).unionAll(entity_texts(entities[1], candidate))
     df = structured_columns(df).withColumns({
         "_job_text": text.join_texts(*[F.col(c) for c in job]),
         "_app_text": text.join_texts(*[F.col(c) for c in candidate]),
     })
-    df = text_similarity(df, "_job_text", "_app_text", "soft_match_score", encode).drop("_job_text", "_app_text")
+    df = text_similarity(df, "_job_text", "_app_text", "soft_match_score", encode, texts).drop("_job_text", "_app_text")
     return df.withColumn("final_technical_score", baseline_technical(
         F.col("structured_match_score"), F.col("soft_match_score")))
 
 
-def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, encode: Encoder,
+def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, encode: Encoder | Tfidf,
                       texts: tuple[str, str] = ("job_pv_principais_atividades", "app_cv_pt"),
-                      candidate_levels: Mapping[str, str] = CANDIDATE_LEVELS) -> DataFrame:
+                      candidate_levels: Mapping[str, str] = CANDIDATE_LEVELS,
+                      entities: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Pairs ranked by the weighted sum of skill match, level match and text similarity.
 
-    Skills are compared by their list-of-vector columns; missing texts read as ''.
+    Skills are compared by their list-of-vector columns; missing texts read as ''. ``entities`` as in
+    :func:`technical_baseline`.
     """
+    known = entities and entity_texts(entities[0], texts[:1]).unionAll(entity_texts(entities[1], texts[1:]))
     df = structured_columns(df, candidate=candidate_levels).withColumns({
         "soft_match_score": skill_similarity(F.col(job_vectors), F.col(candidate_vectors)),
         "_left": F.coalesce(F.col(texts[0]), F.lit("")), "_right": F.coalesce(F.col(texts[1]), F.lit("")),
     })
-    df = text_similarity(df, "_left", "_right", "cosine_similarity_score", encode).withColumn(
+    df = text_similarity(df, "_left", "_right", "cosine_similarity_score", encode, known).withColumn(
         "technical_score", weighted_technical(F.col("soft_match_score"), F.col("structured_match_score"),
                                               F.coalesce("cosine_similarity_score", F.lit(0.0))))
     names = ["codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score",
@@ -97,7 +118,7 @@ def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, e
     return ranking(df, {n: n for n in names}, "technical_score")
 
 
-def cultural_baseline(df: DataFrame, encode: Encoder) -> DataFrame:
+def cultural_baseline(df: DataFrame, encode: Encoder | Tfidf) -> DataFrame:
     job, candidate = CULTURE_TEXTS
     df = df.withColumns({
         "job_culture_text": text.join_texts(*[F.col(c) for c in job]),

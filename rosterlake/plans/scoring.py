@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import matching, text
 from ..operators import extraction, features, scoring
-from ..operators.embedding import Encoder, encode_lists
+from ..operators.embedding import Encoder
 from ..operators.joins import join_entities, prefix_columns
+from ..operators.tfidf import Tfidf
 from ..sources.tables import append_parquet, path_exists, read_appended, read_parquet, write_parquet
 
 STATES = {"vaga": "vagas_processadas", "candidato": "candidatos_processados"}
@@ -77,42 +78,25 @@ def answer_lists(answers: DataFrame, key: str) -> DataFrame:
                           F.col("dados.competencias_comportamentais").alias("culture"))
 
 
-def entity_vectors(lists: DataFrame, key: str, prefix: str, encode: Encoder) -> DataFrame:
-    """(key, skill vectors, culture vectors) of each job or candidate."""
-    encoded = encode_lists(lists, key, {"skills": f"{prefix}_skill_vectors", "culture": f"{prefix}_culture_vectors"}, encode)
-    return encoded.drop("skills", "culture")
-
-
-def score_table(df: DataFrame, encode: Encoder, job_lists: DataFrame | None = None,
+def score_table(df: DataFrame, encode: Encoder | Tfidf | None = None, job_lists: DataFrame | None = None,
                 candidate_lists: DataFrame | None = None) -> DataFrame:
     """Enriched rows -> rows with the three scores; raw rows get their features first.
 
-    The entity lists are taken from the rows themselves unless given.
+    The entity lists are taken from the rows themselves unless given. Only the keys of the distinct pairs take part in
+    the comparison of lists, and the wide rows meet two numbers afterwards.
     """
     df = features.build_features(df)
     job_lists = entity_lists(df, "codigo_vaga", "job") if job_lists is None else job_lists
     candidate_lists = entity_lists(df, "codigo_candidato", "app") if candidate_lists is None else candidate_lists
-    pairs = df.select("codigo_vaga", "codigo_candidato").distinct()
-    similar = pair_similarities(pairs, entity_vectors(job_lists, "codigo_vaga", "job", encode),
-                                entity_vectors(candidate_lists, "codigo_candidato", "app", encode))
+    similar = scoring.list_similarities(df.select("codigo_vaga", "codigo_candidato").distinct(), job_lists, candidate_lists,
+                                        "codigo_vaga", "codigo_candidato", encode or Tfidf())
+    similar = similar.withColumnsRenamed({"skill": "_skill", "culture": "_culture"})
     scored = with_scores(df.join(similar, ["codigo_vaga", "codigo_candidato"]), F.col("_skill"), F.col("_culture"))
     return scored.drop("_skill", "_culture")
 
 
-def pair_similarities(pairs: DataFrame, job_vectors: DataFrame, candidate_vectors: DataFrame) -> DataFrame:
-    """(codigo_vaga, codigo_candidato, _skill, _culture) of distinct pairs.
-
-    Only the two keys travel with the vectors; the wide pair rows meet two numbers afterwards.
-    """
-    joined = pairs.join(job_vectors, "codigo_vaga").join(candidate_vectors, "codigo_candidato")
-    return joined.select(
-        "codigo_vaga", "codigo_candidato",
-        scoring.skill_similarity(F.col("job_skill_vectors"), F.col("app_skill_vectors")).alias("_skill"),
-        scoring.culture_similarity(F.col("job_culture_vectors"), F.col("app_culture_vectors")).alias("_culture"))
-
-
 def run(spark: SparkSession, curated: str, folder: str, output: str, extract: extraction.Extract,
-        encode: Encoder) -> DataFrame:
+        encode: Encoder | Tfidf | None = None) -> DataFrame:
     """The whole job: curated tables -> feature table -> enriched table -> scored table, each stored.
 
     The feature table is read by both extractions and the final join, the enriched table is a result

@@ -8,13 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rosterlake.functions import matching, text, vectors
-from rosterlake.operators import embedding, extraction, payload, scoring
+from rosterlake.operators import embedding, extraction, payload, scoring, terms
+from rosterlake.operators.tfidf import Tfidf
 from rosterlake.operators.joins import prefix_columns
 from rosterlake.plans import scoring as scoring_plan
 from rosterlake.session import scratch_path, ship_with_tasks, store
 from rosterlake.sources import tables
 
-from .base import CURATED_SQL, JOINED_SQL, applicants, joined, jobs, prospects, query, r, table
+from .base import CURATED_SQL, JOINED_SQL, WORD, applicants, joined, jobs, prospects, query, r, table
 from .text_queries import sql_level, sql_sentiment
 
 
@@ -24,11 +25,6 @@ TECHNICAL = dict(matching.TECHNICAL_WEIGHTS)
 
 
 # --------------------------------------------------------------------------------- vectors
-def in_range(score: str):
-    """A cosine-like score is null (no common basis) or within [0, 1] for vectors without negative parts."""
-    return F.coalesce(F.col(score).between(0, 1 + 1e-6), F.lit(True)).alias("in_range")
-
-
 # A job's list is cut from one vector, a candidate's list from the next vector, 8 numbers each;
 # every tenth list is empty. Nothing is grouped.
 def slices(column, first, last):
@@ -182,20 +178,43 @@ def _(spark, sf):
     c = table(spark, sf, "conversations")
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     df = c.select("conv_id", "turn", "text").join(nxt, ["conv_id", "turn"])
-    out = embedding.text_similarity(df, "text", "reply", "similarity", letter_encoder)
+    out = terms.text_similarity(df, "text", "reply", "similarity", letter_encoder)
     return out.select("conv_id", "turn", r("similarity", 5), (F.col("text") == F.col("reply")).alias("same_text"))
 
 
-@query("tfidf_similarity", "M14", """
-    SELECT a.conv_id, a.turn, true AS in_range, a.text = b.text AS same_text FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")
+def sql_tfidf(texts: str) -> str:
+    """CTEs over ``texts`` (a query of one column ``t``): ``wt`` (t, word, weight) holds the unit vectors of its distinct texts."""
+    return f"""tx AS (SELECT DISTINCT t FROM ({texts}) WHERE t IS NOT NULL),
+    tw AS (SELECT t, word, count(*) AS times FROM (SELECT t, unnest(string_split_regex(lower(t), '[^{WORD}]+')) AS word FROM tx) WHERE word <> '' GROUP BY ALL),
+    ti AS (SELECT word, ln(((SELECT count(*) FROM tx) + 1.0::double) / (count(*) + 1)) AS idf FROM tw GROUP BY word),
+    tu AS (SELECT t, word, times * idf AS w FROM tw JOIN ti USING (word) WHERE idf > 0),
+    wt AS (SELECT t, word, w / sqrt(sum(w * w) OVER (PARTITION BY t)) AS weight FROM tu)"""
+
+
+def sql_tfidf_pairs(a: str, b: str, source: str) -> str:
+    """CTE ``sim`` (a, b, cosine) for the distinct pairs of two text expressions of ``source``; null where a text has no vector."""
+    return f"""pq AS (SELECT DISTINCT {a} AS a, {b} AS b FROM {source}),
+    sim AS (SELECT a, b, CASE WHEN a IN (SELECT t FROM wt) AND b IN (SELECT t FROM wt) THEN coalesce(s, 0) END AS cosine FROM pq LEFT JOIN (
+      SELECT a, b, sum(x.weight * y.weight) AS s FROM pq JOIN wt x ON x.t = a JOIN wt y ON y.t = b AND y.word = x.word GROUP BY a, b) USING (a, b))"""
+
+
+TURNS = "SELECT a.conv_id, a.turn, a.text, b.text AS reply FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1"
+
+
+@query("tfidf_similarity", "M14,M5", f"""
+    WITH turns AS ({TURNS}), {sql_tfidf('SELECT text AS t FROM turns UNION ALL SELECT reply FROM turns')}, {sql_tfidf_pairs('text', 'reply', 'turns')}
+    SELECT conv_id, turn, round(cosine, 6) AS similarity, text = reply AS same_text FROM turns LEFT JOIN sim ON a IS NOT DISTINCT FROM text AND b IS NOT DISTINCT FROM reply""")
 def _(spark, sf):
-    """Hashed TF-IDF with its default width: equal texts have similarity 1, all lie in [0, 1], none is missing."""
     c = table(spark, sf, "conversations")
     nxt = c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     df = c.select("conv_id", "turn", "text").join(nxt, ["conv_id", "turn"])
-    out = embedding.text_similarity(df, "text", "reply", "similarity", embedding.tfidf_encoder())
-    there = F.coalesce(F.col("similarity").between(0, 1 + 1e-6), F.lit(False))
-    return out.select("conv_id", "turn", there.alias("in_range"), (F.col("text") == F.col("reply")).alias("same_text"))
+    out = terms.text_similarity(df, "text", "reply", "similarity", Tfidf())
+    return out.select("conv_id", "turn", r("similarity"), (F.col("text") == F.col("reply")).alias("same_text"))
+
+
+def entities(spark, sf):
+    """The prefixed job and candidate tables."""
+    return prefix_columns(jobs(spark, sf), "job_", ["codigo_vaga"]), prefix_columns(applicants(spark, sf), "app_", ["codigo_candidato"])
 
 
 BASELINE_TEXTS = ("coalesce(job_pv_principais_atividades, '') || ' ' || coalesce(job_pv_competencia_tecnicas_e_comportamentais, '')",
@@ -208,7 +227,7 @@ BASELINE_TEXTS = ("coalesce(job_pv_principais_atividades, '') || ' ' || coalesce
       round({WEIGHTS['structured']}::double * st + {WEIGHTS['cosine']}::double * cosine, 5) AS final_technical_score, true AS nearest_tier FROM s""")
 def _(spark, sf):
     """A tier is right if its centre is the nearest of the three mean scores of the tiers."""
-    df = scoring.technical_baseline(joined(spark, sf), letter_encoder)
+    df = scoring.technical_baseline(joined(spark, sf), letter_encoder, entities(spark, sf))
     scores = store(df.select("codigo_vaga", "codigo_candidato", "linha", "structured_match_score", "soft_match_score", "final_technical_score"))
     tiers = store(scoring.add_tiers(scores, "final_technical_score"))
     centers = tiers.groupBy("tier").agg(F.avg("final_technical_score").alias("center"))
@@ -231,7 +250,7 @@ def _(spark, sf):
     pairs = vector_pairs(spark, sf).drop("a", "b")
     n = pairs.agg(F.count("*")).scalar()
     df = joined(spark, sf).withColumn("vec_id", F.col("codigo_candidato").cast("bigint") % n).join(pairs, "vec_id")
-    return scoring.technical_ranking(df, "need", "have", letter_encoder)
+    return scoring.technical_ranking(df, "need", "have", letter_encoder, entities=entities(spark, sf))
 
 
 @query("cultural_baseline", "M10,F24", f"""
@@ -452,23 +471,41 @@ def _(spark, sf):
     return scored.select("codigo_vaga", "codigo_candidato", "linha", r("score_skills"), "score_behavioral", r("score_cultural"))
 
 
-@query("score_table", "M15,M14,E1,S2,S3", f"""
-    WITH {JOINED_SQL} SELECT codigo_vaga, CASE WHEN codigo_candidato = codigo_vaga THEN codigo_candidato || '_cand' ELSE codigo_candidato END AS codigo_candidato, linha,
+def sql_list(source, fields):
+    """The extracted terms of some list fields, in order and with repeats."""
+    words = ", ".join(f"'{t}'" for f in fields for t in TERMS[f])
+    return f"[w for w in [{words}] if contains(lower({source}), lower(w))]"
+
+
+def sql_list_score(need, have, threshold, empty):
+    """Mean of the best similarity from the CTE ``sim`` for lists of terms."""
+    best = f"list_max([coalesce(m[x || '|' || y], 0.0) for y in {have}])"
+    if threshold:
+        best = f"[CASE WHEN z >= {threshold} THEN z ELSE 0.0 END for z in [{best} for x in {need}]]"
+    else:
+        best = f"[{best} for x in {need}]"
+    return f"CASE WHEN len({need}) = 0 OR len({have}) = 0 THEN {empty}::double ELSE list_avg({best}) END"
+
+
+SKILLS, CULTURE = ["competencias_tecnicas", "ferramentas_tecnologicas"], ["competencias_comportamentais"]
+
+
+@query("score_table", "M15,M14,M1,M8,E1,S2,S3", f"""
+    WITH {JOINED_SQL}, l AS (SELECT *, {sql_list(JOB_TEXT, SKILLS)} AS js, {sql_list(CV, SKILLS)} AS cs, {sql_list(JOB_TEXT, CULTURE)} AS jc, {sql_list(CV, CULTURE)} AS cc FROM joined),
+    vocabulary AS (SELECT DISTINCT unnest(list_concat(list_concat(js, cs), list_concat(jc, cc))) AS t FROM l),
+    {sql_tfidf('SELECT t FROM vocabulary')}, met AS (SELECT x.t AS p, y.t AS q FROM vocabulary x, vocabulary y), {sql_tfidf_pairs('p', 'q', 'met')},
+    mm AS (SELECT map(list(a || '|' || b ORDER BY a, b), list(coalesce(cosine, 0) ORDER BY a, b)) AS m FROM sim)
+    SELECT codigo_vaga, CASE WHEN codigo_candidato = codigo_vaga THEN codigo_candidato || '_cand' ELSE codigo_candidato END AS codigo_candidato, linha,
       CASE {sql_sentiment('p_comentario', text.SENTIMENT_SCORING)} WHEN 1 THEN 0.9 WHEN -1 THEN 0.2 ELSE 0.5 END::double AS score_behavioral,
-      round({STRUCTURED}, 6) AS structured_match_score, true AS in_range,
-      CASE WHEN {sql_terms(CV, TERMS['competencias_comportamentais'])} = '' THEN 0.5 END AS neutral_culture FROM joined""")
+      round({STRUCTURED}, 6) AS structured_match_score, round(0.7::double * ({sql_list_score('js', 'cs', 0.5, 0.0)}) + 0.3::double * {STRUCTURED}, 6) AS score_skills,
+      round({sql_list_score('jc', 'cc', None, 0.5)}, 6) AS score_cultural FROM l, mm""")
 def _(spark, sf):
     """Curated tables to scored pairs, written and read back."""
     curated, out = scratch_path(spark, "curated"), scratch_path(spark, "scored")
     for name, df in (("prospects", prospects(spark, sf)), ("applicants", applicants(spark, sf)), ("jobs", jobs(spark, sf))):
         tables.write_parquet(df, f"{curated}/{name}.parquet")
-    scored = scoring_plan.run(spark, curated, scratch_path(spark, "store"), out, extraction.keyword_extract(TERMS, OPTIONS),
-                              embedding.tfidf_encoder(64))
-    both = F.array("score_skills", "score_cultural")
-    return scored.select(
-        "codigo_vaga", "codigo_candidato", "linha", "score_behavioral", r("structured_match_score"),
-        F.forall(both, lambda x: x.between(0, 1 + 1e-6)).alias("in_range"),
-        F.when(F.size("app_competencias_comportamentais") == 0, F.col("score_cultural")).alias("neutral_culture"))
+    scored = scoring_plan.run(spark, curated, scratch_path(spark, "store"), out, extraction.keyword_extract(TERMS, OPTIONS))
+    return scored.select("codigo_vaga", "codigo_candidato", "linha", "score_behavioral", r("structured_match_score"), r("score_skills"), r("score_cultural"))
 
 
 ship_with_tasks(sys.modules[__name__])

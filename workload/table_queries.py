@@ -439,7 +439,32 @@ def _(spark, sf):
     return df.select("codigo_vaga", "codigo_candidato", "linha", *FEATURE_COLUMNS, F.lit(hidden).alias("hidden"))
 
 
-@query("fuzzy_location", "J9")
+# Longest common subsequences by anti-diagonals: cell i of diagonal d is the length for i characters of the short name and
+# d - i of the window, from the two diagonals before; the last cell of the last diagonal is the length for both.
+LOCATION_SQL = """
+    WITH RECURSIVE place AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+    rows AS (SELECT l_orderkey, l_linenumber, c.n_name || ' ' || c.r_name AS c_place, c.r_name AS c_region, s.r_name || ', ' || s.n_name AS s_place,
+        CASE WHEN s_suppkey % 2 = 0 THEN s.n_name END AS s_nation
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN place c ON c_nationkey = c.n_nationkey
+      JOIN supplier ON l_suppkey = s_suppkey JOIN place s ON s_nationkey = s.n_nationkey),
+    tuples AS (SELECT DISTINCT c_place, c_region, s_place, s_nation FROM rows),
+    met AS (SELECT *, unnest([c_place, c_region]) AS x, NULL AS y FROM tuples),
+    names AS (SELECT c_place, c_region, s_place, s_nation, upper(x) AS a, upper(unnest([s_place, s_nation])) AS b FROM met),
+    pairs AS (SELECT DISTINCT a, b FROM names WHERE a <> '' AND b <> ''),
+    sides AS (SELECT a, b, a AS s, b AS l FROM pairs WHERE length(a) <= length(b) UNION ALL SELECT a, b, b, a FROM pairs WHERE length(b) <= length(a)),
+    cuts AS (SELECT a, b, s, l[p:p + length(s) - 1] AS w FROM (SELECT *, unnest(range(1, length(l) + 1)) AS p FROM sides)
+      UNION SELECT a, b, s, l[1:p] FROM (SELECT *, unnest(range(1, length(s))) AS p FROM sides)),
+    lcs AS (SELECT s, w, 0 AS d, [0 FOR i IN range(0, length(s) + 1)] AS d1, [0 FOR i IN range(0, length(s) + 1)] AS d2 FROM (SELECT DISTINCT s, w FROM cuts)
+      UNION ALL SELECT s, w, d + 1, [CASE WHEN i >= 1 AND d + 1 - i BETWEEN 1 AND length(w)
+          THEN greatest(d1[i], d1[i + 1], d2[i] + CASE WHEN s[i] = w[d + 1 - i] THEN 1 ELSE 0 END) ELSE 0 END FOR i IN range(0, length(s) + 1)], d1
+      FROM lcs WHERE d < length(s) + length(w)),
+    score AS (SELECT a, b, max(200.0::double * d1[length(s) + 1] / (length(s) + length(w))) AS best FROM cuts JOIN lcs USING (s, w) WHERE d = length(s) + length(w) GROUP BY a, b),
+    near AS (SELECT c_place, c_region, s_place, s_nation, bool_or(coalesce(best >= 70, false)) AS near FROM names LEFT JOIN score USING (a, b) GROUP BY ALL)
+    SELECT l_orderkey, l_linenumber, rows.c_place, rows.s_place, near AS ind_mesma_localidade FROM rows JOIN near ON near.c_place = rows.c_place
+      AND near.c_region = rows.c_region AND near.s_place = rows.s_place AND near.s_nation IS NOT DISTINCT FROM rows.s_nation"""
+
+
+@query("fuzzy_location", "J9", LOCATION_SQL)
 def _(spark, sf):
     """Customer place against supplier place of every line item."""
     from rosterlake.operators.location import with_same_place
