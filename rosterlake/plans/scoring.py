@@ -10,6 +10,7 @@ from ..operators import extraction, features, scoring
 from ..operators.embedding import Encoder
 from ..operators.joins import join_entities, prefix_columns
 from ..operators.tfidf import Tfidf
+from ..session import over_all_cores
 from ..sources.tables import append_parquet, path_exists, read_appended, read_parquet, write_parquet
 
 STATES = {"vaga": "vagas_processadas", "candidato": "candidatos_processados"}
@@ -18,9 +19,9 @@ STATES = {"vaga": "vagas_processadas", "candidato": "candidatos_processados"}
 def feature_table(prospects: DataFrame, applicants: DataFrame, jobs: DataFrame, today: Column | None = None) -> DataFrame:
     """Joined rows with all structured features, in one plan.
 
-    ``today`` defaults to the latest application date among the joined rows.
+    ``today`` defaults to the latest application date among the joined rows. The tables are scans.
     """
-    joined = join_entities(prospects, applicants, jobs)
+    joined = join_entities(over_all_cores(prospects), applicants, jobs)
     return features.build_features(joined, today)
 
 

@@ -70,6 +70,16 @@ def store(df: DataFrame, label: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def over_all_cores(df: DataFrame) -> DataFrame:
+    """A table scan whose rows are dealt over all cores if it has fewer partitions than cores.
+
+    A few files of one row group each would leave all work up to the next shuffle to a few tasks, and broadcast joins
+    need no shuffle. A larger table is returned as it is. Only for scans: a plan with a shuffle would run it to be counted.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def ship_with_tasks(module) -> None:
     """Send a module's functions inside the task, so workers need no installed package."""
     cloudpickle.register_pickle_by_value(module)
