@@ -23,6 +23,8 @@ ISSUE_SCHEMA = T.StructType([
     T.StructField("detail", T.StringType()),
 ])
 
+MISSING = "null, empty, blank or '-'"
+
 
 def no_issues(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], ISSUE_SCHEMA)
@@ -46,7 +48,7 @@ def _count_issues(df: DataFrame, checks: Sequence[tuple[str, str, Column, str]])
 
 def check_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     strings = set(string_columns(df))
-    checks = [("required", c, text.is_missing_value(F.col(c), c in strings), "null, empty, blank or '-'")
+    checks = [("required", c, text.is_missing_value(F.col(c), c in strings), MISSING)
               for c in columns if c in df.columns]
     out = _count_issues(df, checks)
     for c in columns:
@@ -62,12 +64,17 @@ def bad_required(columns: Sequence[str]) -> Column:
     return bad
 
 
-def split_required(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) rows by the required columns."""
+def present(df: DataFrame, columns: Sequence[str]) -> Sequence[str]:
+    """The same columns; an absent one is an error."""
     absent = [c for c in columns if c not in df.columns]
     if absent:
         raise ValueError(f"required columns are missing: {absent}")
-    bad = bad_required(columns)
+    return columns
+
+
+def split_required(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) rows by the required columns."""
+    bad = bad_required(present(df, columns))
     return df.where(~bad), df.where(bad)
 
 
@@ -122,6 +129,25 @@ def check_cardinality(df: DataFrame, column: str, threshold: int = 1000, exact:
                     F.lit(f"more than {threshold} distinct values").alias("detail")))
 
 
+def structure_errors(df: DataFrame, expected: T.StructType) -> list[tuple]:
+    """(None, column, error) of missing and wrongly typed columns; reads no row."""
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for f in expected.fields:
+        if f.name not in actual:
+            out.append((None, f.name, "missing column"))
+        elif actual[f.name] != f.dataType:
+            out.append((None, f.name, f"expected {f.dataType.simpleString()}, found {actual[f.name].simpleString()}"))
+    return out
+
+
+def assert_structure(df: DataFrame, expected: T.StructType, label: str) -> None:
+    """Raise on missing and wrongly typed columns."""
+    errors = structure_errors(df, expected)
+    if errors:
+        raise ValueError(f"[{label}] schema check failed: {len(errors)} errors; " + "; ".join(f"{c}: {e}" for _, c, e in errors))
+
+
 def schema_errors(df: DataFrame, expected: T.StructType, id_field: str) -> DataFrame:
     """All contract violations as (id, column, error).
 
@@ -129,15 +155,8 @@ def schema_errors(df: DataFrame, expected: T.StructType, id_field: str) -> DataF
     one row per record.
     """
     actual = {f.name: f.dataType for f in df.schema.fields}
-    structural = []
-    for f in expected.fields:
-        if f.name not in actual:
-            structural.append((None, f.name, "missing column"))
-        elif actual[f.name] != f.dataType:
-            structural.append((None, f.name, f"expected {f.dataType.simpleString()}, "
-                                             f"found {actual[f.name].simpleString()}"))
     shape = "id string, column string, error string"
-    out = df.sparkSession.createDataFrame(structural, shape)
+    out = df.sparkSession.createDataFrame(structure_errors(df, expected), shape)
     required = [f.name for f in expected.fields if not f.nullable and f.name in actual]
     if required:
         found = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]), lambda c: c.isNotNull())

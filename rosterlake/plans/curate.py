@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text
 from ..operators import quality
-from ..operators.flatten import flatten_nested, normalize
-from ..session import cut_lineage, store
+from ..operators.flatten import flatten_nested, normalize, string_columns
+from ..session import over_all_cores, scratch_path
 from ..sources import schemas
-from ..sources.tables import save_issues, write_parquet
+from ..sources.tables import delete_path, publish, read_parquet, save_issues
 
 
 @dataclass
@@ -40,42 +43,65 @@ class QualityError(ValueError):
     """A permanent quality check failed."""
 
 
-def permanent_issues(df: DataFrame, gate: Gate) -> DataFrame:
-    return quality.check_required(df, gate.required).unionAll(quality.check_duplicates(df, gate.unique))
+def staged_counts(flat: DataFrame, gate: Gate, valid: Column) -> dict[str, Column]:
+    """What the gate counts while the rows are written: contract nulls of all rows, the rest of the valid ones."""
+    strings = set(string_columns(flat))
+    counts = {f"null:{f.name}": F.count_if(F.col(f.name).isNull()) for f in gate.contract.fields if not f.nullable and f.name in flat.columns}
+    counts |= {f"required:{c}": F.count_if(valid & text.is_missing_value(F.col(c), c in strings)) for c in gate.required if c in flat.columns}
+    counts |= {f"changed:{c}": F.count_if(valid & ~text.clean_text(F.col(c)).eqNullSafe(F.col(c))) for c in gate.unique if c in strings}
+    return counts | {"rows": F.count(F.lit(1)), "invalid": F.count_if(~valid)}
 
 
-def removed_issue(invalid: DataFrame, gate: Gate) -> DataFrame:
-    """One issue row with the number of dropped rows, none if nothing was dropped."""
-    return (invalid.groupBy().count().where("count > 0")
-            .selectExpr("'removed' AS rule", f"'{','.join(gate.drop_invalid)}' AS column", "count AS n_rows",
-                        "'null or invalid required fields' AS detail"))
+def issue_rows(flat: DataFrame, staged: DataFrame, gate: Gate, counts: Mapping[str, int], valid: Column) -> DataFrame:
+    """Issues of the permanent checks: required columns from the counts, duplicates from the key columns of the staged copy.
+
+    Cleaning can make different keys alike; where it changed any key, the keys are read from the flattened rows instead.
+    """
+    absent = [(("required", c, None, "column is missing")) for c in gate.required if c not in flat.columns]
+    missing = [("required", c, counts[f"required:{c}"], quality.MISSING) for c in gate.required if counts.get(f"required:{c}")]
+    found = flat.sparkSession.createDataFrame(absent + missing, quality.ISSUE_SCHEMA)
+    same = not any(n for name, n in counts.items() if name.startswith("changed:"))
+    return found.unionAll(quality.check_duplicates(staged if same else flat.where(valid), gate.unique))
 
 
-def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None) -> DataFrame:
-    """Flatten, check, normalise. Raises :class:`QualityError` if a permanent check fails.
+def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None, target: str | None = None) -> DataFrame:
+    """Flatten, normalise, check. Raises :class:`QualityError` if a permanent check fails.
 
-    The flattened rows are stored: each check scans only its columns of them.
+    The rows are read once and written once, already normalised, and counted on the way; only the key columns of the
+    written copy are read again, to find duplicates. A copy that passes is published by renaming it to ``target``, so a
+    failed check leaves the earlier table as it was. Without ``target`` the copy stays in the shared folder.
     """
-    flat = store(flatten_nested(raw), gate.label)
-    quality.assert_schema(flat, gate.contract, gate.label, gate.id_field,
-                          f"{issues_path}-schema" if issues_path else None)
-    if gate.drop_invalid:
-        flat, invalid = quality.split_required(flat, gate.drop_invalid)
-        if issues_path:
-            dropped = removed_issue(invalid, gate)
-            if not dropped.isEmpty():
-                save_issues(dropped, gate.label, issues_path)
-    issues = cut_lineage(permanent_issues(flat, gate))
-    if not issues.isEmpty():
-        if issues_path:
-            save_issues(issues, gate.label, issues_path)
+    spark = raw.sparkSession
+    flat = flatten_nested(over_all_cores(raw))
+    quality.assert_structure(flat, gate.contract, gate.label)
+    valid = ~quality.bad_required(quality.present(flat, gate.drop_invalid))
+    seen = Observation()
+    counted = flat.observe(seen, *[c.alias(name) for name, c in staged_counts(flat, gate, valid).items()])
+    path = f"{target}.staged-{uuid.uuid4().hex}" if target else scratch_path(spark, gate.label)
+    normalize(counted.where(valid), gate.dates, gate.datetimes).write.parquet(path)
+    counts = seen.get
+    try:
+        if any(n for name, n in counts.items() if name.startswith("null:")):
+            quality.assert_schema(flat, gate.contract, gate.label, gate.id_field, f"{issues_path}-schema" if issues_path else None)
+        if counts["invalid"] and issues_path:
+            removed = [("removed", ",".join(gate.drop_invalid), counts["invalid"], "null or invalid required fields")]
+            save_issues(spark.createDataFrame(removed, quality.ISSUE_SCHEMA), gate.label, issues_path)
         # one row per check and column, as many as the gate lists
-        found = [r["message"] for r in quality.issue_text(issues).collect()]
-        raise QualityError(f"[{gate.label}] quality check failed: " + "; ".join(found))
-    return normalize(flat, gate.dates, gate.datetimes)
+        issues = issue_rows(flat, read_parquet(spark, path), gate, counts, valid).collect()
+        if issues:
+            issues = spark.createDataFrame(issues, quality.ISSUE_SCHEMA)
+            if issues_path:
+                save_issues(issues, gate.label, issues_path)
+            raise QualityError(f"[{gate.label}] quality check failed: " + "; ".join(r["message"] for r in quality.issue_text(issues).collect()))
+    except ValueError:
+        delete_path(spark, path)
+        raise
+    if target:
+        publish(spark, path, target)
+    return read_parquet(spark, target or path)
 
 
 def curate_all(raw_jobs: DataFrame, raw_prospects: DataFrame, raw_applicants: DataFrame, target: str,
                issues_path: str | None = None) -> None:
     for raw, gate in ((raw_jobs, JOBS), (raw_prospects, PROSPECTS), (raw_applicants, APPLICANTS)):
-        write_parquet(curate(raw, gate, issues_path), f"{target}/{gate.label}.parquet")
+        curate(raw, gate, issues_path, f"{target}/{gate.label}.parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,36 @@ from ..operators.quality import issue_text
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _at(spark, path)
+    return files.exists(place)
+
+
+def _at(spark: SparkSession, path: str):
+    """(file system, path) on Spark's side."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, folder = _at(spark, path)
+    files.delete(folder, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> bool:
+    """Move a folder; False if the new name is taken. Atomic where the file system's rename is."""
+    files, source = _at(spark, old)
+    _, target = _at(spark, new)
+    return not files.exists(target) and files.rename(source, target)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of ``target``. The earlier one steps aside first, so a crash loses neither."""
+    earlier = f"{target}.earlier-{uuid.uuid4().hex}"
+    if path_exists(spark, target) and not rename_path(spark, target, earlier):
+        raise OSError(f"{target} could not be moved")
+    if not rename_path(spark, staged, target):
+        raise OSError(f"{staged} could not be published as {target}")
+    delete_path(spark, earlier)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:

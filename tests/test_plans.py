@@ -79,3 +79,22 @@ def test_answer_log(spark, tmp_path):
     assert extract(sources, "candidato").where("NOT ok").count() == 2
     rows = spark.read.parquet(log)
     assert rows.where("kind = 'candidato'").groupBy("id").agg(F.count("*").alias("n")).collect()[0].n == 2
+
+
+def test_gate_publishes_by_rename(spark, tmp_path):
+    from test_operators import prospects_raw
+    target = str(tmp_path / "prospects.parquet")
+    curate.curate(prospects_raw(spark, ["5", "6", None]), curate.PROSPECTS, target=target)
+    curate.curate(prospects_raw(spark, ["7", "8", "9"]), curate.PROSPECTS, target=target)
+    with pytest.raises(curate.QualityError, match="2 rows"):  # the table stays as it was
+        curate.curate(prospects_raw(spark, ["1", "1"]), curate.PROSPECTS, target=target)
+    assert sorted(r.p_codigo for r in spark.read.parquet(target).collect()) == ["7", "8", "9"]
+    assert [p.name for p in tmp_path.iterdir()] == ["prospects.parquet"]
+    # keys that only cleaning makes alike are not duplicates
+    assert curate.curate(prospects_raw(spark, ["a", "A"]), curate.PROSPECTS).count() == 2
+
+
+def test_gate_reports_contract_errors(spark, tmp_path):
+    raw = spark.createDataFrame([(None, "t", None, [])], schemas.with_id(schemas.RAW_PROSPECT, "codigo_vaga"))
+    with pytest.raises(ValueError, match="required columns|schema check"):
+        curate.curate(raw.drop("codigo_vaga"), curate.PROSPECTS)
