@@ -2,8 +2,8 @@
 
 Counts, lengths and moments of all columns come from one aggregation. Distinct values and
 quantiles need a shuffle: values are grouped per (column, value) with map-side combine, so a
-value that fills a third of a column travels as one row per task, and the quantiles use
-:mod:`ordered` instead of collecting a column into one buffer.
+value that fills a third of a column travels as one row per task, and the quantiles of :mod:`ordered`
+sort only the values near the wanted ranks.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import quantiles, quantiles_of, unpivot, value_sums
+from ..session import cut_lineage
+from .ordered import ACCURACY, column_quantiles, probes, quantiles, unpivot
 
 LONG_VALUE = 64
 
@@ -89,7 +90,9 @@ def number_groups(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Moments, quartiles, 1.5 IQR outliers and population skewness per numeric column.
 
-    Exact quartiles, distinct counts and outliers all come from one stored (column, value) count. Without ``exact`` sketches replace it and nothing but one row per task is shuffled.
+    Exact quartiles come from sketches and the values around them, outliers from a count, and only distinct counts
+    shuffle all distinct values. Without ``exact`` nothing but one row per task is shuffled. The table is read several
+    times, its numeric columns only; give a stored one if it is costly to compute.
     """
     columns = list(columns or numeric_columns(df))
     kinds = F.create_map(*[F.lit(x) for f in df.schema.fields if f.name in columns for x in (f.name, f.dataType.simpleString())])
@@ -100,23 +103,29 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
         "min": lambda c: F.min(c).cast("double"), "max": lambda c: F.max(c).cast("double"),
         "skewness": lambda c: F.skewness(c),
     }
-    quarters = outliers = None
-    if exact:
-        for dtype, group in number_groups(df, columns).items():
-            long = unpivot(df, group, dtype=dtype).where("value IS NOT NULL").withColumn("n", F.lit(1))
-            counted = value_sums(long, "value", ["n"], ["column"])
-            part = quantiles_of(counted, "value", QUARTERS, ["column"]).withColumns({q: F.col(q).cast("double") for q in QUARTERS})
-            beyond = _outliers(counted, part)
-            quarters = part if quarters is None else quarters.unionByName(part)
-            outliers = beyond if outliers is None else outliers.unionByName(beyond)
-    else:
+    if not exact:
         stats["n_values"] = lambda c: F.approx_count_distinct(c)
         stats["_q"] = lambda c: F.percentile_approx(F.col(c).cast("double"), list(QUARTERS.values()))
-    basic = _per_column(df, columns, stats)
-    if not exact:
+        basic = _per_column(df, columns, stats)
         quarters = basic.select("column", "n_values", *[F.col("_q")[i].alias(q) for i, q in enumerate(QUARTERS)])
         basic = basic.drop("n_values", "_q")
         outliers = _outliers(unpivot(df, columns).where("value IS NOT NULL").withColumn("n", F.lit(1)), quarters)
+    else:
+        stats["_q"] = lambda c: F.percentile_approx(F.col(c).cast("double"), probes(QUARTERS), ACCURACY)
+        basic = cut_lineage(_per_column(df, columns, stats))  # one row per column
+        sketches = {r["column"]: (r["rows"] - r["null_count"], r["_q"]) for r in basic.collect()}
+        basic, groups = basic.drop("_q"), number_groups(df, columns)
+        found = column_quantiles(df, groups, sketches, QUARTERS)
+        quarters = df.sparkSession.createDataFrame(
+            [(c, *[q[name] for name in QUARTERS]) for c, q in found.items()], f"column string, {', '.join(f'{q} double' for q in QUARTERS)}")
+        values = None
+        for dtype, group in groups.items():
+            own = unpivot(df, group, dtype=dtype).where("value IS NOT NULL").groupBy("column", "value").agg(F.lit(1).alias("one"))
+            own = own.groupBy("column").agg(F.count("*").alias("n_values"))
+            values = own if values is None else values.unionByName(own)
+        quarters = quarters.join(values, "column", "left")
+        outliers = _per_column(df, columns, {"outlier_count": lambda c: F.count_if(_beyond(F.col(c).cast("double"), found[c]["q25"], found[c]["q75"]))})
+        outliers = outliers.join(basic.where("rows > null_count").select("column"), "column", "left_semi")
     quarters = quarters.withColumn("iqr", F.col("q75") - F.col("q25"))
     return (basic.join(quarters, "column", "left").join(outliers, "column", "left")
             .withColumn("n_unique", F.coalesce("n_values", F.lit(0)) + (F.col("null_count") > 0).cast("int"))
@@ -125,6 +134,14 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, exact:
                     "n_unique", *NUMERIC_STATS))
 
 
+def _beyond(c: Column, q25: float | None, q75: float | None) -> Column:
+    """Outside 1.5 IQR; nothing is where a column has no values."""
+    if q25 is None or q75 is None:
+        return F.lit(False)
+    spread = 1.5 * (q75 - q25)
+    return (c < q25 - spread) | (c > q75 + spread)
+
+
 def _outliers(counted: DataFrame, quarters: DataFrame) -> DataFrame:
     """(column, outlier_count) beyond 1.5 IQR; the bound side has one row per column, as small as the schema."""
     spread = 1.5 * (F.col("q75") - F.col("q25"))

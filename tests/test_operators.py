@@ -4,6 +4,7 @@ import math
 import random
 import statistics
 import zipfile
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,12 +36,54 @@ def test_running_totals_with_a_hot_value(spark):
             assert (r.s, r.s_upto, r.s_total, r.next_value) == (expected[r.v], total, sum(expected.values()), nxt)
 
 
+@pytest.mark.parametrize("accuracy", [4, 50, 10_000])
+def test_quantiles(spark, accuracy):
+    draw = random.Random(accuracy)
+    data = {k: [draw.choice([1.0, 2.0, draw.gauss(0, 1)]) for _ in range(n)] for k, n in (("a", 501), ("b", 2), ("c", 1), ("d", 40))}
+    df = spark.createDataFrame([(k, x) for k, v in data.items() for x in v] + [("a", None), ("e", None)], "k string, v double")
+    shares = {"lo": 0.0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "hi": 1.0}
+    got = {r.k: r for r in ordered.quantiles(df, "v", shares, ["k"], accuracy).collect()}
+    assert set(got) == set(data)
+    for k, v in data.items():
+        quarters = statistics.quantiles(v, n=4, method="inclusive") if len(v) > 1 else v * 3
+        assert [got[k].lo, got[k].q1, got[k].q2, got[k].q3, got[k].hi] == pytest.approx([min(v), *quarters, max(v)])
+    whole = ordered.quantiles(df, "v", {"q2": 0.5}, accuracy=accuracy).collect()
+    assert [r.q2 for r in whole] == pytest.approx([statistics.median([x for v in data.values() for x in v])])
+
+
+@pytest.mark.parametrize("accuracy", [3, 10_000])
+def test_quantiles_of_many_columns(spark, accuracy):
+    draw = random.Random(2)
+    rows = [(draw.choice([None, 2**60 + i, i]), draw.gauss(0, 1), None, Decimal(i % 7) / 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "i bigint, x double, none double, d decimal(10,2)")
+    shares = {"a": 0.0, "b": 0.3, "c": 1.0}
+    around = ordered.probes(shares, accuracy)
+    made = {c: [r[k] for r in rows if r[k] is not None] for k, c in enumerate(df.columns)}
+    sketches = {c: (len(v), df.selectExpr(f"percentile_approx(double({c}), array({','.join(map(str, around))}), {accuracy})").first()[0]) for c, v in made.items()}
+    got = ordered.column_quantiles(df, profile.number_groups(df, df.columns), sketches, shares, accuracy)
+    for c, v in made.items():
+        for name, share in shares.items():
+            v, at = sorted(v), share * (len(v) - 1)
+            low, high = (float(v[k]) for k in (math.floor(at), math.ceil(at))) if v else (None, None)
+            assert got[c][name] == (pytest.approx(low + (high - low) * (at % 1)) if v else None)
+    # brackets that miss their ranks are opened
+    assert ordered.column_quantiles(df, profile.number_groups(df, ["x"]), {"x": (400, [9.0] * 6)}, shares)["x"] == got["x"]
+
+
+def test_quantiles_of_odd_columns(spark):
+    big = spark.createDataFrame([(2**60 + i,) for i in range(9)], "v bigint")  # wider than a double
+    assert ordered.quantiles(big, "v", {"q": 0.25}).first().q == float(2**60 + 2)
+    nan = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (float("nan"),)], "v double")
+    assert ordered.quantiles(nan, "v", {"q": 1 / 3}).first().q == 2.0
+    assert ordered.quantiles(nan.where("v < 0"), "v", {"q": 0.5}).collect() in ([], [(None,)])
+
+
 @pytest.mark.parametrize("buckets", [2, 13, 128])
-def test_quantiles(spark, buckets):
+def test_quantiles_of_counted_values(spark, buckets):
     draw = random.Random(buckets)
     data = [draw.choice([1.0, 2.0, draw.gauss(0, 1)]) for _ in range(501)]
-    df = spark.createDataFrame([(x,) for x in data], "v double")
-    row = ordered.quantiles(df, "v", {"q1": 0.25, "q2": 0.5, "q3": 0.75, "hi": 1.0}, buckets=buckets).first()
+    values = ordered.value_sums(spark.createDataFrame([(x, 1) for x in data], "v double, n int"), "v", ["n"])
+    row = ordered.quantiles_of(values, "v", {"q1": 0.25, "q2": 0.5, "q3": 0.75, "hi": 1.0}, buckets=buckets).first()
     assert [row.q1, row.q2, row.q3] == pytest.approx(statistics.quantiles(data, n=4, method="inclusive"))
     assert row.hi == max(data) and row.n_values == len(set(data))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterlake.operators import joins, ordered, profile, quality, scoring
+from rosterlake.session import over_all_cores
 
 from .base import CURATED_SQL, applicants, jobs, query, r, table
 
@@ -114,7 +115,7 @@ NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber
 
 @query("profile_quantitative", "A10", sql_numeric("lineitem", NUMBERS))
 def _(spark, sf):
-    df = profile.numeric_profile(table(spark, sf, "lineitem"), NUMBERS)
+    df = profile.numeric_profile(over_all_cores(table(spark, sf, "lineitem")), NUMBERS)
     return df.select(F.col("column").alias("column_name"), "null_count", "n_unique", r("mean", 4), r("std", 4), "min", r("q25"),
                      r("median"), r("q75"), "max", r("iqr"), "outlier_count", r("skewness", 4))
 
