@@ -11,7 +11,8 @@ from ..operators.embedding import Encoder
 from ..operators.joins import join_entities, prefix_columns
 from ..operators.tfidf import Tfidf
 from ..session import over_all_cores
-from ..sources.tables import append_parquet, path_exists, read_appended, read_parquet, write_parquet
+from ..sources.ledger import Ledger
+from ..sources.tables import read_parquet, write_parquet
 
 STATES = {"vaga": "vagas_processadas", "candidato": "candidatos_processados"}
 
@@ -26,26 +27,33 @@ def feature_table(prospects: DataFrame, applicants: DataFrame, jobs: DataFrame,
 
 
 def run_extraction(spark: SparkSession, rows: DataFrame, folder: str, extract: extraction.Extract,
-                   entities: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Extract the ids that are new, append them to the state tables, return the enriched rows.
+                   entities: dict[str, DataFrame] | None = None, batch: tuple[str, int] | None = None) -> DataFrame:
+    """Extract the ids that are new, commit them to the ledger of answers, return the enriched rows.
 
     A restart skips what an earlier run finished. Failed ids are not stored, so the next run tries
-    them again. ``entities`` (``vaga``, ``candidato``) are the prefixed job and candidate tables, if the
-    texts should come from there rather than from the pair rows.
+    them again. Jobs and candidates are committed together, one row per id also if two runs are at work at
+    once; ``batch`` (stream, number) makes a repeated batch change nothing. ``entities`` (``vaga``,
+    ``candidato``) are the prefixed job and candidate tables, if the texts should come from there rather
+    than from the pair rows.
     """
     apart = extraction.disambiguate(rows)
-    answers = {}
+    ledger, new = Ledger(spark, f"{folder}/answers"), {}
     for kind, name in STATES.items():
-        path = f"{folder}/{name}"
-        done = read_appended(spark, path) if path_exists(spark, path) else None
-        new = (extraction.extract_new(apart, kind, extract, done) if entities is None
-               else extraction.extract_new_entities(rows, kind, entities[kind], extract, done))
-        append_parquet(new.where("ok").select("id", "dados", "ok"), path)
-        # two runs at once may both have stored an id
-        answers[kind] = read_appended(spark, path).dropDuplicates(["id"])
+        done = ledger.read(name)
+        found = (extraction.extract_new(apart, kind, extract, done) if entities is None
+                 else extraction.extract_new_entities(rows, kind, entities[kind], extract, done))
+        new[name] = found.where("ok").select("id", "dados", "ok")
+    ledger.commit(new, unique="id", batch=batch)
+    answers = read_answers(spark, folder)
     return extraction.attach_extracted(apart, answers["vaga"], answers["candidato"])
 
 
+def read_answers(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The stored answers of jobs and candidates (``vaga``, ``candidato``), one row per id."""
+    ledger = Ledger(spark, f"{folder}/answers")
+    return {kind: ledger.read(name) for kind, name in STATES.items()}
+
+
 def score_pairs(df: DataFrame, job_vectors: tuple[str, str], candidate_vectors: tuple[str, str]) -> DataFrame:
     """Add the three scores in place, and the level scores they use.
 
@@ -109,7 +117,7 @@ def run(spark: SparkSession, curated: str, folder: str, output: str, extract: ex
     write_parquet(feature_table(prospects, applicants, jobs), f"{folder}/features.parquet")
     enriched = run_extraction(spark, read_parquet(spark, f"{folder}/features.parquet"), folder, extract, entities)
     write_parquet(enriched, f"{folder}/resultado_final.parquet")
-    answers = {kind: read_appended(spark, f"{folder}/{name}").dropDuplicates(["id"]) for kind, name in STATES.items()}
+    answers = read_answers(spark, folder)
     scored = score_table(read_parquet(spark, f"{folder}/resultado_final.parquet"), encode,
                          answer_lists(answers["vaga"], "codigo_vaga"), answer_lists(answers["candidato"], "codigo_candidato"))
     write_parquet(scored, output)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Sequence
 
@@ -14,25 +13,25 @@ from ..operators.quality import issue_text
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, place = _at(spark, path)
+    files, place = file_system(spark, path)
     return files.exists(place)
 
 
-def _at(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """(file system, path) on Spark's side."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    files, folder = _at(spark, path)
+    files, folder = file_system(spark, path)
     files.delete(folder, True)
 
 
 def rename_path(spark: SparkSession, old: str, new: str) -> bool:
     """Move a folder; False if the new name is taken. Atomic where the file system's rename is."""
-    files, source = _at(spark, old)
-    _, target = _at(spark, new)
+    files, source = file_system(spark, old)
+    _, target = file_system(spark, new)
     return not files.exists(target) and files.rename(source, target)
 
 
@@ -61,38 +60,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def append_parquet(df: DataFrame, path: str) -> None:
-    """Append without reading the rows already there; known columns are cast to their stored types.
-
-    A column that the stored schema lacks is added to the new files, and a stored column the new rows
-    lack is null. Read such a table with :func:`read_appended`.
-    """
-    spark = df.sparkSession
-    fields = []
-    if path_exists(spark, path):
-        fields = read_appended(spark, path).schema.fields
-        stored = {f.name: f.dataType for f in fields}
-        df = df.select(*[F.col(f"`{c}`").cast(stored[c]).alias(c) if c in stored else F.col(f"`{c}`")
-                         for c in df.columns],
-                       *[F.lit(None).cast(t).alias(c) for c, t in stored.items() if c not in df.columns])
-    merged = [*fields, *[f for f in df.schema.fields if f.name not in {x.name for x in fields}]]
-    if len(merged) > len(fields):  # the schema comes first: a reader sees new columns as null until the rows are there
-        rows = [(T.StructType(merged).json(),)]
-        spark.createDataFrame(rows, "value string").coalesce(1).write.mode("overwrite").text(f"{path}.schema")
-    df.write.mode("append").parquet(path)
-
-
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    """A table of :func:`append_parquet`, by the schema stored beside it, so no footer is opened for it.
-
-    Without a stored schema (a table from elsewhere) the footers are merged.
-    """
-    if not path_exists(spark, f"{path}.schema/_SUCCESS"):
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    schema = T.StructType.fromJson(json.loads(spark.read.text(f"{path}.schema").first()["value"]))
-    return spark.read.schema(schema).parquet(path)
-
-
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, skip_bad: bool = False) -> DataFrame:
     """JSON lines; a missing path is an empty table. Broken lines fail the read or are skipped."""
     if not path_exists(spark, path):

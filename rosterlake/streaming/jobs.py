@@ -37,7 +37,7 @@ def extraction_stream(rows: DataFrame, folder: str, output: str, checkpoint: str
     the streamed rows give their ids only.
     """
     def write(batch: DataFrame, number: int) -> None:
-        enriched = run_extraction(batch.sparkSession, batch, folder, extract, entities)
+        enriched = run_extraction(batch.sparkSession, batch, folder, extract, entities, (checkpoint, number))
         enriched.write.mode("overwrite").parquet(f"{output}/batch={number}")
 
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

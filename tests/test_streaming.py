@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from rosterlake.operators import extraction
+from rosterlake.plans.scoring import read_answers
 from rosterlake.streaming import jobs
 
 
@@ -29,5 +30,4 @@ def test_extraction_stream_skips_done_ids(spark, tmp_path):
         stream = spark.readStream.schema(shape).parquet(source)
         jobs.extraction_stream(stream, folder, out, str(tmp_path / "cp"), extract).trigger(availableNow=True).start().awaitTermination(120)
     assert spark.read.parquet(out).count() == 3
-    assert spark.read.parquet(f"{folder}/vagas_processadas").count() == 2
-    assert spark.read.parquet(f"{folder}/candidatos_processados").count() == 2
+    assert {k: a.count() for k, a in read_answers(spark, folder).items()} == {"vaga": 2, "candidato": 2}

@@ -10,7 +10,7 @@ from rosterlake.functions.naming import tidy_name
 from rosterlake.operators import features, flatten, joins, quality
 from rosterlake.plans import curate
 from rosterlake.session import scratch_path
-from rosterlake.sources import documents, keyed_json, schemas, tables
+from rosterlake.sources import documents, keyed_json, ledger, schemas, tables
 
 from .base import (APPLICANTS, CURATED_SQL, JOBS, JOINED_SQL, PROSPECTS, applicants, joined, jobs, prospects, query, r,
                    sql_clean, sql_filled, table)
@@ -87,10 +87,24 @@ def _(spark, sf):
     UNION ALL SELECT s_suppkey, floor(s_acctbal), s_name FROM supplier""")
 def _(spark, sf):
     path = scratch_path(spark, "append")
-    tables.append_parquet(table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_acctbal AS amount"), path)
-    tables.append_parquet(table(spark, sf, "supplier").selectExpr(
+    ledger.append_parquet(table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_acctbal AS amount"), path)
+    ledger.append_parquet(table(spark, sf, "supplier").selectExpr(
         "cast(s_suppkey as int) AS id", "cast(floor(s_acctbal) as int) AS amount", "s_name AS note"), path)
-    return tables.read_appended(spark, path).select("id", "amount", "note")
+    return ledger.read_appended(spark, path).select("id", "amount", "note")
+
+
+@query("ledger_commits", "S4,E1,J6", """
+    SELECT user_id, min(event_id % 18) AS part, count(*) AS n_events, true AS few_folders FROM events WHERE user_id IS NOT NULL GROUP BY user_id""")
+def _(spark, sf):
+    """Eighteen commits of ids that overlap, one of them repeated, and a second table that must change with the first."""
+    book, e = ledger.Ledger(spark, scratch_path(spark, "ledger")), table(spark, sf, "events").where("user_id IS NOT NULL")
+    for part in [*range(18), 17]:
+        mine = e.where(F.col("event_id") % 18 == part)
+        book.commit({"first": mine.select("user_id", F.lit(part).cast("bigint").alias("part")).distinct(), "all": mine.select("user_id", "event_id")}, batch=("q", part))
+    seen = book.read("first").groupBy("user_id").agg(F.min("part").alias("part"))
+    counts = book.read("all").groupBy("user_id").agg(F.count("*").alias("n_events"))
+    few = all(len(t["folders"]) <= ledger.MAX_FOLDERS for t in book.manifest()["tables"].values())
+    return seen.join(counts, "user_id").withColumn("few_folders", F.lit(few))
 
 
 @query("union_relaxed", "U1", """
