@@ -9,6 +9,7 @@ import io
 import sys
 import xml.etree.ElementTree as ET
 import zipfile
+from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,10 +23,47 @@ KINDS = {"pdf": "pdf", "docx": "docx", "doc": "docx", "txt": "txt"}
 MIN_TEXT = 50
 WORD_SPACE = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 # --------------------------------------------------------------------------------------------------
+#: Bytes of a file that is read, and bytes that a Word file may unpack to.
+MAX_BYTES, MAX_TEXT = 256 << 20, 1 << 30
+#: Partition column that holds the names of written files.
+NAME = "_name"
 
 
-def read_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+def read_files(spark: SparkSession, path: str, glob: str = "*", max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(path, content) of every file; a file above ``max_bytes`` is listed without its content and not opened.
+
+    A folder of :func:`write_files` gives the names that were written.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    name = F.col("path") if NAME not in files.columns else F.concat(F.lit(f"{path}/"), F.col(NAME))
+    small = files.where(F.col("length") <= max_bytes).select(name.alias("path"), "content")
+    return small.unionAll(files.where(F.col("length") > max_bytes).select(name.alias("path"), F.lit(None).cast("binary")))
+
+
+def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "content") -> None:
+    """One file per row, its bytes followed by a line break, in a folder named after the row.
+
+    Spark writes no binary files, but its text writer passes bytes through unchanged.
+    """
+    (df.select(F.col(content).cast("string").alias("value"), F.col(name).alias(NAME))
+     .write.mode("overwrite").partitionBy(NAME).text(folder))
+
+
+def word_file(paragraphs: Column) -> Column:
+    """A minimal Word file of an array of paragraphs, as bytes."""
+    @F.pandas_udf("binary")
+    def build(rows: pd.Series) -> pd.Series:
+        return pd.Series([_word_bytes(r) for r in rows], dtype=object)
+
+    return build(paragraphs)
+
+
+def _word_bytes(paragraphs) -> bytes:
+    lines = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(p)}</w:t></w:r></w:p>' for p in paragraphs)
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as parts:
+        parts.writestr("word/document.xml", f'<w:document xmlns:w="{WORD_SPACE[1:-1]}"><w:body>{lines}</w:body></w:document>')
+    return held.getvalue()
 
 
 def file_kind(path: Column) -> Column:
@@ -35,21 +73,44 @@ def file_kind(path: Column) -> Column:
     return F.try_element_at(table, extension)
 
 
-def _paragraphs(content: bytes) -> str:
-    """Paragraph texts of a Word file joined by line breaks; '' if it cannot be read."""
+def _paragraphs(content: bytes, most: int = MAX_TEXT) -> str:
+    """Paragraph texts of a Word file joined by line breaks; '' if it cannot be read or unpacks to more than ``most`` bytes.
+
+    Paragraphs directly below the body count. The file is unpacked as a stream, and a finished paragraph is freed.
+    """
+    marks = {f"{WORD_SPACE}tab": "\t", f"{WORD_SPACE}br": "\n", f"{WORD_SPACE}cr": "\n"}
+    lines, open_tags = [], []
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as parts:
-            body = ET.fromstring(parts.read("word/document.xml")).find(f"{WORD_SPACE}body")
+        with zipfile.ZipFile(io.BytesIO(content)) as parts, parts.open("word/document.xml") as stream:
+            for event, node in ET.iterparse(_Bounded(stream, most), ("start", "end")):
+                if event == "start":
+                    open_tags.append(node)
+                    continue
+                open_tags.pop()
+                inside = [n.tag for n in open_tags]
+                if node.tag == f"{WORD_SPACE}p" and inside[1:] == [f"{WORD_SPACE}body"]:
+                    lines.append("".join(n.text or "" if n.tag == f"{WORD_SPACE}t" else marks.get(n.tag, "") for n in node.iter()))
+                if inside[1:] == [f"{WORD_SPACE}body"]:
+                    open_tags[-1].remove(node)
     except Exception:  # any unreadable file counts as empty
         return ""
-    lines = []
-    for paragraph in body.findall(f"{WORD_SPACE}p"):
-        marks = {f"{WORD_SPACE}tab": "\t", f"{WORD_SPACE}br": "\n", f"{WORD_SPACE}cr": "\n"}
-        lines.append("".join(node.text or "" if node.tag == f"{WORD_SPACE}t" else marks.get(node.tag, "")
-                             for node in paragraph.iter()))
     return "\n".join(lines)
 
 
+class _Bounded:
+    """A stream that fails after so many bytes: a small file can unpack to a huge one."""
+
+    def __init__(self, stream, most: int) -> None:
+        self.stream, self.left = stream, most
+
+    def read(self, size: int = -1) -> bytes:
+        data = self.stream.read(min(size, 1 << 16) if size > 0 else 1 << 16)
+        self.left -= len(data)
+        if self.left < 0:
+            raise ValueError("unpacks to too many bytes")
+        return data
+
+
 def _read(kind: Column, content: Column) -> Column:
     """Text of Word files, and of plain text with invalid bytes, which are dropped."""
     @F.pandas_udf("string")
@@ -75,7 +136,7 @@ def parse_documents(files: DataFrame, pdf_text: str | None = None) -> DataFrame:
             .when(by_python, _read(kind, F.when(by_python, content))))
     return files.withColumn("kind", file_kind(F.col("path"))).select(
         "path", "kind", text.alias("text"),
-        F.when(kind.isNull(), "unsupported file type").alias("reason"))
+        F.when(kind.isNull(), "unsupported file type").when(content.isNull(), "file is too large").alias("reason"))
 
 
 def needs_ocr(text: Column, force: Column | bool = False) -> Column:

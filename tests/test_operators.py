@@ -181,6 +181,18 @@ def test_word_files(spark, tmp_path):
                    "b.png": (None, None, "unsupported file type")}
 
 
+def test_files_are_bounded(spark, tmp_path):
+    rows = spark.createDataFrame([("a.docx", ["x & <y>", "", " z\t"]), ("b.docx", ["é"] * 3)], "name string, lines array<string>")
+    folder = str(tmp_path / "files")
+    documents.write_files(rows.select("name", documents.word_file(F.col("lines")).alias("content")), folder)
+    read = lambda **o: {r.path.split("/")[-1]: (r.text, r.reason) for r in documents.parse_documents(documents.read_files(spark, folder, **o)).collect()}
+    assert read() == {"a.docx": ("x & <y>\n\n z\t", None), "b.docx": ("é\né\né", None)}
+    assert read(max_bytes=10) == {"a.docx": (None, "file is too large"), "b.docx": (None, "file is too large")}
+    bomb = documents._word_bytes(["x" * 100_000] * 20)
+    assert len(bomb) < 10_000 and documents._paragraphs(bomb, 1_000_000) == "" and len(documents._paragraphs(bomb)) == 2_000_019
+
+
+
 def test_missing_jsonl_is_empty(spark, tmp_path):
     assert tables.read_jsonl(spark, str(tmp_path / "none"), "a int").isEmpty()
 

@@ -149,6 +149,29 @@ def _(spark, sf):
     return documents.parse_documents(files, pdf_text="layer")
 
 
+CONTROL = r"[\x00-\x08\x0B-\x1F\x{FFFE}\x{FFFF}]"  # not allowed in XML
+
+
+@query("documents_from_files", "S10", f"""
+    WITH f AS (SELECT doc_id // 25 AS n, string_agg(regexp_replace(coalesce(text, ''), '{CONTROL}', '', 'g'), E'\\n' ORDER BY doc_id) AS text FROM documents GROUP BY 1)
+    SELECT 'cv_' || n || CASE n % 4 WHEN 0 THEN '.docx' WHEN 1 THEN '.DOC' WHEN 2 THEN '.txt' ELSE '.odt' END AS name, CASE n % 4 WHEN 0 THEN 'docx' WHEN 1 THEN 'docx' WHEN 2 THEN 'txt' END AS kind,
+      CASE WHEN n % 4 < 3 THEN text END AS text, CASE n % 4 WHEN 3 THEN 'unsupported file type' END AS reason FROM f""")
+def _(spark, sf):
+    """Word and text files, written to the shared folder and read as files; 25 documents in each."""
+    clean = F.regexp_replace(F.coalesce("text", F.lit("")), CONTROL, "")
+    packed = table(spark, sf, "documents").groupBy(F.expr("doc_id div 25").alias("n")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", clean.alias("text")))).alias("rows"))
+    k, text = F.col("n") % 4, F.array_join("rows.text", "\n")
+    files = packed.select(F.concat(F.lit("cv_"), "n", F.when(k == 0, ".docx").when(k == 1, ".DOC").when(k == 2, ".txt").otherwise(".odt")).alias("name"),
+                          F.when(k < 2, documents.word_file(F.split(text, "\n"))).otherwise(F.encode(text, "UTF-8")).alias("content"))
+    folder = scratch_path(spark, "files")
+    documents.write_files(files, folder)
+    read = documents.parse_documents(documents.read_files(spark, folder))
+    # the writer ends every file with a line break
+    whole = F.when(F.col("kind") == "txt", F.expr("substring(text, 1, length(text) - 1)")).otherwise(F.col("text"))
+    return read.select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "kind", whole.alias("text"), "reason")
+
+
 @query("ocr_decision", "S11", """
     SELECT doc_id, doc_id % 7 = 0 OR length(trim(text, E' \\n\\t')) < 50 AS needs_ocr,
       CASE WHEN (doc_id % 7 = 0 OR length(trim(text, E' \\n\\t')) < 50) AND doc_id % 3 <> 0 THEN 'ocr ' || doc_id ELSE text END AS chosen FROM documents""")
