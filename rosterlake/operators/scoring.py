@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import matching, text, vectors
 from .embedding import Encoder
-from .features import scoring_behaviour_columns
+from .features import sentiment_columns
 from .terms import list_scores, text_similarity
 from .tfidf import Tfidf
 from .training import score_probability
@@ -127,14 +127,25 @@ def cultural_baseline(df: DataFrame, encode: Encoder | Tfidf) -> DataFrame:
     return text_similarity(df, "job_culture_text", "app_culture_text", "cultural_score", encode)
 
 
+def behaviour_score(df: DataFrame, model: PipelineModel | None = None, output: str = "score_behavioral") -> DataFrame:
+    """Add the probability of a fitted engagement model, else the comment heuristic; no other column changes.
+
+    The model sees the columns of the table and, computed here from cleaned texts, the sentiment of the comment and the
+    listed recruiter.
+    """
+    comment = text.clean_text(F.col("p_comentario")) if "p_comentario" in df.columns else F.lit("")
+    if model is None:
+        return df.withColumn(output, matching.behaviour_score(text.sentiment(comment, text.SENTIMENT_SCORING)))
+    recruiter = text.clean_text(F.col("p_recrutador")) if "p_recrutador" in df.columns else F.lit(None).cast("string")
+    ready = sentiment_columns(df.withColumns({"_comment": comment, "p_recrutador_tratado": text.keep_listed(recruiter, text.COMMON_RECRUITERS)}),
+                              text.SENTIMENT_SCORING, "_comment")
+    scored = score_probability(model, ready, "_probability").withColumnRenamed("_probability", output)
+    return scored.select(*[c for c in df.columns if c != output], output)
+
+
 def behavioural_scores(df: DataFrame, model: PipelineModel | None = None) -> DataFrame:
     """(candidate, job, score): the probability of a fitted engagement model, else the comment heuristic."""
-    df = scoring_behaviour_columns(df)
-    if model is not None:
-        df = score_probability(model, df, "score_behavioral")
-    else:
-        df = df.withColumn("score_behavioral", matching.behaviour_score(F.col("sentimento_comentario_score")))
-    return df.select("codigo_candidato", "codigo_vaga", "score_behavioral")
+    return behaviour_score(df, model).select("codigo_candidato", "codigo_vaga", "score_behavioral")
 
 
 def cultural_scores(df: DataFrame, job_vectors: str, candidate_vectors: str) -> DataFrame:

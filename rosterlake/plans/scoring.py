@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import matching, text
-from ..operators import extraction, features, scoring
+from ..operators import extraction, features, scoring, training
 from ..operators.embedding import Encoder
 from ..operators.joins import join_entities, prefix_columns
 from ..operators.tfidf import Tfidf
@@ -63,15 +63,12 @@ def score_pairs(df: DataFrame, job_vectors: tuple[str, str], candidate_vectors:
                        scoring.culture_similarity(F.col(job_vectors[1]), F.col(candidate_vectors[1])))
 
 
-def with_scores(df: DataFrame, skill: Column, culture: Column) -> DataFrame:
-    """Add the three scores from the two similarities, and the level scores they use."""
-    df = scoring.structured_columns(df)
-    comment = text.clean_text(F.col("p_comentario")) if "p_comentario" in df.columns else F.lit("")
-    return df.withColumns({
-        "score_skills": scoring.total_skill_score(skill, F.col("structured_match_score")),
-        "score_behavioral": matching.behaviour_score(text.sentiment(comment, text.SENTIMENT_SCORING)),
-        "score_cultural": culture,
-    })
+def with_scores(df: DataFrame, skill: Column, culture: Column, model: PipelineModel | None = None) -> DataFrame:
+    """Add the three scores from the two similarities, and the level scores they use; ``model`` is the fitted
+    engagement model, if there is one."""
+    df = scoring.structured_columns(df).withColumns({
+        "score_skills": scoring.total_skill_score(skill, F.col("structured_match_score")), "score_cultural": culture})
+    return scoring.behaviour_score(df, model)
 
 
 def entity_lists(df: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -88,7 +85,7 @@ def answer_lists(answers: DataFrame, key: str) -> DataFrame:
 
 
 def score_table(df: DataFrame, encode: Encoder | Tfidf | None = None, job_lists: DataFrame | None = None,
-                candidate_lists: DataFrame | None = None) -> DataFrame:
+                candidate_lists: DataFrame | None = None, model: PipelineModel | None = None) -> DataFrame:
     """Enriched rows -> rows with the three scores; raw rows get their features first.
 
     The entity lists are taken from the rows themselves unless given. Only the keys of the distinct pairs take part in
@@ -100,14 +97,16 @@ def score_table(df: DataFrame, encode: Encoder | Tfidf | None = None, job_lists:
     similar = scoring.list_similarities(df.select("codigo_vaga", "codigo_candidato").distinct(), job_lists, candidate_lists,
                                         "codigo_vaga", "codigo_candidato", encode or Tfidf())
     similar = similar.withColumnsRenamed({"skill": "_skill", "culture": "_culture"})
-    scored = with_scores(df.join(similar, ["codigo_vaga", "codigo_candidato"]), F.col("_skill"), F.col("_culture"))
+    scored = with_scores(df.join(similar, ["codigo_vaga", "codigo_candidato"]), F.col("_skill"), F.col("_culture"), model)
     return scored.drop("_skill", "_culture")
 
 
 def run(spark: SparkSession, curated: str, folder: str, output: str, extract: extraction.Extract,
-        encode: Encoder | Tfidf | None = None) -> DataFrame:
+        encode: Encoder | Tfidf | None = None, model_path: str | None = None) -> DataFrame:
     """The whole job: curated tables -> feature table -> enriched table -> scored table, each stored.
 
+    An engagement model exported to ``model_path`` is loaded once and gives the behavioural score.
+
     The feature table is read by both extractions and the final join, the enriched table is a result
     of its own; storing them avoids repeating the joins and the location match.
     """
@@ -119,6 +118,7 @@ def run(spark: SparkSession, curated: str, folder: str, output: str, extract: ex
     write_parquet(enriched, f"{folder}/resultado_final.parquet")
     answers = read_answers(spark, folder)
     scored = score_table(read_parquet(spark, f"{folder}/resultado_final.parquet"), encode,
-                         answer_lists(answers["vaga"], "codigo_vaga"), answer_lists(answers["candidato"], "codigo_candidato"))
+                         answer_lists(answers["vaga"], "codigo_vaga"), answer_lists(answers["candidato"], "codigo_candidato"),
+                         training.exported_model(spark, model_path))
     write_parquet(scored, output)
     return read_parquet(spark, output)

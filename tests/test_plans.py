@@ -98,3 +98,26 @@ def test_gate_reports_contract_errors(spark, tmp_path):
     raw = spark.createDataFrame([(None, "t", None, [])], schemas.with_id(schemas.RAW_PROSPECT, "codigo_vaga"))
     with pytest.raises(ValueError, match="required columns|schema check"):
         curate.curate(raw.drop("codigo_vaga"), curate.PROSPECTS)
+
+
+def test_fitted_behaviour(spark, tmp_path):
+    from rosterlake.operators import scoring as scores
+    from rosterlake.operators import training
+    rows = [(i, float(i % 7), 5.0, ["ANA", "RUI", "EVA", None][i % 4], int(i % 7 > 3 or i % 4 == 1)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, x double, flat double, who string, y int")
+    model, _ = training.train(df.where("who IS NULL OR who <> 'EVA'"), "y", ["x", "flat"], ["who"], kind="linear")
+    scored = training.score_probability(model, df).withColumn("own", training.linear_expression(model)).collect()  # EVA was never seen
+    assert all(r.probability_1 == pytest.approx(r.own, abs=1e-9) for r in scored)
+    assert {r.predicted == r.y for r in scored if r.who == "ANA"} == {True}
+    only, _ = training.train(df, "y", [], ["who"], kind="linear")
+    assert all(r.a == pytest.approx(r.b) for r in training.score_probability(only, df, "a").withColumn("b", training.linear_expression(only)).collect())
+    # the exported model takes the place of the heuristic; without one the heuristic stays
+    path = str(tmp_path / "exported")
+    assert training.exported_model(spark, path) is None
+    fitted, _ = training.train(df.withColumns({"p_recrutador_tratado": F.lit("outros"), "contem_palavra_chave_negativa": F.col("x")}), "y",
+                               ["contem_palavra_chave_negativa"], ["p_recrutador_tratado"], kind="linear")
+    fitted.write().save(path)
+    pairs = df.select("id", F.lit("BOM PERFIL, INTERESSADO").alias("p_comentario"), F.lit("ana").alias("p_recrutador"))
+    by_model = scores.behaviour_score(pairs, training.exported_model(spark, path))
+    assert by_model.columns == [*pairs.columns, "score_behavioral"] and by_model.first().p_recrutador == "ana"
+    assert by_model.first().score_behavioral < 0.5 and scores.behaviour_score(pairs).first().score_behavioral == 0.9

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from rosterlake.functions import text
-from rosterlake.operators import drift, evaluation, features, training
+from rosterlake.operators import drift, evaluation, features, scoring, training
 from rosterlake.plans import monitoring
 from rosterlake.plans import training as training_plan
 from rosterlake.session import scratch_path, store
@@ -136,6 +136,33 @@ def _(spark, sf):
     return run_facts(spark, df, "row_id", "engajado", runs)
 
 
+@query("fitted_behaviour", "M11,L8,L9,L10", f"""
+    WITH {JOINED_SQL} SELECT codigo_vaga, codigo_candidato, count(*) AS n_rows, true AS best_exported, true AS as_recomputed, count(DISTINCT p_comentario) > 0 AS has_comment FROM joined GROUP BY 1, 2""")
+def _(spark, sf):
+    """Two linear models of the expanded training set, the better one exported, loaded and applied to the pairs.
+
+    Every score is compared with the one recomputed from the stored coefficients in plain column arithmetic.
+    """
+    runs, models, exported = scratch_path(spark, "runs"), scratch_path(spark, "models"), scratch_path(spark, "exported")
+    built = store(features.build_features(joined(spark, sf)))
+    rows = training_plan.expanded_table(built).withColumn("row_id", F.concat_ws("-", "codigo_vaga", "codigo_candidato", "linha"))
+    rows = store(rows.select("row_id", "engajado", *training.EXPANDED_NUMERIC, *training.BASELINE_CATEGORICAL))
+    for name, numeric, categorical in (("days only", training.EXPANDED_NUMERIC[3:4], []), ("expanded", training.EXPANDED_NUMERIC, training.BASELINE_CATEGORICAL)):
+        training_plan.train_and_log(spark, rows, "row_id", runs, models, name, numeric, categorical, kind="linear")
+    best = training.export_best_model(spark, runs, exported)
+    model = training.exported_model(spark, exported)
+    scored = scoring.behaviour_score(built.select("codigo_vaga", "codigo_candidato", "p_comentario", "p_recrutador", *training.EXPANDED_NUMERIC[3:]), model)
+    comment = text.clean_text(F.col("p_comentario"))
+    again = features.sentiment_columns(scored.withColumns({
+        "c": comment, "p_recrutador_tratado": text.keep_listed(text.clean_text(F.col("p_recrutador")), text.COMMON_RECRUITERS)}), text.SENTIMENT_SCORING, "c")
+    same = F.abs(training.linear_expression(model) - F.col("score_behavioral")) < 1e-9
+    log = spark.read.schema(training.RUN_SCHEMA).parquet(runs)
+    is_best = log.agg((F.max("metrics.roc_auc") == F.max(F.when(F.col("run_id") == best, F.col("metrics.roc_auc")))).alias("x")).scalar()
+    return again.groupBy("codigo_vaga", "codigo_candidato").agg(
+        F.count("*").alias("n_rows"), F.bool_and(is_best).alias("best_exported"), F.bool_and(F.coalesce(same, F.lit(False))).alias("as_recomputed"),
+        (F.count("p_comentario") > 0).alias("has_comment"))
+
+
 @query("export_best", "L9,L10,T4", """
     SELECT o_orderstatus AS run_name, round(avg(o_totalprice), 4) AS roc_auc FROM orders GROUP BY 1 ORDER BY 2 DESC LIMIT 1""")
 def _(spark, sf):
