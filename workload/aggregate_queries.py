@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from rosterlake.operators import joins, ordered, profile, quality, scoring
 from rosterlake.session import over_all_cores
 
-from .base import CURATED_SQL, applicants, jobs, query, r, table
+from .base import APPLICANTS, CURATED_SQL, applicants, jobs, query, r, table
 
 
 @query("group_count", "A1", "SELECT l_suppkey, count(*) AS count FROM lineitem GROUP BY 1")
@@ -57,14 +57,13 @@ def shown(df):
     return df.withColumnRenamed("column", "column_name").withColumns({"null_percent": r("null_percent"), "avg_len": r("avg_len")})
 
 
-APPLICANT_TYPES = {"codigo_candidato": "string", "ib_telefone": "string", "ib_email": "string", "ip_data_nascimento": "date",
-                   "ip_facebook": "string", "ip_remuneracao": "string", "cv_pt": "string"}
+APPLICANT_TYPES = {c: {"ib_data_criacao": "timestamp", "ib_data_atualizacao": "timestamp", "ip_data_nascimento": "date"}.get(c, "string") for c in APPLICANTS}
 DOCUMENT_TYPES = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
 
 
 @query("profile_qualitative", "A7,A8,A9,T2", f"WITH {CURATED_SQL} {sql_qualitative('applicants', APPLICANT_TYPES)}")
 def _(spark, sf):
-    return shown(profile.qualitative_profile(applicants(spark, sf).select(*APPLICANT_TYPES)))
+    return shown(profile.qualitative_profile(applicants(spark, sf)))
 
 
 @query("profile_documents", "A7,A8,A9", sql_qualitative("documents", DOCUMENT_TYPES))
@@ -76,7 +75,7 @@ def _(spark, sf):
     WITH {CURATED_SQL}, p AS ({sql_qualitative('applicants', APPLICANT_TYPES)})
     SELECT column_name, null_percent FROM p ORDER BY null_percent DESC, column_name LIMIT 5""")
 def _(spark, sf):
-    df = shown(profile.qualitative_profile(applicants(spark, sf).select(*APPLICANT_TYPES)))
+    df = shown(profile.qualitative_profile(applicants(spark, sf)))
     return df.orderBy(F.desc("null_percent"), "column_name").limit(5).select("column_name", "null_percent")
 
 

@@ -341,6 +341,25 @@ def _(spark, sf):
     return out.select("id", F.array_join("dados.ferramentas_tecnologicas", "|").alias("tools"))
 
 
+def sql_list(source, fields):
+    """The extracted terms of some list fields, in order and with repeats."""
+    words = ", ".join(f"'{t}'" for f in fields for t in TERMS[f])
+    return f"[w for w in [{words}] if contains(lower({source}), lower(w))]"
+
+
+def sql_list_score(need, have, threshold, empty):
+    """Mean of the best similarity from the CTE ``sim`` for lists of terms."""
+    best = f"list_max([coalesce(m[x || '|' || y], 0.0) for y in {have}])"
+    if threshold:
+        best = f"[CASE WHEN z >= {threshold} THEN z ELSE 0.0 END for z in [{best} for x in {need}]]"
+    else:
+        best = f"[{best} for x in {need}]"
+    return f"CASE WHEN len({need}) = 0 OR len({have}) = 0 THEN {empty}::double ELSE list_avg({best}) END"
+
+
+SKILLS, CULTURE = ["competencias_tecnicas", "ferramentas_tecnologicas"], ["competencias_comportamentais"]
+
+
 # ---------------------------------------------------------------------------------- payloads
 def requests(spark, sf):
     """One request per vector: skills named after vectors, with all the ways a request can be wrong."""
@@ -406,6 +425,39 @@ def _(spark, sf):
     return scored.withColumns({"score_skills": r("score_skills"), "score_cultural": r("score_cultural")})
 
 
+DESCRIPTION = "'PROCURA ' || c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN ' COM PYTHON E LIDERANCA' ELSE ' COM EXCEL, GRUPO 1 E COMUNICACAO' END"
+
+
+@query("payload_branches", "M16,E3", f"""
+    WITH {CURATED_SQL}, r AS (SELECT c_custkey, cv_pt AS cv, CASE c_custkey % 4 WHEN 1 THEN (c_custkey // 4)::varchar END AS job_id,
+        CASE WHEN c_custkey % 4 IN (1, 2) THEN {DESCRIPTION} END AS jd FROM customer JOIN applicants ON codigo_candidato = c_custkey::varchar),
+    k AS (SELECT codigo_vaga, {sql_list('pv_competencia_tecnicas_e_comportamentais', SKILLS)} AS ks, {sql_list('pv_habilidades_comportamentais_necessarias', CULTURE)} AS kc FROM jobs),
+    l AS (SELECT c_custkey, cv, {sql_list("coalesce(cv, '')", SKILLS)} AS cs, {sql_list("coalesce(cv, '')", CULTURE)} AS cc,
+        CASE WHEN ks IS NOT NULL THEN ks WHEN jd IS NOT NULL THEN {sql_list('jd', SKILLS)} ELSE [] END AS js,
+        CASE WHEN ks IS NOT NULL THEN kc WHEN jd IS NOT NULL THEN {sql_list('jd', CULTURE)} ELSE [] END AS jc FROM r LEFT JOIN k ON codigo_vaga = job_id),
+    f AS (SELECT c_custkey, cv, cs, cc, len(js) = 0 AS fallback, CASE WHEN len(js) = 0 THEN ['Python', 'Data Science'] ELSE js END AS js,
+        CASE WHEN len(js) = 0 THEN ['Proatividade'] ELSE jc END AS jc FROM l),
+    vocabulary AS (SELECT DISTINCT unnest(list_concat(list_concat(js, cs), list_concat(jc, cc))) AS t FROM f WHERE cv IS NOT NULL),
+    {sql_tfidf('SELECT t FROM vocabulary')}, met AS (SELECT x.t AS p, y.t AS q FROM vocabulary x, vocabulary y), {sql_tfidf_pairs('p', 'q', 'met')},
+    mm AS (SELECT map(list(a || '|' || b ORDER BY a, b), list(coalesce(cosine, 0) ORDER BY a, b)) AS m FROM sim)
+    SELECT c_custkey::varchar AS request_id, CASE WHEN cv IS NULL THEN 'rejected' ELSE 'ok' END AS status, CASE WHEN cv IS NOT NULL THEN fallback END AS fallback_used,
+      CASE WHEN cv IS NULL THEN 'resume_text or candidate_data is required' END AS reason,
+      CASE WHEN cv IS NOT NULL THEN round({sql_list_score('js', 'cs', 0.5, 0.0)}, 6) END AS score_skills,
+      CASE WHEN cv IS NOT NULL THEN round({sql_list_score('jc', 'cc', None, 0.5)}, 6) END AS score_cultural, CASE WHEN cv IS NOT NULL THEN 0.5::double END AS score_behavioral FROM f, mm""")
+def _(spark, sf):
+    """Candidates from their text; jobs by id where it is known, else from a description, else the fallback lists."""
+    people = applicants(spark, sf).select(F.col("codigo_candidato").alias("request_id"), F.col("cv_pt").alias("resume_text"))
+    k = F.col("c_custkey") % 4
+    asked = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("request_id"), F.when(k == 1, F.expr("cast(c_custkey div 4 as string)")).alias("job_id"),
+        F.when(k.isin(1, 2), F.expr(DESCRIPTION)).alias("job_description"))
+    listed = lambda source, fields: F.concat(*[text.listed_terms(F.col(source), TERMS[f]) for f in fields])
+    known = jobs(spark, sf).select("codigo_vaga", listed("pv_competencia_tecnicas_e_comportamentais", SKILLS).alias("job_skills"),
+                                   listed("pv_habilidades_comportamentais_necessarias", CULTURE).alias("job_culture"))
+    scored = payload.score_requests(people.join(asked, "request_id"), Tfidf(), extraction.keyword_extract(TERMS, {}), known)
+    return scored.withColumns({"score_skills": r("score_skills"), "score_cultural": r("score_cultural")})
+
+
 @query("payload_defaults", "M17", """
     SELECT conv_id, turn, 'unknown' AS seniority, 'not_declared' AS education, CASE WHEN turn % 3 <> 0 THEN role END AS title, 'general' AS department,
       CASE WHEN turn % 3 = 0 THEN 'x' ELSE 'remote' END AS location, -1 AS days,
@@ -471,25 +523,6 @@ def _(spark, sf):
     return scored.select("codigo_vaga", "codigo_candidato", "linha", r("score_skills"), "score_behavioral", r("score_cultural"))
 
 
-def sql_list(source, fields):
-    """The extracted terms of some list fields, in order and with repeats."""
-    words = ", ".join(f"'{t}'" for f in fields for t in TERMS[f])
-    return f"[w for w in [{words}] if contains(lower({source}), lower(w))]"
-
-
-def sql_list_score(need, have, threshold, empty):
-    """Mean of the best similarity from the CTE ``sim`` for lists of terms."""
-    best = f"list_max([coalesce(m[x || '|' || y], 0.0) for y in {have}])"
-    if threshold:
-        best = f"[CASE WHEN z >= {threshold} THEN z ELSE 0.0 END for z in [{best} for x in {need}]]"
-    else:
-        best = f"[{best} for x in {need}]"
-    return f"CASE WHEN len({need}) = 0 OR len({have}) = 0 THEN {empty}::double ELSE list_avg({best}) END"
-
-
-SKILLS, CULTURE = ["competencias_tecnicas", "ferramentas_tecnologicas"], ["competencias_comportamentais"]
-
-
 @query("score_table", "M15,M14,M1,M8,E1,S2,S3", f"""
     WITH {JOINED_SQL}, l AS (SELECT *, {sql_list(JOB_TEXT, SKILLS)} AS js, {sql_list(CV, SKILLS)} AS cs, {sql_list(JOB_TEXT, CULTURE)} AS jc, {sql_list(CV, CULTURE)} AS cc FROM joined),
     vocabulary AS (SELECT DISTINCT unnest(list_concat(list_concat(js, cs), list_concat(jc, cc))) AS t FROM l),

@@ -13,6 +13,7 @@ from rosterlake.plans import training as training_plan
 from rosterlake.session import scratch_path, store
 from rosterlake.sources import tables
 
+from .aggregate_queries import sql_numeric, sql_qualitative
 from .base import JOINED_SQL, jobs, joined, query, r, table
 from .text_queries import sql_sentiment
 
@@ -376,26 +377,39 @@ def _(spark, sf):
         r("euclidean", 8), r("cosine_distance", 8))
 
 
+EVENT_TYPES = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double", "props": "string", "hour": "int"}
+EVENT_NUMBERS = [c for c, kind in EVENT_TYPES.items() if kind in ("bigint", "double", "int")]
+QUALITY_FIGURES = ["null_count", "null_percent", "n_unique", "min_len", "max_len", "avg_len", "mean", "std", "min", "q25", "median", "q75", "max", "iqr",
+                   "outlier_count", "skewness"]
+
+
+def sql_side_quality(side: str) -> str:
+    figures = ", ".join(f"{f} AS {side}_{f}" for f in QUALITY_FIGURES)
+    return f"""{side}_q AS (SELECT column_name, {figures} FROM (SELECT * EXCLUDE (dtype) FROM ({sql_qualitative(side, EVENT_TYPES)}))
+      LEFT JOIN (SELECT * EXCLUDE (null_count, n_unique) FROM ({sql_numeric(side, EVENT_NUMBERS)})) USING (column_name))"""
+
+
 @query("drift_quality", "D4,A7,A10", f"""
-    WITH {SIDES} SELECT 'value' AS column_name, (SELECT count(*) - count(value) FROM ref) AS ref_null_count, (SELECT count(DISTINCT value) FROM ref) AS ref_n_unique,
-      (SELECT count(DISTINCT value) FROM cur) AS cur_n_unique, (SELECT round(avg(value), 4) FROM cur) AS cur_mean, (SELECT round(quantile_cont(value, 0.5), 6) FROM ref) AS ref_median
-    UNION ALL SELECT 'event_type', (SELECT count(*) - count(event_type) FROM ref), (SELECT count(DISTINCT event_type) FROM ref), (SELECT count(DISTINCT event_type) FROM cur), NULL, NULL""")
+    WITH {SIDES}, {sql_side_quality('ref')}, {sql_side_quality('cur')} SELECT * FROM ref_q JOIN cur_q USING (column_name)""")
 def _(spark, sf):
-    ref, cur = (side.select("value", "event_type") for side in event_sides(spark, sf))
-    return drift.quality_summary(ref, cur).select(
-        F.col("column").alias("column_name"), "ref_null_count", "ref_n_unique", "cur_n_unique", r("cur_mean", 4), r("ref_median"))
+    """Every figure of every column of both sides."""
+    digits = {"null_percent": 6, "avg_len": 6, "mean": 4, "std": 4, "q25": 6, "median": 6, "q75": 6, "iqr": 6, "skewness": 4}
+    found = drift.quality_summary(*event_sides(spark, sf))
+    return found.select(F.col("column").alias("column_name"), *[
+        r(f"{side}_{f}", digits[f]) if f in digits else F.col(f"{side}_{f}") for side in ("ref", "cur") for f in QUALITY_FIGURES])
 
 
 @query("drift_report", "D7,D8,S13", f"""
-    WITH {SIDES}, {COLUMN_SQL}, s AS (SELECT count(*) FILTER (drifted) AS k, count(*) AS n FROM c)
+    WITH {SIDES}, {COLUMN_SQL}, auc AS (WITH d AS (SELECT n_chars AS s, quality AS y FROM ({LABELLED})) {AUC_SQL}), s AS (SELECT count(*) FILTER (drifted) AS k, count(*) AS n FROM c)
     SELECT date '2024-02-01' AS report_date, 'ok' AS status, k / n::double >= 0.5 AS dataset_drift, k / n::double AS drift_share, k AS number_of_drifted_columns,
-      k / n::double > 0.15 AS alert FROM s
-    UNION ALL SELECT date '2024-02-02', 'skipped', false, 0.0, 0, false""")
+      k / n::double > 0.15 AS alert, roc_auc FROM s, auc
+    UNION ALL SELECT date '2024-02-02', 'skipped', false, 0.0, 0, false, NULL""")
 def _(spark, sf):
     path = scratch_path(spark, "reports")
     ref, cur = event_sides(spark, sf)
     columns = ["value", "user_id", "hour", "event_type"]
-    for day, now in ((datetime.date(2024, 2, 1), cur), (datetime.date(2024, 2, 2), cur.where("false"))):
-        monitoring.append_report(monitoring.drift_report(ref, now, columns, F.lit(day)), path)
-    return spark.read.schema(
-        "status string, dataset_drift boolean, drift_share double, number_of_drifted_columns bigint, alert boolean, report_date date").parquet(path)
+    auc = evaluation.roc_auc(labelled(spark, sf), "n_chars", "quality")
+    for day, now, measured in ((datetime.date(2024, 2, 1), cur, auc), (datetime.date(2024, 2, 2), cur.where("false"), None)):
+        monitoring.append_report(monitoring.drift_report(ref, now, columns, F.lit(day), measured), path)
+    return spark.read.schema("status string, dataset_drift boolean, drift_share double, number_of_drifted_columns bigint, roc_auc double, "
+                             "alert boolean, report_date date").parquet(path).withColumn("roc_auc", r("roc_auc", 8))
