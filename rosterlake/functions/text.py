@@ -7,12 +7,15 @@ Java regular expressions know only ASCII by default, so every ``\\w`` or ``\\s``
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_with_tasks
+
 # --- fixed values -----------------------------------------------------------------
 UNKNOWN = "DESCONHECIDO"
 OTHERS = "Outros"
@@ -203,3 +206,6 @@ def listed_terms(text: Column, terms: Sequence[str]) -> Column:
     """Terms that occur in the text (case-insensitive), in list order."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
     return F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(lowered, F.lower(t)))
+
+
+ship_with_tasks(sys.modules[__name__])

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text
+from ..functions.text import unfenced
 from ..session import ship_with_tasks
 from .joins import enrich, not_in, rename_if_absent
 
@@ -120,7 +121,7 @@ ATTEMPT_SCHEMA = "id string, attempt int, model string, raw string, ok boolean,
 def _problem(raw: str, list_fields: Sequence[str], text_fields: Sequence[str]) -> str | None:
     """Why an answer is not usable, or None."""
     try:
-        data = json.loads(text.unfenced(raw))
+        data = json.loads(unfenced(raw))
     except ValueError as error:
         return f"not JSON: {error}"
     if not isinstance(data, dict):
