@@ -315,23 +315,57 @@ def pair_row(doc: int, home: int, found: list[tuple], margin: int) -> tuple:
     return (doc, home, np.array([len(x) for x, _, _ in found], np.int32).tobytes(), *(np.concatenate(c).tobytes() for c in zip(*found)), blocks)
 
 
+def all_runs(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """:func:`runs_of` every pair at once: (pair, x, y, words) of the runs, pair by pair."""
+    order = np.lexsort((x, x - y, pair))
+    pair, x, y, n = (v[order].astype(np.int64) for v in (pair, x, y, n))
+    other = np.concatenate([[False], ((x - y)[1:] != (x - y)[:-1]) | (pair[1:] != pair[:-1])])
+    floor = np.cumsum(other) << 40
+    reach = np.maximum.accumulate(floor + x + n)
+    start = np.flatnonzero(np.concatenate([[True], other[1:] | ((floor + x)[1:] > reach[:-1] + JOIN)]))
+    end = np.append(start[1:], len(x)) - 1
+    return pair[start], x[start], y[start], reach[end] - floor[end] - x[start]
+
+
 def chain_rows(matches: DataFrame) -> DataFrame:
+    """The chains of every pair of a document and a home; a pair of one run is its own chain."""
     keys = ["doc_id", "home"]
+    one = np.ones(1, np.int32).tobytes()
 
     def build(frames):
-        for frame in common.whole_groups(frames, keys):
+        for frame in common.whole_groups(gathered(frames), keys):
             cut = common.bounds(frame, keys)
-            x, y, n = (frame[c].to_numpy() for c in ("pos", "home_pos", "n"))
-            docs, homes = frame["doc_id"].to_numpy(), frame["home"].to_numpy()
-            rows = []
-            for s, e in zip(cut[:-1], cut[1:]):
-                found = [tuple(np.array(v, np.int32) for v in zip(*chain)) for chain in chains(thinned(runs_of(x[s:e], y[s:e], n[s:e])))]
-                rows.append(pair_row(docs[s], homes[s], found, MARGIN))
+            docs, homes = (frame[c].to_numpy()[cut[:-1]] for c in keys)
+            pair = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+            pair, x, y, n = all_runs(pair, *(frame[c].to_numpy() for c in ("pos", "home_pos", "n")))
+            edge = np.searchsorted(pair, np.arange(len(docs) + 1))
+            single = np.diff(edge) == 1
+            at = edge[:-1][single]
+            low, high = np.maximum(y[at] - MARGIN, 0) // BLOCK, (y[at] + n[at] + MARGIN) // BLOCK + 1
+            packed_ = [v[at].astype("<i4").tobytes() for v in (x, y, n)]
+            rows = [(d, h, one, *(v[4 * i:4 * i + 4] for v in packed_), list(range(s, e)))
+                    for i, (d, h, s, e) in enumerate(zip(docs[single], homes[single], low.tolist(), high.tolist()))]
+            for k in np.flatnonzero(~single):
+                runs = list(zip(*(v[edge[k]:edge[k + 1]].tolist() for v in (x, y, n))))
+                rows.append(pair_row(docs[k], homes[k], [tuple(np.array(v, np.int32) for v in zip(*chain)) for chain in chains(thinned(runs))], MARGIN))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAIR.split(", ")])
 
     return matches.repartition("doc_id", "home").sortWithinPartitions("doc_id", "home").mapInPandas(build, PAIR)
 
 
+def gathered(frames, rows: int = 1 << 15):
+    """The batches joined to larger ones: numbers take little room, and every batch costs the same."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame)
+        size += len(frame)
+        if size >= rows:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 # --------------------------------------------------------------------------------- alignment
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence, bit-parallel over the words of ``a``."""
@@ -361,6 +395,38 @@ def grown(a: np.ndarray, b: np.ndarray, margin: int) -> tuple[int, int, bool]:
     return best + 1 if total[best] > 0 else 0, reach, n == margin and reach == n
 
 
+def all_grown(same: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`grown` for many starts: ``same`` has a row of equal or different words each, of which ``sizes`` are there."""
+    margin = same.shape[1]
+    there = np.arange(margin) < sizes[:, None]
+    total = np.cumsum(np.where(same, 1, -DIFFERENT), axis=1, dtype=np.int32)
+    fallen = there & (total < np.maximum(np.maximum.accumulate(total, axis=1), 0) - DROP)
+    reach = np.where(fallen.any(axis=1), fallen.argmax(axis=1), sizes)
+    total = np.where(np.arange(margin) < reach[:, None], total, np.iinfo(np.int32).min)
+    best = total.argmax(axis=1)
+    gain = np.where(total[np.arange(len(total)), best] > 0, best + 1, 0)
+    return np.where(sizes > 0, gain, 0), np.where(sizes > 0, reach, 0), (sizes == margin) & (reach == sizes)
+
+
+def too_short(words: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, home: np.ndarray, home_at: np.ndarray, home_left: np.ndarray,
+              home_right: np.ndarray, n: np.ndarray, margin: int, min_words: int) -> np.ndarray:
+    """Which chains of a single run :func:`aligned` would drop at once, for many pairs.
+
+    ``words`` holds the texts one after the other and ``at`` the place of each run, with ``left`` words of its text before
+    it and ``right`` behind its start; the same for the homes.
+    """
+    step = np.arange(margin)
+    before = np.minimum(np.minimum(left, home_left), margin)
+    behind = np.maximum(np.minimum(np.minimum(right, home_right) - n, margin), 0)
+
+    def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return words[np.clip(a, 0, len(words) - 1)] == home[np.clip(b, 0, len(home) - 1)]
+
+    lead, reach, more = all_grown(same(at[:, None] - 1 - step, home_at[:, None] - 1 - step), before)
+    tail, after, further = all_grown(same((at + n)[:, None] + step, (home_at + n)[:, None] + step), behind)
+    return (n + lead + tail < SHORT) & (n + reach + after < min_words) & ~more & ~further
+
+
 def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
     """Disjoint stretches of positive score, each as large as possible: the best one, then those beside it."""
     out, todo = [], [(0, len(score))]
@@ -459,6 +525,33 @@ def cut_text(text: str, spans: list[tuple[int, int, int]]) -> str:
     return b"".join(out).decode("utf-8").rstrip(" \n") if spans else text
 
 
+def home_words(blocks: dict, chain, margin: int) -> tuple[np.ndarray, int]:
+    """The words of the home around a chain and the place of the first."""
+    first = max(0, int(chain[1][0]) - margin) // BLOCK
+    last = int(chain[1][-1] + chain[2][-1] + margin) // BLOCK
+    return np.frombuffer(b"".join(blocks[b] for b in range(first, last + 1) if b in blocks), np.uint16), first * BLOCK
+
+
+def single_runs(owns: list[np.ndarray], found: list[tuple], margin: int, min_words: int) -> np.ndarray:
+    """Which pairs are one single run that is too short by :func:`too_short`, a few thousand at a time."""
+    out = np.zeros(len(found), bool)
+    singles = [i for i, f in enumerate(found) if len(f[3]) == 1 and len(f[3][0][0]) == 1]
+    if not singles:
+        return out
+    begin = np.cumsum([0] + [len(o) for o in owns])
+    words = np.concatenate(owns)
+    for s in range(0, len(singles), max(1, (1 << 18) // margin)):
+        part = singles[s:s + max(1, (1 << 18) // margin)]
+        there = [home_words(found[i][4], found[i][3][0], margin) for i in part]
+        home_begin = np.cumsum([0] + [len(t) for t, _ in there])
+        x, y, n = (np.array([found[i][3][0][k][0] for i in part], np.int64) for k in range(3))
+        y -= np.array([f for _, f in there])
+        own = np.array([found[i][1] for i in part])
+        out[part] = too_short(words, begin[own] + x, x, begin[own + 1] - begin[own] - x, np.concatenate([t for t, _ in there]),
+                              home_begin[:-1] + y, y, np.diff(home_begin) - y, n, margin, min_words)
+    return out
+
+
 def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, some: bool) -> DataFrame:
     """Words of documents and of their homes meet per document. A row per pair: its passages, and its chains that need
     more words as a pair of the next round. ``some``: only few documents are left."""
@@ -474,34 +567,40 @@ def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, s
     rows = rows.unionByName(sent.select("doc_id", F.lit(1).alias("kind"), "home", "block", "words", *none))
 
     def build(frames):
-        for frame in common.whole_groups(frames, ["doc_id"]):
+        for frame in common.whole_groups(gathered(frames, 4096), ["doc_id"]):
             cut = common.bounds(frame, ["doc_id"])
-            out = []
             columns = {c: frame[c].to_list() for c in frame.columns}
+            found, owns = [], []  # (document, its words, home, chains, words of the home, their place)
             for s, e in zip(cut[:-1], cut[1:]):
                 at = s + sum(k == 0 for k in columns["kind"][s:e])
                 own = set(columns["words"][s:at])
-                while at < e and len(own) == 1:
+                if len(own) != 1:
+                    continue
+                owns.append(np.frombuffer(next(iter(own)), np.uint16))
+                while at < e:
                     pair, home = at, columns["home"][at]
                     at += 1
                     blocks = {}
                     while at < e and columns["home"][at] == home:
                         blocks[columns["block"][at]] = columns["words"][at]
                         at += 1
-                    words = np.frombuffer(next(iter(own)), np.uint16)
                     x, y, n = (np.frombuffer(columns[c][pair], np.int32) for c in "xyn")
                     edge = np.cumsum(np.frombuffer(columns["sizes"][pair], np.int32))[:-1]
-                    spans, left = [], []
-                    for chain in zip(np.split(x, edge), np.split(y, edge), np.split(n, edge)):
-                        first = max(0, int(chain[1][0]) - margin) // BLOCK
-                        last = int(chain[1][-1] + chain[2][-1] + margin) // BLOCK
-                        there = np.frombuffer(b"".join(blocks[b] for b in range(first, last + 1) if b in blocks), np.uint16)
-                        found, more = aligned(words, there, first * BLOCK, *chain, margin, min_words)
-                        spans += found
-                        left += [chain] if more else []
-                    if spans or left:
-                        rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [])
-                        out.append((columns["doc_id"][s], home, *rest, [a for a, _ in spans], [b for _, b in spans]))
+                    found.append((columns["doc_id"][s], len(owns) - 1, home, list(zip(np.split(x, edge), np.split(y, edge), np.split(n, edge))), blocks))
+            hopeless = single_runs(owns, found, margin, min_words)
+            out = []
+            for (doc, own, home, parts, blocks), drop in zip(found, hopeless):
+                if drop:
+                    continue
+                spans, left = [], []
+                for chain in parts:
+                    there, first = home_words(blocks, chain, margin)
+                    passages_, more = aligned(owns[own], there, first, *chain, margin, min_words)
+                    spans += passages_
+                    left += [chain] if more else []
+                if spans or left:
+                    rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [])
+                    out.append((doc, home, *rest, [a for a, _ in spans], [b for _, b in spans]))
             if out:
                 yield pd.DataFrame(out, columns=["doc_id", "home", "sizes", "x", "y", "n", "blocks", "starts", "ends"])
 

@@ -149,3 +149,35 @@ def test_stock_sentences_of_earlier_documents_do_not_hide_a_passage(frame, words
         assert any(a <= s and e <= b <= e + 2 for a, b, _ in found[i]), i
     stock = words(1, 60)
     assert spans(substrings.repeated_passages(frame([(1, " ".join(stock[:24])), (2, " ".join(stock)), (3, " ".join(stock))])))[3] == [(0, 60, 2)]
+
+
+def test_batches_of_single_runs_equal_the_alignment():
+    rng = random.Random(12)
+    owns, found, want = [], [], []
+    for case in range(400):
+        home = np.array([rng.randrange(6) for _ in range(rng.randint(4, 400))], np.uint16)
+        own = np.array([rng.randrange(6) for _ in range(rng.randint(4, 400))], np.uint16)
+        n = rng.randint(1, min(len(home), len(own), 16))
+        x, y = rng.randint(0, len(own) - n), rng.randint(0, len(home) - n)
+        size = rng.choice([0, 3, 20, 90])
+        for k in range(-size, n + size):  # a copy around the run, some words changed
+            if 0 <= x + k < len(own) and 0 <= y + k < len(home) and (0 <= k < n or rng.random() < 0.9):
+                own[x + k] = home[y + k]
+        owns.append(own)
+        blocks = {b: home[b * substrings.BLOCK:(b + 1) * substrings.BLOCK].tobytes() for b in range(-(-len(home) // substrings.BLOCK))}
+        chain = tuple(np.array([v], np.int32) for v in (x, y, n))
+        found.append((case, case, 0, [chain], blocks))
+        there, first = substrings.home_words(blocks, chain, substrings.MARGIN)
+        want.append(substrings.aligned(own, there, first, *chain, substrings.MARGIN, 50))
+    dropped = substrings.single_runs(owns, found, substrings.MARGIN, 50)
+    assert 50 < dropped.sum() < 350
+    assert all(w == ([], False) for w, d in zip(want, dropped) if d)
+
+
+def test_runs_of_all_pairs_equal_those_of_each():
+    rng = np.random.default_rng(5)
+    pair = np.sort(rng.integers(0, 30, 600))
+    x, y, n = rng.integers(0, 90, 600), rng.integers(0, 90, 600), np.full(600, 4)
+    got = list(zip(*(v.tolist() for v in substrings.all_runs(pair, x, y, n))))
+    want = [(int(p), *run) for p in np.unique(pair) for run in substrings.runs_of(x[pair == p], y[pair == p], n[pair == p])]
+    assert got == want
