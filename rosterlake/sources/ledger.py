@@ -1,8 +1,8 @@
 """Appended tables whose appends are commits.
 
 A ledger is a folder of named tables. Rows are written to new data folders first; a commit then adds one small manifest
-that lists the live data folders of every table. Manifests are numbered, and a number can be taken once (a rename that
-never replaces), so of two writers at once the second one sees the first one's rows before it commits, several tables
+that lists the live data folders of every table. Manifests are numbered, and a number can be taken once (by a rename that
+never replaces, or on a local folder a link, so the file system must offer one of these), so of two writers at once the second one sees the first one's rows before it commits, several tables
 change together or not at all, and a crash leaves data folders that no manifest names. A reader takes the last manifest
 and opens the folders it lists with the schema it holds: nothing is listed and no footer is opened for it.
 
@@ -166,9 +166,15 @@ class Ledger:
         stream = files.create(draft, False)
         stream.write(json.dumps(manifest).encode())
         stream.close()
-        try:  # this rename never replaces a file
-            options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), conf).rename(files.makeQualified(draft), files.makeQualified(final), options)
+        draft, final = files.makeQualified(draft), files.makeQualified(final)
+        try:
+            if files.getUri().getScheme() == "file":  # a local rename replaces; a link to the draft does not
+                paths = jvm.java.nio.file.Paths
+                jvm.java.nio.file.Files.createLink(paths.get(final.toUri()), paths.get(draft.toUri()))
+                files.delete(draft, False)
+            else:
+                options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), conf).rename(draft, final, options)
             return True
         except Py4JJavaError as error:
             if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():

@@ -30,7 +30,8 @@ def test_a_faster_writer_wins_an_id(spark, tmp_path, monkeypatch):
     assert (read(slow), read(slow, "b")) == (["0", "1", "2", "3"], ["8", "9"])
 
 
-def test_writers_in_threads(spark, tmp_path):
+@pytest.mark.parametrize("again", range(3))
+def test_writers_in_threads(spark, tmp_path, again):
     Ledger(spark, str(tmp_path)).commit({"a": ids(spark, "k")}, unique="id")
     work = [threading.Thread(target=lambda i=i: Ledger(spark, str(tmp_path)).commit({"a": ids(spark, "k", f"w{i}", "both")}, unique="id")) for i in range(4)]
     [t.start() for t in work], [t.join() for t in work]
