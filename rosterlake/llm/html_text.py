@@ -7,7 +7,7 @@ depends on what stands before and after it.
 
 The labeller is trained on the table's own pages: ``SAMPLE`` pages (the smallest hashes of page ids, a
 documented bound) give the language material and the shapes. Labels are known by construction: the sampled
-pages are labelled by their sectioning tags, and for each sampled page variants are laid out in which articles,
+pages are labelled by their sectioning tags and the class words of ``OTHER_WORDS``, and for each sampled page variants are laid out in which articles,
 menus, headers, footers, sidebars, notices, adverts, forms and comments use other tags, classes and places.
 Texts of all parts come from the same pages, so words alone do not tell a label.
 """
@@ -17,6 +17,8 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,79 +47,185 @@ CLOSED_BY = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
 CLOSES_P = set("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
                "section table ul".split())
 SCOPE = set("table td th ul ol div section article aside nav body form dl blockquote main".split())
-TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<({HIDDEN_TAGS})(?=[\s/>]).*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
-                   re.S | re.I)
+HIDDEN_OPEN = re.compile(rf"<({HIDDEN_TAGS})(?=[\s/>])", re.I)
+HIDDEN_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in HIDDEN_TAGS.split("|")}
+COMMENT_EMPTY, COMMENT_CLOSE = re.compile(r"-?>"), re.compile(r"--!?>")
+TAG_OPEN, NAME_END, MARK = re.compile(r"</?(?=[a-zA-Z])"), re.compile(r"[\s/>]"), re.compile(r"[>\"']")
+LONG_REFERENCE = re.compile(r"&#([0-9]{8,})")
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPLIT = re.compile(r"[^a-z]+")
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """Start, end, name, whether it closes, and attributes of every tag; the name is None for what holds no text.
+
+    A ``<`` that never becomes a tag, because no ``>`` follows outside quotes, is text. How a scan from a quote or
+    ``>`` on ends does not depend on where it came from, so it is noted for each of them once and a page of any form
+    takes linear time.
+    """
+    marks: list[int] | None = None
+    ends: dict[int, int] = {}
+    name_end, shut = -1, page.rfind(">")
+
+    def tag_end(start: int) -> int:
+        place, passed = bisect_left(marks, start), []
+        while place < len(marks) and place not in ends:
+            passed.append(place)
+            sign, at = page[marks[place]], marks[place]
+            if sign == ">":
+                ends[place] = at + 1
+                break
+            again = page.find(sign, at + 1)
+            place = bisect_left(marks, again + 1) if again >= 0 else len(marks)
+        end = ends.get(place, -1)
+        for p in passed:
+            ends[p] = end
+        return end
+
+    at = page.find("<")
+    while at >= 0:
+        end, name, closing, attributes = -1, None, False, ""
+        if page.startswith("<!--", at):
+            found = COMMENT_EMPTY.match(page, at + 4) or COMMENT_CLOSE.search(page, at + 4)
+            end = found.end() if found else len(page)
+        elif hidden := HIDDEN_OPEN.match(page, at):
+            found = HIDDEN_CLOSE[hidden[1].lower()].search(page, hidden.end())
+            end = found.end() if found else len(page)
+        elif at < shut and (opened := TAG_OPEN.match(page, at)):
+            if marks is None:
+                marks = [m.start() for m in MARK.finditer(page)]
+            if name_end < opened.end():
+                name_end = NAME_END.search(page, opened.end()).start()  # the last > is still to come
+            end = tag_end(name_end)
+            if end >= 0:
+                name, closing, attributes = page[opened.end():name_end].lower(), page[at + 1] == "/", page[name_end:end - 1]
+        elif at < shut and page[at + 1] in "!?":
+            end = page.index(">", at) + 1
+        if end >= 0:
+            yield at, end, name, closing, attributes
+        at = page.find("<", max(end, at + 1))
+
+
+class Place:
+    """A path of open elements: its depth, last tag, a bit per slot of its tags and labels, and what its tags say."""
+    __slots__ = ("depth", "last", "mask", "main", "other")
+
+    def __init__(self, around: Place | None, words: list[str]) -> None:
+        if around is None:
+            self.depth, self.last, self.mask, self.main, self.other = 0, "none", 0, False, False
+            return
+        self.depth, self.last, self.mask = around.depth + 1, words[0], around.mask
+        for w in words:
+            self.mask |= 1 << slot(w, PATH_DIM)
+        self.main = around.main or words[0] in MAIN_TAGS
+        self.other = around.other or words[0] in OTHER_TAGS or not OTHER_WORDS.isdisjoint(words[1:])
+
+
+class OpenElements:
+    """The stack of open elements. A name, or the nearest scope, is found without a walk over the elements."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.places = [Place(None, [])]
+        self.rows: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+
+    def push(self, name: str, place: Place) -> None:
+        self.rows.setdefault(name, []).append(len(self.names))
+        if name in SCOPE:
+            self.scopes.append(len(self.names))
+        self.names.append(name)
+        self.places.append(place)
+
+    def cut(self, size: int) -> None:
+        while len(self.names) > size:
+            self.rows[self.names.pop()].pop()
+            self.places.pop()
+        while self.scopes and self.scopes[-1] >= size:
+            self.scopes.pop()
+
+    def last(self, name: str) -> int:
+        rows = self.rows.get(name)
+        return rows[-1] if rows else -1
+
+    def close_in_scope(self, names: set[str]) -> None:
+        """Cuts the last element of these names, unless a scope was opened inside it."""
+        row = max(map(self.last, names), default=-1)
+        if row >= 0 and (not self.scopes or row >= self.scopes[-1]):
+            self.cut(row)
+
+
 class Block:
-    __slots__ = ("path", "parts", "linked")
+    __slots__ = ("place", "parts", "linked")
 
-    def __init__(self, path: tuple[str, ...]) -> None:
-        self.path, self.parts, self.linked = path, [], 0
+    def __init__(self, place: Place) -> None:
+        self.place, self.parts, self.linked = place, [], 0
 
 
-def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], int]]:
-    """Leaf blocks in page order: (text, path, characters inside links).
+def decoded(piece: str) -> str:
+    """Text with its character references decoded; a number beyond the last code point is U+FFFD, however long."""
+    if "&" not in piece:
+        return piece
+    return html.unescape(LONG_REFERENCE.sub(lambda m: "&#" + ((m[1].lstrip("0") or "0") if len(m[1].lstrip("0")) < 8 else "1114112"), piece))
+
+
+def blocks_of(page: str | None) -> list[tuple[str, Place, int]]:
+    """Leaf blocks in page order: (text, place, characters inside links).
 
     References are decoded and white space becomes one space. Markup that never ends is treated as the HTML rules
     do: an open comment or script hides the rest, an unclosed paragraph ends at the next block, the head at the first
-    tag or text that does not belong there, a drawing at the first block outside a foreignObject.
+    tag or text that does not belong there, a drawing at the first block outside a foreignObject. Time is linear in
+    the page, also where tags, quotes or elements stay open.
     """
     page = page or ""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []
-    links, at, block = 0, 0, None
-    hidden = -1  # place of the outermost open element that hides its text
+    stack = OpenElements()
+    at, block = 0, None
+    hidden = -1  # row of the outermost open element that hides its text
 
     def text(piece: str) -> None:
         nonlocal block
         if not piece or hidden >= 0:
             return
-        piece = html.unescape(piece)
-        if stack and stack[-1][0] == "head" and not piece.isspace():
-            stack.pop()
+        piece = decoded(piece)
+        if stack.names and stack.names[-1] == "head" and not piece.isspace():
+            stack.cut(len(stack.names) - 1)
         if block is None:
             if piece.isspace():
                 return
-            block = Block(tuple(label for name, label in stack if name not in INLINE or name == "a"))
+            block = Block(stack.places[-1])
             out.append(block)
         block.parts.append(piece)
-        if links:
+        if stack.last("a") >= 0:
             block.linked += len(piece)
 
-    for m in TOKEN.finditer(page):
-        text(page[at:m.start()])
-        at = m.end()
-        name = m[3]
+    for start, end, name, closing, attributes in tokens(page):
+        text(page[at:start])
+        at = end
         if name is None:
             continue
-        name = name.lower()
-        if m[2]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if place >= 0:
-                if not 0 <= hidden <= place and (name not in INLINE or any(x not in INLINE for x, _ in stack[place:])):
+        if closing:
+            row = stack.last(name)
+            if row >= 0:
+                if not 0 <= hidden <= row and (name not in INLINE or any(x not in INLINE for x in stack.names[row:])):
                     block = None
-                del stack[place:]
-                links = sum(x == "a" for x, _ in stack)
-                hidden = hidden if hidden < len(stack) else -1
+                stack.cut(row)
+                hidden = hidden if hidden < row else -1
             elif hidden >= 0:
                 continue
             elif name == "p" or name not in INLINE:
                 block = None
             continue
-        if name not in HEAD_TAGS and any(x == "head" for x, _ in stack[:3]):
-            del stack[next(i for i, (x, _) in enumerate(stack) if x == "head"):]
-            hidden = hidden if hidden < len(stack) else -1
-        if hidden >= 0 and stack[hidden][0] == "svg" and (name in CLOSES_P or name == "body") and all(
-                x != "foreignobject" for x, _ in stack[hidden:]):
-            del stack[hidden:]
+        if name not in HEAD_TAGS and "head" in stack.names[:3]:
+            stack.cut(stack.names.index("head"))
+            hidden = hidden if hidden < len(stack.names) else -1
+        if hidden >= 0 and stack.names[hidden] == "svg" and (name in CLOSES_P or name == "body") and stack.last("foreignobject") < hidden:
+            stack.cut(hidden)
             hidden = -1
+        stays = name not in VOID and not attributes.endswith("/")
         if hidden >= 0:
-            if name not in VOID and not m[4].endswith("/"):
-                stack.append((name, name))
-                links += name == "a"
+            if stays:
+                stack.push(name, stack.places[-1])
             continue
         if name == "br":
             if block is not None:
@@ -125,23 +233,17 @@ def blocks_of(page: str | None) -> list[tuple[str, tuple[str, ...], int]]:
             continue
         if name not in INLINE:
             block = None
-            closes = CLOSED_BY.get(name, set()) | ({"p"} if name in CLOSES_P else set())
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in closes:
-                    del stack[i:]
-                    break
-                if stack[i][0] in SCOPE:
-                    break
-        if name not in VOID and not m[4].endswith("/"):
-            hidden = len(stack) if name in HIDING else -1
-            stack.append((name, " ".join([name, *labels(m[4])])))
-            links += name == "a"
+            stack.close_in_scope(CLOSED_BY.get(name, set()) | ({"p"} if name in CLOSES_P else set()))
+        if stays:
+            hidden = len(stack.names) if name in HIDING else -1
+            around = stack.places[-1]
+            stack.push(name, Place(around, [name, *labels(attributes)]) if name not in INLINE or name == "a" else around)
     text(page[at:])
     found = []
     for b in out:
         value = " ".join("".join(b.parts).split())
         if value:
-            found.append((value, b.path, b.linked))
+            found.append((value, b.place, b.linked))
     return found
 
 
@@ -157,28 +259,20 @@ def slot(word: str, size: int) -> int:
     return zlib.crc32(word.encode("utf-8", "replace")) % size
 
 
-def path_slots(path: tuple[str, ...], known: dict) -> list[int]:
-    """Slots of a path: every tag and label, and the last tag apart."""
-    found = known.get(path)
-    if found is None:
-        words = [w for element in path for w in element.split()]
-        last = path[-1].split()[0] if path else "none"
-        found = known[path] = [slot(w, PATH_DIM) for w in set(words)] + [slot("last " + last, PATH_DIM)]
-    return found
-
-
-def vectors(blocks: list, known: dict) -> np.ndarray:
+def vectors(blocks: list) -> np.ndarray:
     """One row per block: hashed path, hashed words (shares), measures. All words of a block count."""
     out = np.zeros((len(blocks), DIM), np.float32)
     hashes: list[int] = []
-    lengths, measures = [], []
-    for i, (text, path, linked) in enumerate(blocks):
-        out[i, path_slots(path, known)] = 1
+    lengths, measures, masks = [], [], []
+    for text, place, linked in blocks:
+        # every tag and label of the path, and the last tag apart
+        masks.append((place.mask | 1 << slot("last " + place.last, PATH_DIM)).to_bytes(PATH_DIM // 8, "little"))
         words = text.encode("utf-8", "replace").split()
         hashes += map(zlib.crc32, words)
         lengths.append(len(words))
         n, count = len(text), len(words) or 1
-        measures.append((n, linked / n, count, len(path), text.count("."), text.count(",")))
+        measures.append((n, linked / n, count, place.depth, text.count("."), text.count(",")))
+    out[:, :PATH_DIM] = np.unpackbits(np.frombuffer(b"".join(masks), np.uint8), bitorder="little").reshape(-1, PATH_DIM)
     n, linked, count, depth, stops, commas = np.array(measures, np.float32).T
     owner = np.repeat(np.arange(len(blocks)), lengths)
     share = np.bincount(owner * WORD_DIM + np.array(hashes, np.int64) % WORD_DIM, minlength=len(blocks) * WORD_DIM)
@@ -359,12 +453,8 @@ OTHER_WORDS = {w for names in ASIDE_NAMES.values() for n in names for w in label
 
 def outline_labels(blocks: list) -> np.ndarray | None:
     """Labels of a page that marks its article; None if it does not."""
-    inside, outside = [], []
-    for _, path, _ in blocks:
-        words = [e.split() for e in path]
-        inside.append(any(w[0] in MAIN_TAGS for w in words))
-        outside.append(any(w[0] in OTHER_TAGS or OTHER_WORDS & set(w[1:]) for w in words))
-    return np.array(inside) & ~np.array(outside) if any(inside) else None
+    inside = np.array([place.main for _, place, _ in blocks], bool)
+    return inside & ~np.array([place.other for _, place, _ in blocks], bool) if inside.any() else None
 
 
 def variant(content: list[str], spare: list[str], rng: np.random.Generator) -> tuple[str, list[bool]]:
@@ -426,21 +516,20 @@ def variant(content: list[str], spare: list[str], rng: np.random.Generator) -> t
 def material(pages: list[str], seed: int = SEED, variants: int = VARIANTS):
     """Training pages as (vectors, labels) from sampled pages and their variants."""
     rng = np.random.default_rng(seed)
-    known: dict = {}
     x, y = [], []
     parsed = [b for b in map(blocks_of, pages) if b]
     spare = [t for b in parsed for t, _, _ in b] or ["text"]
     for found in parsed:
         marked = outline_labels(found)
         if marked is not None:
-            x.append(vectors(found, known))
+            x.append(vectors(found))
             y.append(marked)
         content = [t for (t, _, _), ok in zip(found, marked if marked is not None else [True] * len(found)) if ok][:60] or ["text"]
         for _ in range(variants):
             page, wanted = variant(content[:int(rng.integers(1, len(content) + 1))], spare, rng)
             built = blocks_of(page)
             if len(built) == len(wanted):
-                x.append(vectors(built, known))
+                x.append(vectors(built))
                 y.append(np.array(wanted))
     return x, y
 
@@ -468,13 +557,10 @@ def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url
     carried = pages.sparkSession.sparkContext.broadcast(weights)  # a few hundred kB, fixed by the dimensions
 
     def label(frames):
-        known: dict = {}
         model = carried.value
         for frame in frames:
             found = [blocks_of(page) for page in frame["html"]]
-            if len(known) > 100_000:
-                known.clear()
-            scores = predict(model, [vectors(b, known) if b else np.empty((0, DIM), np.float32) for b in found])
+            scores = predict(model, [vectors(b) if b else np.empty((0, DIM), np.float32) for b in found])
             kept = [[t for (t, _, _), s in zip(b, score) if s >= 0.5] for b, score in zip(found, scores)]
             texts = ["\n\n".join(k) for k in kept]
             yield pd.DataFrame({"id": frame["id"].to_list(), "url": frame["url"].to_list(), "text": texts, "n_chars": [len(t) for t in texts],

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from rosterlake.llm import html_text as H
@@ -92,3 +94,29 @@ def test_odd_rows(spark, weights):
 ])
 def test_open_and_self_closed_elements_hide_no_more_than_themselves(page, want):
     assert texts(page) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>a<!-->b--> c", ["ab--> c"]), ("a<!--->b", ["ab"]), ("a<!-- x --!>b", ["ab"]),
+    ("<p>a <b c <p>d", ["a d"]), ("x <a href='y> <p>z", ["x <a href='y>", "z"]), ("1 <2 <three", ["1 <2 <three"]),
+    ("<table><td><p>a<h1>b</table>c", ["a", "b", "c"]), ("<p><td>a<p>b<h1>c", ["a", "b", "c"]),
+    ("&#" + "9" * 5000 + ";&#" + "0" * 5000 + "65;", ["\ufffdA"]),
+])
+def test_broken_markup(page, want):
+    assert texts(page) == want
+
+
+LONG = 1 << 20
+BROKEN = ["a <b c ", "<a ", "<a", "<div>", "<p><h1>", "<div></x>", "<td><p>t</td><h1>", "<p>t", "<a b=\"", "<a b='\"", "<!", "<!-", "</a ", "&#9", "&amp",
+          "<svg><foreignObject>", "<head>", "<script ", "<b>t", "<i><p>t", "<li>t<ul>", "<a href=x>t<div>", "<span class='a b", "'><\"", "</script", "<x class=a id=b>t"]
+
+
+@pytest.mark.parametrize("form", BROKEN)
+@pytest.mark.parametrize("before, after", [("", ""), ("<p><table><td>", "\" >"), ("<svg>", "'>t</p>")])
+def test_long_broken_pages_take_linear_time(form, before, after):
+    start = time.process_time()
+    found = H.blocks_of(before + form * (LONG // len(form)) + after)
+    assert time.process_time() - start < 8  # about 1 second here
+    if found:
+        some = H.vectors(found[:1000])
+        assert np.isfinite(some).all()
