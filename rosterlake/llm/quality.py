@@ -3,14 +3,16 @@
 Base figures of every text, a fixed base rule, and cutoffs on four ratios that are chosen on labelled
 holdouts: per stratum a cutoff whose false rejections are limited by an exact binomial bound.
 
-Risk control: ``alpha`` is the largest accepted rate of good documents that the learned rules reject in a
-stratum, ``delta`` the probability that the promise fails anywhere. Each of the rules gets alpha / rules
-(union bound over rules) and each pair of stratum and rule delta / (strata * rules) (Bonferroni). Within a
-pair the cutoffs of a fixed grid are tested from the loosest on, and the first one that fails ends the
-search (fixed sequence, no further correction). A cutoff passes if P(Binomial(n, alpha / rules) <= k) is at
-most the pair's level, where k of the n good holdout documents lie beyond it. All cutoffs that pass hold the
-promise together, so the one is taken that rejects most bad documents less ``PRICE`` times the good ones; on a
-tie the loosest. A cutoff that rejects no labelled bad document is of no use and is not taken.
+Risk control: ``alpha`` is the largest accepted rate of good documents that the learned rules together reject in
+a stratum, ``delta`` the probability that the promise fails anywhere; each stratum gets delta / strata
+(Bonferroni). A part of the good holdout documents (``TUNING``, by a hash of the id) and all bad ones lay out a
+path of rule sets before the others are looked at: from no rule on, the rule and cutoff that reject most further bad
+documents less ``PRICE`` times the good ones, one step of the grid at a time, so every set contains the one before.
+The other good documents test the sets along that path, each as a whole, and the first one that fails ends the
+search (fixed sequence, no further correction). A set passes if P(Binomial(n, alpha) <= k) is at most the
+stratum's level, where k of the n good documents break any of its rules. All sets that pass hold the promise
+together, so the one is taken that rejects most bad documents less ``PRICE`` times the good ones; on a tie the
+loosest. A path that rejects no labelled bad document gives no rule.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ GRIDS = {
     "word_length": [round(40 * 0.93**i, 6) for i in range(25)],
 }
 ALPHA, DELTA, PRICE = 0.02, 0.05, 20
+TUNING, SEED = 0.25, 11
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words"]
 
 
@@ -80,8 +83,8 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return float(min(1.0, math.exp(top) * np.exp(logs - top).sum()))
 
 
-def cutoff(beyond: list[int], n: int, bad: list[int], grid: list[float], rate: float, level: float) -> int | None:
-    """Place in the grid (loose to strict) of the cutoff to use; None if no cutoff passes or none helps."""
+def cutoff(beyond: list[int], n: int, bad: list[int], grid: list, rate: float, level: float) -> int | None:
+    """Place in the sequence (loose to strict) of the cutoff or rule set to use; None if none passes or none helps."""
     best, gain = None, 0
     for i, k in enumerate(beyond):
         if n == 0 or k > n * rate or binomial_tail(k, n, rate) > level:
@@ -91,34 +94,64 @@ def cutoff(beyond: list[int], n: int, bad: list[int], grid: list[float], rate: f
     return best
 
 
+def rejected(places: np.ndarray, rules: tuple[int, ...]) -> np.ndarray:
+    """Which rows of first broken grid places break any of the rules (a place per rule, -1 for none)."""
+    return (places <= np.array(rules)).any(axis=1)
+
+
+def rule_path(places: np.ndarray, good: np.ndarray, bad: np.ndarray, sizes: list[int], price: float) -> list[tuple[int, ...]]:
+    """Nested rule sets from loose to strict, laid out on rows with numbers of good and of bad documents."""
+    at, path = [-1] * len(sizes), []
+    while True:
+        left = ~rejected(places, tuple(at))
+        gain = 0.0
+        for rule, size in enumerate(sizes):
+            mine = np.minimum(places[left, rule], size)
+            worth = np.bincount(mine, bad[left] - price * good[left], size + 1)[:size].cumsum()
+            if size and worth.max() > gain:
+                gain, step = worth.max(), (rule, int(worth.argmax()))
+        if not gain:
+            return path
+        rule, place = step
+        for i in range(at[rule] + 1, place + 1):
+            at[rule] = i
+            path.append(tuple(at))
+
+
 def learn_cutoffs(holdout: DataFrame, alpha: float = ALPHA, delta: float = DELTA, grids: dict | None = None) -> DataFrame:
-    """``stratum``, ``rule``, ``cutoff``, ``n_good``, ``beyond``: from rows with ``stratum``, ``good`` and the ratios.
+    """``stratum``, ``rule``, ``cutoff``, ``n_good``, ``beyond``: from rows with ``doc_id``, ``stratum``, ``good`` and the ratios.
 
-    One grouped count over all labelled rows gives a row per stratum; only strata with labels appear.
+    ``n_good`` good documents tested the stratum's rule set, ``beyond`` of them break one of its rules. One grouped
+    count over all labelled rows leaves a row per stratum and combination of grid places, whose number the grids
+    bound; only strata with labels appear. A null ratio breaks no rule.
     """
     grids = grids or GRIDS
-    counts = [F.count_if((F.col("good") == F.lit(good)) & (F.col(rule) > F.lit(value))).alias(f"{rule}_{good}_{i}")
-              for rule, grid in grids.items() for i, value in enumerate(grid) for good in (True, False)]
-    table = common.store(holdout.groupBy("stratum").agg(F.count_if("good").alias("n_good"), *counts), "holdout")
-    pairs = max(1, table.count() * len(grids))
-
-    def choose(frames):
-        for frame in frames:
-            rows = []
-            for row in frame.to_dict("records"):
-                for rule, grid in grids.items():
-                    good, bad = ([int(row[f"{rule}_{flag}_{i}"]) for i in range(len(grid))] for flag in (True, False))
-                    i = cutoff(good, int(row["n_good"]), bad, grid, alpha / len(grids), delta / pairs)
-                    if i is not None:
-                        rows.append((row["stratum"], rule, grid[i], int(row["n_good"]), good[i]))
-            yield pd.DataFrame(rows, columns=["stratum", "rule", "cutoff", "n_good", "beyond"])
-
-    return table.mapInPandas(choose, "stratum string, rule string, cutoff double, n_good long, beyond long")
+    rules, sizes = list(grids), [len(g) for g in grids.values()]
+    first = [F.coalesce(F.size(F.filter(F.array(*map(F.lit, grid)), lambda c: c >= F.col(rule))) + F.col(rule) * 0, F.lit(len(grid)))  # noqa: B023
+             .cast("int").alias(rule) for rule, grid in grids.items()]
+    tuning = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 20)) < int(TUNING * (1 << 20))
+    cells = common.store(holdout.select("stratum", "good", tuning.alias("tuning"), *first).groupBy("stratum", "good", "tuning", *rules)
+                         .agg(F.count(F.lit(1)).alias("n")), "holdout")
+    level = delta / max(1, cells.select("stratum").distinct().count())
+
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        places, n = frame[rules].to_numpy(), frame["n"].to_numpy()
+        good, tunes = frame["good"].to_numpy(bool), frame["tuning"].to_numpy(bool)
+        bad, tested = np.where(good, 0, n), np.where(good & ~tunes, n, 0)
+        path = rule_path(places, np.where(good & tunes, n, 0), bad, sizes, PRICE / TUNING)
+        broken = [rejected(places, rules_) for rules_ in path]
+        i = cutoff([int(tested[b].sum()) for b in broken], int(tested.sum()), [int(bad[b].sum()) for b in broken], path, alpha, level)
+        rows = [] if i is None else [(frame["stratum"].iloc[0], rule, grids[rule][place], int(tested.sum()), int(tested[broken[i]].sum()))
+                                     for rule, place in zip(rules, path[i]) if place >= 0]
+        return pd.DataFrame(rows, columns=["stratum", "rule", "cutoff", "n_good", "beyond"])
+
+    return cells.groupBy("stratum").applyInPandas(choose, "stratum string, rule string, cutoff double, n_good long, beyond long")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                   stratum_column: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """A row per document: the base figures, ``base_failed``, ``stratum``, ``broken_rules`` and ``kept``.
+    """A row per document: the base figures, ``base_failed``, ``stratum``, ``broken_rules``, ``kept`` and ``text_hash``.
+    Rows that share an id are judged each by its own text.
 
     Holdout documents are those with a ``quality`` label (good if any label of the id is 1) that pass the base
     rule. A null stratum is the stratum ''. A stratum without labels has no cutoff, so only the base
@@ -126,15 +159,15 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     """
     common.prepare(docs.sparkSession)
     narrow = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
-                         F.coalesce(F.col(stratum_column).cast("string"), F.lit("")).alias("stratum"))
+                         F.coalesce(F.col(stratum_column).cast("string"), F.lit("")).alias("stratum")).withColumn("text_hash", F.xxhash64("text"))
 
     def build(frames):
         for frame in frames:
-            rows = [(i, s, *figures(t)) for i, t, s in zip(frame["id"], frame["text"], frame["stratum"])]
-            yield pd.DataFrame(rows, columns=["id", "stratum", *FIGURES])
+            rows = [(i, s, h, *figures(t)) for i, t, s, h in zip(frame["id"], frame["text"], frame["stratum"], frame["text_hash"])]
+            yield pd.DataFrame(rows, columns=["id", "stratum", "text_hash", *FIGURES])
 
-    found = narrow.select(F.col("doc_id").cast("string").alias("id"), "text", "stratum").mapInPandas(
-        build, "id string, stratum string, " + ", ".join(f"{c} long" for c in FIGURES))
+    found = narrow.select(F.col("doc_id").cast("string").alias("id"), "text", "stratum", "text_hash").mapInPandas(
+        build, "id string, stratum string, text_hash long, " + ", ".join(f"{c} long" for c in FIGURES))
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     found = common.store(found.select(F.col("id").cast("long").alias("doc_id"), *found.columns[1:])
                          .withColumn("base_failed", base).withColumns(ratios()), "figures")
@@ -147,10 +180,14 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     return (found.join(limits, "stratum", "left").withColumn("broken_rules", broken)
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-                    "stratum", "broken_rules"))
+                    "stratum", "broken_rules", "text_hash"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep. Rows without an id are judged by none of them and stay."""
-    bad = quality_rules(docs, labels).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+    """The documents that the rules keep, each row by its own text and language. Rows without an id are judged by
+    none of them and stay."""
+    bad = (quality_rules(docs, labels).where("NOT kept AND doc_id IS NOT NULL")
+           .select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash"), F.col("stratum").alias("bad_stratum")).distinct())
+    same = ((F.col("d.doc_id") == F.col("b.bad_id")) & (F.xxhash64(F.col("d.text")) == F.col("b.bad_hash"))
+            & (F.coalesce(F.col("d.lang").cast("string"), F.lit("")) == F.col("b.bad_stratum")))
+    return docs.alias("d").join(bad.alias("b"), same, "left_anti")

@@ -52,11 +52,11 @@ def test_learned_rules_reject_junk_only(spark):
         F.col("id").alias("doc_id"),
         F.when(F.col("id") < n, F.concat_ws(" ", *[F.concat(F.lit("w"), F.col("id") * 20 + i) for i in range(12)])).otherwise(
             F.concat_ws("$$ ", *[F.concat(F.lit("w"), F.col("id") * 20 + i) for i in range(12)])).alias("text"),
-        F.when(F.col("id") % n < 2500, "en").otherwise("few").alias("lang"))
+        F.when(F.col("id") % n < 2850, "en").otherwise("few").alias("lang"))
     labels = spark.range(2 * n).select(F.col("id").alias("doc_id"), (F.col("id") < n).cast("int").alias("quality"))
     out = quality.quality_rules(docs, labels).groupBy("stratum", (F.col("doc_id") < n).alias("good"), "kept").count().collect()
     found = {(r["stratum"], r["good"], r["kept"]): r["count"] for r in out}
-    assert found == {("en", True, True): 2500, ("en", False, False): 2500, ("few", True, True): 500, ("few", False, True): 500}
+    assert found == {("en", True, True): 2850, ("en", False, False): 2850, ("few", True, True): 150, ("few", False, True): 150}
 
 
 def test_bound_holds_on_fresh_documents():
@@ -81,3 +81,54 @@ def test_odd_rows(spark, frame, odd_rows):
     assert kept.columns == frame([]).columns and {r["doc_id"] for r in kept.collect()} == {None, 4, 5}
     assert quality.quality_rules(frame([]), labels).count() == 0
     assert quality.quality_rules(frame(rows), labels.limit(0)).count() == len(rows)
+
+
+def test_rule_path_is_nested_and_prefers_cheap_rules():
+    import numpy as np
+    places = np.array([[0, 3], [1, 3], [2, 3], [2, 0], [2, 1], [1, 1]])  # the first broken place of two rules; 2 and 3 are none
+    good, bad = np.array([0, 0, 50, 0, 0, 2]), np.array([5, 4, 0, 3, 1, 0])
+    path = quality.rule_path(places, good, bad, [2, 3], 4)
+    assert path == [(0, -1), (0, 0)]  # places 1 of both rules cost two good documents
+    assert quality.rule_path(places, good * 0, bad, [2, 3], 4) == [(0, -1), (1, -1), (1, 0), (1, 1)]
+    assert quality.rule_path(places, good, bad * 0, [2, 3], 4) == []
+    for low, high in zip(path, path[1:]):
+        assert not (quality.rejected(places, low) & ~quality.rejected(places, high)).any()
+
+
+def test_combined_rules_keep_the_promise_on_fresh_documents():
+    """Four noisy ratios, 400 good documents a draw: the chosen union rejects more than alpha of fresh ones in few draws."""
+    import numpy as np
+    rng = np.random.default_rng(1)
+    size, broken, used, caught = 20, 0, 0, []
+    draw = lambda n, shift: np.minimum(rng.geometric(shift, (n, 4)) - 1, size)
+    for _ in range(150):
+        good, bad, fresh = size - draw(400, 0.45), size - draw(60, 0.06), size - draw(20_000, 0.45)
+        tunes = rng.random(400) < quality.TUNING
+        places = np.concatenate([good, bad])
+        path = quality.rule_path(places, np.concatenate([tunes, np.zeros(60)]), np.concatenate([np.zeros(400), np.ones(60)]), [size] * 4,
+                                 quality.PRICE / quality.TUNING)
+        k = [int(quality.rejected(good[~tunes], r).sum()) for r in path]
+        i = quality.cutoff(k, int((~tunes).sum()), [int(quality.rejected(bad, r).sum()) for r in path], path, 0.02, 0.05)
+        if i is not None:
+            used += 1
+            broken += quality.rejected(fresh, path[i]).mean() > 0.02
+            caught.append(quality.rejected(bad, path[i]).mean())
+    assert used > 100 and broken <= 0.05 * 150 + 6 and np.mean(caught) > 0.5
+
+
+def test_labelled_bad_documents_of_small_strata_are_rejected(spark):
+    folder = "/root/testdata/sf0.1/"
+    docs, labels = (spark.read.parquet(f"{folder}{t}.parquet") for t in ("documents", "labels"))
+    out = quality.quality_rules(docs, labels).where("NOT base_failed").join(labels.where("quality IS NOT NULL"), "doc_id")
+    rows = out.groupBy("stratum", "quality").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("gone")).collect()
+    share = {(r["stratum"], r["quality"]): r["gone"] / r["n"] for r in rows}
+    for lang in ("de", "en", "es", "fr"):
+        assert share[(lang, 0)] > 0.9 and share[(lang, 1)] <= 0.02, share
+
+
+def test_rows_of_one_id_are_judged_apart(spark, frame):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    good = "one two three four five six seven eight nine ten eleven"
+    rows = [(7, good), (7, "too short"), (7, None), (8, good)]
+    kept = quality.keep_good(frame(rows), labels).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(7, good), (8, good)]
