@@ -18,7 +18,6 @@ prior; records that fall there, or hold no letter, are rejected.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -26,10 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .html_text import decoded
 
 SLOTS, SLICE = 1 << 15, 1 << 20
-#: Bounds of the fitted sample: about so many labelled documents per language, of at most so many languages.
-SAMPLE_DOCS, LANGUAGES = 1000, 64
+#: Bound of the fitted sample: about so many labelled documents of every language.
+SAMPLE_DOCS = 1000
 TEXT_WEIGHT, SUFFIX_WEIGHT, STRENGTH, UNKNOWN, SURE = 0.3, 0.5, 10.0, 1e-4, 0.9
 SEED = 5
 
@@ -59,28 +59,37 @@ def fit_text(docs: DataFrame, text_column: str = "text", label_column: str = "la
     """Languages and their log probabilities of trigram slots, from a bounded sample of labelled documents."""
     label = F.lower(F.regexp_extract(F.col(label_column).cast("string"), "^[A-Za-z]{2,3}", 0))
     rows = docs.select(F.col(id_column).cast("string").alias("id"), label.alias("lang"), F.col(text_column).cast("string").alias("text"))
-    known = rows.where("lang <> ''").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    languages = sorted(r["lang"] for r in known)
+    known = common.store(rows.where("lang <> ''").groupBy("lang").count(), "languages")  # at most 27^3 values of two or three letters
+    languages = sorted(r["lang"] for r in known.collect())
     if not languages:
         return [], np.empty((0, SLOTS), np.float32)
-    share = F.create_map(*[F.lit(x) for r in known for x in (r["lang"], min(1.0, SAMPLE_DOCS / r["count"]))])
     chance = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(F.col("lang").isin(languages)).where(chance < share[F.col("lang")])
+    sample = rows.join(F.broadcast(known), "lang").where(chance < F.lit(float(SAMPLE_DOCS)) / F.col("count"))
 
     def count(frames):
-        letter = letters()
-        total = {}
+        """Counts of each run of rows of one language."""
+        letter, lang, mine = letters(), None, None
         for frame in frames:
-            for lang, text in zip(frame["lang"], frame["text"]):
-                mine = total.setdefault(lang, np.zeros(SLOTS, np.int64))
+            for now, text in zip(frame["lang"], frame["text"]):
+                if now != lang:
+                    if lang is not None:
+                        yield pd.DataFrame({"lang": [lang], "counts": [mine.tobytes()]})
+                    lang, mine = now, np.zeros(SLOTS, np.int64)
                 for slots in trigrams(text, letter):
                     mine += np.bincount(slots, minlength=SLOTS)
-        if total:  # an empty binary column cannot be sent
-            yield pd.DataFrame({"lang": list(total), "counts": [v.tobytes() for v in total.values()]})
+        if lang is not None:
+            yield pd.DataFrame({"lang": [lang], "counts": [mine.tobytes()]})
 
+    def together(frame: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
+        return pd.DataFrame({"lang": frame["lang"].iloc[:1], "counts": [total.tobytes()]})
+
+    parts = (sample.select("lang", "text").repartition(8, "lang", F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("lang")
+             .mapInPandas(count, "lang string, counts binary"))
     table = np.zeros((len(languages), SLOTS), np.float64)
-    for r in sample.select("lang", "text").repartition(8).mapInPandas(count, "lang string, counts binary").collect():
-        table[languages.index(r["lang"])] += np.frombuffer(r["counts"], np.int64)
+    place = {x: i for i, x in enumerate(languages)}
+    for r in parts.groupBy("lang").applyInPandas(together, "lang string, counts binary").toLocalIterator():
+        table[place[r["lang"]]] = np.frombuffer(r["counts"], np.int64)
     # a tenth of an observation per slot; one per slot would flatten small samples
     table += 0.1
     return languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
@@ -88,16 +97,18 @@ def fit_text(docs: DataFrame, text_column: str = "text", label_column: str = "la
 
 def text_evidence(records: DataFrame, model: np.ndarray) -> DataFrame:
     """Records without their text: ``evidence`` (log likelihood per language, last the flat class) and ``n_trigrams``."""
-    carried = records.sparkSession.sparkContext.broadcast(model)  # LANGUAGES x SLOTS x 4 bytes at most
+    carried = records.sparkSession.sparkContext.broadcast(model)  # 128 kB a language
 
     def score(frames):
         letter, table = letters(), np.ascontiguousarray(carried.value.T)
         for frame in frames:
             out, counts = [], []
-            for text in frame["text"]:
+            for kind, text in zip(frame["kind"], frame["text"]):
                 total, n = np.zeros(table.shape[1]), 0
-                for slots in trigrams(text, letter):
-                    total += table[slots].sum(axis=0, dtype=np.float64)
+                for slots in trigrams(decoded(text) if kind == "page" and text else text, letter):
+                    seen = np.bincount(slots, minlength=SLOTS)
+                    some = np.flatnonzero(seen)
+                    total += seen[some].astype(np.float64) @ table[some]
                     n += len(slots)
                 out.append([*total.tolist(), -n * math.log(SLOTS)])
                 counts.append(n)
@@ -111,11 +122,17 @@ def host_parts(host: Column) -> tuple[Column, Column]:
     return F.substring_index(host, ".", -2), F.regexp_extract(host, r"\.([a-z]{2,3})$", 1)
 
 
-def filled(counts: Column, own: Column, base: list[Column], n: int) -> list[Column]:
-    """Distribution of counts without the record's own vote, filled up with STRENGTH counts of ``base``."""
-    mine = [counts[i] - F.when(own == i, 1).otherwise(0) for i in range(n)]
-    total = reduce(lambda a, b: a + b, mine) + STRENGTH
-    return [(m + STRENGTH * b) / total for m, b in zip(mine, base)]
+def dense(frame: pd.DataFrame, key: str, n: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Votes per language for the key of every row, without the row's own vote, and whether the key has any."""
+    found = frame[f"{key}_votes"]
+    seen = found.notna().to_numpy()
+    out = np.zeros((len(frame), n))
+    for i, votes in zip(np.flatnonzero(seen), found[seen]):
+        for vote in votes:
+            out[i, vote["guess"]] = vote["n"]
+    mine = np.flatnonzero(seen & (own >= 0))
+    out[mine, own[mine]] -= 1
+    return out, seen
 
 
 def identify(records: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
@@ -141,40 +158,46 @@ def identify(records: DataFrame, languages: list[str], model: np.ndarray) -> Dat
                           .withColumn("domain", F.when(F.col("host") == "", "").otherwise(domain)).withColumn("suffix", suffix), "scored")
 
     def votes(key: str) -> DataFrame:
-        counted = [F.count_if(F.col("guess") == i).cast("double") for i in range(n)]
-        return common.store(scored.where(f"{key} <> '' AND guess >= 0").groupBy(key).agg(F.array(*counted).alias(f"{key}_votes")), f"{key}_votes")
+        counted = scored.where(f"{key} <> '' AND guess >= 0").groupBy(key, "guess").agg(F.count(F.lit(1)).alias("n"))
+        return common.store(counted.groupBy(key).agg(F.collect_list(F.struct("guess", "n")).alias(f"{key}_votes")), f"{key}_votes")
 
-    whole = scored.where("guess >= 0").agg(*[F.count_if(F.col("guess") == i).alias(f"n{i}") for i in range(n)]).first()
-    base = [(int(whole[i]) + 1) / (sum(map(int, whole)) + n) for i in range(n)]
-    none = F.array(*[F.lit(0.0)] * n)
+    total = np.zeros(n)
+    for r in scored.where("guess >= 0").groupBy("guess").count().collect():
+        total[r["guess"]] = r["count"]
+    base = (total + 1) / (total.sum() + n)
     joined = scored.join(votes("host"), "host", "left").join(votes("domain"), "domain", "left")
     for key in ("declared", "suffix"):  # at most 27^3 values of two or three letters
         joined = joined.join(F.broadcast(votes(key)), key, "left")
-    own = F.col("guess")
-    of_domain = filled(F.coalesce("domain_votes", none), own, [F.lit(b) for b in base], n)
-    joined = joined.withColumn("domain_prior", F.array(*of_domain))
-    prior = filled(F.coalesce("host_votes", none), own, [F.col("domain_prior")[i] for i in range(n)], n)
-    total = [int(whole[i]) for i in range(n)]
-
-    def likelihood(key: str, i: int) -> Column:
-        """log P(value | language) with one added count; the same for all languages where the value has no votes."""
-        seen = F.col(f"{key}_votes")
-        mine = seen[i] - F.when(own == i, 1).otherwise(0)
-        return F.coalesce(F.log((mine + 1) / F.lit(float(total[i] + 2))), F.lit(0.0))
-
-    scores = [F.lit(TEXT_WEIGHT) * F.col("evidence")[i] + F.log(prior[i]) + likelihood("declared", i) + F.lit(SUFFIX_WEIGHT) * likelihood("suffix", i)
-              for i in range(n)]
-    # the class without language has no declaration of its own: it gets the mean likelihood of the declared value
-    flat = F.lit(TEXT_WEIGHT) * F.col("evidence")[n] + F.lit(math.log(UNKNOWN)) + reduce(
-        lambda a, b: a + b, [likelihood("declared", i) + F.lit(SUFFIX_WEIGHT) * likelihood("suffix", i) for i in range(n)]) / n
-    fused = joined.withColumn("scores", F.array(*scores, flat)).withColumn("high", F.array_max("scores")).withColumn(
-        "place", F.array_position("scores", F.col("high")).cast("int"))
-    known = F.array(*[F.lit(x) for x in [*languages, "und"]])
-    letters_found = F.col("n_trigrams") > 0
-    return fused.select("kind", "id", F.when(letters_found, known[F.col("place") - 1]).otherwise("und").alias("lang"),
-                        F.when(letters_found, 1 / F.aggregate("scores", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("high")))).alias("probability"),
-                        F.when(letters_found, known[F.col("best")]).otherwise("und").alias("text_lang"), "declared", "host", "n_trigrams",
-                        (letters_found & (F.col("place") <= n)).alias("kept"))
+
+    def fuse(frames):
+        names = np.array([*languages, "und"], object)
+        for frame in frames:
+            if frame.empty:
+                continue
+            own, evidence = frame["guess"].to_numpy(), np.stack(frame["evidence"])
+            prior = base
+            for key in ("domain", "host"):
+                mine, _ = dense(frame, key, n, own)
+                prior = (mine + STRENGTH * prior) / (mine.sum(axis=1, keepdims=True) + STRENGTH)
+            other = np.zeros((len(frame), n))
+            for key, weight in (("declared", 1.0), ("suffix", SUFFIX_WEIGHT)):
+                # log P(value | language) with one added count; the same for all languages where the value has no votes
+                mine, seen = dense(frame, key, n, own)
+                other[seen] += weight * np.log((mine[seen] + 1) / (total + 2))
+            # the class without language has no declaration of its own: it gets the mean likelihood of the declared value
+            flat = TEXT_WEIGHT * evidence[:, n] + math.log(UNKNOWN) + other.mean(axis=1)
+            scores = np.concatenate([TEXT_WEIGHT * evidence[:, :n] + np.log(prior) + other, flat[:, None]], axis=1)
+            place, letters_found = scores.argmax(axis=1), frame["n_trigrams"].to_numpy() > 0
+            chance = 1 / np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+            yield pd.DataFrame({
+                "kind": frame["kind"], "id": frame["id"], "lang": np.where(letters_found, names[place], "und"),
+                "probability": [float(c) if ok else None for c, ok in zip(chance, letters_found)],
+                "text_lang": np.where(letters_found, names[frame["best"].to_numpy()], "und"), "declared": frame["declared"], "host": frame["host"],
+                "n_trigrams": frame["n_trigrams"], "kept": letters_found & (place < n)})
+
+    wanted = ["kind", "id", "evidence", "n_trigrams", "guess", "best", "declared", "host", *[f"{k}_votes" for k in ("host", "domain", "declared", "suffix")]]
+    return joined.select(*wanted).mapInPandas(fuse, "kind string, id string, lang string, probability double, text_lang string, declared string, "
+                                              "host string, n_trigrams long, kept boolean")
 
 
 def document_records(docs: DataFrame) -> DataFrame:
@@ -195,8 +218,10 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """The documents whose language is known; rows without an id stay."""
+    """The documents whose language is known, each row by its own text and evidence; rows without an id stay."""
     common.prepare(docs.sparkSession)
     languages, model = fit_text(docs)
-    gone = identify(document_records(docs), languages, model).where("NOT kept AND id IS NOT NULL").select(F.col("id").cast("long").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    row_id = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text", "lang", "source").cast("string"))
+    named = docs.select(F.when(F.col("doc_id").isNotNull(), row_id).alias("doc_id"), "text", "lang", "source")
+    gone = identify(document_records(named), languages, model).where("NOT kept AND id IS NOT NULL").select(F.col("id").alias("gone_id")).distinct()
+    return docs.join(gone, F.col("gone_id") == F.when(F.col("doc_id").isNotNull(), row_id), "left_anti")

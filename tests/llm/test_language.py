@@ -1,3 +1,8 @@
+import math
+import time
+from collections import defaultdict
+
+import numpy as np
 import pytest
 from rosterlake.llm import common, language
 
@@ -72,3 +77,84 @@ def test_odd_rows(spark, frame, odd_rows):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, t in odd_rows if i is None or (t and t.strip()))
     assert language.keep_known(frame([])).count() == 0
     assert language.identify(language.document_records(frame([])), *language.fit_text(df)).count() == 0
+
+
+def test_fusion_matches_plain_python(spark, model):
+    """Every record's language and probability against a record-by-record computation over the whole table."""
+    languages, table = model
+    n, letter = len(languages), language.letters()
+    docs = [("document", str(r["doc_id"]), r["text"][:300], r["lang"], r["source"]) for r in spark.read.parquet(DOCS).collect()]
+    rows = docs + background() + [("page", "bare", "in", "", ""), ("page", "no host", EN * 3, "", ""), ("page", "null", None, None, None)]
+    evidence = []
+    for _, _, text, _, _ in rows:
+        e, count = np.zeros(n + 1), 0
+        for slots in language.trigrams(text, letter):
+            e[:n] += table[:, slots].sum(axis=1, dtype=np.float64)
+            count += len(slots)
+        e[n] = -count * math.log(language.SLOTS)
+        evidence.append((e, count))
+    votes = {key: defaultdict(lambda: np.zeros(n)) for key in ("host", "domain", "suffix", "declared")}
+    total, facts = np.zeros(n), []
+    for (_, _, _, declared, host), (e, count) in zip(rows, evidence):
+        share = np.exp(language.TEXT_WEIGHT * (e - e.max()))
+        guess = int(e[:n].argmax()) if count and share.sum() <= 1 / language.SURE and e[n] < e.max() else None
+        last = (host or "").rsplit(".", 1)
+        keys = {"host": host or "", "domain": ".".join((host or "").split(".")[-2:]), "declared": declared or "",
+                "suffix": last[1] if len(last) == 2 and 2 <= len(last[1]) <= 3 and last[1].isascii() and last[1].islower() else ""}
+        facts.append((keys, guess))
+        if guess is not None:
+            total[guess] += 1
+            for key, value in keys.items():
+                if value:
+                    votes[key][value][guess] += 1
+    out = identify(spark, model, rows)
+    for (_, i, _, _, _), (e, count), (keys, guess) in zip(rows, evidence, facts):
+        mine = {}
+        for key, value in keys.items():
+            mine[key] = votes[key][value].copy()
+            if value and guess is not None:
+                mine[key][guess] -= 1
+        prior = (total + 1) / (total.sum() + n)
+        for key in ("domain", "host"):
+            prior = (mine[key] + language.STRENGTH * prior) / (mine[key].sum() + language.STRENGTH)
+        other = np.zeros(n)
+        for key, weight in (("declared", 1), ("suffix", language.SUFFIX_WEIGHT)):
+            if votes[key][keys[key]].sum():
+                other += weight * np.log((mine[key] + 1) / (total + 2))
+        scores = np.append(language.TEXT_WEIGHT * e[:n] + np.log(prior) + other, language.TEXT_WEIGHT * e[n] + math.log(language.UNKNOWN) + other.mean())
+        chance = np.exp(scores - scores.max())
+        chance /= chance.sum()
+        if not count:
+            assert out[i]["lang"] == "und" and not out[i]["kept"] and out[i]["probability"] is None
+            continue
+        assert abs(out[i]["probability"] - chance.max()) < 1e-6
+        assert out[i]["lang"] == [*languages, "und"][int(scores.argmax())]
+
+
+def test_many_languages(spark):
+    """200 languages of their own letters: all are told apart, and the time does not grow with the square of their number."""
+    rng = np.random.default_rng(3)
+    codes = [a + b for a in "abcdefghijklmnopqrst" for b in "abcdefghij"]
+    words = {c: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)] for c in codes}
+    rows = [(i, " ".join(rng.choice(words[codes[i % 200]], 25)), codes[i % 200], f"host{i % 300}", 0) for i in range(10_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(8).cache()
+    docs.count()
+    common.prepare(spark)
+    start = time.time()
+    languages, model = language.fit_text(docs)
+    out = language.identify(language.document_records(docs), languages, model).select("lang", "text_lang", "declared").collect()
+    assert time.time() - start < 40  # about 8 seconds here
+    docs.unpersist()
+    assert languages == sorted(codes)
+    assert sum(r["text_lang"] == r["declared"] for r in out) > 0.99 * len(out) and sum(r["lang"] == r["declared"] for r in out) > 0.99 * len(out)
+
+
+def test_rows_of_one_id_are_judged_apart(spark, frame):
+    df = frame([(1, EN * 5), (2, EN * 4), (2, "123 !"), (3, None)])
+    assert sorted((r["doc_id"], r["text"]) for r in language.keep_known(df).collect()) == [(1, EN * 5), (2, EN * 4)]
+
+
+def test_references_of_pages_are_decoded(spark, model):
+    rows = background() + [("page", "plain", "über schön für", "", ""), ("page", "coded", "&uuml;ber sch&#246;n f&#xfc;r", "", "")]
+    out = identify(spark, model, rows)
+    assert out["coded"]["n_trigrams"] == out["plain"]["n_trigrams"] and out["coded"]["lang"] == out["plain"]["lang"]
