@@ -197,6 +197,22 @@ def wanted_rows(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return rows.join(some, rows[column] == some["wanted_id"], "left_semi")
 
 
+def own_rows(docs: DataFrame, id_column: str = "doc_id") -> tuple[DataFrame, str]:
+    """The documents with a key of their own per row, and the name of that column; null where the id is null.
+
+    The key is the id where no id repeats. Else the rows are sorted by id, written and numbered, so that keys rise
+    with ids and equal ids by their order in the table; a hot id is spread over partitions by that order.
+    """
+    key = "row_key"
+    while key in docs.columns:
+        key += "_"
+    whole = F.col(id_column).cast("long")
+    if docs.where(whole.isNotNull()).groupBy(whole.alias("id")).count().where("count > 1").isEmpty():
+        return docs.withColumn(key, whole), key
+    order = F.monotonically_increasing_id()
+    return store(docs.sort(whole, order).withColumn(key, F.when(whole.isNotNull(), F.monotonically_increasing_id())), "own_rows"), key
+
+
 def class_labels(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``rep`` and ``class_id`` of linked classes: the smallest ``first_id`` in the component of the links (rep, root)."""
     joined = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
@@ -210,5 +226,5 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 __all__ = ["BATCH_ROWS", "Callable", "Column", "prepare", "mix", "word_hashes", "word_slices", "windows", "as_long", "spread",
-           "whole_groups", "bounds", "block_pairs", "node_sizes", "smallest_roots", "components", "class_labels", "wanted_rows", "read_table",
+           "whole_groups", "bounds", "block_pairs", "node_sizes", "smallest_roots", "components", "class_labels", "own_rows", "wanted_rows", "read_table",
            "scratch_path", "shared_folder", "store"]

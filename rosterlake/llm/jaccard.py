@@ -277,6 +277,8 @@ def jaccard_join(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """The documents, one of each group of near copies (the smallest id); rows without an id stay."""
-    gone = jaccard_join(docs, **options).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The documents, one row of each group of near copies (the first of the smallest id); rows without an id stay.
+    Rows that share an id are documents of their own."""
+    rows, key = common.own_rows(docs)
+    gone = jaccard_join(rows, id_column=key, **options).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    return rows.join(gone, F.col("gone_id") == rows[key], "left_anti").select(*docs.columns)

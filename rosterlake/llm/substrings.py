@@ -650,10 +650,12 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
 def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents without passages that repeat an earlier document; documents of which nothing stays go.
 
-    ``n_chars`` follows the new text. Documents without a repeat come back unchanged.
+    ``n_chars`` follows the new text. Documents without a repeat come back unchanged. Rows that share an id are
+    documents of their own, in the order of the table.
     """
     common.prepare(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    whole, key = common.own_rows(docs)
+    texts = whole.select(F.col(key).alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = passages(texts.where("doc_id IS NOT NULL"), min_words)
 
     def build(frames):
@@ -664,7 +666,7 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cut = (texts.join(found.where("size(starts) > 0"), "doc_id").select("doc_id", "text", "starts", "ends")
            .mapInPandas(build, "doc_id long, cut_text string"))
     cut = common.store(cut.dropDuplicates(["doc_id"]), "cut")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows = whole.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("doc_id"))
     joined = rows.join(cut, "doc_id", "left").where("cut_text IS NULL OR cut_text RLIKE '[^ \\t-\\r]'")
     changed = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}
     return joined.select(*[F.coalesce(changed[c], F.col("row")[c]).alias(c) if c in changed else F.col("row")[c].alias(c)

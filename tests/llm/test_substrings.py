@@ -181,3 +181,12 @@ def test_runs_of_all_pairs_equal_those_of_each():
     got = list(zip(*(v.tolist() for v in substrings.all_runs(pair, x, y, n))))
     want = [(int(p), *run) for p in np.unique(pair) for run in substrings.runs_of(x[pair == p], y[pair == p], n[pair == p])]
     assert got == want
+
+
+def test_rows_of_one_id_are_cut_apart(frame, words):
+    """Two texts of one id that both hold a passage of another document lose it, and equal rows leave one."""
+    passage, fill = " ".join(words(1, 80)), [" ".join(words(i, 40)) for i in range(2, 7)]
+    rows = [(1, f"{fill[0]} {passage}"), (2, f"{fill[1]} {passage}"), (2, f"{passage} {fill[2]}"), (3, " ".join(words(9, 70))), (3, " ".join(words(9, 70)))]
+    kept = substrings.cut_repeats(frame(rows)).collect()
+    got = sorted((r["doc_id"], " ".join(r["text"].split())) for r in kept)
+    assert got == sorted([(1, rows[0][1]), (2, fill[1]), (2, fill[2]), (3, rows[3][1])])
