@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,6 +75,40 @@ def schema_tree(dtype: T.DataType):
     return dtype.simpleString()
 
 
+def schema_leaves(dtype: T.DataType, path: str = "") -> list[tuple[str, T.DataType]]:
+    """Path and type of every leaf of a nested type; fields are parted by ``.``, elements of a list are ``[]``."""
+    if isinstance(dtype, T.StructType):
+        return [leaf for f in dtype.fields for leaf in schema_leaves(f.dataType, f"{path}.{f.name}" if path else f.name)]
+    if isinstance(dtype, T.ArrayType):
+        return schema_leaves(dtype.elementType, f"{path}[]")
+    return [(path, dtype)]
+
+
+def _filled(value: Column, dtype: T.DataType) -> list[Column]:
+    """Numbers of values in one row, leaf by leaf as in :func:`schema_leaves`."""
+    if isinstance(dtype, T.StructType):
+        return [c for f in dtype.fields for c in _filled(value.getField(f.name), f.dataType)]
+    if isinstance(dtype, T.ArrayType):
+        def total(number: int) -> Column:
+            return F.aggregate(value, F.lit(0).cast("long"), lambda s, x: s + _filled(x, dtype.elementType)[number])
+
+        return [F.coalesce(total(i), F.lit(0).cast("long")) for i in range(len(schema_leaves(dtype)))]
+    return [F.when(value.isNotNull(), 1).otherwise(0).cast("long")]
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """The nested schema as a table with what is in it: ``path``, ``type``, ``n_values`` (values that are not null).
+
+    One pass over the rows without unnesting them; an empty table has zeros, a null list or struct no values.
+    """
+    leaves = schema_leaves(df.schema)
+    counts = [c for f in df.schema.fields for c in _filled(F.col(f"`{f.name}`"), f.dataType)]
+    totals = df.agg(*[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(f"n{i}") for i, c in enumerate(counts)])
+    rows = [F.struct(F.lit(path).alias("path"), F.lit(dtype.simpleString()).alias("type"), F.col(f"n{i}").alias("n_values"))
+            for i, (path, dtype) in enumerate(leaves)]
+    return totals.select(F.inline(F.array(*rows)))
+
+
 def pick_existing(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [n for n in names if n in df.columns]
 

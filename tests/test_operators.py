@@ -107,6 +107,14 @@ def test_schema_tree(spark):
     assert flatten.schema_tree(df.schema) == {"a": "string", "s": {"x": "int", "l": {"list_of": {"y": "double"}}}}
 
 
+def test_schema_profile(spark):
+    schema = "a string, s struct<x:int, l:array<struct<y:double, z:array<string>>>>, `odd name` array<array<int>>"
+    rows = [("v", (1, [(1.0, ["p", None]), (None, None), None]), [[1, None], None, [2, 3]]), (None, None, None), ("w", (None, []), [])]
+    got = [tuple(r) for r in flatten.schema_profile(spark.createDataFrame(rows, schema)).collect()]
+    assert got == [("a", "string", 2), ("s.x", "int", 1), ("s.l[].y", "double", 1), ("s.l[].z[]", "string", 1), ("odd name[][]", "int", 3)]
+    assert [r.n_values for r in flatten.schema_profile(spark.createDataFrame([], schema)).collect()] == [0] * 5
+
+
 def test_group_rare(spark):
     rows = [("hot",)] * 40 + [("nine",)] * 9 + [("ten",)] * 10 + [(None,)] * 3
     df = joins.group_rare(spark.createDataFrame(rows, "r string"), "r", "g")

@@ -133,6 +133,26 @@ def _(spark, sf):
     return spark.read.schema("message string, label string, written string").parquet(path)
 
 
+@query("schema_profile", "A18", """
+    WITH c AS (SELECT count(*) AS n, count(l_orderkey) AS orders, count(l_partkey) AS parts, count(l_suppkey) AS suppliers, count(CASE WHEN l_tax > 0 THEN 1 END) AS taxes,
+        count(CASE WHEN l_discount > 0 THEN 1 END) + count(CASE WHEN l_quantity > 20 THEN 1 END) AS amounts,
+        count(CASE WHEN l_returnflag <> 'N' THEN 1 END) + count(CASE WHEN l_returnflag <> 'N' AND l_linestatus = 'F' THEN 1 END) AS flags FROM lineitem)
+    SELECT unnest(['l_orderkey', 'item.part', 'item.supplier.key', 'item.supplier.tax', 'amounts[].name', 'amounts[].value', 'flags[]']) AS path,
+      unnest(['bigint', 'bigint', 'bigint', 'double', 'string', 'double', 'string']) AS type,
+      unnest([orders, parts, suppliers, taxes, 2 * n, amounts, flags]::bigint[]) AS n_values FROM c""")
+def _(spark, sf):
+    """Order lines as nested records: a struct in a struct, a list of structs, a list that may be null or hold nulls."""
+    above = lambda c, limit: F.when(F.col(c) > limit, F.col(c))
+    amount = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
+    supplier = F.struct(F.col("l_suppkey").alias("key"), above("l_tax", 0).alias("tax"))
+    flags = F.array("l_returnflag", F.when(F.col("l_linestatus") == "F", F.col("l_linestatus")))
+    nested = table(spark, sf, "lineitem").select(
+        "l_orderkey", F.struct(F.col("l_partkey").alias("part"), supplier.alias("supplier")).alias("item"),
+        F.array(amount("discount", above("l_discount", 0)), amount("quantity", above("l_quantity", 20))).alias("amounts"),
+        F.when(F.col("l_returnflag") != "N", flags).alias("flags"))
+    return flatten.schema_profile(nested)
+
+
 @query("document_router", "S10", """
     SELECT 'cv_' || doc_id || CASE doc_id % 4 WHEN 0 THEN '.TXT' WHEN 1 THEN '.pdf' WHEN 2 THEN '.png' ELSE '.txt' END AS path,
       CASE doc_id % 4 WHEN 1 THEN 'pdf' WHEN 2 THEN NULL ELSE 'txt' END AS kind,
