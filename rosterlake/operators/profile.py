@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import cut_lineage, over_all_cores
 from .ordered import ACCURACY, column_quantiles, probes, quantiles, unpivot
 
 LONG_VALUE = 64
@@ -49,7 +49,8 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], exact: bool = True) -
 
 
 def qualitative_profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Nulls, distinct values and text lengths per column, most nulls first."""
+    """Nulls, distinct values and text lengths per column, most nulls first. The table is a scan, or a stored one."""
+    df = over_all_cores(df)  # the distinct values of a task are held in its memory
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def length(measure, empty):
