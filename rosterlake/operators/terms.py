@@ -65,6 +65,11 @@ def compare_by(texts: DataFrame, encode: Encoder | Tfidf) -> Vectors | Weights:
     return Weights(texts, encode) if isinstance(encode, Tfidf) else Vectors(texts, encode)
 
 
+def text_key(text: Column) -> Column:
+    """The first 16 bytes of the SHA-256 digest: as an id on every row of a word it is a quarter of the digest in hex."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
 def text_similarity(df: DataFrame, left: str, right: str, output: str, encode: Encoder | Tfidf,
                     texts: DataFrame | None = None) -> DataFrame:
     """Add the similarity of two text columns of the same row; null where a text is missing or has no vector.
@@ -72,10 +77,11 @@ def text_similarity(df: DataFrame, left: str, right: str, output: str, encode: E
     Each distinct pair of texts is compared once and found again by its digests. ``texts`` (text) lists the texts of
     both columns where they come from tables of entities; else they are taken from the rows, once per task and text.
     """
-    keyed = df.withColumns({"_a": F.sha2(F.col(left), 256), "_b": F.sha2(F.col(right), 256)})
+    keyed = df.withColumns({"_a": text_key(F.col(left)), "_b": text_key(F.col(right))})
     if texts is None:
         texts = df.select(F.explode(F.array(left, right)).alias("text"))
-    known = texts.where("text IS NOT NULL").groupBy(F.sha2("text", 256).alias("id")).agg(F.max("text").alias("text"))
+    # distinct texts are hashed in memory; a maximum of texts per digest would sort every row of a task
+    known = texts.where("text IS NOT NULL").select("text").distinct().select(text_key(F.col("text")).alias("id"), "text")
     pairs = store(keyed.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a IS NOT NULL AND b IS NOT NULL").distinct(), "pairs")
     found = store(compare_by(store(known, "texts"), encode).similar(pairs), "similar")
     found = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("similarity").alias(output))

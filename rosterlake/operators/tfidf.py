@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import store
@@ -39,9 +39,8 @@ class Tfidf:
         spread = counts.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= self.min_docs)
         idf = spread.select("word", F.log((F.lit(total) + 1.0) / (F.col("n") + 1.0)).alias("idf"))
         weights = counts.join(idf, "word").select("id", "word", (F.col("times") * F.col("idf")).alias("weight")).where("weight > 0")
-        weights = store(weights, "weights")
-        norms = weights.groupBy("id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-        return store(weights.join(norms, "id").select("id", "word", (F.col("weight") / F.col("norm")).alias("weight")), "index")
+        norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("id")))  # a text has its own words only
+        return store(weights.select("id", "word", (F.col("weight") / norm).alias("weight")), "index")
 
     def cosines(self, index: DataFrame, pairs: DataFrame) -> DataFrame:
         """(a, b, similarity) of distinct pairs of text ids; null where a text has no vector.
