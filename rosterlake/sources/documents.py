@@ -1,6 +1,7 @@
 """Documents as a table of (path, content): text routing by file extension.
 
-PDF text and OCR come from outside as columns; plain text and Word files are read here.
+PDF text and OCR come from outside as columns; plain text and Word files are read here. Python gets the files by rows: an
+Arrow batch would hold thousands of whole files.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import xml.etree.ElementTree as ET
 import zipfile
 from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,14 +51,10 @@ def write_files(df: DataFrame, folder: str, name: str = "name", content: str = "
 
 def word_file(paragraphs: Column) -> Column:
     """A minimal Word file of an array of paragraphs, as bytes."""
-    @F.pandas_udf("binary")
-    def build(rows: pd.Series) -> pd.Series:
-        return pd.Series([_word_bytes(r) for r in rows], dtype=object)
+    return F.udf(_word_bytes, "binary", useArrow=False)(paragraphs)
 
-    return build(paragraphs)
 
-
-def _word_bytes(paragraphs) -> bytes:
+def _word_bytes(paragraphs: list[str] | None) -> bytes:
     lines = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(p)}</w:t></w:r></w:p>' for p in paragraphs)
     held = io.BytesIO()
     with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as parts:
@@ -113,12 +109,12 @@ class _Bounded:
 
 def _read(kind: Column, content: Column) -> Column:
     """Text of Word files, and of plain text with invalid bytes, which are dropped."""
-    @F.pandas_udf("string")
-    def read(kinds: pd.Series, contents: pd.Series) -> pd.Series:
-        return pd.Series([None if c is None else _paragraphs(c) if k == "docx" else bytes(c).decode("utf-8", "ignore")
-                          for k, c in zip(kinds, contents)], dtype=object)
+    def read(kind: str, content: bytes | None) -> str | None:
+        if content is None:
+            return None
+        return _paragraphs(content) if kind == "docx" else bytes(content).decode("utf-8", "ignore")
 
-    return read(kind, content)
+    return F.udf(read, "string", useArrow=False)(kind, content)
 
 
 def parse_documents(files: DataFrame, pdf_text: str | None = None) -> DataFrame:
