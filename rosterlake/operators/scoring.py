@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import matching, text, vectors
+from ..session import store
 from .embedding import Encoder
 from .features import sentiment_columns
 from .terms import list_scores, text_similarity
@@ -96,18 +97,18 @@ def technical_baseline(df: DataFrame, encode: Encoder | Tfidf, entities: tuple[D
         F.col("structured_match_score"), F.col("soft_match_score")))
 
 
-def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, encode: Encoder | Tfidf,
+def technical_ranking(df: DataFrame, job_vectors: str | None, candidate_vectors: str | None, encode: Encoder | Tfidf,
                       texts: tuple[str, str] = ("job_pv_principais_atividades", "app_cv_pt"),
                       candidate_levels: Mapping[str, str] = CANDIDATE_LEVELS,
-                      entities: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                      entities: tuple[DataFrame, DataFrame] | None = None, soft: str | None = None) -> DataFrame:
     """Pairs ranked by the weighted sum of skill match, level match and text similarity.
 
-    Skills are compared by their list-of-vector columns; missing texts read as ''. ``entities`` as in
-    :func:`technical_baseline`.
+    Skills are compared by their list-of-vector columns, or ``soft`` names the column of a skill match that was computed
+    before; missing texts read as ''. ``entities`` as in :func:`technical_baseline`.
     """
     known = entities and entity_texts(entities[0], texts[:1]).unionAll(entity_texts(entities[1], texts[1:]))
     df = structured_columns(df, candidate=candidate_levels).withColumns({
-        "soft_match_score": skill_similarity(F.col(job_vectors), F.col(candidate_vectors)),
+        "soft_match_score": F.col(soft) if soft else skill_similarity(F.col(job_vectors), F.col(candidate_vectors)),
         "_left": F.coalesce(F.col(texts[0]), F.lit("")), "_right": F.coalesce(F.col(texts[1]), F.lit("")),
     })
     df = text_similarity(df, "_left", "_right", "cosine_similarity_score", encode, known).withColumn(
@@ -115,7 +116,8 @@ def technical_ranking(df: DataFrame, job_vectors: str, candidate_vectors: str, e
                                               F.coalesce("cosine_similarity_score", F.lit(0.0))))
     names = ["codigo_vaga", "codigo_candidato", "soft_match_score", "structured_match_score",
              "cosine_similarity_score", "technical_score"]
-    return ranking(df, {n: n for n in names}, "technical_score")
+    # a sort reads its input twice, once to find the ranges
+    return ranking(store(df.select(*names), "ranked"), {n: n for n in names}, "technical_score")
 
 
 def cultural_baseline(df: DataFrame, encode: Encoder | Tfidf) -> DataFrame:
