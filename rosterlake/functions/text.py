@@ -72,17 +72,23 @@ def any_filled(*columns: Column) -> Column:
     return out
 
 
+def begins_plain(c: Column) -> Column:
+    """First character from ``0`` to ``~``: neither white space nor a dash. Two comparisons instead of trims."""
+    return (c >= F.lit("0")) & (c < F.lit("\x7f"))
+
+
 def is_blank_or_dashes(c: Column) -> Column:
     """Null, or nothing left after trimming white space, dashes and white space again."""
-    left = strip_space(F.btrim(strip_space(c.cast("string")), F.lit("-")))
-    return F.coalesce(left == "", F.lit(True))
+    value = c.cast("string")
+    left = strip_space(F.btrim(strip_space(value), F.lit("-")))
+    return F.when(begins_plain(value), F.lit(False)).otherwise(F.coalesce(left == "", F.lit(True)))
 
 
 def is_missing_value(c: Column, is_string: bool = True) -> Column:
     """Null, or (strings) empty, blank or a single dash."""
     if not is_string:
         return c.isNull()
-    return F.coalesce(strip_space(c).isin("", "-", " "), F.lit(True))
+    return F.when(begins_plain(c), F.lit(False)).otherwise(F.coalesce(strip_space(c).isin("", "-", " "), F.lit(True)))
 
 
 def word_class(c: Column, words: Mapping[str, Sequence[str]], default: str) -> Column:

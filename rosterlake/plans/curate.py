@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions import text
 from ..operators import quality
 from ..operators.flatten import flatten_nested, normalize, string_columns
-from ..session import over_all_cores, scratch_path
+from ..session import over_all_cores, scratch_path, small_methods
 from ..sources import schemas
 from ..sources.tables import delete_path, publish, read_parquet, save_issues
 
@@ -43,12 +43,16 @@ class QualityError(ValueError):
     """A permanent quality check failed."""
 
 
-def staged_counts(flat: DataFrame, gate: Gate, valid: Column) -> dict[str, Column]:
+#: Columns that the counts and the written copy share; tidied names have no colon.
+VALID, CLEAN = "gate:valid", "gate:clean:"
+
+
+def staged_counts(flat: DataFrame, gate: Gate) -> dict[str, Column]:
     """What the gate counts while the rows are written: contract nulls of all rows, the rest of the valid ones."""
-    strings = set(string_columns(flat))
+    strings, valid = set(string_columns(flat)), F.col(VALID)
     counts = {f"null:{f.name}": F.count_if(F.col(f.name).isNull()) for f in gate.contract.fields if not f.nullable and f.name in flat.columns}
     counts |= {f"required:{c}": F.count_if(valid & text.is_missing_value(F.col(c), c in strings)) for c in gate.required if c in flat.columns}
-    counts |= {f"changed:{c}": F.count_if(valid & ~text.clean_text(F.col(c)).eqNullSafe(F.col(c))) for c in gate.unique if c in strings}
+    counts |= {f"changed:{c}": F.count_if(valid & ~F.col(CLEAN + c).eqNullSafe(F.col(c))) for c in gate.unique if c in strings}
     return counts | {"rows": F.count(F.lit(1)), "invalid": F.count_if(~valid)}
 
 
@@ -67,18 +71,21 @@ def issue_rows(flat: DataFrame, staged: DataFrame, gate: Gate, counts: Mapping[s
 def curate(raw: DataFrame, gate: Gate, issues_path: str | None = None, target: str | None = None) -> DataFrame:
     """Flatten, normalise, check. Raises :class:`QualityError` if a permanent check fails.
 
-    The rows are read once and written once, already normalised, and counted on the way; only the key columns of the
-    written copy are read again, to find duplicates. A copy that passes is published by renaming it to ``target``, so a
+    The rows are read once and written once, already normalised, and counted on the way; validity and cleaned keys are
+    computed once for both. Only the key columns of the written copy are read again, to find duplicates. A copy that passes is published by renaming it to ``target``, so a
     failed check leaves the earlier table as it was. Without ``target`` the copy stays in the shared folder.
     """
     spark = raw.sparkSession
     flat = flatten_nested(over_all_cores(raw))
     quality.assert_structure(flat, gate.contract, gate.label)
     valid = ~quality.bad_required(quality.present(flat, gate.drop_invalid))
-    seen = Observation()
-    counted = flat.observe(seen, *[c.alias(name) for name, c in staged_counts(flat, gate, valid).items()])
+    seen, strings = Observation(), set(string_columns(flat))
+    cleaned = {c: CLEAN + c for c in gate.unique if c in strings}
+    shared = {VALID: valid, **{name: text.clean_text(F.col(c)) for c, name in cleaned.items()}}
+    counted = flat.withColumns(shared).observe(seen, *[c.alias(name) for name, c in staged_counts(flat, gate).items()])
     path = f"{target}.staged-{uuid.uuid4().hex}" if target else scratch_path(spark, gate.label)
-    normalize(counted.where(valid), gate.dates, gate.datetimes).write.parquet(path)
+    with small_methods(spark):
+        normalize(counted.where(F.col(VALID)), gate.dates, gate.datetimes, cleaned, list(shared)).write.parquet(path)
     counts = seen.get
     try:
         if any(n for name, n in counts.items() if name.startswith("null:")):

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,21 @@ def over_all_cores(df: DataFrame) -> DataFrame:
     return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """While this is open, plans whose one generated method would pass 8000 bytes run as several.
+
+    HotSpot never compiles a longer method, so a projection of many cleaned columns would be interpreted row by row.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    earlier = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, earlier)
+
+
 def ship_with_tasks(module) -> None:
     """Send a module's functions inside the task, so workers need no installed package."""
     cloudpickle.register_pickle_by_value(module)
