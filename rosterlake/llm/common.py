@@ -67,10 +67,16 @@ def windows(words: np.ndarray, size: int) -> np.ndarray:
     size = min(size, len(words))
     if not size:
         return np.empty(0, np.uint64)
+    # total[i] = size * G^size + sum of words[i + j] * G^(size - 1 - j), put together from sums over 1, 2, 4, ... words
     count = len(words) - size + 1
-    total = np.full(count, size, np.uint64)
-    for i in range(size):
-        total = total * GOLDEN + words[i:i + count]
+    total, done, step, sums = np.uint64(size), 0, 1, words
+    while done < size:
+        power = np.uint64(pow(int(GOLDEN), step, 1 << 64))
+        if size & step:
+            first = np.uint64(int(total) * int(power) % (1 << 64)) if not done else total * power
+            total, done = first + sums[done:done + count], done + step
+        if done < size:
+            sums, step = sums[:-step] * power + sums[step:], 2 * step
     return mix(total)
 
 

@@ -9,7 +9,9 @@
    ``NEAR`` words before it and one among those with the same words after it; other documents match their
    occurrences with these homes only. A seed in n documents thus gives 3 n matches at most, not n squared pairs.
    All windows of ``min_words`` words are seeds too, so a passage that two documents share word for word
-   always meets in the first document that holds it, whatever its parts have for homes.
+   always meets in the first document that holds it, whatever its parts have for homes. They travel in runs of
+   neighbours with the same anchor, the smallest hash of their ``ANCHOR``-word windows: equal windows have equal
+   anchors, and the windows of a run that only one document has are never unpacked.
    A match counts if ``ENOUGH`` of the ``NEAR`` words on one side agree. A passage of 50 words with 80 % equal words
    and no word inserted always holds such a window: else 12 words from each shared window on had 8 equal ones
    at most and the words between them 3 of 4.
@@ -43,6 +45,8 @@ NEAR, ENOUGH = 8, 5
 #: Seeds are dealt by 12 bits of their hash and told apart by 32 more; a chunk holds so many.
 BUCKETS, CHUNK = 4096, 1 << 21
 BLOCK, MARGIN, WIDER = 64, 64, 16
+#: Words of an anchor of a ``min_words``-word window, at most.
+ANCHOR = 32
 #: Words between matches of one run, score by which a growing end may fall, words of the shortest part that counts.
 JOIN, DROP, SHORT = 16, 40, 12
 GAP_COST = 0.1
@@ -64,6 +68,24 @@ def minimizers(hashes: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
+def sliding_minimum(values: np.ndarray, window: int) -> np.ndarray:
+    """The smallest of every ``window`` consecutive values, put together from those of 1, 2, 4, ... values."""
+    size = 1
+    while 2 * size <= window:
+        values, size = np.minimum(values[:-size], values[size:]), 2 * size
+    return np.minimum(values[:len(values) - (window - size)], values[window - size:]) if window > size else values
+
+
+def anchored(words: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """Runs of neighbouring ``min_words``-word windows with one anchor: (anchor, place of the first, windows), and 32 bits of
+    the hash of every window. Smallest hashes gather at the low end, so they are spread again."""
+    size = min(ANCHOR, min_words)
+    anchors = sliding_minimum(common.windows(words, size), min_words - size + 1)
+    first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+    counts = np.diff(first, append=len(anchors))
+    return common.mix(anchors[first]), first.astype(np.int32), counts.astype(np.uint32), (common.windows(words, min_words) >> np.uint64(32)).astype(np.uint32)
+
+
 def repeat_numbers(values: np.ndarray) -> np.ndarray:
     """How often each value occurred before its place."""
     order = np.argsort(values, kind="stable")
@@ -104,23 +126,29 @@ def unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, size).T).view(kind)[:, 0]
 
 
-def chunk_rows(parts: list[tuple]) -> pd.DataFrame:
-    """A row per bucket: its seeds by rising hash (32 bits, as differences), their documents, places and contexts."""
+def chunk_rows(parts: list[tuple], whole: list[np.ndarray] | None = None) -> pd.DataFrame:
+    """A row per bucket: its seeds by rising hash (32 bits, as differences), their documents, places and contexts; for runs of
+    long windows their numbers of windows instead of contexts, and the hashes of these windows."""
     values, docs, places, near = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(values)
+    if whole:
+        hashes, counts = np.concatenate(whole), near.astype(np.int64)
+        hashes = hashes[common.spread((np.cumsum(counts) - counts)[order], counts[order])]
     values, docs, places, near = values[order], docs[order], places[order], near[order]
     bucket = (values >> np.uint64(52)).astype(np.int64)
     rest = (values >> np.uint64(20)).astype(np.uint32)
     edge = np.searchsorted(bucket, np.arange(BUCKETS + 1))
-    rows = [(b, int(e - s), packed(np.diff(rest[s:e], prepend=np.uint32(0))), packed(docs[s:e]), packed(places[s:e]), packed(near[s:e]))
+    at = np.concatenate([[0], np.cumsum(near, dtype=np.int64)])[edge] if whole else None
+    rows = [(b, int(e - s), packed(np.diff(rest[s:e], prepend=np.uint32(0))), packed(docs[s:e]), packed(places[s:e]), packed(near[s:e]),
+             packed(hashes[at[b]:at[b + 1]]) if whole else b"")
             for b, (s, e) in enumerate(zip(edge[:-1], edge[1:])) if e > s]
-    return pd.DataFrame(rows, columns=["bucket", "size", "seed", "doc_id", "pos", "near"])
+    return pd.DataFrame(rows, columns=["bucket", "size", "seed", "doc_id", "pos", "near", "whole"])
 
 
 def seed_rows(texts: DataFrame, min_words: int) -> DataFrame:
     """Packed seeds of all documents; buckets from ``BUCKETS`` on hold the windows of ``min_words`` words."""
     def build(frames):
-        parts, whole, held = [], [], 0
+        parts, runs, whole, held = [], [], [], 0
         for frame in frames:
             for doc, text in zip(frame["doc_id"], frame["text"]):
                 words = common.word_hashes(text)
@@ -134,21 +162,22 @@ def seed_rows(texts: DataFrame, min_words: int) -> DataFrame:
                     parts.append((values, np.full(len(at), doc, np.int64), at.astype(np.int32), near[at]))
                     held += len(at)
                 if len(words) >= min_words:
-                    grams = common.windows(words, min_words)
-                    whole.append((grams, np.full(len(grams), doc, np.int64), np.arange(len(grams), dtype=np.int32), np.zeros(len(grams), np.uint32)))
-                    held += len(grams)
+                    anchors, at, counts, hashes = anchored(words, min_words)
+                    runs.append((anchors, np.full(len(at), doc, np.int64), at, counts))
+                    whole.append(hashes)
+                    held += len(at) + len(hashes) // 4
                 if held >= CHUNK:
-                    yield from chunks(parts, whole)
-                    parts, whole, held = [], [], 0
-        yield from chunks(parts, whole)
+                    yield from chunks(parts, runs, whole)
+                    parts, runs, whole, held = [], [], [], 0
+        yield from chunks(parts, runs, whole)
 
-    def chunks(parts, whole):
+    def chunks(parts, runs, whole):
         if parts:
             yield chunk_rows(parts)
-        if whole:
-            yield chunk_rows(whole).assign(bucket=lambda rows: rows["bucket"] + BUCKETS)
+        if runs:
+            yield chunk_rows(runs, whole).assign(bucket=lambda rows: rows["bucket"] + BUCKETS)
 
-    return texts.mapInPandas(build, "bucket int, size int, seed binary, doc_id binary, pos binary, near binary")
+    return texts.mapInPandas(build, "bucket int, size int, seed binary, doc_id binary, pos binary, near binary, whole binary")
 
 
 def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
@@ -162,9 +191,16 @@ def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
                 load = lambda c, kind: [unpacked(columns[c][i], columns["size"][i], kind) for i in range(s, e)]  # noqa: E731, B023
                 values = np.concatenate([np.cumsum(x, dtype=np.uint32) for x in load("seed", np.uint32)])
                 docs, places, near = (np.concatenate(load(c, t)) for c, t in (("doc_id", np.int64), ("pos", np.int32), ("near", np.uint32)))
+                long = frame["bucket"].iat[s] >= BUCKETS
+                if long:
+                    sizes = [int(x.sum()) for x in np.split(near, np.cumsum(columns["size"][s:e])[:-1])]
+                    hashes = np.concatenate([unpacked(columns["whole"][i], n, np.uint32) for i, n in zip(range(s, e), sizes)])
+                    values, docs, places = shared_windows(values, docs, places, near.astype(np.int64), hashes)
+                    near = np.zeros(len(values), np.uint32)
+                    if not len(values):
+                        continue
                 order = np.lexsort((places, docs, values))
                 values, docs, places, near = values[order], docs[order], places[order], near[order]
-                long = frame["bucket"].iat[s] >= BUCKETS
                 homes = [first_rows(values)]
                 if not long:
                     sides = ((near & np.uint32(0xFFFF)).astype(np.uint64), (near >> np.uint32(16)).astype(np.uint64))
@@ -182,6 +218,17 @@ def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
             .mapInPandas(build, "doc_id long, home long, pos int, home_pos int, n int"))
 
 
+def shared_windows(anchors: np.ndarray, docs: np.ndarray, places: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(value, document, place) of the windows in runs whose anchor two documents have."""
+    order = np.argsort(anchors, kind="stable")
+    start = np.flatnonzero(np.concatenate([[True], anchors[order][1:] != anchors[order][:-1]]))
+    several = np.minimum.reduceat(docs[order], start) != np.maximum.reduceat(docs[order], start)
+    kept = order[np.repeat(several, np.diff(start, append=len(order)))]
+    n, at = counts[kept], common.spread((np.cumsum(counts) - counts)[kept], counts[kept])
+    value = np.repeat(anchors[kept].astype(np.uint64) << np.uint64(32), n) | hashes[at].astype(np.uint64)
+    return value, np.repeat(docs[kept], n), common.spread(places[kept].astype(np.int64), n).astype(np.int32)
+
+
 def first_rows(values: np.ndarray) -> np.ndarray:
     """For every row of a sorted column the first row of the same value."""
     new = np.concatenate([[True], values[1:] != values[:-1]])
@@ -408,23 +455,26 @@ def all_grown(same: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.where(sizes > 0, gain, 0), np.where(sizes > 0, reach, 0), (sizes == margin) & (reach == sizes)
 
 
-def too_short(words: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, home: np.ndarray, home_at: np.ndarray, home_left: np.ndarray,
-              home_right: np.ndarray, n: np.ndarray, margin: int, min_words: int) -> np.ndarray:
-    """Which chains of a single run :func:`aligned` would drop at once, for many pairs.
-
-    ``words`` holds the texts one after the other and ``at`` the place of each run, with ``left`` words of its text before
-    it and ``right`` behind its start; the same for the homes.
-    """
+def all_ends(owns: list[np.ndarray], chains_: list[tuple], margin: int, min_words: int) -> tuple[np.ndarray, ...]:
+    """The ends of many chains (number of the text in ``owns``, words of the home, place of their first, x, y, n) as
+    :func:`aligned` grows them: words before and behind, which chains it would drop, which it would send on."""
+    own, x, y, end, home_end = (np.array(v, np.int64) for v in zip(*[
+        (o, x[0], y[0] - first, x[-1] + n[-1], y[-1] + n[-1] - first) for o, _, first, x, y, n in chains_]))
+    begin = np.cumsum([0] + [len(o) for o in owns])
+    home_begin = np.cumsum([0] + [len(c[1]) for c in chains_])
+    words, home = np.concatenate(owns), np.concatenate([c[1] for c in chains_])
     step = np.arange(margin)
-    before = np.minimum(np.minimum(left, home_left), margin)
-    behind = np.maximum(np.minimum(np.minimum(right, home_right) - n, margin), 0)
 
     def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return words[np.clip(a, 0, len(words) - 1)] == home[np.clip(b, 0, len(home) - 1)]
 
-    lead, reach, more = all_grown(same(at[:, None] - 1 - step, home_at[:, None] - 1 - step), before)
-    tail, after, further = all_grown(same((at + n)[:, None] + step, (home_at + n)[:, None] + step), behind)
-    return (n + lead + tail < SHORT) & (n + reach + after < min_words) & ~more & ~further
+    at, home_at = begin[own], home_begin[:-1]
+    left = np.minimum(np.minimum(x, y), margin)
+    right = np.maximum(np.minimum(np.minimum(begin[own + 1] - at - end, np.diff(home_begin) - home_end), margin), 0)
+    lead, before, more = all_grown(same((at + x)[:, None] - 1 - step, (home_at + y)[:, None] - 1 - step), left)
+    tail, after, further = all_grown(same((at + end)[:, None] + step, (home_at + home_end)[:, None] + step), right)
+    more |= further
+    return before, after, (end - x + lead + tail < SHORT) & (end - x + before + after < min_words) & ~more, more
 
 
 def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
@@ -463,9 +513,11 @@ def even_parts(first: np.ndarray, last: np.ndarray, score: np.ndarray, min_words
     return [(s, e) for s, e in out]
 
 
-def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: int, min_words: int) -> tuple[list[tuple[int, int]], bool]:
+def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: int, min_words: int,
+            ends_known: tuple[int, int] | None = None) -> tuple[list[tuple[int, int]], bool]:
     """Passages of ``words`` that the chain matches with at least 80 % equal words, and whether an end may go on behind
-    ``margin`` words. ``home`` starts at word ``offset``."""
+    ``margin`` words. ``home`` starts at word ``offset``; ``ends_known`` are the words of :func:`all_ends` of a chain that
+    it neither drops nor sends on."""
     y = y - offset
     starts, ends, scores = [], [], []  # pieces: single words of runs and ends, whole gaps
 
@@ -474,12 +526,15 @@ def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: i
         ends.append(starts[-1] + 1)
         scores.append(np.where(words[a:a + size] == home[b:b + size], 1, -DIFFERENT))
 
-    lead, before, more = grown(words[max(0, x[0] - margin):x[0]][::-1], home[max(0, y[0] - margin):y[0]][::-1], margin)
     end, home_end = x[-1] + n[-1], y[-1] + n[-1]
-    tail, after, further = grown(words[end:end + margin], home[home_end:home_end + margin], margin)
-    short = end - x[0] + lead + tail < SHORT and end - x[0] + before + after < min_words
-    if short or more or further:
-        return [], more or further
+    if ends_known:
+        before, after = ends_known
+    else:
+        lead, before, more = grown(words[max(0, x[0] - margin):x[0]][::-1], home[max(0, y[0] - margin):y[0]][::-1], margin)
+        tail, after, further = grown(words[end:end + margin], home[home_end:home_end + margin], margin)
+        short = end - x[0] + lead + tail < SHORT and end - x[0] + before + after < min_words
+        if short or more or further:
+            return [], more or further
     single(x[0] - before, y[0] - before, before)
     for i in range(len(x)):
         single(x[i], y[i], n[i])
@@ -532,23 +587,24 @@ def home_words(blocks: dict, chain, margin: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(b"".join(blocks[b] for b in range(first, last + 1) if b in blocks), np.uint16), first * BLOCK
 
 
+def chain_ends(owns: list[np.ndarray], chains_: list[tuple], margin: int, min_words: int) -> list[list]:
+    """:func:`all_ends`, a few thousand chains at a time: (words before, words behind, dropped, sent on) per chain."""
+    size, out = max(1, (1 << 18) // margin), []
+    for s in range(0, len(chains_), size):
+        part = chains_[s:s + size]
+        used = sorted({c[0] for c in part})
+        number = {o: i for i, o in enumerate(used)}
+        found = all_ends([owns[o] for o in used], [(number[c[0]], *c[1:]) for c in part], margin, min_words)
+        out += zip(*(v.tolist() for v in found))
+    return out
+
+
 def single_runs(owns: list[np.ndarray], found: list[tuple], margin: int, min_words: int) -> np.ndarray:
-    """Which pairs are one single run that is too short by :func:`too_short`, a few thousand at a time."""
+    """Which pairs (document, number of its text, home, chains, blocks of the home) are one single run that is dropped."""
     out = np.zeros(len(found), bool)
     singles = [i for i, f in enumerate(found) if len(f[3]) == 1 and len(f[3][0][0]) == 1]
-    if not singles:
-        return out
-    begin = np.cumsum([0] + [len(o) for o in owns])
-    words = np.concatenate(owns)
-    for s in range(0, len(singles), max(1, (1 << 18) // margin)):
-        part = singles[s:s + max(1, (1 << 18) // margin)]
-        there = [home_words(found[i][4], found[i][3][0], margin) for i in part]
-        home_begin = np.cumsum([0] + [len(t) for t, _ in there])
-        x, y, n = (np.array([found[i][3][0][k][0] for i in part], np.int64) for k in range(3))
-        y -= np.array([f for _, f in there])
-        own = np.array([found[i][1] for i in part])
-        out[part] = too_short(words, begin[own] + x, x, begin[own + 1] - begin[own] - x, np.concatenate([t for t, _ in there]),
-                              home_begin[:-1] + y, y, np.diff(home_begin) - y, n, margin, min_words)
+    chains_ = [(found[i][1], *home_words(found[i][4], found[i][3][0], margin), *found[i][3][0]) for i in singles]
+    out[singles] = [drop for _, _, drop, _ in chain_ends(owns, chains_, margin, min_words)]
     return out
 
 
@@ -585,19 +641,19 @@ def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, s
                         blocks[columns["block"][at]] = columns["words"][at]
                         at += 1
                     x, y, n = (np.frombuffer(columns[c][pair], np.int32) for c in "xyn")
-                    edge = np.cumsum(np.frombuffer(columns["sizes"][pair], np.int32))[:-1]
-                    found.append((columns["doc_id"][s], len(owns) - 1, home, list(zip(np.split(x, edge), np.split(y, edge), np.split(n, edge))), blocks))
-            hopeless = single_runs(owns, found, margin, min_words)
+                    edge = [0, *np.cumsum(np.frombuffer(columns["sizes"][pair], np.int32)).tolist()]
+                    found.append((columns["doc_id"][s], len(owns) - 1, home, [(x[i:j], y[i:j], n[i:j]) for i, j in zip(edge, edge[1:])], blocks))
+            each = [(own, *home_words(blocks, chain, margin), *chain) for _, own, _, parts, blocks in found for chain in parts]
+            ends = iter(zip(each, chain_ends(owns, each, margin, min_words)))
             out = []
-            for (doc, own, home, parts, blocks), drop in zip(found, hopeless):
-                if drop:
-                    continue
+            for doc, own, home, parts, _ in found:
                 spans, left = [], []
                 for chain in parts:
-                    there, first = home_words(blocks, chain, margin)
-                    passages_, more = aligned(owns[own], there, first, *chain, margin, min_words)
-                    spans += passages_
-                    left += [chain] if more else []
+                    (_, there, first, *_), (before, after, drop, more) = next(ends)
+                    if more:
+                        left.append(chain)
+                    elif not drop:
+                        spans += aligned(owns[own], there, first, *chain, margin, min_words, (before, after))[0]
                 if spans or left:
                     rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [])
                     out.append((doc, home, *rest, [a for a, _ in spans], [b for _, b in spans]))
