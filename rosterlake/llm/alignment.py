@@ -107,12 +107,23 @@ class PieceTokens:
         return self.model.encode(texts, num_threads=1)
 
 
-def common_ends(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+def end_index(ends: np.ndarray, size: int) -> np.ndarray:
+    """The dictionary from cumulative byte end to index (from 1 on; the last of equal ends), as a table over all bytes; 0 is no end."""
+    index = np.zeros(size + 1, np.int64)
+    if (ends[1:] > ends[:-1]).all():
+        index[ends] = np.arange(1, len(ends) + 1)
+    else:
+        np.maximum.at(index, ends, np.arange(1, len(ends) + 1))
+    return index
+
+
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exclusive ends, as indexes of both id lists, of the groups that two lists of cumulative byte ends share."""
-    index_a = dict(zip(ends_a, range(1, len(ends_a) + 1)))
-    index_b = dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    shared = sorted(index_a.keys() & index_b.keys())
-    return list(map(index_a.__getitem__, shared)), list(map(index_b.__getitem__, shared))
+    ends = [np.asarray(e, np.int64) for e in (ends_a, ends_b)]
+    size = max((int(e[-1]) for e in ends if len(e)), default=0)
+    index_a, index_b = (end_index(e, size) for e in ends)
+    shared = np.flatnonzero((index_a > 0) & (index_b > 0))
+    return index_a[shared], index_b[shared]
 
 
 def slice_links(ends_a: np.ndarray, ends_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,9 +182,10 @@ class Aligner:
         sizes = [np.cumsum([0] + [len(found[i][side]) for i in filled]) for side in (0, 1)]
         cuts: tuple[list, list] = ([], [])
         for k in range(len(filled)):  # a dictionary per text stays small
-            one = common_ends(*(e[s[k]:s[k + 1]].tolist() for e, s in zip(ends, sizes)))
+            base = ends[0][sizes[0][k] - 1] if k else 0  # both sides give back the same bytes
+            one = common_ends(*(e[s[k]:s[k + 1]] - base for e, s in zip(ends, sizes)))
             for side in (0, 1):
-                cuts[side].append(np.array(one[side], np.int64) + sizes[side][k])
+                cuts[side].append(one[side] + sizes[side][k])
         groups = np.cumsum([0] + [len(c) for c in cuts[0]])
         cut_a, cut_b = np.concatenate(cuts[0]), np.concatenate(cuts[1])
         left, right = slice_links(*ends, cut_a, cut_b)

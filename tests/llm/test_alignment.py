@@ -90,3 +90,16 @@ def test_slices_of_random_ends():
         want = [(i, j) for i in range(len(ends[0])) for j in range(len(ends[1]))
                 if begin[0][i] < ends[1][j] and begin[1][j] < ends[0][i]]
         assert sorted(zip(left.tolist(), right.tolist())) == want
+
+
+def test_common_ends_are_looked_up_in_whole_arrays():
+    import numpy as np
+    rng = random.Random(11)
+    for _ in range(200):
+        total = rng.randint(1, 60)
+        ends = [np.array(sorted(rng.choices(range(1, total + 1), k=rng.randint(0, total))) + [total]) for _ in range(2)]
+        got = alignment.common_ends(*ends)
+        index = [dict(zip(e.tolist(), range(1, len(e) + 1))) for e in ends]
+        shared = sorted(index[0].keys() & index[1].keys())
+        assert all(isinstance(g, np.ndarray) for g in got)
+        assert [g.tolist() for g in got] == [[x[end] for end in shared] for x in index]
