@@ -69,3 +69,17 @@ def test_scores_join_in_place(spark):
                        F.col(f"{p}_competencias_comportamentais").alias("culture")) for k, p in zip(keys, ("job", "app"))]
     by_table = scoring.score_table(df, None, None, given[1].where("codigo_candidato IS NOT NULL"))
     assert {r.codigo_candidato: (r.score_skills, r.score_cultural) for r in by_table.collect()} == got
+
+
+def test_shuffle_files_go_with_their_step(spark, tmp_path, monkeypatch):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before, seen, stored = held(), [], scoring.store
+    monkeypatch.setattr(scoring, "store", lambda df, label="stored": (seen.append(len(held() - before)), stored(df, label))[1])
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false")
+    scoring.run(spark, curated_tables(spark, str(tmp_path / "curated")), str(tmp_path / "store"), str(tmp_path / "scored"), extraction.keyword_extract(TERMS, {}))
+    at_start, *later = seen
+    assert later and max(later) <= at_start and len(held() - before) <= at_start
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == setting
