@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import freed_shuffles
 from . import common
 
 K, WINDOW, MIN_WORDS = 4, 3, 50
@@ -210,7 +211,8 @@ def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
                     for earlier in homes[:i]:
                         mine &= home != earlier
                     if mine.any():
-                        out.append((docs[mine], docs[home[mine]], places[mine], places[home[mine]], np.full(int(mine.sum()), min_words if long else K, np.int32)))
+                        found = (docs[mine], docs[home[mine]], places[mine], places[home[mine]], np.full(int(mine.sum()), min_words if long else K, np.int32))
+                        out.append(neighbours(*found) if long else found)
             if out:
                 yield pd.DataFrame(dict(zip(("doc_id", "home", "pos", "home_pos", "n"), map(np.concatenate, zip(*out)))))
 
@@ -229,6 +231,15 @@ def shared_windows(anchors: np.ndarray, docs: np.ndarray, places: np.ndarray, co
     return value, np.repeat(docs[kept], n), common.spread(places[kept].astype(np.int64), n).astype(np.int32)
 
 
+def neighbours(docs: np.ndarray, homes: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Matches of neighbouring windows as one match each, by the rule that joins all matches of a pair later."""
+    order = np.lexsort((homes, docs))
+    docs, homes = docs[order], homes[order]
+    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (homes[1:] != homes[:-1])])
+    pair, *runs = all_runs(np.cumsum(new) - 1, x[order], y[order], n[order])
+    return docs[new][pair], homes[new][pair], *(v.astype(np.int32) for v in runs)
+
+
 def first_rows(values: np.ndarray) -> np.ndarray:
     """For every row of a sorted column the first row of the same value."""
     new = np.concatenate([[True], values[1:] != values[:-1]])
@@ -243,19 +254,24 @@ def first_of(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_rows(texts: DataFrame, name: str, block: int | None) -> DataFrame:
-    """16-bit word hashes of every document in blocks of ``block`` words, or as one row."""
+def word_rows(texts: DataFrame) -> DataFrame:
+    """16-bit word hashes of every document that has words."""
     def build(frames):
         for frame in frames:
-            rows = []
-            for doc, text in zip(frame["doc_id"], frame["text"]):
-                data = common.word_hashes(text).astype(np.uint16)
-                size = block or max(1, len(data))
-                rows += [(doc, n, data[n * size:(n + 1) * size].tobytes()) for n in range(-(-len(data) // size))]
+            rows = [(doc, common.word_hashes(text).astype(np.uint16).tobytes()) for doc, text in zip(frame["doc_id"], frame["text"])]
+            rows = [row for row in rows if row[1]]
             if rows:  # an empty binary column cannot be sent
-                yield pd.DataFrame(rows, columns=[name, "block", "words"])
+                yield pd.DataFrame(rows, columns=["doc_id", "words"])
+
+    return texts.mapInPandas(build, "doc_id long, words binary")
+
 
-    return texts.mapInPandas(build, f"{name} long, block int, words binary")
+def block_rows(words: DataFrame) -> DataFrame:
+    """The rows of :func:`word_rows` in blocks of ``BLOCK`` words, of homes."""
+    size = 2 * BLOCK
+    last = F.floor((F.length("words") - 1) / size).cast("int")
+    rows = words.select(F.col("doc_id").alias("home"), "words", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    return rows.select("home", "block", F.substring("words", F.col("block") * size + 1, F.lit(size)).alias("words"))
 
 
 # ------------------------------------------------------------------------------------ chains
@@ -608,16 +624,14 @@ def single_runs(owns: list[np.ndarray], found: list[tuple], margin: int, min_wor
     return out
 
 
-def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, some: bool) -> DataFrame:
+def span_rows(words: DataFrame, pairs: DataFrame, margin: int, min_words: int, some: bool) -> DataFrame:
     """Words of documents and of their homes meet per document. A row per pair: its passages, and its chains that need
     more words as a pair of the next round. ``some``: only few documents are left."""
     sent = (pairs.select("doc_id", "home", F.explode("blocks").alias("block")).where("block >= 0")
-            .join(word_rows(texts, "home", BLOCK), ["home", "block"]))
+            .join(block_rows(words), ["home", "block"]))
     none = [F.lit(None).cast("binary").alias(c) for c in ("sizes", "x", "y", "n")]
-    own = word_rows(texts, "doc_id", None)
-    if some:
-        own = common.wanted_rows(own, "doc_id", pairs.select("doc_id"))
-    rows = own.select("doc_id", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("home"), "block", "words", *none)
+    own = common.wanted_rows(words, "doc_id", pairs.select("doc_id")) if some else words
+    rows = own.select("doc_id", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("home"), F.lit(0).alias("block"), "words", *none)
     rows = rows.unionByName(pairs.select("doc_id", F.lit(1).alias("kind"), "home", F.lit(-1).alias("block"),
                                          F.lit(None).cast("binary").alias("words"), "sizes", "x", "y", "n"))
     rows = rows.unionByName(sent.select("doc_id", F.lit(1).alias("kind"), "home", "block", "words", *none))
@@ -666,12 +680,14 @@ def span_rows(texts: DataFrame, pairs: DataFrame, margin: int, min_words: int, s
 
 def passages(texts: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``starts``, ``ends``, ``homes`` of the documents that repeat an earlier one."""
-    pairs = common.store(chain_rows(match_rows(seed_rows(texts, min_words), min_words)), "pairs")
-    margin, rounds = MARGIN, []
-    while not rounds or not pairs.isEmpty():
-        rounds.append(common.store(span_rows(texts, pairs, margin, min_words, bool(rounds)), "spans"))
-        pairs = rounds[-1].where("size(blocks) > 0").select(*pairs.columns)
-        margin *= WIDER
+    with freed_shuffles(texts.sparkSession):
+        pairs = common.store(chain_rows(match_rows(seed_rows(texts, min_words), min_words)), "pairs")
+        words = common.store(word_rows(texts), "words")
+        margin, rounds = MARGIN, []
+        while not rounds or not pairs.isEmpty():
+            rounds.append(common.store(span_rows(words, pairs, margin, min_words, bool(rounds)), "spans"))
+            pairs = rounds[-1].where("size(blocks) > 0").select(*pairs.columns)
+            margin *= WIDER
     found = rounds[0]
     for more in rounds[1:]:
         found = found.unionByName(more)

@@ -80,3 +80,20 @@ def test_ends_of_all_chains_at_once():
             assert want == (substrings.aligned(owns[own], there, first, *runs, margin, 50, (before, after)) if not (drop or more) else ([], more))
             kinds.add((drop, more))
     assert len(kinds) == 3
+
+
+def test_neighbouring_long_windows_are_one_match(frame):
+    text = " ".join(f"w{i}" for i in range(400))
+    texts = frame([(1, text), (2, "x " + text)]).select("doc_id", "text")
+    got = [r for r in substrings.match_rows(substrings.seed_rows(texts, 50), 50).collect() if r.n >= 50]
+    assert len(got) < 351 / 4 and {(r.doc_id, r.home, r.pos - r.home_pos) for r in got} == {(2, 1, 1)}
+    assert {p for r in got for p in range(r.home_pos, r.home_pos + r.n)} == set(range(400))
+
+
+def test_words_are_stored_once_and_cut_into_blocks(frame):
+    words = substrings.word_rows(frame([(1, " ".join(f"w{i}" for i in range(150))), (2, ""), (3, None), (4, " ".join("abcd" * 16))]).select("doc_id", "text"))
+    whole = {r.doc_id: bytes(r.words) for r in words.collect()}
+    blocks = {(r.home, r.block): bytes(r.words) for r in substrings.block_rows(words).collect()}
+    size = 2 * substrings.BLOCK
+    assert {k: len(v) for k, v in whole.items()} == {1: 300, 4: 128}
+    assert blocks == {(d, i): w[i * size:(i + 1) * size] for d, w in whole.items() for i in range(-(-len(w) // size))}
