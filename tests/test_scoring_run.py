@@ -10,6 +10,7 @@ from rosterlake.operators import extraction
 from rosterlake.operators.embedding import lookup_encoder
 from rosterlake.plans import curate, scoring
 from rosterlake.sources import schemas
+from rosterlake.sources.tables import path_exists
 
 
 def curated_tables(spark, folder):
@@ -83,3 +84,26 @@ def test_shuffle_files_go_with_their_step(spark, tmp_path, monkeypatch):
     scoring.run(spark, curated, str(tmp_path / "store"), str(tmp_path / "scored"), extraction.keyword_extract(TERMS, {}))
     assert len(seen) == 3 and [*seen, len(held() - before)] == [0, 0, 0, 0]
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == setting
+
+
+def test_wide_rows_are_joined_in_parts(spark, tmp_path, monkeypatch):
+    """One part of the jobs after the other is shuffled, contact columns as marks, and the wide rows go when they are projected."""
+    parts, joins, paths = [], [], []
+    table, build, path = scoring.feature_table, scoring.features.build_features, scoring.scratch_path
+
+    def part(prospects, applicants, jobs, today):
+        parts.append({r.codigo_vaga for r in jobs.collect()})
+        return table(prospects, applicants, jobs, today)
+
+    def joined(df, *options):
+        joins.append({r[0] for c in ("app_ib_telefone", "app_ib_email", "app_ip_url_linkedin") if c in df.columns for r in df.select(c).collect()})
+        return build(df, *options)
+
+    monkeypatch.setattr(scoring, "feature_table", part)
+    monkeypatch.setattr(scoring.features, "build_features", joined)
+    monkeypatch.setattr(scoring, "scratch_path", lambda *given: (paths.append(path(*given)), paths[-1])[1])
+    out = scoring.run(spark, curated_tables(spark, str(tmp_path / "curated")), str(tmp_path / "store"), str(tmp_path / "scored"), extraction.keyword_extract(TERMS, {}))
+    assert out.count() == 4 and out.select("codigo_vaga").distinct().count() == 2
+    assert len(parts) == scoring.PARTS > 1 and sorted(i for p in parts for i in p) == ["10", "11"]
+    assert set().union(*joins) <= {None, "x"}
+    assert len(paths) == 1 and not path_exists(spark, paths[0])
