@@ -4,7 +4,8 @@
    ``K + WINDOW - 1`` equal words shares a seed. Each carries two bits of the ``NEAR`` words on either side.
    The n-th occurrence of a seed in a text is also a seed of its own, so texts that repeat themselves match
    along the diagonal.
-   Seeds travel sorted and packed, in chunks of a few million; a seed of one document only goes no further.
+   Seeds travel sorted and packed, in chunks of a few million; a seed of one document only goes no further. Matches
+   travel packed as well, by pairs of a document and a home.
 2. Every seed has one home, its occurrence in the smallest document id, and one more among the occurrences with the same
    ``NEAR`` words before it and one among those with the same words after it; other documents match their
    occurrences with these homes only. A seed in n documents thus gives 3 n matches at most, not n squared pairs.
@@ -18,8 +19,8 @@
 3. Per document and home document, neighbouring matches on one diagonal are joined to runs and chained: score =
    words of runs minus ``GAP_COST`` per word of distance on both sides; the best predecessor is a prefix maximum
    in a Fenwick tree. Chains are taken from the best end on, until no run is left.
-4. The words around the home passage (16-bit hashes, in blocks of 64 words) travel to the document, where the
-   chain is aligned: runs word by word, gaps by their longest common subsequence, both ends grow while the
+4. The words around the home passage (16-bit hashes, in stretches of whole blocks of 64 words) travel to the document, where
+   the ends of all chains of a batch are grown at once and the chains that remain are aligned: runs word by word, gaps by their longest common subsequence, both ends grow while the
    score (+1 equal, -4 different word) rises. Ends that still grow at the last word sent come again with
    ``WIDER`` times as many words. The best parts of at least 80 % equal words remain.
 5. Aligned parts of a document are merged; merged passages of ``min_words`` words or more are repeats.
@@ -45,6 +46,8 @@ K, WINDOW, MIN_WORDS = 4, 3, 50
 NEAR, ENOUGH = 8, 5
 #: Seeds are dealt by 12 bits of their hash and told apart by 32 more; a chunk holds so many.
 BUCKETS, CHUNK = 4096, 1 << 21
+#: Words of texts whose seeds are taken at once; parts in which matches travel, dealt by document and home.
+TOGETHER, MATCH_PARTS = 1 << 17, 1024
 BLOCK, MARGIN, WIDER = 64, 64, 16
 #: Words of an anchor of a ``min_words``-word window, at most.
 ANCHOR = 32
@@ -54,6 +57,8 @@ GAP_COST = 0.1
 #: Score of a different word if an equal one counts 1: a part scores above 0 if over 80 % of its words are equal.
 DIFFERENT = 4
 WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+#: Packed columns are a few hundred numbers each: a codec without tables takes 2 % more room and half the time.
+CODEC = "lz4_raw"
 
 
 # ------------------------------------------------------------------------------------- seeds
@@ -78,13 +83,13 @@ def sliding_minimum(values: np.ndarray, window: int) -> np.ndarray:
 
 
 def anchored(words: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
-    """Runs of neighbouring ``min_words``-word windows with one anchor: (anchor, place of the first, windows), and 32 bits of
-    the hash of every window. Smallest hashes gather at the low end, so they are spread again."""
+    """Runs of neighbouring ``min_words``-word windows with one anchor: (anchor, place of the first, windows), and 24 bits of
+    the hash of every window, which are told apart behind 44 of their anchor. Smallest hashes gather at the low end, so they are spread again."""
     size = min(ANCHOR, min_words)
     anchors = sliding_minimum(common.windows(words, size), min_words - size + 1)
     first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
     counts = np.diff(first, append=len(anchors))
-    return common.mix(anchors[first]), first.astype(np.int32), counts.astype(np.uint32), (common.windows(words, min_words) >> np.uint64(32)).astype(np.uint32)
+    return common.mix(anchors[first]), first.astype(np.int32), counts.astype(np.uint32), (common.windows(words, min_words) >> np.uint64(40)).astype(np.uint32)
 
 
 def repeat_numbers(values: np.ndarray) -> np.ndarray:
@@ -98,7 +103,7 @@ def repeat_numbers(values: np.ndarray) -> np.ndarray:
 
 
 def contexts(words: np.ndarray) -> np.ndarray:
-    """For every ``K``-word window two bits of each of the ``NEAR`` words before it (low half) and after it."""
+    """For every ``K``-word window of a text two bits of each of the ``NEAR`` words before it (low half) and after it."""
     bits = np.zeros(len(words) + 2 * NEAR, np.uint32)
     bits[NEAR:NEAR + len(words)] = (words >> np.uint64(17)) & np.uint64(3)
     count = len(words) - K + 1
@@ -118,13 +123,13 @@ def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def packed(values: np.ndarray) -> bytes:
     """Numbers as compressed byte planes: all lowest bytes, then all second ones and so on."""
-    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), codec="zstd", asbytes=True)
+    return pa.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes(), codec=CODEC, asbytes=True)
 
 
 def unpacked(data: bytes, size: int, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=size * width, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, size).T).view(kind)[:, 0]
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=size * width, codec=CODEC), np.uint8)
+    return planes.reshape(width, size).T.copy().view(kind)[:, 0]
 
 
 def chunk_rows(parts: list[tuple], whole: list[np.ndarray] | None = None) -> pd.DataFrame:
@@ -146,31 +151,89 @@ def chunk_rows(parts: list[tuple], whole: list[np.ndarray] | None = None) -> pd.
     return pd.DataFrame(rows, columns=["bucket", "size", "seed", "doc_id", "pos", "near", "whole"])
 
 
+def seeds_of(docs: np.ndarray, texts: list[np.ndarray], min_words: int) -> tuple[list[tuple], list[tuple], list[np.ndarray]]:
+    """Seeds of some texts (words of each) at once: (hash, document, place, context) of the ``K``-word windows, the runs of
+    long windows as :func:`anchored` gives them with their documents, and the hashes of these windows."""
+    sizes = np.array([len(t) for t in texts])
+    docs, words, sizes = docs[sizes >= K], np.concatenate([t for t in texts if len(t) >= K] or [np.empty(0, np.uint64)]), sizes[sizes >= K]
+    parts, runs, whole = [], [], []
+    if not len(sizes):
+        return parts, runs, whole
+    begin = np.cumsum(sizes) - sizes
+    text, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(words)) - np.repeat(begin, sizes)
+    inside = place <= sizes[text] - K
+    grams, of = common.windows(words, K)[inside[:len(words) - K + 1]], text[inside]
+    at = all_minimizers(grams, of, WINDOW)
+    values, of, place_ = grams[at], of[at], place[inside][at]
+    order = np.lexsort((values, of))  # stable: equal windows of a text by place
+    new = np.concatenate([[True], (values[order][1:] != values[order][:-1]) | (of[order][1:] != of[order][:-1])])
+    row = np.arange(len(values))
+    nth = np.empty(len(values), np.int64)
+    nth[order] = row - np.maximum.accumulate(np.where(new, row, 0))
+    bits = np.zeros(len(words) + NEAR * (len(sizes) + 1), np.uint32)
+    bits[np.arange(len(words)) + NEAR * (text + 1)] = (words >> np.uint64(17)) & np.uint64(3)
+    near, step = bits, 1
+    while step < NEAR:  # two bits of each of ``NEAR`` words from here on
+        near, step = near[:-step] | near[step:] << np.uint32(2 * step), 2 * step
+    spot = begin[of] + place_ + NEAR * (of + 1)
+    near = near[spot - NEAR] | near[spot + K] << np.uint32(2 * NEAR)
+    again = nth > 0
+    values = np.concatenate([values, common.mix(values[again] + nth[again].astype(np.uint64) * common.GOLDEN)])
+    parts.append((values, *(np.concatenate([v, v[again]]) for v in (docs[of], place_.astype(np.int32), near))))
+    inside = place <= sizes[text] - min_words
+    if inside.any():
+        size = min(ANCHOR, min_words)
+        long, of, place = inside[:len(words) - min_words + 1], text[inside], place[inside]
+        anchors = sliding_minimum(common.windows(words, size), min_words - size + 1)[long]
+        first = np.flatnonzero(np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (of[1:] != of[:-1])]))
+        counts = np.diff(first, append=len(anchors)).astype(np.uint32)
+        runs.append((common.mix(anchors[first]), docs[of[first]], place[first].astype(np.int32), counts))
+        whole.append((common.windows(words, min_words)[long] >> np.uint64(40)).astype(np.uint32))
+    return parts, runs, whole
+
+
+def all_minimizers(hashes: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
+    """:func:`minimizers` of the hashes of every text, which lie one after the other."""
+    chosen = np.zeros(len(hashes), bool)
+    if len(hashes) >= window:
+        count = len(hashes) - window + 1
+        best, at = hashes[:count], np.zeros(count, np.int64)
+        for i in range(1, window):
+            lower = hashes[i:i + count] <= best
+            best, at = np.where(lower, hashes[i:i + count], best), np.where(lower, i, at)
+        chosen[(np.arange(count) + at)[text[:count] == text[window - 1:]]] = True
+    start = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]])) if len(text) else np.empty(0, np.int64)
+    end = np.append(start[1:], len(text))
+    for s, e in zip(start[end - start < window].tolist(), end[end - start < window].tolist()):
+        chosen[s + minimizers(hashes[s:e], window)] = True
+    return np.flatnonzero(chosen)
+
+
 def seed_rows(texts: DataFrame, min_words: int) -> DataFrame:
     """Packed seeds of all documents; buckets from ``BUCKETS`` on hold the windows of ``min_words`` words."""
     def build(frames):
         parts, runs, whole, held = [], [], [], 0
+        for docs, words in word_batches(frames):
+            more, long, hashes = seeds_of(docs, words, min_words)
+            parts, runs, whole = parts + more, runs + long, whole + hashes
+            held += sum(len(p[0]) for p in more) + sum(len(r[0]) + len(h) // 4 for r, h in zip(long, hashes))
+            if held >= CHUNK:
+                yield from chunks(parts, runs, whole)
+                parts, runs, whole, held = [], [], [], 0
+        yield from chunks(parts, runs, whole)
+
+    def word_batches(frames):
+        docs, words, held = [], [], 0
         for frame in frames:
             for doc, text in zip(frame["doc_id"], frame["text"]):
-                words = common.word_hashes(text)
-                if len(words) >= K:
-                    grams, near = common.windows(words, K), contexts(words)
-                    at = minimizers(grams, WINDOW)
-                    values, nth = grams[at], repeat_numbers(grams[at])
-                    again = nth > 0
-                    values = np.concatenate([values, common.mix(values[again] + nth[again].astype(np.uint64) * common.GOLDEN)])
-                    at = np.concatenate([at, at[again]])
-                    parts.append((values, np.full(len(at), doc, np.int64), at.astype(np.int32), near[at]))
-                    held += len(at)
-                if len(words) >= min_words:
-                    anchors, at, counts, hashes = anchored(words, min_words)
-                    runs.append((anchors, np.full(len(at), doc, np.int64), at, counts))
-                    whole.append(hashes)
-                    held += len(at) + len(hashes) // 4
-                if held >= CHUNK:
-                    yield from chunks(parts, runs, whole)
-                    parts, runs, whole, held = [], [], [], 0
-        yield from chunks(parts, runs, whole)
+                docs.append(doc)
+                words.append(common.word_hashes(text))
+                held += len(words[-1])
+                if held >= TOGETHER:
+                    yield np.array(docs, np.int64), words
+                    docs, words, held = [], [], 0
+        if docs:
+            yield np.array(docs, np.int64), words
 
     def chunks(parts, runs, whole):
         if parts:
@@ -181,8 +244,45 @@ def seed_rows(texts: DataFrame, min_words: int) -> DataFrame:
     return texts.mapInPandas(build, "bucket int, size int, seed binary, doc_id binary, pos binary, near binary, whole binary")
 
 
+MATCH = (("doc_id", np.int64), ("home", np.int64), ("pos", np.int32), ("home_pos", np.int32), ("n", np.int32))
+
+
+def match_chunks(seeds: DataFrame, min_words: int) -> DataFrame:
+    """The matches of :func:`match_rows`, packed: a row per ``part`` of the pairs of a document and a home, a few million matches at a time."""
+    find = match_frames(min_words)
+
+    def build(frames):
+        held, size = [], 0
+        for frame in find(frames):
+            held.append([frame[c].to_numpy() for c, _ in MATCH])
+            size += len(frame)
+            if size >= CHUNK:
+                yield chunk(held)
+                held, size = [], 0
+        if held:
+            yield chunk(held)
+
+    def chunk(held):
+        columns = [np.concatenate(c).astype(kind) for c, (_, kind) in zip(zip(*held), MATCH)]
+        part = common.mix(common.mix(columns[0].view(np.uint64)) + columns[1].view(np.uint64)) % np.uint64(MATCH_PARTS)
+        order = np.lexsort((columns[2], columns[1], columns[0], part))
+        edge = np.searchsorted(part[order], np.arange(MATCH_PARTS + 1, dtype=np.uint64))
+        columns = [c[order] for c in columns]
+        rows = [(i, int(e - s), *(packed(c[s:e]) for c in columns)) for i, (s, e) in enumerate(zip(edge[:-1], edge[1:])) if e > s]
+        return pd.DataFrame(rows, columns=["part", "size", *(c for c, _ in MATCH)])
+
+    return (seeds.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInPandas(build, "part int, size int, doc_id binary, home binary, pos binary, home_pos binary, n binary"))
+
+
 def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
     """Occurrences of seeds in documents after a home: ``doc_id``, ``home``, ``pos``, ``home_pos``, ``n`` equal words."""
+    return (seeds.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInPandas(match_frames(min_words), "doc_id long, home long, pos int, home_pos int, n int"))
+
+
+def match_frames(min_words: int):
+    """The matches in batches of seeds that are sorted by bucket, as frames."""
     def build(frames):
         for frame in common.whole_groups(frames, ["bucket"]):
             cut = common.bounds(frame, ["bucket"])
@@ -216,8 +316,7 @@ def match_rows(seeds: DataFrame, min_words: int) -> DataFrame:
             if out:
                 yield pd.DataFrame(dict(zip(("doc_id", "home", "pos", "home_pos", "n"), map(np.concatenate, zip(*out)))))
 
-    return (seeds.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInPandas(build, "doc_id long, home long, pos int, home_pos int, n int"))
+    return build
 
 
 def shared_windows(anchors: np.ndarray, docs: np.ndarray, places: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -266,6 +365,11 @@ def word_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(build, "doc_id long, words binary")
 
 
+def word_counts(texts: pd.Series) -> pd.Series:
+    """The number of words of every text."""
+    return pd.Series([sum(map(len, common.word_slices((t or "").encode("utf-8", "replace")))) for t in texts], dtype="int64")
+
+
 def block_rows(words: DataFrame) -> DataFrame:
     """The rows of :func:`word_rows` in blocks of ``BLOCK`` words, of homes."""
     size = 2 * BLOCK
@@ -369,13 +473,20 @@ def chains(runs: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]
     return out
 
 
-PAIR = "doc_id long, home long, sizes binary, x binary, y binary, n binary, blocks array<int>"
+PAIR = "doc_id long, home long, sizes binary, x binary, y binary, n binary, firsts array<int>, lasts array<int>"
 
 
 def pair_row(doc: int, home: int, found: list[tuple], margin: int) -> tuple:
-    """Chains (x, y, n) of a document and a home in one row, with the blocks of the home that hold their words and ``margin`` more."""
-    blocks = sorted({b for _, y, n in found for b in range(max(0, int(y[0]) - margin) // BLOCK, int(y[-1] + n[-1] + margin) // BLOCK + 1)})
-    return (doc, home, np.array([len(x) for x, _, _ in found], np.int32).tobytes(), *(np.concatenate(c).tobytes() for c in zip(*found)), blocks)
+    """Chains (x, y, n) of a document and a home in one row, with the stretches of blocks of the home that hold their words
+    and ``margin`` more: first blocks and the blocks behind the last."""
+    stretches: list[list[int]] = []
+    for low, high in sorted((max(0, int(y[0]) - margin) // BLOCK, int(y[-1] + n[-1] + margin) // BLOCK + 1) for _, y, n in found):
+        if stretches and low <= stretches[-1][1]:
+            stretches[-1][1] = max(high, stretches[-1][1])
+        else:
+            stretches.append([low, high])
+    return (doc, home, np.array([len(x) for x, _, _ in found], np.int32).tobytes(), *(np.concatenate(c).tobytes() for c in zip(*found)),
+            *map(list, zip(*stretches)))
 
 
 def all_runs(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -391,29 +502,31 @@ def all_runs(pair: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> t
 
 
 def chain_rows(matches: DataFrame) -> DataFrame:
-    """The chains of every pair of a document and a home; a pair of one run is its own chain."""
-    keys = ["doc_id", "home"]
+    """The chains of every pair of a document and a home, from :func:`match_chunks`; a pair of one run is its own chain."""
     one = np.ones(1, np.int32).tobytes()
 
     def build(frames):
-        for frame in common.whole_groups(gathered(frames), keys):
-            cut = common.bounds(frame, keys)
-            docs, homes = (frame[c].to_numpy()[cut[:-1]] for c in keys)
-            pair = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-            pair, x, y, n = all_runs(pair, *(frame[c].to_numpy() for c in ("pos", "home_pos", "n")))
+        for frame in common.whole_groups(frames, ["part"]):
+            sizes = frame["size"].to_list()
+            docs, homes, x, y, n = (np.concatenate([unpacked(d, size, kind) for d, size in zip(frame[c], sizes)]) for c, kind in MATCH)
+            order = np.lexsort((homes, docs))
+            docs, homes = docs[order], homes[order]
+            new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (homes[1:] != homes[:-1])])
+            pair, x, y, n = all_runs(np.cumsum(new) - 1, x[order], y[order], n[order])
+            docs, homes = docs[new], homes[new]
             edge = np.searchsorted(pair, np.arange(len(docs) + 1))
             single = np.diff(edge) == 1
             at = edge[:-1][single]
             low, high = np.maximum(y[at] - MARGIN, 0) // BLOCK, (y[at] + n[at] + MARGIN) // BLOCK + 1
             packed_ = [v[at].astype("<i4").tobytes() for v in (x, y, n)]
-            rows = [(d, h, one, *(v[4 * i:4 * i + 4] for v in packed_), list(range(s, e)))
+            rows = [(d, h, one, *(v[4 * i:4 * i + 4] for v in packed_), [s], [e])
                     for i, (d, h, s, e) in enumerate(zip(docs[single], homes[single], low.tolist(), high.tolist()))]
             for k in np.flatnonzero(~single):
                 runs = list(zip(*(v[edge[k]:edge[k + 1]].tolist() for v in (x, y, n))))
                 rows.append(pair_row(docs[k], homes[k], [tuple(np.array(v, np.int32) for v in zip(*chain)) for chain in chains(thinned(runs))], MARGIN))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PAIR.split(", ")])
 
-    return matches.repartition("doc_id", "home").sortWithinPartitions("doc_id", "home").mapInPandas(build, PAIR)
+    return matches.repartition("part").sortWithinPartitions("part").mapInPandas(build, PAIR)
 
 
 def gathered(frames, rows: int = 1 << 15):
@@ -493,12 +606,13 @@ def all_ends(owns: list[np.ndarray], chains_: list[tuple], margin: int, min_word
     return before, after, (end - x + lead + tail < SHORT) & (end - x + before + after < min_words) & ~more, more
 
 
-def dense_parts(score: np.ndarray) -> list[tuple[int, int]]:
-    """Disjoint stretches of positive score, each as large as possible: the best one, then those beside it."""
+def dense_parts(starts: np.ndarray, ends: np.ndarray, score: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Disjoint stretches of positive score, each as large as possible: the best one, then those beside it, as far as they
+    can hold ``least`` words."""
     out, todo = [], [(0, len(score))]
     while todo:
         s, e = todo.pop()
-        if s >= e:
+        if s >= e or ends[e - 1] - starts[s] < least:
             continue
         total = np.concatenate([[0], np.cumsum(score[s:e])])
         low = np.minimum.accumulate(total[:-1])
@@ -517,15 +631,15 @@ def even_parts(first: np.ndarray, last: np.ndarray, score: np.ndarray, min_words
     total = np.concatenate([[0], np.cumsum(score)])
     low = np.minimum.accumulate(total[:-1])
     out: list[list[int]] = []
-    for e in np.flatnonzero(score > 0):
-        s = int(np.searchsorted(-low, -total[e + 1], side="left"))  # the first place not above
-        while s < e and score[s] <= 0:
-            s += 1
-        if s <= e and last[e] - first[s] >= min_words and total[e + 1] >= total[s]:
-            if out and first[s] <= out[-1][1]:
-                out[-1] = [min(out[-1][0], int(first[s])), int(last[e])]
-            else:
-                out.append([int(first[s]), int(last[e])])
+    equal = np.flatnonzero(score > 0)
+    s = np.searchsorted(-low, -total[equal + 1], side="left")  # the first place not above
+    s = equal[np.minimum(np.searchsorted(equal, s), np.arange(len(equal)))]
+    holds = (last[equal] - first[s] >= min_words) & (total[equal + 1] >= total[s])
+    for a, b in zip(first[s[holds]].tolist(), last[equal[holds]].tolist()):
+        if out and a <= out[-1][1]:
+            out[-1] = [min(out[-1][0], a), b]
+        else:
+            out.append([a, b])
     return [(s, e) for s, e in out]
 
 
@@ -551,8 +665,20 @@ def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: i
         short = end - x[0] + lead + tail < SHORT and end - x[0] + before + after < min_words
         if short or more or further:
             return [], more or further
-    single(x[0] - before, y[0] - before, before)
-    for i in range(len(x)):
+    start, shift = x[0] - before, x[0] - y[0]
+    even = bool((x - y == shift).all())  # one diagonal, and its gaps are compared word by word
+    if even:
+        same = words[start:end + after] == home[start - shift:end + after - shift]
+        if same.all():
+            return ([(int(start), int(end + after))] if end + after - start >= SHORT else []), False
+        total = np.concatenate([[0], np.cumsum(same)])
+        low, high = x[:-1] + n[:-1] - start, x[1:] - start
+        even = bool((5 * (total[high] - total[low]) >= 3 * (high - low)).all())
+    if even:
+        single(start, start - shift, end + after - start)
+    else:
+        single(start, y[0] - before, before)
+    for i in range(0 if even else len(x)):
         single(x[i], y[i], n[i])
         if i + 1 < len(x):
             a, b = words[x[i] + n[i]:x[i + 1]], home[y[i] + n[i]:y[i + 1]]
@@ -563,9 +689,10 @@ def aligned(words: np.ndarray, home: np.ndarray, offset: int, x, y, n, margin: i
             starts.append(np.array([x[i] + n[i]]))
             ends.append(np.array([x[i + 1]]))
             scores.append(np.array([same - DIFFERENT * (max(len(a), len(b)) - same)]))
-    single(end, home_end, after)
+    if not even:
+        single(end, home_end, after)
     first, last, score = np.concatenate(starts), np.concatenate(ends), np.concatenate(scores)
-    parts = [(int(first[s]), int(last[e - 1])) for s, e in dense_parts(score)]
+    parts = [(int(first[s]), int(last[e - 1])) for s, e in dense_parts(first, last, score, min(SHORT, min_words))]
     if last[-1] - first[0] >= min_words and max((e - s for s, e in parts), default=0) < min_words:
         parts += even_parts(first, last, score, min_words)
     return [(s, e) for s, e in parts if e - s >= SHORT], False
@@ -624,69 +751,106 @@ def single_runs(owns: list[np.ndarray], found: list[tuple], margin: int, min_wor
     return out
 
 
+def placed_ends(own: np.ndarray, home: np.ndarray, chains_: tuple[np.ndarray, ...], margin: int, min_words: int) -> tuple[np.ndarray, ...]:
+    """:func:`all_ends` for chains that are given by places in all words of the documents (``own``) and of the homes
+    (``home``), a few thousand at a time: where a chain starts and ends in both, and the bounds of its text and its home."""
+    size, out, step = max(1, (1 << 18) // margin), [], np.arange(margin)
+
+    def grown_(a: np.ndarray, b: np.ndarray, room: np.ndarray, side: int) -> tuple[np.ndarray, ...]:
+        a, b = (np.clip(v[:, None] + side * step, 0, len(w) - 1) for v, w in ((a, own), (b, home)))
+        return all_grown(own[a] == home[b], np.clip(room, 0, margin))
+
+    for s in range(0, len(chains_[0]), size):
+        x, y, end, home_end, low, high, home_low, home_high = (v[s:s + size] for v in chains_)
+        lead, before, more = grown_(x - 1, y - 1, np.minimum(x - low, y - home_low), -1)
+        tail, after, further = grown_(end, home_end, np.minimum(high - end, home_high - home_end), 1)
+        more |= further
+        out.append((before, after, (end - x + lead + tail < SHORT) & (end - x + before + after < min_words) & ~more, more))
+    return tuple(map(np.concatenate, zip(*out)))
+
+
 def span_rows(words: DataFrame, pairs: DataFrame, margin: int, min_words: int, some: bool) -> DataFrame:
-    """Words of documents and of their homes meet per document. A row per pair: its passages, and its chains that need
-    more words as a pair of the next round. ``some``: only few documents are left."""
-    sent = (pairs.select("doc_id", "home", F.explode("blocks").alias("block")).where("block >= 0")
-            .join(block_rows(words), ["home", "block"]))
-    none = [F.lit(None).cast("binary").alias(c) for c in ("sizes", "x", "y", "n")]
+    """Words of documents and of their homes meet per document, those of a home cut to the stretches that the pair needs. A
+    row per pair: its passages, and its chains that need more words as a pair of the next round. ``some``: only few
+    documents are left."""
+    chain = [F.when(F.col("part") == 0, F.col(c)).alias(c) for c in ("sizes", "x", "y", "n")]
+    asked = pairs.select("doc_id", "home", "sizes", "x", "y", "n", F.posexplode(F.arrays_zip("firsts", "lasts")).alias("part", "to"))
+    asked = asked.select("doc_id", "home", "part", F.col("to.firsts").alias("first"), F.col("to.lasts").alias("last"), *chain)
+    texts = common.wanted_rows(words, "doc_id", pairs.select("home")) if some else words
+    width = 2 * BLOCK
+    # both sides grow with the documents, so neither is broadcast
+    sent = asked.join(texts.select(F.col("doc_id").alias("home"), "words").hint("merge"), "home").select(
+        "doc_id", F.lit(1).alias("kind"), "home", "part", "first",
+        F.substring("words", F.col("first") * width + 1, (F.col("last") - F.col("first")) * width).alias("words"), "sizes", "x", "y", "n")
     own = common.wanted_rows(words, "doc_id", pairs.select("doc_id")) if some else words
-    rows = own.select("doc_id", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("home"), F.lit(0).alias("block"), "words", *none)
-    rows = rows.unionByName(pairs.select("doc_id", F.lit(1).alias("kind"), "home", F.lit(-1).alias("block"),
-                                         F.lit(None).cast("binary").alias("words"), "sizes", "x", "y", "n"))
-    rows = rows.unionByName(sent.select("doc_id", F.lit(1).alias("kind"), "home", "block", "words", *none))
+    rows = own.select("doc_id", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("home"), F.lit(0).alias("part"), F.lit(0).alias("first"), "words",
+                      *[F.lit(None).cast("binary").alias(c) for c in ("sizes", "x", "y", "n")])
+    keys = ["doc_id", "kind", "home", "part"]
+
+    def places(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(parts), np.uint16), np.cumsum([0, *(len(p) // 2 for p in parts)])
 
     def build(frames):
         for frame in common.whole_groups(gathered(frames, 4096), ["doc_id"]):
-            cut = common.bounds(frame, ["doc_id"])
-            columns = {c: frame[c].to_list() for c in frame.columns}
-            found, owns = [], []  # (document, its words, home, chains, words of the home, their place)
-            for s, e in zip(cut[:-1], cut[1:]):
-                at = s + sum(k == 0 for k in columns["kind"][s:e])
-                own = set(columns["words"][s:at])
-                if len(own) != 1:
-                    continue
-                owns.append(np.frombuffer(next(iter(own)), np.uint16))
-                while at < e:
-                    pair, home = at, columns["home"][at]
-                    at += 1
-                    blocks = {}
-                    while at < e and columns["home"][at] == home:
-                        blocks[columns["block"][at]] = columns["words"][at]
-                        at += 1
-                    x, y, n = (np.frombuffer(columns[c][pair], np.int32) for c in "xyn")
-                    edge = [0, *np.cumsum(np.frombuffer(columns["sizes"][pair], np.int32)).tolist()]
-                    found.append((columns["doc_id"][s], len(owns) - 1, home, [(x[i:j], y[i:j], n[i:j]) for i, j in zip(edge, edge[1:])], blocks))
-            each = [(own, *home_words(blocks, chain, margin), *chain) for _, own, _, parts, blocks in found for chain in parts]
-            ends = iter(zip(each, chain_ends(owns, each, margin, min_words)))
+            values = frame[keys].to_numpy()
+            mine, texts_of = values[:, 1] == 0, {}
+            for doc, text in zip(values[mine, 0].tolist(), frame["words"][mine]):
+                texts_of.setdefault(doc, set()).add(text)
+            texts_of = {doc: next(iter(t)) for doc, t in texts_of.items() if len(t) == 1}
+            number = {doc: i for i, doc in enumerate(texts_of)}
+            # the texts of a home whose rows share its id: one of them
+            kept = ~mine & np.append((values[1:] != values[:-1]).any(axis=1), True) & np.isin(values[:, 0], np.array(list(number), np.int64))
+            if not kept.any():
+                continue
+            columns = {c: frame[c][kept].to_list() for c in ("words", "sizes", "x", "y", "n")}
+            docs, _, homes, part = values[kept].T
+            first = frame["first"].to_numpy()[kept].astype(np.int64) * BLOCK
+            own, own_at = places(list(texts_of.values()))
+            home, home_at = places(columns["words"])
+            head = np.flatnonzero(part == 0)
+            x, y, n, sizes = (np.frombuffer(b"".join(columns[c][i] for i in head), np.int32) for c in ("x", "y", "n", "sizes"))
+            chain_pair = np.repeat(np.arange(len(head)), [len(columns["sizes"][i]) // 4 for i in head])
+            edge = np.cumsum([0, *sizes.tolist()])
+            text = np.array([number[d] for d in docs[head].tolist()])[chain_pair]
+            start, stop = edge[:-1], edge[1:] - 1
+            x0, y0, end, home_end = (v.astype(np.int64) for v in (x[start], y[start], x[stop] + n[stop], y[stop] + n[stop]))
+            # the stretch of the home that holds the chain: the last of its pair that starts before it
+            of_row = np.cumsum(part == 0) - 1
+            row = np.searchsorted((of_row << 40) + first, (chain_pair << 40) + y0, side="right") - 1
+            low, shift = own_at[text], home_at[row] - first[row]
+            before, after, drop, more = placed_ends(own, home, (low + x0, shift + y0, low + end, shift + home_end, low, own_at[text + 1],
+                                                                home_at[row], home_at[row + 1]), margin, min_words)
+            found: dict[int, tuple[list, list]] = {}
+            for c in np.flatnonzero(~drop).tolist():
+                spans, left = found.setdefault(int(chain_pair[c]), ([], []))
+                chain = tuple(v[edge[c]:edge[c + 1]] for v in (x, y, n))
+                if more[c]:
+                    left.append(chain)
+                else:
+                    r, t = row[c], text[c]
+                    spans += aligned(own[own_at[t]:own_at[t + 1]], home[home_at[r]:home_at[r + 1]], first[r], *chain, margin, min_words,
+                                     (before[c], after[c]))[0]
             out = []
-            for doc, own, home, parts, _ in found:
-                spans, left = [], []
-                for chain in parts:
-                    (_, there, first, *_), (before, after, drop, more) = next(ends)
-                    if more:
-                        left.append(chain)
-                    elif not drop:
-                        spans += aligned(owns[own], there, first, *chain, margin, min_words, (before, after))[0]
+            for pair, (spans, left) in found.items():
                 if spans or left:
-                    rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [])
-                    out.append((doc, home, *rest, [a for a, _ in spans], [b for _, b in spans]))
+                    rest = pair_row(0, 0, left, margin * WIDER)[2:] if left else (b"", b"", b"", b"", [], [])
+                    out.append((docs[head[pair]], homes[head[pair]], *rest, [a for a, _ in spans], [b for _, b in spans]))
             if out:
-                yield pd.DataFrame(out, columns=["doc_id", "home", "sizes", "x", "y", "n", "blocks", "starts", "ends"])
+                yield pd.DataFrame(out, columns=["doc_id", "home", "sizes", "x", "y", "n", "firsts", "lasts", "starts", "ends"])
 
-    return (rows.repartition("doc_id").sortWithinPartitions("doc_id", "kind", "home", "block")
+    return (rows.unionByName(sent).repartition("doc_id").sortWithinPartitions(*keys)
             .mapInPandas(build, PAIR + ", starts array<int>, ends array<int>"))
 
 
 def passages(texts: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``starts``, ``ends``, ``homes`` of the documents that repeat an earlier one."""
     with freed_shuffles(texts.sparkSession):
-        pairs = common.store(chain_rows(match_rows(seed_rows(texts, min_words), min_words)), "pairs")
+        pairs = common.store(chain_rows(match_chunks(seed_rows(texts, min_words), min_words)), "pairs")
         words = common.store(word_rows(texts), "words")
         margin, rounds = MARGIN, []
         while not rounds or not pairs.isEmpty():
             rounds.append(common.store(span_rows(words, pairs, margin, min_words, bool(rounds)), "spans"))
-            pairs = rounds[-1].where("size(blocks) > 0").select(*pairs.columns)
+            pairs = rounds[-1].where("size(firsts) > 0").select(*pairs.columns)
             margin *= WIDER
     found = rounds[0]
     for more in rounds[1:]:
@@ -714,9 +878,8 @@ def repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: s
     common.prepare(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     found = passages(texts.where("doc_id IS NOT NULL"), min_words)
-    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")).cast("long")
     spans = [F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c) for c, t in (("starts", "int"), ("ends", "int"), ("homes", "long"))]
-    return texts.select("doc_id", words.alias("n_words")).join(found, "doc_id", "left").select("doc_id", "n_words", *spans)
+    return texts.select("doc_id", F.pandas_udf(word_counts, "long")("text").alias("n_words")).join(found, "doc_id", "left").select("doc_id", "n_words", *spans)
 
 
 def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
