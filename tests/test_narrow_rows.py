@@ -39,3 +39,13 @@ def test_engagement_rows(spark, folder, monkeypatch, part_bytes):
     plain = plan.engagement_table(features.build_features(joins.join_entities(*entities(spark, folder))), now).select(*mine.columns)
     assert mine.count() > 100 and mine.exceptAll(plain).count() == plain.exceptAll(mine).count() == 0
     assert mine.dtypes == plain.dtypes
+
+
+@pytest.mark.parametrize("part_bytes", [1, 1 << 40])
+def test_behaviour_rows(spark, folder, monkeypatch, part_bytes):
+    monkeypatch.setattr(joins, "PART_BYTES", part_bytes)
+    mine = plan.behaviour_rows(spark, *entities(spark, folder), KEYS)
+    plain = features.build_features(joins.join_entities(*entities(spark, folder)))
+    assert len(mine.columns) == 8 and mine.exceptAll(plain.select(*mine.columns)).count() == plain.select(*mine.columns).exceptAll(mine).count() == 0
+    columns = ["engajado", *training.EXPANDED_NUMERIC, *training.BASELINE_CATEGORICAL]
+    assert plan.expanded_table(mine).select(columns).exceptAll(plan.expanded_table(plain).select(columns)).count() == 0
