@@ -107,3 +107,17 @@ def test_wide_rows_are_joined_in_parts(spark, tmp_path, monkeypatch):
     assert len(parts) == scoring.PARTS > 1 and sorted(i for p in parts for i in p) == ["10", "11"]
     assert set().union(*joins) <= {None, "x"}
     assert len(paths) == 1 and not path_exists(spark, paths[0])
+
+
+def test_wide_steps_run_as_small_methods(spark, monkeypatch, tmp_path):
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(name)
+
+    def stop(session, path):
+        seen.append(session.conf.get(name))
+        raise RuntimeError("seen")
+
+    monkeypatch.setattr(scoring, "read_parquet", stop)
+    with pytest.raises(RuntimeError, match="seen"):
+        scoring.run(spark, str(tmp_path), str(tmp_path), str(tmp_path), None)
+    assert seen == ["8000"] and spark.conf.get(name) == before
