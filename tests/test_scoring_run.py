@@ -2,6 +2,7 @@
 
 import copy
 
+import pytest
 from pyspark.sql import functions as F
 from test_growth import plan
 from test_plans import APPLICANTS, JOBS, PROSPECTS, TERMS
